@@ -57,7 +57,13 @@ def labelled(feats: DataFrame, title_labels: DataFrame) -> DataFrame:
 
 
 def weighted_points(feats: DataFrame) -> DataFrame:
-    return feats.groupBy("label", "x", "y").agg(F.count("*").alias("w"))
+    """Distinct points with their number of titles, written once.
+
+    They are few, but each is measured against every centroid of every run, so they
+    are spread over all cores.
+    """
+    points = feats.groupBy("label", "x", "y").agg(F.count("*").alias("w"))
+    return cut(points.repartition(feats.sparkSession.sparkContext.defaultParallelism))
 
 
 def initial(feats: DataFrame, label: str, k: int, seed: int = 0) -> Centroids:
@@ -92,35 +98,25 @@ def _runs_column(runs: dict[Run, Centroids]) -> Column:
     return F.element_at(F.from_json(F.lit(json.dumps(by_label)), kind), F.col("label"))
 
 
-def nearest(centroids: Column, x: Column, y: Column) -> Column:
-    """struct(dist, id) of the closest centroid, the earlier one on a tie."""
-    return F.array_min(F.transform(
-        centroids,
-        lambda c: F.struct(euclid(x, y, c["x"], c["y"]).alias("dist"), c["id"].alias("id")),
-    ))
-
-
 def assign(rows: DataFrame, runs: dict[Run, Centroids]) -> DataFrame:
-    """Each row with ``k``, its ``cluster`` and its distance, once per run of its label."""
+    """Each row with ``k``, its ``cluster`` and its distance, once per run of its label.
+
+    The closest centroid wins, the earlier one on a tie.
+    """
     wide = rows.withColumn("_run", F.explode(_runs_column(runs)))
-    hit = wide.withColumn("_hit", nearest(F.col("_run.c"), F.col("x"), F.col("y")))
-    return hit.select(
-        *rows.columns, F.col("_run.k").alias("k"), F.col("_hit.id").alias("cluster"),
-        F.col("_hit.dist").alias("dist"),
+    return wide.selectExpr(
+        "*", "transform(_run.c, c -> sqrt((x - c.x) * (x - c.x) + (y - c.y) * (y - c.y))) AS _d"
+    ).selectExpr("*", "array_min(_d) AS _min").selectExpr(
+        *rows.columns, "_run.k AS k",
+        "element_at(_run.c, cast(array_position(_d, _min) AS int)).id AS cluster", "_min AS dist",
     )
 
 
 def means(assigned: DataFrame) -> DataFrame:
     """Count and mean position per cluster of weighted rows."""
-    def total(c: str) -> Column:
-        return F.sum(F.col(c).cast("decimal(18,15)") * F.col("w").cast("decimal(15,0)"))
-
+    total = "cast(sum(cast({0} AS decimal(18,15)) * cast(w AS decimal(15,0))) AS double) / sum(w) AS {0}"
     return assigned.groupBy("label", "k", "cluster").agg(
-        F.sum("w").alias("n"), total("x").cast("double").alias("tx"),
-        total("y").cast("double").alias("ty"),
-    ).select(
-        "label", "k", "cluster", "n",
-        (F.col("tx") / F.col("n")).alias("x"), (F.col("ty") / F.col("n")).alias("y"),
+        F.expr("sum(w) AS n"), F.expr(total.format("x")), F.expr(total.format("y"))
     )
 
 
@@ -195,7 +191,7 @@ def elbow(feats: DataFrame, labels: Iterable[str], ks: Iterable[int] = range(10,
     """SSE curve for every label and k."""
     ks = list(ks)
     feats = cut(feats)
-    points = cut(weighted_points(feats))
+    points = weighted_points(feats)
     runs = initial_all(feats, {label: ks for label in labels}, seed)
     return inertia(points, *fit(points, feats, runs, iterations))
 
@@ -204,7 +200,7 @@ def best(feats: DataFrame, sizes: dict[str, int], members: int = 25,
          iterations: int = ITERATIONS, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For a fixed k per label: (centroids, first members of each cluster, label positions)."""
     feats = cut(feats)
-    points = cut(weighted_points(feats))
+    points = weighted_points(feats)
     runs = initial_all(feats, {label: [k] for label, k in sizes.items()}, seed)
     before, after = fit(points, feats, runs, iterations)
     from pyspark.sql import Window

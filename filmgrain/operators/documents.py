@@ -15,25 +15,31 @@ MAX_ITEMS = 100_000
 LISTS = {"genres": "string", "director_id": "bigint", "writer_id": "bigint", "producer_id": "bigint"}
 
 
-def with_parts(links: DataFrame, key: Sequence[str], value: str, max_items: int = MAX_ITEMS) -> DataFrame:
+def oversize(links: DataFrame, key: Sequence[str], max_items: int = MAX_ITEMS) -> DataFrame | None:
+    """Groups with more than ``max_items`` links and their number of parts; None if there are none."""
+    sizes = links.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
+    parts = sizes.select(*key, F.ceil(F.col("_n") * 2 / max_items).alias("_p"))
+    return None if parts.isEmpty() else parts
+
+
+def with_parts(links: DataFrame, key: Sequence[str], value: str, large: DataFrame | None) -> DataFrame:
     """Links with the part of their group they belong to.
 
-    Groups up to ``max_items`` are part 0. Larger ones are spread by a hash of the
+    Groups not listed in ``large`` are part 0. The others are spread by a hash of the
     value, so no task has to build an array that grows with the data.
     """
-    sizes = links.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
-    if sizes.isEmpty():
+    if large is None:
         return links.withColumn("part", F.lit(0))
-    parts = sizes.select(*key, F.ceil(F.col("_n") * 2 / max_items).alias("_p"))
     spread = F.pmod(F.xxhash64(value), F.col("_p")).cast("int")
-    return links.join(small_side(parts), list(key), "left").withColumn(
+    return links.join(small_side(large), list(key), "left").withColumn(
         "part", F.coalesce(spread, F.lit(0))
     ).drop("_p")
 
 
 def group_list(links: DataFrame, key: str, value: str, out: str, max_items: int = MAX_ITEMS) -> DataFrame:
     """(key, part, sorted list of values)."""
-    return with_parts(links, [key], value, max_items).groupBy(key, "part").agg(
+    large = oversize(links.select(key), [key], max_items)
+    return with_parts(links, [key], value, large).groupBy(key, "part").agg(
         F.sort_array(F.collect_list(value)).alias(out)
     )
 
@@ -44,9 +50,9 @@ def cast_entries(cast: DataFrame, roles: DataFrame, role: DataFrame) -> DataFram
     Cast rows and role rows are stacked and grouped once. Roles of somebody who is
     not in the cast list drop out.
     """
-    labels = roles.join(
-        small_side(role.select(F.col("id").alias("roleid"), "role")), "roleid"
-    ).select("titleid", "actorid", "role", F.lit(False).alias("listed"))
+    labels = roles.join(role.select(F.col("id").alias("roleid"), "role"), "roleid").select(
+        "titleid", "actorid", "role", F.lit(False).alias("listed")
+    )
     listed = cast.select("titleid", "actorid", F.lit(None).cast("string").alias("role"),
                          F.lit(True).alias("listed"))
     grouped = listed.unionByName(labels).groupBy("titleid", "actorid").agg(
@@ -58,53 +64,56 @@ def cast_entries(cast: DataFrame, roles: DataFrame, role: DataFrame) -> DataFram
 
 
 def assemble(
-    title: DataFrame, lists: Mapping[str, DataFrame], actors: DataFrame | None = None,
-    max_items: int = MAX_ITEMS,
+    title: DataFrame, lists: Mapping[str, DataFrame],
+    cast: tuple[DataFrame, DataFrame, DataFrame] | None = None, max_items: int = MAX_ITEMS,
 ) -> DataFrame:
     """One document per title.
 
-    ``lists`` maps an array field to its (titleid, value) links; ``actors`` is the
-    output of ``cast_entries``. Title rows and all links are stacked and grouped by
-    title in a single shuffle. Missing lists are null. A title with a list beyond
-    ``max_items`` gets further rows, told apart by ``part``; each repeats the title's
-    own fields.
+    ``lists`` maps an array field to its (titleid, value) links; ``cast`` holds the
+    title-actor links, the actor-title-role links and the role dictionary. Title rows
+    and all links are stacked and grouped by title in a single shuffle. Missing lists
+    are null. A title with a list beyond ``max_items`` gets further rows, told apart
+    by ``part``; each repeats the title's own fields.
     """
-    entry = "struct<actor:bigint,role:array<string>>"
-    base = title.withColumnRenamed("avgRatings", "avgRating").withColumnRenamed("id", "_id")
+    base = title.withColumnsRenamed({"avgRatings": "avgRating", "id": "_id"})
     own = [c for c in base.columns if c != "_id"]
-    slots = {**{n: LISTS[n] for n in lists}, **({"actors": entry} if actors is not None else {})}
-
-    def row(df: DataFrame, filled: str, value: Column, item: str) -> DataFrame:
-        cells = [
-            (value if n == filled else F.lit(None)).cast(t).alias(f"_{n}") for n, t in slots.items()
-        ]
-        return df.select(F.col("titleid").alias("_id"), F.lit(filled).alias("_field"),
-                         F.xxhash64(item).alias("_item"), *cells)
-
-    stacked = []
-    for name, links in lists.items():
-        value = [c for c in links.columns if c != "titleid"][0]
-        stacked.append(row(links, name, F.col(value), value))
-    if actors is not None:
-        whole = F.struct(F.col("actorid").alias("actor"), "role")
-        stacked.append(row(actors, "actors", whole, "actorid"))
-    own_type = base.select(F.struct(*own).alias("o")).schema["o"].dataType
-    links = with_parts(reduce(DataFrame.unionByName, stacked), ["_id", "_field"], "_item", max_items)
-    links = links.select(
-        "_id", "part", F.lit(None).cast(own_type).alias("_own"), *[f"_{n}" for n in slots]
-    )
-    extra = links.where("part > 0").select("_id", "part").distinct()
-    heads = base.withColumn("part", F.lit(0)).select("_id", "part", F.struct(*own).alias("_own"))
-    more = extra.join(base, "_id").select("_id", "part", F.struct(*own).alias("_own"))
-    blank = [F.lit(None).cast(t).alias(f"_{n}") for n, t in slots.items()]
-    rows = links.unionByName(heads.unionByName(more).select("*", *blank))
-    out = rows.groupBy("_id", "part").agg(
+    own_type = base.select(F.struct(*own).alias("o")).schema["o"].dataType.simpleString()
+    slots = {n: LISTS[n] for n in lists}
+    stacked = {n: links.toDF("_id", "_value").selectExpr("_id", "_value", "xxhash64(_value) AS _item")
+               for n, links in lists.items()}
+    counted = {n: links.toDF("_id", "_value") for n, links in lists.items()}
+    if cast is not None:
+        slots["actors"] = "struct<actor:bigint,role:array<string>>"
+        stacked["actors"] = cast_entries(*cast).selectExpr(
+            "titleid AS _id", "struct(actorid AS actor, role) AS _value", "xxhash64(actorid) AS _item"
+        )
+        counted["actors"] = cast[0].select("titleid", "actorid").toDF("_id", "_value")
+
+    # sizes come from the bare links, before any list is built
+    keys = reduce(DataFrame.unionByName, [
+        df.selectExpr("_id", f"'{n}' AS _field") for n, df in counted.items()
+    ])
+    large = oversize(keys, ["_id", "_field"], max_items)
+    rows = reduce(DataFrame.unionByName, [
+        df.selectExpr(
+            "_id", f"'{n}' AS _field", "_item", f"cast(NULL AS {own_type}) AS _own",
+            *[f"cast({'_value' if m == n else 'NULL'} AS {t}) AS _{m}" for m, t in slots.items()],
+        )
+        for n, df in stacked.items()
+    ])
+    rows = with_parts(rows, ["_id", "_field"], "_item", large).drop("_field", "_item")
+    blank = [f"cast(NULL AS {t}) AS _{m}" for m, t in slots.items()]
+    fields = f"struct({', '.join(own)}) AS _own"
+    heads = base.selectExpr("_id", "0 AS part", fields, *blank)
+    if large is not None:
+        more = rows.where("part > 0").select("_id", "part").distinct().join(base, "_id")
+        heads = heads.unionByName(more.selectExpr("_id", "part", fields, *blank))
+    out = rows.unionByName(heads).groupBy("_id", "part").agg(
         F.max("_own").alias("_own"),
-        *[F.sort_array(F.collect_list(f"_{n}")).alias(n) for n in slots],
+        *[F.expr(f"sort_array(collect_list(_{n})) AS {n}") for n in slots],
     )
-    return out.where("_own IS NOT NULL").select(
-        "_id", "part", "_own.*",
-        *[F.when(F.size(n) > 0, F.col(n)).alias(n) for n in slots],
+    return out.where("_own IS NOT NULL").selectExpr(
+        "_id", "part", "_own.*", *[f"CASE WHEN size({n}) > 0 THEN {n} END AS {n}" for n in slots]
     )
 
 

@@ -15,21 +15,21 @@ def small_side(df: DataFrame, max_rows: int = DICTIONARY_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
 
     The count stops at the bound. Beyond it the frame is returned unmarked, and the
-    join is a shuffle join in which adaptive execution splits skewed partitions.
+    join is a shuffle join in which adaptive execution splits skewed partitions. The
+    mark survives filters and projections, so a dictionary is checked once, where it
+    is obtained, and then passed on.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def with_label(links: DataFrame, dictionary: DataFrame, key: str, label: str) -> DataFrame:
     """Links plus the label their dictionary id stands for (inner)."""
-    d = small_side(dictionary.select(F.col("id").alias(key), label))
-    return links.join(d, key)
+    return links.join(dictionary.select(F.col("id").alias(key), label), key)
 
 
 def encode_label(links: DataFrame, dictionary: DataFrame, label: str, key: str) -> DataFrame:
     """Replace a label by its dictionary id; labels outside the dictionary drop out."""
-    d = small_side(dictionary.select(F.col("id").alias(key), label))
-    return links.join(d, label).drop(label)
+    return links.join(dictionary.select(F.col("id").alias(key), label), label).drop(label)
 
 
 def with_parents(

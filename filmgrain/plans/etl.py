@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmgrain.functions import text
-from filmgrain.operators.joins import encode_label, known
+from filmgrain.operators.joins import encode_label, known, small_side
 from filmgrain.operators.selection import dense_ids, first_per_key
 from filmgrain.operators.updates import update_ratings
 
@@ -125,7 +125,7 @@ def genres(basics: DataFrame) -> tuple[DataFrame, DataFrame]:
         text.id_number("tconst", "tt").alias("titleid"),
         F.explode(text.split_list("genres")).alias("genre"),
     ).withColumn("genre", text.null_if_blank("genre")).where("genre IS NOT NULL")
-    dictionary = dense_ids(rows, "genre")
+    dictionary = small_side(dense_ids(rows, "genre"))
     return dictionary, encode_label(rows, dictionary, "genre", "genreid").select("titleid", "genreid")
 
 
@@ -163,7 +163,7 @@ def role_rows(principals: DataFrame) -> DataFrame:
 def roles(principals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(role dictionary, actor-title-role links)."""
     rows = role_rows(principals)
-    dictionary = dense_ids(rows, "role")
+    dictionary = small_side(dense_ids(rows, "role"))
     links = encode_label(rows, dictionary, "role", "roleid")
     return dictionary, links.select("titleid", "actorid", "roleid")
 

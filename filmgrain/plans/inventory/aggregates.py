@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from filmgrain.operators.documents import assemble, cast_entries, group_list
+from filmgrain.operators.documents import assemble, group_list
 from filmgrain.plans.document_queries import genre_boxplot
 from filmgrain.plans.inventory.documents import docs_with
 from filmgrain.plans.registry import query
@@ -72,8 +72,7 @@ def agg_collect_list(v):
         FROM actor_title_role JOIN role ON roleid = id GROUP BY titleid, actorid) r
     ON r.titleid = a.titleid AND r.actorid = a.actorid GROUP BY a.titleid""")
 def agg_collect_nested(v):
-    cast = cast_entries(v.title_actor, v.actor_title_role, v.role)
-    docs = assemble(v.title.select("id", "type"), {}, cast)
+    docs = assemble(v.title.select("id", "type"), {}, (v.title_actor, v.actor_title_role, v.role))
     text = F.transform("actors", lambda a: F.concat(
         a["actor"].cast("string"), F.lit(":"), F.coalesce(F.array_join(a["role"], "|"), F.lit(""))
     ))

@@ -112,7 +112,7 @@ def rounded(df):
 @query("km_run", steps(100) + f"SELECT CAST(c AS INTEGER) AS cluster, round(x, {DIGITS}) AS x, round(y, {DIGITS}) AS y FROM step WHERE turn = 100", ONE)
 def km_run(v):
     feats, runs = start(v)
-    _, after = clusters.fit(cut(clusters.weighted_points(feats)), feats, runs)
+    _, after = clusters.fit(clusters.weighted_points(feats), feats, runs)
     return rounded(clusters.centroid_rows(v.spark, after))
 
 
@@ -120,7 +120,7 @@ def km_run(v):
 def km_sse(v):
     """After two iterations, while centroids still move."""
     feats, runs = start(v)
-    points = cut(clusters.weighted_points(feats))
+    points = clusters.weighted_points(feats)
     sse = clusters.inertia(points, *clusters.fit(points, feats, runs, 2))
     return sse.select("label", "k", F.round("sse", DIGITS).alias("sse"))
 

@@ -22,10 +22,8 @@ def docs_with(v, *fields: str):
         "producer_id": lambda: v.title_producer,
     }
     lists = {f: links[f]() for f in fields if f != "actors"}
-    actors = (
-        documents.cast_entries(v.title_actor, v.actor_title_role, v.role) if "actors" in fields else None
-    )
-    return documents.assemble(v.title.select(*SCALARS), lists, actors)
+    cast = (v.title_actor, v.actor_title_role, v.role) if "actors" in fields else None
+    return documents.assemble(v.title.select(*SCALARS), lists, cast)
 
 
 def people(v):

@@ -74,11 +74,9 @@ def fn_cast(v):
 
 @query("fn_array_size", "SELECT titleid AS _id, count(*) AS actors FROM title_actor JOIN title ON id = titleid GROUP BY titleid")
 def fn_array_size(v):
-    from filmgrain.operators.documents import assemble, cast_entries
+    from filmgrain.operators.documents import assemble
 
-    docs = assemble(
-        v.title.select("id", "type"), {}, cast_entries(v.title_actor, v.actor_title_role, v.role)
-    )
+    docs = assemble(v.title.select("id", "type"), {}, (v.title_actor, v.actor_title_role, v.role))
     return docs.where("actors IS NOT NULL").groupBy("_id").agg(F.sum(F.size("actors")).alias("actors"))
 
 

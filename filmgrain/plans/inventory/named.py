@@ -74,13 +74,13 @@ def q_doc_longrun_sets(v):
 
 @query("q_doc_director_actor", """SELECT t.id AS _id, t.title, t.startYear, a.id AS actor, a.name, r.roles AS role FROM title t
     JOIN title_genre ON title_genre.titleid = t.id JOIN genre g ON g.id = genreid AND g.genre = 'PROMO'
-    JOIN title_director d ON d.titleid = t.id JOIN member dm ON dm.id = d.directorid AND dm.name = 'Customer#000000011'
-    JOIN title_actor ta ON ta.titleid = t.id JOIN member a ON a.id = ta.actorid AND a.name = 'red ring'
+    JOIN title_director d ON d.titleid = t.id JOIN member dm ON dm.id = d.directorid AND dm.name = 'Customer#000000044'
+    JOIN title_actor ta ON ta.titleid = t.id JOIN member a ON a.id = ta.actorid AND a.name = 'cold gizmo'
     LEFT JOIN (SELECT titleid, actorid, string_agg(role, '|' ORDER BY role) AS roles FROM actor_title_role JOIN role ON role.id = roleid
         GROUP BY titleid, actorid) r ON r.titleid = t.id AND r.actorid = a.id""")
 def q_doc_director_actor(v):
     docs = docs_with(v, "genres", "director_id", "actors")
-    rows = docq.director_actor(docs, people(v), "PROMO", "Customer#000000011", "red ring")
+    rows = docq.director_actor(docs, people(v), "PROMO", "Customer#000000044", "cold gizmo")
     return rows.withColumn("role", F.array_join("role", "|"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.operators.joins import small_side, with_label
+from filmgrain.operators.joins import with_label
 
 
 def differs_3vl(a: str, b: str, value: int) -> Column:
@@ -48,9 +48,8 @@ def genre_year_producers(
     t = title.where((F.col("startYear") == year) | (F.col("endYear") == year)).select(
         F.col("id").alias("titleid")
     )
-    tagged = title_genre.join(
-        small_side(genre.where(F.col("genre") == kind).select(F.col("id").alias("genreid"))), "genreid"
-    ).select("titleid")
+    wanted = genre.where(F.col("genre") == kind).select(F.col("id").alias("genreid"))
+    tagged = title_genre.join(wanted, "genreid").select("titleid")
     counted = (
         title_producer.join(m, "producerid").join(t, "titleid").join(tagged, "titleid")
         .groupBy("name").agg(F.count("*").alias("total")).orderBy(F.desc("total"), "name")
@@ -85,7 +84,7 @@ def role_pattern(
     wanted = text == exact
     for p in patterns:
         wanted = wanted | text.like(p)
-    roles = small_side(role.where(wanted).select(F.col("id").alias("roleid"), "role"))
+    roles = role.where(wanted).select(F.col("id").alias("roleid"), "role")
     m = member.where(F.col("deathYear").isNull()).select(F.col("id").alias("actorid"), "name")
     return (
         actor_title_role.join(roles, "roleid").join(m, "actorid").select("name", "role")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmgrain import schemas
+from filmgrain.operators.joins import small_side, with_label
 
 E = F.expr
 
@@ -61,9 +62,9 @@ class Catalogue:
 
     @cached_property
     def genre(self) -> DataFrame:
-        return self.part.select("p_type").distinct().select(
+        return small_side(self.part.select("p_type").distinct().select(
             _code("p_type").alias("id"), F.col("p_type").alias("genre")
-        )
+        ))
 
     @cached_property
     def title_genre(self) -> DataFrame:
@@ -112,8 +113,8 @@ class Catalogue:
 
     @cached_property
     def role(self) -> DataFrame:
-        return self.lineitem.select(_role_label().alias("role"), _role_id().alias("id")).distinct().select(
-            "id", "role"
+        return small_side(
+            self.lineitem.select(_role_id().alias("id"), _role_label().alias("role")).distinct()
         )
 
     @cached_property
@@ -131,8 +132,6 @@ class Catalogue:
 
     @cached_property
     def raw_basics(self) -> DataFrame:
-        from filmgrain.operators.joins import with_label
-
         # at most one entry per dictionary genre
         genres = with_label(self.title_genre, self.genre, "genreid", "genre").groupBy("titleid").agg(
             F.array_join(F.sort_array(F.collect_list("genre")), ",").alias("genres")
