@@ -7,7 +7,6 @@ with a null Y. Rows with a null X say nothing.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,41 +57,66 @@ def classes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+NUMBERS = ("byte", "short", "integer", "long", "float", "double", "boolean", "date", "timestamp")
+
+
 def single(df: DataFrame) -> DataFrame:
     """All dependencies X -> Y with X and Y different columns, as (lhs, rhs).
 
     Each X is one grouping set, and a group keeps only the smallest and largest of
-    every other column plus two counts, so it combines before the shuffle and a
-    value of X holding most rows costs no more than any other.
+    every other column and one bit mask of the columns that were null, so it combines
+    before the shuffle and a value of X holding most rows costs no more than any
+    other. Text is compared by its 64-bit hash first, which keeps the aggregate a hash
+    aggregate; dependencies found that way are confirmed on the text itself.
     """
     cols = df.columns
+    exact = {f.name for f in df.schema if f.dataType.typeName() in NUMBERS}
+    codes = [f"{c} AS v_{c}" if c in exact else f"xxhash64({c}) AS v_{c}" for c in cols]
+    nulls = " + ".join(f"CASE WHEN {c} IS NULL THEN {1 << i}L ELSE 0L END" for i, c in enumerate(cols))
+    keyed = df.selectExpr(*cols, *codes, f"{nulls} AS nulls")
     tests = [
-        ((F.min(c) == F.max(c)) & (F.count(c) == F.count("*"))).alias(f"ok_{c}") for c in cols
+        F.expr(f"min(v_{c}) = max(v_{c}) AND bit_or(nulls) & {1 << i}L = 0 AS ok_{c}")
+        for i, c in enumerate(cols)
     ]
-    keyed = df.select(*cols, *[F.col(c).alias(f"k_{c}") for c in cols])
-    keys = [F.col(f"k_{c}") for c in cols]
+    keys = [F.col(c) for c in cols]
     groups = (
         keyed.groupingSets([[k] for k in keys], *keys)
         .agg(F.grouping_id(*keys).alias("gid"), *tests)
-        # the key itself decides whether the group counts
-        .where(F.coalesce(*[F.col(f"k_{c}").cast("string") for c in cols]).isNotNull())
+        # a null key says nothing
+        .where(F.expr(" OR ".join(f"{c} IS NOT NULL" for c in cols)))
     )
     held = groups.groupBy("gid").agg(
-        *[F.bool_and(F.coalesce(f"ok_{c}", F.lit(False))).alias(f"ok_{c}") for c in cols]
+        *[F.expr(f"bool_and(coalesce(ok_{c}, false)) AS ok_{c}") for c in cols]
     )
     # in a grouping set on column i every bit but that column's is set
     full = (1 << len(cols)) - 1
-    lhs = reduce(
-        lambda acc, ic: F.when(F.col("gid") == full - (1 << (len(cols) - 1 - ic[0])), F.lit(ic[1])).otherwise(acc),
-        enumerate(cols), F.lit(None).cast("string"),
-    )
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("rhs"), F.col(f"ok_{c}").alias("ok")) for c in cols
-    ]))
-    return (
-        held.select(lhs.alias("lhs"), pairs.alias("p"))
-        .where("p.ok AND lhs <> p.rhs").select("lhs", F.col("p.rhs").alias("rhs"))
+    lhs = " ".join(
+        f"WHEN {full - (1 << (len(cols) - 1 - i))} THEN '{c}'" for i, c in enumerate(cols)
     )
+    stack = ", ".join(f"'{c}', ok_{c}" for c in cols)
+    found = held.selectExpr(
+        f"CASE gid {lhs} END AS lhs", f"stack({len(cols)}, {stack}) AS (rhs, ok)"
+    ).where("ok AND lhs <> rhs").select("lhs", "rhs")
+    # at most one row per pair of columns
+    pairs = [(r["lhs"], r["rhs"]) for r in found.collect()]
+    kept = [p for p in pairs if p[1] in exact]
+    kept += _confirmed(df, [p for p in pairs if p[1] not in exact])
+    return df.sparkSession.createDataFrame(sorted(kept), "lhs string, rhs string")
+
+
+def _confirmed(df: DataFrame, pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Those of the pairs whose text really is one per key."""
+    by_lhs: dict[str, list[str]] = {}
+    for lhs, rhs in pairs:
+        by_lhs.setdefault(lhs, []).append(rhs)
+    out = []
+    for lhs, rights in by_lhs.items():
+        groups = df.where(F.col(lhs).isNotNull()).groupBy(lhs).agg(
+            *[(F.min(r) == F.max(r)).alias(f"ok_{r}") for r in rights]
+        )
+        row = groups.agg(*[F.bool_and(f"ok_{r}").alias(r) for r in rights]).first()
+        out += [(lhs, r) for r in rights if row[r]]
+    return out
 
 
 def implied_pairs(deps: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 from filmgrain.operators.joins import small_side
 
 # Longest array one document row holds; longer lists go on in further rows (parts).
-MAX_ITEMS = 100_000
+MAX_ITEMS = 1_000_000
 LISTS = {"genres": "string", "director_id": "bigint", "writer_id": "bigint", "producer_id": "bigint"}
 
 
 def oversize(links: DataFrame, key: Sequence[str], max_items: int = MAX_ITEMS) -> DataFrame | None:
-    """Groups with more than ``max_items`` links and their number of parts; None if there are none."""
+    """Groups with more than ``max_items`` links and their number of parts; None if there are none.
+
+    A table that has no more rows than that altogether is not grouped for it.
+    """
+    if links.count() <= max_items:
+        return None
     sizes = links.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
     parts = sizes.select(*key, F.ceil(F.col("_n") * 2 / max_items).alias("_p"))
     return None if parts.isEmpty() else parts
@@ -90,22 +95,20 @@ def assemble(
         counted["actors"] = cast[0].select("titleid", "actorid").toDF("_id", "_value")
 
     # sizes come from the bare links, before any list is built
-    keys = reduce(DataFrame.unionByName, [
-        df.selectExpr("_id", f"'{n}' AS _field") for n, df in counted.items()
-    ])
-    large = oversize(keys, ["_id", "_field"], max_items)
-    rows = reduce(DataFrame.unionByName, [
-        df.selectExpr(
-            "_id", f"'{n}' AS _field", "_item", f"cast(NULL AS {own_type}) AS _own",
+    split = False
+    parts = []
+    for n, df in stacked.items():
+        large = oversize(counted[n].select("_id"), ["_id"], max_items)
+        split = split or large is not None
+        parts.append(with_parts(df, ["_id"], "_item", large).selectExpr(
+            "_id", "part", f"cast(NULL AS {own_type}) AS _own",
             *[f"cast({'_value' if m == n else 'NULL'} AS {t}) AS _{m}" for m, t in slots.items()],
-        )
-        for n, df in stacked.items()
-    ])
-    rows = with_parts(rows, ["_id", "_field"], "_item", large).drop("_field", "_item")
+        ))
+    rows = reduce(DataFrame.unionByName, parts)
     blank = [f"cast(NULL AS {t}) AS _{m}" for m, t in slots.items()]
     fields = f"struct({', '.join(own)}) AS _own"
     heads = base.selectExpr("_id", "0 AS part", fields, *blank)
-    if large is not None:
+    if split:
         more = rows.where("part > 0").select("_id", "part").distinct().join(base, "_id")
         heads = heads.unionByName(more.selectExpr("_id", "part", fields, *blank))
     out = rows.unionByName(heads).groupBy("_id", "part").agg(
@@ -117,6 +120,27 @@ def assemble(
     )
 
 
+def heads(docs: DataFrame) -> DataFrame:
+    """The titles of the documents, one row each, under the names of the normalised table."""
+    lists = [f.name for f in docs.schema if f.dataType.typeName() == "array"]
+    return docs.where("part = 0").drop("part", *lists).withColumnsRenamed(
+        {"_id": "id", "avgRating": "avgRatings"}
+    )
+
+
+def links(docs: DataFrame, field: str, out: str) -> DataFrame:
+    """(titleid, value) for every entry of an array field."""
+    return docs.select(F.col("_id").alias("titleid"), F.explode(field).alias(out))
+
+
+def cast_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((titleid, actorid), (titleid, actorid, role)) from the actors of the documents."""
+    entry = docs.select(F.col("_id").alias("titleid"), F.explode("actors").alias("a")).select(
+        "titleid", F.col("a.actor").alias("actorid"), F.col("a.role").alias("role")
+    )
+    return entry.drop("role"), entry.withColumn("role", F.explode("role"))
+
+
 def unwind(docs: DataFrame, field: str) -> DataFrame:
     """One row per element; documents with a missing or empty array drop out.
 

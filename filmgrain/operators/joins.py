@@ -14,12 +14,13 @@ DICTIONARY_ROWS = 100_000
 def small_side(df: DataFrame, max_rows: int = DICTIONARY_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
 
-    The count stops at the bound. Beyond it the frame is returned unmarked, and the
+    Reading stops at the bound. Beyond it the frame is returned unmarked, and the
     join is a shuffle join in which adaptive execution splits skewed partitions. The
     mark survives filters and projections, so a dictionary is checked once, where it
     is obtained, and then passed on.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    seen = df.select(F.lit(1)).take(max_rows + 1)
+    return F.broadcast(df) if len(seen) <= max_rows else df
 
 
 def with_label(links: DataFrame, dictionary: DataFrame, key: str, label: str) -> DataFrame:

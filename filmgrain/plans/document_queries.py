@@ -1,8 +1,8 @@
 """Queries and reports over title documents.
 
-Documents come from ``documents.assemble``. Matching runs on exploded ids joined to
-the members, then one aggregate per title, so no array of member records is built
-where only a yes or no is needed.
+They take titles and (titleid, value) links: from the normalised tables, or from
+documents through ``documents.heads`` and ``documents.links``. An array of a document
+is only looked at element by element here, so it is never built.
 """
 
 from __future__ import annotations
@@ -10,133 +10,131 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.operators.documents import unwind
-
-SCALARS = ["_id", "type", "title", "startYear", "runtime", "avgRating", "numVotes"]
-
-
-def _refs(docs: DataFrame, field: str, *keep: str) -> DataFrame:
-    return docs.select("_id", *keep, F.explode(field).alias("ref"))
+from filmgrain.operators.documents import oversize, with_parts
 
 
 def producers_with_many(
-    docs: DataFrame, members: DataFrame, year: int = 2017, kind: str = "Talk-Show",
-    pattern: str = ".*Gill.*", least: int = 50,
+    title: DataFrame, genres: DataFrame, producers: DataFrame, member: DataFrame,
+    year: int = 2017, kind: str = "Talk-Show", pattern: str = ".*Gill.*", least: int = 50,
 ) -> DataFrame:
     """Producers by name pattern with at least ``least`` titles of a genre and year."""
-    tagged = unwind(docs.where(F.col("startYear") == year).select("_id", "genres"), "genres").where(
-        F.col("genres") == kind
-    ).select("_id")
-    made = _refs(docs.where(F.col("startYear") == year), "producer_id")
-    named = members.where(F.col("name").rlike(pattern)).select(F.col("_id").alias("ref"), "name")
+    period = title.where(F.col("startYear") == year).select(F.col("id").alias("titleid"))
+    tagged = genres.where(F.col("genre") == kind).select("titleid")
+    named = member.where(F.col("name").rlike(pattern)).select(F.col("id").alias("producerid"), "name")
     return (
-        made.join(named, "ref").join(tagged, "_id")
-        .groupBy("ref").agg(F.min("name").alias("name"), F.count("*").alias("count"))
-        .where(F.col("count") >= least).withColumnRenamed("ref", "_id")
+        producers.join(named, "producerid").join(period, "titleid").join(tagged, "titleid")
+        .groupBy(F.col("producerid").alias("_id"))
+        .agg(F.min("name").alias("name"), F.count("*").alias("count"))
+        .where(F.col("count") >= least)
     )
 
 
-def writer_average(docs: DataFrame, members: DataFrame, pattern: str = ".*Bhardwaj.*",
-                   kind: str = "movie") -> DataFrame:
+def writer_average(
+    title: DataFrame, writers: DataFrame, member: DataFrame, pattern: str = ".*Bhardwaj.*",
+    kind: str = "movie",
+) -> DataFrame:
     """Mean runtime of movies with a writer matching the pattern and a living writer.
 
     The two writers need not be the same person. No such movie, no row.
     """
-    movies = docs.where(F.col("type") == kind)
-    people = members.select(F.col("_id").alias("ref"), "name", "deathYear")
-    hits = (
-        _refs(movies, "writer_id").join(people, "ref").groupBy("_id")
-        .agg(F.bool_or(F.col("name").rlike(pattern)).alias("named"),
-             F.bool_or(F.col("deathYear").isNull()).alias("living"))
-        .where("named AND living").select("_id")
-    )
-    runtimes = movies.where("part = 0").select("_id", "runtime")
-    return (
-        runtimes.join(hits, "_id", "left_semi").groupBy(F.lit(None).cast("string").alias("_id"))
-        .agg(F.avg("runtime").alias("avgRuntime"))
+    movies = title.where(F.col("type") == kind).select(F.col("id").alias("titleid"), "runtime")
+    people = member.select(
+        F.col("id").alias("writerid"), F.col("name").rlike(pattern).alias("named"),
+        F.col("deathYear").isNull().alias("living"),
+    ).where("named OR living")
+    per_title = (
+        writers.join(movies, "titleid").join(people, "writerid").groupBy("titleid")
+        .agg(F.bool_or("named").alias("named"), F.bool_or("living").alias("living"),
+             F.max("runtime").alias("runtime"))
     )
+    return per_title.where("named AND living").groupBy(
+        F.lit(None).cast("string").alias("_id")
+    ).agg(F.avg("runtime").alias("avgRuntime"))
 
 
-def longrun_producer_sets(docs: DataFrame, members: DataFrame, minutes: int = 120) -> DataFrame:
+def longrun_producer_sets(
+    title: DataFrame, producers: DataFrame, member: DataFrame, minutes: int = 120
+) -> DataFrame:
     """Long titles with a living producer, counted per set of producers.
 
-    The array itself is the key, so documents are used as they stand: a set of more
-    ids than one document row holds counts once per part.
+    The set itself is the key, so it is built; a title with more producers than one
+    document row holds counts once per part.
     """
-    long = docs.where((F.col("runtime") >= minutes) & F.col("producer_id").isNotNull())
-    people = members.select(F.col("_id").alias("ref"), "name", "deathYear")
-    known = (
-        _refs(long, "producer_id", "part").join(people, "ref").groupBy("_id", "part")
-        .agg(F.array_sort(F.collect_list(F.struct("ref", "name"))).alias("known"),
+    long = title.where(F.col("runtime") >= minutes).select(F.col("id").alias("titleid"))
+    people = member.select(F.col("id").alias("producerid"), "name", "deathYear")
+    made = with_parts(producers, ["titleid"], "producerid", oversize(producers.select("titleid"), ["titleid"]))
+    sets = (
+        made.join(long, "titleid").join(people, "producerid").groupBy("titleid", "part")
+        .agg(F.array_sort(F.collect_list(F.struct("producerid", "name"))).alias("known"),
              F.bool_or(F.col("deathYear").isNull()).alias("living"))
         .where("living")
     )
     return (
-        known.groupBy(F.col("known.ref").alias("producers"))
+        sets.groupBy(F.col("known.producerid").alias("producers"))
         .agg(F.min("known.name").alias("name"), F.count("*").alias("count"))
         .orderBy(F.desc("count"), "producers")
     )
 
 
-def director_actor(docs: DataFrame, members: DataFrame, kind: str, director: str, actor: str) -> DataFrame:
-    """Titles of a genre by one named director with one named actor, one row per match."""
-    tagged = unwind(docs.select("_id", "genres"), "genres").where(F.col("genres") == kind).select("_id")
-    directed = _refs(docs, "director_id").join(
-        members.where(F.col("name") == director).select(F.col("_id").alias("ref")), "ref", "left_semi"
-    ).select("_id").distinct()
-    acts = docs.select("_id", F.explode("actors").alias("a")).select(
-        "_id", F.col("a.actor").alias("actor"), F.col("a.role").alias("role")
+def director_actor(
+    title: DataFrame, genres: DataFrame, directors: DataFrame, cast: DataFrame, roles: DataFrame,
+    member: DataFrame, kind: str, director: str, actor: str,
+) -> DataFrame:
+    """Titles of a genre by one named director with one named actor, one row per match.
+
+    ``roles`` is (titleid, actorid, role).
+    """
+    tagged = genres.where(F.col("genre") == kind).select("titleid")
+    by = member.where(F.col("name") == director).select(F.col("id").alias("directorid"))
+    directed = directors.join(by, "directorid", "left_semi").select("titleid")
+    named = member.where(F.col("name") == actor).select(F.col("id").alias("actorid"), "name")
+    hits = (
+        cast.join(named, "actorid").join(directed, "titleid", "left_semi")
+        .join(tagged, "titleid", "left_semi")
     )
-    named = members.where(F.col("name") == actor).select(F.col("_id").alias("actor"), "name")
-    own = docs.where("part = 0").select("_id", "title", "startYear")
+    # roles of the matching cast entries only
+    played = roles.join(hits.select("titleid", "actorid"), ["titleid", "actorid"], "left_semi")
+    lists = played.groupBy("titleid", "actorid").agg(F.sort_array(F.collect_list("role")).alias("role"))
+    own = title.select(F.col("id").alias("titleid"), "title", "startYear")
     return (
-        acts.join(named, "actor").join(directed, "_id", "left_semi").join(tagged, "_id", "left_semi")
-        .join(own, "_id").select("_id", "title", "startYear", "actor", "name", "role")
+        hits.join(own, "titleid").join(lists, ["titleid", "actorid"], "left")
+        .select(F.col("titleid").alias("_id"), "title", "startYear", F.col("actorid").alias("actor"), "name", "role")
     )
 
 
-def genre_boxplot(docs: DataFrame, min_votes: int = 10_000) -> DataFrame:
+def genre_boxplot(title: DataFrame, genres: DataFrame, min_votes: int = 10_000) -> DataFrame:
     """Rating distribution per genre: quartiles, and whiskers at 1.5 quartile ranges.
 
     Ratings are counted per value before the percentile, which then sees one row per
     distinct rating. Genres without a voted title are listed with null statistics.
     """
-    tagged = unwind(docs.select("_id", "genres", "avgRating", "numVotes"), "genres")
-    genres = tagged.select("genres").distinct()
-    values = (
-        tagged.where((F.col("numVotes") >= min_votes) & F.col("avgRating").isNotNull())
-        .groupBy("genres", "avgRating").agg(F.count("*").alias("n"))
+    voted = title.where((F.col("numVotes") >= min_votes) & F.col("avgRatings").isNotNull()).select(
+        F.col("id").alias("titleid"), F.col("avgRatings").cast("double").alias("rating")
     )
-    marks = F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)])
-    five = values.groupBy("genres").agg(
-        F.percentile("avgRating", marks, F.col("n")).alias("q"), F.sum("n").alias("titles"),
-        F.collect_set("avgRating").alias("seen"),
+    values = genres.join(voted, "titleid").groupBy("genre", "rating").agg(F.count("*").alias("n"))
+    five = values.groupBy("genre").agg(
+        F.expr("percentile(rating, array(0.0, 0.25, 0.5, 0.75, 1.0), n) AS q"),
+        F.sum("n").alias("titles"), F.collect_set("rating").alias("seen"),
     )
-    q = lambda i: F.col("q")[i]
-    reach = (q(3) - q(1)) * 1.5
-    stats = five.select(
-        "genres", "titles", q(0).alias("low"), q(1).alias("q1"), q(2).alias("median"),
-        q(3).alias("q3"), q(4).alias("high"),
-        F.array_min(F.filter("seen", lambda v: v >= q(1) - reach)).alias("whisker_low"),
-        F.array_max(F.filter("seen", lambda v: v <= q(3) + reach)).alias("whisker_high"),
+    stats = five.selectExpr(
+        "genre", "titles", "q[0] AS low", "q[1] AS q1", "q[2] AS median", "q[3] AS q3", "q[4] AS high",
+        "array_min(filter(seen, r -> r >= q[1] - 1.5D * (q[3] - q[1]))) AS whisker_low",
+        "array_max(filter(seen, r -> r <= q[3] + 1.5D * (q[3] - q[1]))) AS whisker_high",
     )
-    return genres.join(stats, "genres", "left").withColumnRenamed("genres", "genre")
+    return genres.select("genre").distinct().join(stats, "genre", "left")
 
 
-def genre_cast(docs: DataFrame) -> DataFrame:
+def genre_cast(genres: DataFrame, cast: DataFrame) -> DataFrame:
     """Mean cast size per genre over titles that have a cast."""
-    sizes = docs.where(F.col("actors").isNotNull()).groupBy("_id").agg(
-        F.sum(F.size("actors")).alias("cast")
-    )
-    tagged = unwind(docs.select("_id", "genres"), "genres")
-    return tagged.join(sizes, "_id").groupBy(F.col("genres").alias("genre")).agg(
+    sizes = cast.groupBy("titleid").agg(F.count("*").alias("cast"))
+    return genres.join(sizes, "titleid").groupBy("genre").agg(
         (F.sum("cast") / F.count("*")).alias("mean_cast")
     )
 
 
-def year_count(docs: DataFrame) -> DataFrame:
+def year_count(title: DataFrame) -> DataFrame:
     """Titles per start year."""
     return (
-        docs.where("part = 0 AND startYear IS NOT NULL").groupBy("startYear")
+        title.where("startYear IS NOT NULL").groupBy("startYear")
         .agg(F.count("*").alias("titles")).orderBy("startYear")
     )

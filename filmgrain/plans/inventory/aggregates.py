@@ -124,7 +124,7 @@ FIVE_VIEWS = {
 
 @query("agg_five_number", FIVE, FIVE_VIEWS)
 def agg_five_number(v):
-    return genre_boxplot(docs_with(v, "genres"))
+    return genre_boxplot(v.title, v.labelled_genre)
 
 
 @query("agg_ratio", """SELECT type, sum(n) / count(*) AS mean_cast FROM title JOIN

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from filmgrain.operators import documents
-from filmgrain.operators.joins import lookup_array, with_label
+from filmgrain.operators.joins import lookup_array
 from filmgrain.plans.etl import PERSON_TABLES, profession_rows
 from filmgrain.plans.registry import query
 
@@ -16,7 +16,7 @@ SCALARS = ("id", "type", "title", "startYear", "runtime", "avgRatings", "numVote
 def docs_with(v, *fields: str):
     """Documents with the named arrays; ``actors`` brings the cast with its roles."""
     links = {
-        "genres": lambda: with_label(v.title_genre, v.genre, "genreid", "genre").select("titleid", "genre"),
+        "genres": lambda: v.labelled_genre,
         "director_id": lambda: v.title_director,
         "writer_id": lambda: v.title_writer,
         "producer_id": lambda: v.title_producer,

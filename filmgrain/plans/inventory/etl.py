@@ -14,12 +14,7 @@ C = F.col
 
 
 def raw(v, name):
-    frames = {
-        "title.basics": "raw_basics", "title.ratings": "raw_ratings", "name.basics": "raw_names",
-        "title.crew": "raw_crew", "title.principals": "raw_principals",
-    }
-    path = staged_tsv(v, name, getattr(v, frames[name]))
-    return read_tsv(v.spark, path, schemas.RAW[name])
+    return read_tsv(v.spark, staged_tsv(v, name), schemas.RAW[name])
 
 
 VIEWS = {

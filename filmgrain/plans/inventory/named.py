@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from filmgrain.operators.joins import with_label
 from filmgrain.plans import document_queries as docq
 from filmgrain.plans import relational as rel
 from filmgrain.plans.inventory.aggregates import FIVE, FIVE_VIEWS
-from filmgrain.plans.inventory.documents import docs_with, people
 from filmgrain.plans.registry import query
 
 
@@ -49,15 +49,16 @@ def q_role_pattern(v):
     JOIN genre g ON g.id = genreid AND g.genre = 'PROMO' JOIN title_producer p ON p.titleid = t.id JOIN member m ON m.id = p.producerid
     WHERE t.startYear = 1997 AND regexp_matches(m.name, '.*00001.*') GROUP BY m.id HAVING count(*) >= 20""")
 def q_doc_producers_50(v):
-    docs = docs_with(v, "genres", "producer_id")
-    return docq.producers_with_many(docs, people(v), 1997, "PROMO", ".*00001.*", 20)
+    return docq.producers_with_many(
+        v.title, v.labelled_genre, v.title_producer, v.member, 1997, "PROMO", ".*00001.*", 20
+    )
 
 
 @query("q_doc_writer_avg", """SELECT CAST(NULL AS VARCHAR) AS _id, avg(runtime) AS avgRuntime FROM title WHERE type = 'movie' AND id IN
     (SELECT titleid FROM title_writer JOIN member ON id = writerid GROUP BY titleid
      HAVING bool_or(regexp_matches(name, '.*ring.*')) AND bool_or(deathYear IS NULL)) HAVING count(*) > 0""")
 def q_doc_writer_avg(v):
-    return docq.writer_average(docs_with(v, "writer_id"), people(v), ".*ring.*")
+    return docq.writer_average(v.title, v.title_writer, v.member, ".*ring.*")
 
 
 @query("q_doc_longrun_sets", """SELECT producers, any_value(names) AS names, count(*) AS count FROM
@@ -65,7 +66,7 @@ def q_doc_writer_avg(v):
      FROM title_producer JOIN member m ON m.id = producerid JOIN title t ON t.id = titleid WHERE t.runtime >= 120
      GROUP BY titleid HAVING bool_or(deathYear IS NULL)) GROUP BY producers""")
 def q_doc_longrun_sets(v):
-    sets = docq.longrun_producer_sets(docs_with(v, "producer_id"), people(v), 120)
+    sets = docq.longrun_producer_sets(v.title, v.title_producer, v.member, 120)
     return sets.select(
         F.array_join(F.col("producers").cast("array<string>"), ",").alias("producers"),
         F.array_join("name", ",").alias("names"), "count",
@@ -79,22 +80,25 @@ def q_doc_longrun_sets(v):
     LEFT JOIN (SELECT titleid, actorid, string_agg(role, '|' ORDER BY role) AS roles FROM actor_title_role JOIN role ON role.id = roleid
         GROUP BY titleid, actorid) r ON r.titleid = t.id AND r.actorid = a.id""")
 def q_doc_director_actor(v):
-    docs = docs_with(v, "genres", "director_id", "actors")
-    rows = docq.director_actor(docs, people(v), "PROMO", "Customer#000000044", "cold gizmo")
+    roles = with_label(v.actor_title_role, v.role, "roleid", "role").drop("roleid")
+    rows = docq.director_actor(
+        v.title, v.labelled_genre, v.title_director, v.title_actor, roles, v.member,
+        "PROMO", "Customer#000000044", "cold gizmo",
+    )
     return rows.withColumn("role", F.array_join("role", "|"))
 
 
 @query("rpt_genre_boxplot", FIVE, FIVE_VIEWS)
 def rpt_genre_boxplot(v):
-    return docq.genre_boxplot(docs_with(v, "genres"))
+    return docq.genre_boxplot(v.title, v.labelled_genre)
 
 
 @query("rpt_genre_cast", """SELECT genre, sum(n) / count(*) AS mean_cast FROM title_genre JOIN genre ON genreid = id
     JOIN (SELECT titleid, count(*) AS n FROM title_actor GROUP BY titleid) c ON c.titleid = title_genre.titleid GROUP BY genre""")
 def rpt_genre_cast(v):
-    return docq.genre_cast(docs_with(v, "genres", "actors"))
+    return docq.genre_cast(v.labelled_genre, v.title_actor)
 
 
 @query("rpt_year_count", "SELECT startYear, count(*) AS titles FROM title WHERE startYear IS NOT NULL GROUP BY startYear")
 def rpt_year_count(v):
-    return docq.year_count(docs_with(v, "genres"))
+    return docq.year_count(v.title)

@@ -13,15 +13,26 @@ from filmgrain.sources import readers, writers
 from filmgrain.workspace import stage_path
 
 
-def staged_tsv(v, name, df):
-    path = stage_path(v.spark, name)
-    writers.write_tsv(df, path)
-    return path
+DUMPS = {
+    "title.basics": "raw_basics", "title.ratings": "raw_ratings", "name.basics": "raw_names",
+    "title.crew": "raw_crew", "title.principals": "raw_principals",
+}
+_staged: dict[tuple[str, str, str], str] = {}
+
+
+def staged_tsv(v, name: str) -> str:
+    """Path of a raw dump as tab-separated text, written once per application and folder."""
+    key = (v.spark.sparkContext.applicationId, v.folder, name)
+    if key not in _staged:
+        path = stage_path(v.spark, name)
+        writers.write_tsv(getattr(v, DUMPS[name]), path)
+        _staged[key] = path
+    return _staged[key]
 
 
 @query("src_tsv", "SELECT tconst, titleType, primaryTitle, originalTitle, isAdult, startYear, endYear, runtimeMinutes, genres FROM raw_basics")
 def src_tsv(v):
-    path = staged_tsv(v, "basics", v.raw_basics)
+    path = staged_tsv(v, "title.basics")
     return readers.read_tsv(v.spark, path, schemas.RAW["title.basics"])
 
 
@@ -29,7 +40,7 @@ def src_tsv(v):
     CAST(startYear AS INTEGER) AS startYear, CAST(endYear AS INTEGER) AS endYear,
     TRY_CAST(runtimeMinutes AS BIGINT) AS runtimeMinutes, genres FROM raw_basics""")
 def src_tsv_typed(v):
-    path = staged_tsv(v, "basics", v.raw_basics)
+    path = staged_tsv(v, "title.basics")
     return readers.read_tsv_typed(v.spark, path, schemas.TYPED["title.basics"])
 
 

@@ -74,6 +74,10 @@ class Catalogue:
             F.col("l_orderkey").alias("titleid"), "genreid"
         ).distinct()
 
+    @cached_property
+    def labelled_genre(self) -> DataFrame:
+        return with_label(self.title_genre, self.genre, "genreid", "genre").select("titleid", "genre")
+
     @cached_property
     def member(self) -> DataFrame:
         part = self.part.selectExpr(
@@ -133,7 +137,7 @@ class Catalogue:
     @cached_property
     def raw_basics(self) -> DataFrame:
         # at most one entry per dictionary genre
-        genres = with_label(self.title_genre, self.genre, "genreid", "genre").groupBy("titleid").agg(
+        genres = self.labelled_genre.groupBy("titleid").agg(
             F.array_join(F.sort_array(F.collect_list("genre")), ",").alias("genres")
         )
         return self.title.join(genres, F.col("id") == F.col("titleid"), "left").selectExpr(

@@ -104,16 +104,12 @@ def test_three_valued_filter(spark):
     assert col(df.where(relational.differs_3vl("startYear", "endYear", 2014)), "id") == [2, 3]
 
 
-DOCS = "_id int, part int, type string, runtime int, writer_id array<int>, producer_id array<int>"
-
-
 def test_different_writers_may_satisfy_each_condition(spark):
-    docs = spark.createDataFrame(
-        [(1, 0, "movie", 100, [1, 2], None), (2, 0, "movie", 50, [1], None), (3, 0, "movie", 10, [2], None)], DOCS
-    )
-    members = spark.createDataFrame([(1, "A Bhardwaj", 1990), (2, "B", None)], "_id int, name string, deathYear int")
-    assert col(document_queries.writer_average(docs, members), "avgRuntime") == [100.0]
-    assert document_queries.writer_average(docs.where("_id = 3"), members).count() == 0
+    title = spark.createDataFrame([(1, "movie", 100), (2, "movie", 50), (3, "movie", 10)], "id int, type string, runtime int")
+    writers_ = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (3, 2)], "titleid int, writerid int")
+    member = spark.createDataFrame([(1, "A Bhardwaj", 1990), (2, "B", None)], "id int, name string, deathYear int")
+    assert col(document_queries.writer_average(title, writers_, member), "avgRuntime") == [100.0]
+    assert document_queries.writer_average(title.where("id = 3"), writers_, member).count() == 0
 
 
 def test_empty_array_has_no_null_element(spark):
@@ -128,15 +124,18 @@ def test_unwind_drops_missing_and_passes_scalars(spark):
 
 
 def test_producer_sets(spark):
-    docs = spark.createDataFrame(
-        [(1, 0, "m", 120, None, [1, 2]), (2, 0, "m", 130, None, [2, 1]), (3, 0, "m", 119, None, [1]),
-         (4, 0, "m", 200, None, [2])], DOCS
-    )
-    members = spark.createDataFrame([(1, "A", None), (2, "B", 1990)], "_id int, name string, deathYear int")
-    rows = document_queries.longrun_producer_sets(docs, members).collect()
+    title = spark.createDataFrame([(1, 120), (2, 130), (3, 119), (4, 200)], "id int, runtime int")
+    made = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (2, 1), (3, 1), (4, 2)], "titleid int, producerid int")
+    member = spark.createDataFrame([(1, "A", None), (2, "B", 1990)], "id int, name string, deathYear int")
+    rows = document_queries.longrun_producer_sets(title, made, member).collect()
     assert [(r["producers"], r["name"], r["count"]) for r in rows] == [([1, 2], ["A", "B"], 2)]
 
 
+def test_text_dependencies_are_confirmed_on_the_text(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "a", None), (2, "b", "y"), (3, "a", "y")], "i int, s string, t string")
+    assert {tuple(r) for r in dependencies.single(df).collect()} == {("i", "s")}
+
+
 def test_dependency_nulls(spark):
     df = spark.createDataFrame(
         [(None, 1, "p"), (None, 2, "p"), (1, 5, "p"), (1, 5, "p"), (2, None, "q")], "x int, y int, z string"
