@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmgrain.operators.joins import with_label
+from filmgrain.workspace import cut
 
 
 def flat_relation(
@@ -60,6 +61,11 @@ def classes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 NUMBERS = ("byte", "short", "integer", "long", "float", "double", "boolean", "date", "timestamp")
 
 
+def _gid(n: int, *positions: int) -> int:
+    """Grouping id of the set on these columns of ``n``: every other bit is set."""
+    return (1 << n) - 1 - sum(1 << (n - 1 - i) for i in positions)
+
+
 def single(df: DataFrame) -> DataFrame:
     """All dependencies X -> Y with X and Y different columns, as (lhs, rhs).
 
@@ -69,54 +75,53 @@ def single(df: DataFrame) -> DataFrame:
     other. Text is compared by its 64-bit hash first, which keeps the aggregate a hash
     aggregate; dependencies found that way are confirmed on the text itself.
     """
+    df = cut(df)
     cols = df.columns
+    n = len(cols)
     exact = {f.name for f in df.schema if f.dataType.typeName() in NUMBERS}
     codes = [f"{c} AS v_{c}" if c in exact else f"xxhash64({c}) AS v_{c}" for c in cols]
     nulls = " + ".join(f"CASE WHEN {c} IS NULL THEN {1 << i}L ELSE 0L END" for i, c in enumerate(cols))
-    keyed = df.selectExpr(*cols, *codes, f"{nulls} AS nulls")
     tests = [
         F.expr(f"min(v_{c}) = max(v_{c}) AND bit_or(nulls) & {1 << i}L = 0 AS ok_{c}")
         for i, c in enumerate(cols)
     ]
     keys = [F.col(c) for c in cols]
     groups = (
-        keyed.groupingSets([[k] for k in keys], *keys)
+        df.selectExpr(*cols, *codes, f"{nulls} AS nulls").groupingSets([[k] for k in keys], *keys)
         .agg(F.grouping_id(*keys).alias("gid"), *tests)
         # a null key says nothing
         .where(F.expr(" OR ".join(f"{c} IS NOT NULL" for c in cols)))
     )
-    held = groups.groupBy("gid").agg(
-        *[F.expr(f"bool_and(coalesce(ok_{c}, false)) AS ok_{c}") for c in cols]
-    )
-    # in a grouping set on column i every bit but that column's is set
-    full = (1 << len(cols)) - 1
-    lhs = " ".join(
-        f"WHEN {full - (1 << (len(cols) - 1 - i))} THEN '{c}'" for i, c in enumerate(cols)
-    )
-    stack = ", ".join(f"'{c}', ok_{c}" for c in cols)
-    found = held.selectExpr(
-        f"CASE gid {lhs} END AS lhs", f"stack({len(cols)}, {stack}) AS (rhs, ok)"
-    ).where("ok AND lhs <> rhs").select("lhs", "rhs")
-    # at most one row per pair of columns
-    pairs = [(r["lhs"], r["rhs"]) for r in found.collect()]
-    kept = [p for p in pairs if p[1] in exact]
-    kept += _confirmed(df, [p for p in pairs if p[1] not in exact])
+    # one row per column
+    held = {r["gid"]: r for r in groups.groupBy("gid").agg(
+        F.count("*").alias("values"),
+        *[F.expr(f"bool_and(coalesce(ok_{c}, false)) AS ok_{c}") for c in cols],
+    ).collect()}
+    found, values = [], {}
+    for i, lhs in enumerate(cols):
+        row = held.get(_gid(n, i))
+        values[lhs] = row["values"] if row else 0
+        found += [(lhs, rhs) for rhs in cols if rhs != lhs and row and row[f"ok_{rhs}"]]
+    kept = [p for p in found if p[1] in exact]
+    kept += _confirmed(df, [p for p in found if p[1] not in exact], values)
     return df.sparkSession.createDataFrame(sorted(kept), "lhs string, rhs string")
 
 
-def _confirmed(df: DataFrame, pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """Those of the pairs whose text really is one per key."""
-    by_lhs: dict[str, list[str]] = {}
-    for lhs, rhs in pairs:
-        by_lhs.setdefault(lhs, []).append(rhs)
-    out = []
-    for lhs, rights in by_lhs.items():
-        groups = df.where(F.col(lhs).isNotNull()).groupBy(lhs).agg(
-            *[(F.min(r) == F.max(r)).alias(f"ok_{r}") for r in rights]
-        )
-        row = groups.agg(*[F.bool_and(f"ok_{r}").alias(r) for r in rights]).first()
-        out += [(lhs, r) for r in rights if row[r]]
-    return out
+def _confirmed(
+    df: DataFrame, pairs: list[tuple[str, str]], values: dict[str, int]
+) -> list[tuple[str, str]]:
+    """Those pairs with as many distinct (X, Y) as distinct X; no X goes with a null Y here."""
+    if not pairs:
+        return []
+    cols = sorted({c for p in pairs for c in p})
+    keys = [F.col(c) for c in cols]
+    at = {p: tuple(sorted(cols.index(c) for c in p)) for p in pairs}
+    sets = [[keys[i], keys[j]] for i, j in sorted(set(at.values()))]
+    distinct = df.groupingSets(sets, *keys).agg(F.grouping_id(*keys).alias("gid"))
+    counts = {r["gid"]: r for r in distinct.groupBy("gid").agg(
+        *[F.count(c).alias(c) for c in cols]
+    ).collect()}
+    return [p for p in pairs if counts[_gid(len(cols), *at[p])][p[0]] == values[p[0]]]
 
 
 def implied_pairs(deps: DataFrame, columns: Sequence[str]) -> DataFrame:
