@@ -35,6 +35,10 @@ def sources(v):
     return gav.sources(v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND)
 
 
+def schema(v):
+    return gav.over_tables(v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND)
+
+
 @view_query("view_comedy_movie", "SELECT id, title, startYear FROM comedy_movie")
 def view_comedy_movie(v):
     return sources(v).comedy_movie
@@ -95,18 +99,18 @@ PROLIFIC = """SELECT aa.id, aa.name, aa.birthYear, count(am.id) AS movies FROM a
 
 @view_query("q_gav_prolific", PROLIFIC.format(movies="all_movie"))
 def q_gav_prolific(v):
-    return gav.prolific(sources(v), v.title_genre, v.genre, KIND, **PERIOD)
+    return gav.prolific(schema(v), **PERIOD)
 
 
 @view_query("q_gav_prolific_opt", PROLIFIC.format(movies="(SELECT id, title, startYear FROM comedy_movie UNION SELECT id, title, startYear FROM non_comedy_movie)"))
 def q_gav_prolific_opt(v):
-    return gav.prolific_short(sources(v), **PERIOD)
+    return gav.prolific(gav.without_genres(v.member, v.title, v.title_actor), **PERIOD)
 
 
 @view_query("q_gav_prefix", f"""SELECT aa.id, aa.name, aa.birthYear, aa.deathYear FROM all_actor aa JOIN acted_in ON aa.id = actorid
     JOIN all_movie am ON titleid = am.id WHERE aa.name LIKE 'sm%' AND am.genre <> '{KIND}'""")
 def q_gav_prefix(v):
-    return gav.prefix_actors(sources(v), v.title_genre, v.genre, KIND, "sm")
+    return gav.prefix_actors(schema(v), KIND, "sm")
 
 
 @view_query("q_gav_prefix_opt", """SELECT aa.id, aa.name, aa.birthYear, aa.deathYear FROM non_comedy_actor aa JOIN acted_in ON aa.id = actorid

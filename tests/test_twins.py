@@ -123,13 +123,19 @@ def test_documents_with_long_lists_keep_every_entry(spark, v):
 def test_view_forms_agree(spark, v, tmp_path):
     kind, args = "PROMO", {"after": 1996, "before": 2000, "least": 3}
     src = gav.sources(v.member, v.title, v.title_genre, v.genre, v.title_actor, kind)
-    virtual = sorted(map(tuple, gav.prolific(src, v.title_genre, v.genre, kind, **args).collect()))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    virtual_schema = gav.over_views(src, v.title_genre, v.genre, kind)
+    direct_schema = gav.over_tables(v.member, v.title, v.title_genre, v.genre, v.title_actor, kind)
+    virtual = rows(gav.prolific(virtual_schema, **args))
+    assert virtual and virtual == rows(gav.prolific(direct_schema, **args))
+    prefix = rows(gav.prefix_actors(virtual_schema, kind, "sm"))
+    assert prefix and prefix == rows(gav.prefix_actors(direct_schema, kind, "sm"))
+
     stored = gav.materialise(src, "twin_", str(tmp_path))
-    assert virtual == sorted(map(tuple, gav.prolific(stored, v.title_genre, v.genre, kind, **args).collect()))
+    assert virtual == rows(gav.prolific(gav.over_views(stored, v.title_genre, v.genre, kind), **args))
     gav.register({**dict(src.items()), "title_genre": v.title_genre, "genre": v.genre}, "twin_view_")
     names = {n: f"twin_view_{n}" for n in [*dict(src.items()), "title_genre", "genre"]}
-    unfolded = spark.sql(gav.unfolded_prolific_sql(names, kind, **args))
-    assert virtual and virtual == sorted(map(tuple, unfolded.collect()))
+    assert virtual == rows(spark.sql(gav.unfolded_prolific_sql(names, kind, **args)))
     # a stored view is not refreshed
     again = gav.materialise(gav.Sources(*[df.limit(0) for _, df in src.items()]), "twin_", str(tmp_path))
     assert again.acted_in.count() == src.acted_in.count() > 0
