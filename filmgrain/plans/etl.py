@@ -65,45 +65,46 @@ def person_table(people_rows: DataFrame, target: str) -> DataFrame:
     return people_rows.where(F.col("target") == target).drop("target")
 
 
-def crew_links(crew: DataFrame, movie_rows: DataFrame, people_rows: DataFrame) -> DataFrame:
-    """(target, title_id, person_id) of directors and writers, both parents known."""
-    lists = F.explode(F.array(
-        F.struct(F.lit("directors").alias("target"), F.col("directors").alias("ids")),
-        F.struct(F.lit("writers").alias("target"), F.col("writers").alias("ids")),
-    ))
-    rows = (
-        crew.select(text.keep_digits("tconst").try_cast("bigint").alias("title_id"), lists.alias("l"))
-        .select("title_id", "l.target", F.explode(text.split_list(text.keep_digits("l.ids"))).alias("p"))
+def movie_ids(basics: DataFrame) -> DataFrame:
+    """Ids of the movie table; enough where a link only has to know its title exists."""
+    return basics.where((F.col("titleType") == "movie") & (F.col("isAdult") == "0")).select(
+        text.strip_prefix("tconst").alias("title_id")
+    )
+
+
+def crew_rows(crew: DataFrame) -> DataFrame:
+    """(target, title_id, person_id) for every listed director and writer."""
+    lists = "stack(2, 'directors', directors, 'writers', writers) AS (target, ids)"
+    return (
+        crew.select(text.keep_digits("tconst").try_cast("bigint").alias("title_id"), F.expr(lists))
+        .select("target", "title_id", F.explode(text.split_list(text.keep_digits("ids"))).alias("p"))
         .where("p <> ''")
         .select("target", "title_id", F.col("p").try_cast("bigint").alias("person_id"))
     )
-    return _both_known(rows, movie_rows, people_rows)
 
 
-def principal_links(principals: DataFrame, movie_rows: DataFrame, people_rows: DataFrame) -> DataFrame:
+def principal_rows(principals: DataFrame) -> DataFrame:
     """The same from principals, routed by the first category marker that occurs."""
-    rows = principals.select(
+    return principals.select(
         text.first_match("category", CATEGORY_ROUTES).alias("target"),
         text.keep_digits("tconst").try_cast("bigint").alias("title_id"),
         text.keep_digits("nconst").try_cast("bigint").alias("person_id"),
     ).where(F.col("target").isNotNull())
-    return _both_known(rows, movie_rows, people_rows)
 
 
-def _both_known(rows, movie_rows, people_rows) -> DataFrame:
-    persons = people_rows.select("target", F.col("id").alias("person_id"))
+def known_links(rows: DataFrame, movies_: DataFrame, people_: DataFrame) -> DataFrame:
+    """Distinct links whose movie is known and whose person is in the target's table.
+
+    Rows of several dumps are stacked before this, so parents are joined once.
+    """
+    persons = people_.select("target", F.col("id").alias("person_id"))
     return (
-        rows.join(movie_rows.select("title_id"), "title_id", "left_semi")
+        rows.distinct().join(movies_.select("title_id"), "title_id", "left_semi")
         .join(persons, ["target", "person_id"], "left_semi")
-        .select("target", "title_id", "person_id").distinct()
+        .select("target", "title_id", "person_id")
     )
 
 
-def all_links(principal: DataFrame, crew: DataFrame) -> DataFrame:
-    """Crew links added to the principal links, clashes ignored."""
-    return principal.unionByName(crew).distinct()
-
-
 # normalised tables
 
 def titles(basics: DataFrame, ratings: DataFrame) -> DataFrame:

@@ -66,21 +66,19 @@ def etl_people(v):
 
 
 def parents(v):
-    movies = etl.movies(raw(v, "title.basics"), raw(v, "title.ratings"))
-    return movies, etl.people(raw(v, "name.basics"))
+    return etl.movie_ids(raw(v, "title.basics")), etl.profession_rows(raw(v, "name.basics"))
 
 
 @etl_query("etl_crew_links", f"SELECT DISTINCT target, title_id, person_id FROM crew_rows WHERE {KNOWN}")
 def etl_crew_links(v):
-    return etl.crew_links(raw(v, "title.crew"), *parents(v))
+    return etl.known_links(etl.crew_rows(raw(v, "title.crew")), *parents(v))
 
 
 @etl_query("etl_principal_links", f"""SELECT DISTINCT target, title_id, person_id FROM
     (SELECT * FROM principal_rows UNION ALL SELECT * FROM crew_rows) WHERE {KNOWN}""")
 def etl_principal_links(v):
-    movies, people = parents(v)
-    principal = etl.principal_links(raw(v, "title.principals"), movies, people)
-    return etl.all_links(principal, etl.crew_links(raw(v, "title.crew"), movies, people))
+    rows = etl.principal_rows(raw(v, "title.principals")).unionByName(etl.crew_rows(raw(v, "title.crew")))
+    return etl.known_links(rows, *parents(v))
 
 
 @etl_query("etl_titles", """SELECT CAST(substr(coalesce(b.tconst, r.tconst), 3) AS BIGINT) AS id, titleType AS type, primaryTitle AS title, originalTitle,
