@@ -15,19 +15,32 @@ MAX_ITEMS = 1_000_000
 LISTS = {"genres": "string", "director_id": "bigint", "writer_id": "bigint", "producer_id": "bigint"}
 
 
-def oversize(links: DataFrame, key: Sequence[str], max_items: int = MAX_ITEMS) -> DataFrame | None:
-    """Groups with more than ``max_items`` links and their number of parts; None if there are none.
+def oversize(links: DataFrame, key: str, max_items: int = MAX_ITEMS) -> DataFrame | None:
+    """Groups with more than ``max_items`` links and their number of parts; None if there are none."""
+    return _oversize({"links": links.select(key)}, key, max_items)["links"]
 
-    A table that has no more rows than that altogether is not grouped for it.
-    """
-    if links.count() <= max_items:
-        return None
-    sizes = links.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
-    parts = sizes.select(*key, F.ceil(F.col("_n") * 2 / max_items).alias("_p"))
-    return None if parts.isEmpty() else parts
 
+def _oversize(tables: Mapping[str, DataFrame], key: str, max_items: int) -> dict[str, DataFrame | None]:
+    """The same for several tables, whose rows are counted in one job.
 
-def with_parts(links: DataFrame, key: Sequence[str], value: str, large: DataFrame | None) -> DataFrame:
+    A table with no more than ``max_items`` rows altogether is not grouped for it.
+    """
+    names = list(tables)
+    rows = reduce(DataFrame.unionByName, [
+        tables[n].select(F.lit(i).alias("t")) for i, n in enumerate(names)
+    ]).groupBy("t").count().collect()
+    totals = {names[r["t"]]: r["count"] for r in rows}
+    out: dict[str, DataFrame | None] = {}
+    for n, df in tables.items():
+        out[n] = None
+        if totals.get(n, 0) > max_items:
+            sizes = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
+            parts = sizes.select(key, F.ceil(F.col("_n") * 2 / max_items).alias("_p"))
+            out[n] = None if parts.isEmpty() else parts
+    return out
+
+
+def with_parts(links: DataFrame, key: str, value: str, large: DataFrame | None) -> DataFrame:
     """Links with the part of their group they belong to.
 
     Groups not listed in ``large`` are part 0. The others are spread by a hash of the
@@ -36,15 +49,15 @@ def with_parts(links: DataFrame, key: Sequence[str], value: str, large: DataFram
     if large is None:
         return links.withColumn("part", F.lit(0))
     spread = F.pmod(F.xxhash64(value), F.col("_p")).cast("int")
-    return links.join(small_side(large), list(key), "left").withColumn(
+    return links.join(small_side(large), key, "left").withColumn(
         "part", F.coalesce(spread, F.lit(0))
     ).drop("_p")
 
 
 def group_list(links: DataFrame, key: str, value: str, out: str, max_items: int = MAX_ITEMS) -> DataFrame:
     """(key, part, sorted list of values)."""
-    large = oversize(links.select(key), [key], max_items)
-    return with_parts(links, [key], value, large).groupBy(key, "part").agg(
+    large = oversize(links, key, max_items)
+    return with_parts(links, key, value, large).groupBy(key, "part").agg(
         F.sort_array(F.collect_list(value)).alias(out)
     )
 
@@ -95,12 +108,10 @@ def assemble(
         counted["actors"] = cast[0].select("titleid", "actorid").toDF("_id", "_value")
 
     # sizes come from the bare links, before any list is built
-    split = False
+    large = _oversize(counted, "_id", max_items)
     parts = []
     for n, df in stacked.items():
-        large = oversize(counted[n].select("_id"), ["_id"], max_items)
-        split = split or large is not None
-        parts.append(with_parts(df, ["_id"], "_item", large).selectExpr(
+        parts.append(with_parts(df, "_id", "_item", large[n]).selectExpr(
             "_id", "part", f"cast(NULL AS {own_type}) AS _own",
             *[f"cast({'_value' if m == n else 'NULL'} AS {t}) AS _{m}" for m, t in slots.items()],
         ))
@@ -108,7 +119,7 @@ def assemble(
     blank = [f"cast(NULL AS {t}) AS _{m}" for m, t in slots.items()]
     fields = f"struct({', '.join(own)}) AS _own"
     heads = base.selectExpr("_id", "0 AS part", fields, *blank)
-    if split:
+    if any(df is not None for df in large.values()):
         more = rows.where("part > 0").select("_id", "part").distinct().join(base, "_id")
         heads = heads.unionByName(more.selectExpr("_id", "part", fields, *blank))
     out = rows.unionByName(heads).groupBy("_id", "part").agg(

@@ -54,10 +54,14 @@ def level_one(baskets: DataFrame, min_support: int = 5) -> DataFrame:
     )
 
 
-def prepare(baskets: DataFrame, min_support: int = 5, large: int = LARGE_BASKET) -> Prepared:
+def prepare(
+    baskets: DataFrame, min_support: int = 5, large: int = LARGE_BASKET, l1: DataFrame | None = None
+) -> Prepared:
     """Keep frequent items, set the largest baskets aside as masks, slice the next ones."""
-    l1 = level_one(baskets, min_support).select(F.col("item1").alias("item"))
-    rows = cut(baskets.join(l1, "item", "left_semi").select("basket", "item"))
+    if l1 is None:
+        l1 = level_one(baskets, min_support)
+    items = l1.select(F.col("item1").alias("item"))
+    rows = cut(baskets.join(items, "item", "left_semi").select("basket", "item"))
     bits = min(min_support, MAX_MASK_BITS)
     sizes = rows.groupBy("basket").agg(F.count("*").alias("n"))
     top = sizes.where(F.col("n") > large).orderBy(F.desc("n"), "basket").limit(bits + 1).collect()
@@ -149,7 +153,7 @@ def levels(
     found = [l1]
     if max_level == 1:
         return found
-    p = prepare(baskets, min_support, large)
+    p = prepare(baskets, min_support, large, l1)
     current = cut(level_two(p))
     pairs = occurrences = None
     n = 2

@@ -62,7 +62,7 @@ def longrun_producer_sets(
     """
     long = title.where(F.col("runtime") >= minutes).select(F.col("id").alias("titleid"))
     people = member.select(F.col("id").alias("producerid"), "name", "deathYear")
-    made = with_parts(producers, ["titleid"], "producerid", oversize(producers.select("titleid"), ["titleid"]))
+    made = with_parts(producers, "titleid", "producerid", oversize(producers, "titleid"))
     sets = (
         made.join(long, "titleid").join(people, "producerid").groupBy("titleid", "part")
         .agg(F.array_sort(F.collect_list(F.struct("producerid", "name"))).alias("known"),

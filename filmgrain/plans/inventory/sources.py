@@ -65,12 +65,16 @@ ENRICHED = "line, IMDb_ID, titleLabel, cost, box_office, box_office_currencyLabe
 
 def stage_enrichment(v) -> str:
     """JSON lines with every cell wrapped, missing cells absent, in event order."""
+    key = (v.spark.sparkContext.applicationId, v.folder, "enrichment")
+    if key in _staged:
+        return _staged[key]
     path = stage_path(v.spark, "enrichment")
     cells = [
         F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("value"))).alias(c)
         for c in schemas.ENRICHMENT_FIELDS
     ]
     v.raw_enrichment.orderBy("line").select(F.to_json(F.struct(*cells)).alias("value")).write.text(path)
+    _staged[key] = path
     return path
 
 
