@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.operators.joins import with_parents
+from filmgrain.operators.joins import HOT_ROWS, hot_keys, join_hot, with_parents
 from filmgrain.workspace import cut
 
 
@@ -15,7 +15,9 @@ def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def split_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def split_key(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame]:
     """(the first row of each key by ``order``, the rows that lost).
 
     Equal lost rows come once, with their number in ``copies``, so a key that repeats
@@ -29,7 +31,8 @@ def split_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> tuple[
         F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in df.columns
     ])
     left = F.col("_n") - F.when(whole.eqNullSafe(F.col("_best")), 1).otherwise(0)
-    losers = counted.join(best, list(key)).withColumn("copies", left).where("copies > 0")
+    hot = hot_keys(df, key, hot_rows)
+    losers = join_hot(counted, best, key, hot).withColumn("copies", left).where("copies > 0")
     return winners, losers.select(*df.columns, "copies")
 
 

@@ -32,11 +32,15 @@ def view_query(name, sql):
 
 
 def sources(v):
-    return gav.sources(v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND)
+    return gav.sources(
+        v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND, v.hot_titles
+    )
 
 
 def schema(v):
-    return gav.over_tables(v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND)
+    return gav.over_tables(
+        v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND, v.hot_titles
+    )
 
 
 @view_query("view_comedy_movie", "SELECT id, title, startYear FROM comedy_movie")

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmgrain import schemas
-from filmgrain.operators.joins import small_side, with_label
+from filmgrain.operators.documents import group_list
+from filmgrain.operators.joins import hot_keys, small_side, with_label
 
 E = F.expr
 
@@ -99,6 +100,11 @@ class Catalogue:
     def title_actor(self) -> DataFrame:
         return self.lineitem.selectExpr("l_orderkey AS titleid", "l_partkey AS actorid").distinct()
 
+    @cached_property
+    def hot_titles(self) -> DataFrame | None:
+        """Titles with very many actors."""
+        return hot_keys(self.title_actor, ["titleid"])
+
     @cached_property
     def title_producer(self) -> DataFrame:
         return self.lineitem.selectExpr(
@@ -173,10 +179,10 @@ class Catalogue:
 
     @cached_property
     def raw_crew(self) -> DataFrame:
-        # two line numbers make a writer, so a list has few entries
-        writers = self.title_writer.groupBy("titleid").agg(
-            F.array_join(F.transform(F.sort_array(F.collect_list("writerid")),
-                                     lambda w: F.concat(F.lit("nm"), F.lpad(w.cast("string"), 15, "0"))), ",").alias("writers")
+        # a list beyond the bound goes on in a further line of its title
+        lists = group_list(self.title_writer, "titleid", "writerid", "ids")
+        writers = lists.selectExpr(
+            "titleid", "array_join(transform(ids, w -> concat('nm', lpad(w, 15, '0'))), ',') AS writers"
         )
         return self.title_director.join(writers, "titleid", "left").selectExpr(
             "concat('tt', lpad(titleid, 15, '0')) AS tconst",

@@ -177,3 +177,31 @@ def test_reports_from_documents_equal_reports_from_tables(spark, v):
     assert same(docq.genre_boxplot(documents.heads(docs), genres), docq.genre_boxplot(v.title, v.labelled_genre))
     assert same(docq.year_count(documents.heads(docs)), docq.year_count(v.title))
     assert roles.count() == v.actor_title_role.count()
+
+
+def test_hot_keys_join_apart_with_the_same_result(spark):
+    from filmgrain.operators import joins, keys
+
+    many = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id % 40 END AS k", "id AS v")
+    one = spark.range(30).selectExpr("id AS k", "id * 2 AS z")
+    hot = joins.hot_keys(many, ["k"], 100)
+    assert [r["k"] for r in hot.collect()] == [7]
+    assert joins.hot_keys(many, ["k"], 5000) is None
+    rows = lambda df: sorted(map(str, df.collect()))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(joins.join_hot(many, one, ["k"], hot, how)) == rows(many.join(one, ["k"], how))
+    plain, apart = keys.split_key(many, ["k"], ["v"]), keys.split_key(many, ["k"], ["v"], hot_rows=100)
+    assert rows(plain[0]) == rows(apart[0]) and rows(plain[1]) == rows(apart[1])
+    assert plain[1].count() == 3000 - 40
+
+
+def test_views_with_hot_titles_are_the_same(spark, v):
+    from filmgrain.operators import joins
+
+    hot = joins.hot_keys(v.title_actor, ["titleid"], 8)
+    assert hot is not None
+    args = (v.member, v.title, v.title_genre, v.genre, v.title_actor, "PROMO")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(gav.sources(*args, hot).comedy_actor) == rows(gav.sources(*args).comedy_actor)
+    period = {"after": 1996, "before": 2000, "least": 3}
+    assert rows(gav.prolific(gav.over_tables(*args, hot), **period)) == rows(gav.prolific(gav.over_tables(*args), **period))
