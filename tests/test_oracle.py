@@ -5,7 +5,9 @@ import pytest
 import __spark_entry__ as entry
 import oracle
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from filmgrain.plans import registry
+
+QUERIES, SQL = registry.RUN, registry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,7 @@ def test_matches_sql(spark, folder, con, name):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
