@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmgrain.llm import chat, mixing, sharding
+from filmgrain.llm import chat, langid, mixing, pii, sharding
 from filmgrain.llm.oracles import SQL  # noqa: F401  re-exported beside QUERIES
 
 
@@ -47,4 +47,27 @@ def op10_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_chat_windows, op8_mix_sources, op10_interleaved_shards)}
+def op1_crf_pii(spark: SparkSession, folder: str) -> DataFrame:
+    field = pii.fit(pii.labelled_table(spark))
+    docs = table(spark, folder, "documents").select("doc_id", pii.find(spark, field, F.col("text")).alias("s"))
+    listed = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("s", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(
+        "s", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+    return docs.select(
+        "doc_id", *(count(kind) for kind in pii.KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("s")).alias("spans"))
+
+
+def op2_ngram_filters(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    model = langid.fit(docs.filter(~held_out))
+    named = docs.select("doc_id", held_out.alias("held_out"), langid.predict(spark, model, F.col("text")).alias("p"))
+    return named.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_crf_pii, op2_ngram_filters, op3_chat_windows, op8_mix_sources, op10_interleaved_shards,
+)}
