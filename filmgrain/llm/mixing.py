@@ -29,6 +29,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filmgrain.workspace import cut
+
 WORD = r"[^\x20\x09-\x0D]+"
 HEX_DIGITS = 3
 
@@ -97,6 +99,10 @@ def mix(
                  F.coalesce(source_column, F.lit(""))).alias("stratum"),
         word_count(text).alias("size"), F.md5(F.coalesce(text, F.lit(""))).alias("content"),
     )
+    # One random order for both passes: what is taken twice are the first blocks too.
+    ident = F.coalesce(F.col("id").cast("string"), F.lit("-"))
+    rows = rows.withColumn("ord", F.md5(F.concat(F.lit(f"{seed}:"), ident, F.lit(":"), F.col("content"))))
+    rows = cut(rows.withColumn("block", F.substring("ord", 1, HEX_DIGITS)))  # narrow; the texts are read once
     totals = sorted((r.stratum, r.n) for r in rows.groupBy("stratum").agg(F.sum("size").alias("n")).collect())
     sizes = [n for _, n in totals]
     goal = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share, most)
@@ -106,10 +112,6 @@ def mix(
         "stratum string, source_size long, target double, need double, again boolean",
     )
 
-    # One random order for both passes: what is taken twice are the first blocks too.
-    ident = F.coalesce(F.col("id").cast("string"), F.lit("-"))
-    rows = rows.withColumn("ord", F.md5(F.concat(F.lit(f"{seed}:"), ident, F.lit(":"), F.col("content"))))
-    rows = rows.withColumn("block", F.substring("ord", 1, HEX_DIGITS))
     upto = Window.partitionBy("stratum").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     blocks = rows.groupBy("stratum", "block").agg(F.sum("size").alias("words")).join(plan, "stratum")
     blocks = blocks.select(
@@ -119,23 +121,23 @@ def mix(
     )
     whole = F.col("before") + F.col("words") <= F.col("need")
     part = ~whole & (F.col("before") < F.col("need"))
-    blocks = blocks.withColumn("state", F.when(whole, 2).when(part, 1).otherwise(0))
+    blocks = cut(blocks.withColumn("state", F.when(whole, 2).when(part, 1).otherwise(0)))
 
     inside = Window.partitionBy("stratum", "block").orderBy("ord", "size").rowsBetween(Window.unboundedPreceding, 0)
     drawn = rows.join(blocks, ["stratum", "block"])
     # Only one block a source is cut inside; the others need no order.
-    cut = drawn.filter("state = 1").withColumn("upto", F.col("before") + F.sum("size").over(inside))
+    partly = drawn.filter("state = 1").withColumn("upto", F.col("before") + F.sum("size").over(inside))
     chosen = drawn.filter("state != 1").withColumn("extra", F.col("state") == 2).unionByName(
-        cut.withColumn("extra", F.col("upto") <= F.col("need")).drop("upto"))
-
-    # The document that brings a source nearest to its target, if any does.
-    ranked = F.when(~F.col("extra") & (F.col("size") > 0), F.struct("size", "ord"))
-    sums = chosen.groupBy("stratum").agg(
-        F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("taken"),
-        F.max("need").alias("need"))
-    short = sums.select("stratum", (F.col("need") - F.col("taken")).alias("gap"))
+        partly.withColumn("extra", F.col("upto") <= F.col("need")).drop("upto"))
+    chosen = cut(chosen.select("id", "source", "stratum", "block", "size", "content", "ord", "extra"))
+
+    # The document that brings a source nearest to its target, if any does. What a source
+    # has is attached to its blocks, so that no join gathers a whole source.
+    taken = chosen.filter("extra").groupBy("stratum").agg(F.sum("size").alias("taken"))
+    gaps = blocks.join(taken, "stratum", "left").select(
+        "stratum", "block", (F.col("need") - F.coalesce("taken", F.lit(0))).alias("gap"))
     off = F.abs(F.col("size") - F.col("gap"))
-    top = chosen.filter(ranked.isNotNull()).select("stratum", "size", "ord").join(short, "stratum").filter(
+    top = chosen.filter("NOT extra AND size > 0").join(gaps, ["stratum", "block"]).filter(
         off < F.col("gap")).groupBy("stratum").agg(F.min(F.struct(off.alias("off"), "ord")).alias("best"))
     top = top.select("stratum", F.col("best.ord").alias("top"))
 
@@ -159,7 +161,9 @@ def mix(
         F.size(F.filter("extra_ends", lambda e: e < last)).cast("int").alias("shard"),
         F.md5(F.concat(F.lit("1:"), "ord")).alias("key")))
     extra = (F.col("extra") & (F.col("size") > 0)) | F.coalesce(F.col("ord") == F.col("top"), F.lit(False))
-    return chosen.join(top, "stratum", "left").join(ends, "stratum").select(
+    about = blocks.select("stratum", "block", "nth", "again", "source_size", "target").join(
+        top, "stratum", "left").join(ends, "stratum")
+    return chosen.join(about, ["stratum", "block"]).select(
         F.col("id").alias(id_column), "source", "size", "content", "source_size", "target",
         F.concat(twice, F.when(extra, F.array(placed)).otherwise(F.array())).alias("takes"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmgrain.llm import chat, langid, mixing, pii, sharding
+from filmgrain.llm import chat, langid, mixing, pieces, pii, sharding
 from filmgrain.llm.oracles import SQL  # noqa: F401  re-exported beside QUERIES
 
 
@@ -40,6 +40,16 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("size") * F.size("takes")).alias("taken"))
 
 
+def op9_viterbi_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = pieces.read_vocabulary()
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = docs.withColumn("ids", pieces.encode(spark, vocabulary, F.col("text")))
+    back = coded.withColumn("back", pieces.decode(spark, vocabulary, F.col("ids")))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("back", 256).alias("decoded_sha256"), F.col("back").eqNullSafe(F.col("text")).alias("restored"))
+
+
 def op10_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.interleave(table(spark, folder, "documents"))
     return placed.select(
@@ -69,5 +79,5 @@ def op2_ngram_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_crf_pii, op2_ngram_filters, op3_chat_windows, op8_mix_sources, op10_interleaved_shards,
+    op1_crf_pii, op2_ngram_filters, op3_chat_windows, op8_mix_sources, op9_viterbi_pieces, op10_interleaved_shards,
 )}
