@@ -61,7 +61,7 @@ def run_hashes(hashes: np.ndarray, length: int, salt: int = 0) -> np.ndarray:
     n = len(hashes) - length + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    total = np.full(n, np.uint64(salt) * _BASE + np.uint64(length), dtype=np.uint64)
+    total = np.full(n, (salt * int(_BASE) + length) % 2**64, dtype=np.uint64)
     for j in range(length):
         total += hashes[j:j + n] * _RUN[(j + 13 * salt) % 64]
     return mix(total)

@@ -47,6 +47,26 @@ SELECT c.conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha
 FROM per_conv c LEFT JOIN again a ON c.conv_id IS NOT DISTINCT FROM a.conv_id
 """
 
+SQL["op4_seed_and_extend"] = r"""
+WITH worded AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, rid, i, array_to_string(w[i:i + 12], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM worded WHERE len(w) >= 13)),
+firsts AS (SELECT win, min(doc_id) AS first FROM windows GROUP BY win HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 13)) AS p
+  FROM windows JOIN firsts USING (win) WHERE doc_id > first),
+kept AS (
+  SELECT a.rid, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM worded) a
+  ANTI JOIN gone g ON a.rid = g.rid AND a.p = g.p GROUP BY a.rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (rid)
+"""
+
 SQL["op8_mix_sources"] = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmgrain.llm import chat, langid, mixing, pieces, pii, sharding, syncmers
+from filmgrain.llm import chat, langid, mixing, pieces, pii, sharding, substrings, syncmers
 from filmgrain.llm.oracles import SQL  # noqa: F401  re-exported beside QUERIES
 
 
@@ -33,6 +33,11 @@ def op3_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(joined("loss"), 256).alias("loss_sha256"), total("chars").alias("formatted_chars"))
 
 
+def op4_seed_and_extend(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, folder, "documents"), with_text=False)
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.against_next(table(spark, folder, "documents"))
 
@@ -83,5 +88,6 @@ def op2_ngram_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_crf_pii, op2_ngram_filters, op3_chat_windows, op7_syncmer_fingerprints, op8_mix_sources, op9_viterbi_pieces, op10_interleaved_shards,
+    op1_crf_pii, op2_ngram_filters, op3_chat_windows, op4_seed_and_extend,
+    op7_syncmer_fingerprints, op8_mix_sources, op9_viterbi_pieces, op10_interleaved_shards,
 )}
