@@ -67,6 +67,25 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM worded LEFT JOIN kept USING (rid)
 """
 
+SQL["op6_itq_links"] = """
+WITH RECURSIVE sound AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+linked AS (
+  SELECT a.r, a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.r != b.r
+    AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+counts AS (SELECT r, count(*) AS n FROM linked GROUP BY r),
+reach(a, b) AS (
+  SELECT DISTINCT a, b FROM linked
+  UNION SELECT reach.a, l.b FROM reach JOIN linked l ON reach.b = l.a),
+lows AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(low, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(low, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN sound s ON e.vec_id = s.vec_id LEFT JOIN counts c ON s.r = c.r LEFT JOIN lows ON lows.a = e.vec_id
+"""
+
 SQL["op8_mix_sources"] = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
