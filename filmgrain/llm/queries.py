@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmgrain.llm import chat, itq, langid, mixing, pieces, pii, sharding, substrings, syncmers
+from filmgrain.llm import chat, itq, langid, mixing, pieces, pii, sharding, substrings, syncmers, weighted_minhash
 from filmgrain.llm.oracles import SQL  # noqa: F401  re-exported beside QUERIES
 
 
@@ -38,6 +38,10 @@ def op4_seed_and_extend(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted_minhash.label(table(spark, folder, "documents"))
+
+
 def op6_itq_links(spark: SparkSession, folder: str) -> DataFrame:
     found = itq.links(table(spark, folder, "embeddings"))
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
@@ -94,5 +98,5 @@ def op2_ngram_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_crf_pii, op2_ngram_filters, op3_chat_windows, op4_seed_and_extend,
-    op6_itq_links, op7_syncmer_fingerprints, op8_mix_sources, op9_viterbi_pieces, op10_interleaved_shards,
+    op5_weighted_minhash, op6_itq_links, op7_syncmer_fingerprints, op8_mix_sources, op9_viterbi_pieces, op10_interleaved_shards,
 )}
