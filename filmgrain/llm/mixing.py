@@ -17,8 +17,8 @@ that holds a third of all rows is no longer than any other.
 
 Defined results: a null text has size 0 and documents of size 0 are never needed to reach
 a target, nor taken; null sources form a source of their own, last in order; a null id is
-a document; repeated rows are separate documents; an empty table gives an empty result;
-other columns are ignored.
+a document; repeated rows (same id, source and text) are taken alike, together; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -123,7 +123,7 @@ def mix(
     part = ~whole & (F.col("before") < F.col("need"))
     blocks = cut(blocks.withColumn("state", F.when(whole, 2).when(part, 1).otherwise(0)))
 
-    inside = Window.partitionBy("stratum", "block").orderBy("ord", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("stratum", "block").orderBy("ord").rangeBetween(Window.unboundedPreceding, 0)
     drawn = rows.join(blocks, ["stratum", "block"])
     # Only one block a source is cut inside; the others need no order.
     partly = drawn.filter("state = 1").withColumn("upto", F.col("before") + F.sum("size").over(inside))
@@ -167,3 +167,22 @@ def mix(
         F.col("id").alias(id_column), "source", "size", "content", "source_size", "target",
         F.concat(twice, F.when(extra, F.array(placed)).otherwise(F.array())).alias("takes"),
     )
+
+
+def drawn(docs: DataFrame, mixed: DataFrame, id_column: str = "doc_id", source_column: str = "source",
+          text_column: str = "text") -> DataFrame:
+    """The mixture itself: a row of ``docs``, all columns unchanged, for each time it is taken.
+
+    Rows come by shard, each shard in its own shuffled order.
+    """
+    takes = mixed.filter(F.size("takes") > 0).groupBy(
+        F.col(id_column).alias("take_id"), F.col("source").alias("take_source"), F.col("content").alias("take_content"),
+    ).agg(F.min("takes").alias("takes"))  # repeated rows have equal takes
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))  # no name can clash
+    found = rows.withColumn("content", F.md5(F.coalesce(f"row.{text_column}", F.lit("")))).join(
+        takes, F.col(f"row.{id_column}").eqNullSafe(F.col("take_id"))
+        & F.col(f"row.{source_column}").eqNullSafe(F.col("take_source")) & (F.col("content") == F.col("take_content")))
+    placed = found.select("row", F.explode("takes").alias("take"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["take.shard", "take.key"]
+    return placed.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("row.*")
