@@ -7,7 +7,7 @@ written as bytes. Equal scores go to the longest piece, the first that the links
 
 No ordinary piece of a SentencePiece vocabulary has a blank after another character, so
 the best path splits at such blanks: stretches between them are encoded apart and
-remembered (the memory is bounded and emptied when full). A vocabulary that has such
+remembered (the memory is bounded). A vocabulary that has such
 pieces is noticed, and its texts are encoded whole.
 
 The stored scores of a BPE vocabulary are ranks, not log-probabilities; by default the
@@ -36,8 +36,8 @@ from filmgrain.llm.shipping import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Stretches remembered per process.
-REMEMBERED = 1 << 17
+#: Stretches of one generation remembered per process; two generations are kept.
+REMEMBERED = 1 << 18
 _STRETCH = re.compile(r" *[^ ]+| +")
 
 
@@ -78,13 +78,14 @@ class Codec:
         self.vocabulary = vocabulary
         self.automaton = ahocorasick.Automaton()
         for i, piece, score in vocabulary.pieces:
-            self.automaton.add_word(piece, (i, len(piece), score))
+            self.automaton.add_word(piece, (len(piece), score, i))
         if vocabulary.pieces:
             self.automaton.make_automaton()
         self.byte_score = min((s for _, _, s in vocabulary.pieces), default=0.0) - 1.0
         self.single = {p for _, p, _ in vocabulary.pieces if len(p) == 1}
         self.splits = not any(re.search(r"[^ ] ", p) for _, p, _ in vocabulary.pieces)
-        self.memory: dict[str, list[int]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.raw = [b"\xef\xbf\xbd"] * vocabulary.size
         for i, piece, _ in vocabulary.pieces:
             self.raw[i] = piece.encode()
@@ -93,58 +94,67 @@ class Codec:
 
     def best(self, text: str) -> list[int]:
         """Ids of the best path through ``text``."""
-        score = [0.0] + [-math.inf] * len(text)
-        piece, begin = [-1] * (len(text) + 1), [0] * (len(text) + 1)
-        strange = [i for i, c in enumerate(text) if c not in self.single]
-        byte_score, pending = self.byte_score, 0
-
-        def spell(upto: int) -> None:
-            nonlocal pending
-            while pending < len(strange) and strange[pending] < upto:
-                i = strange[pending]
-                s = score[i] + byte_score * len(text[i].encode("utf-8", "replace"))
-                if s > score[i + 1]:
-                    score[i + 1], piece[i + 1], begin[i + 1] = s, -1, i
-                pending += 1
-
-        for last, (ident, length, own) in self.automaton.iter(text) if self.vocabulary.pieces else ():
-            end = last + 1
-            if strange:
-                spell(end)
-            s = score[end - length] + own
-            if s > score[end]:
-                score[end], piece[end], begin[end] = s, ident, end - length
-        spell(len(text))
+        last = len(text)
+        # Scores of the paths that end with each character; the entry after them, also read as
+        # the one before the first, is the empty path.
+        score = [-math.inf] * last + [0.0]
+        came: list[tuple[int, float, int] | None] = [None] * last
+        matches = self.automaton.iter(text) if self.vocabulary.pieces else ()
+        if self.single.issuperset(text):
+            for end, piece in matches:
+                s = score[end - piece[0]] + piece[1]
+                if s > score[end]:
+                    score[end] = s
+                    came[end] = piece
+        else:  # characters that are no piece are spelled in bytes, before later matches read their score
+            strange = [i for i, c in enumerate(text) if c not in self.single]
+            spelled = 0
+            for end, piece in (*matches, (last, None)):
+                while spelled < len(strange) and strange[spelled] <= end:
+                    i = strange[spelled]
+                    s = score[i - 1] + self.byte_score * len(text[i].encode("utf-8", "replace"))
+                    if s > score[i]:
+                        score[i], came[i] = s, None
+                    spelled += 1
+                if piece:
+                    s = score[end - piece[0]] + piece[1]
+                    if s > score[end]:
+                        score[end], came[end] = s, piece
         out: list[int] = []
-        at = len(text)
-        while at:
-            if piece[at] >= 0:
-                out.append(piece[at])
-            elif self.vocabulary.bytes_:
-                out.extend(self.vocabulary.bytes_[b] for b in reversed(text[begin[at]:at].encode("utf-8", "replace")))
+        at = last - 1
+        while at >= 0:
+            piece = came[at]
+            if piece:
+                out.append(piece[2])
+                at -= piece[0]
+                continue
+            if self.vocabulary.bytes_:
+                out.extend(self.vocabulary.bytes_[b] for b in reversed(text[at].encode("utf-8", "replace")))
             else:
                 out.append(self.vocabulary.unknown)
-            at = begin[at]
+            at -= 1
         return out[::-1]
 
-    def encode(self, text: str) -> list[int]:
+    def _packed(self, stretch: str) -> bytes:
+        """Ids of a stretch as 32-bit numbers, remembered for this and the next generation."""
+        ids = self.older.get(stretch)
+        if ids is None:
+            ids = np.array(self.best(stretch), dtype="<i4").tobytes()
+        if len(stretch) <= 64:
+            if len(self.recent) >= REMEMBERED:
+                self.recent, self.older = {}, self.recent
+            self.recent[stretch] = ids
+        return ids
+
+    def encode(self, text: str) -> np.ndarray:
         if not text:
-            return []
+            return np.zeros(0, dtype="<i4")
         text = " " + text
-        if not self.splits:
-            return self.best(text)
-        out: list[int] = []
-        memory = self.memory
-        for stretch in _STRETCH.findall(text):
-            ids = memory.get(stretch)
-            if ids is None:
-                ids = self.best(stretch)
-                if len(stretch) <= 64:
-                    if len(memory) >= REMEMBERED:
-                        memory.clear()
-                    memory[stretch] = ids
-            out += ids
-        return out
+        stretches = _STRETCH.findall(text) if self.splits else [text]
+        ids = list(map(self.recent.get, stretches))
+        if None in ids:
+            ids = [self._packed(s) if i is None else i for s, i in zip(stretches, ids)]
+        return np.frombuffer(b"".join(ids), dtype="<i4")
 
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -164,7 +174,7 @@ def encode(spark: SparkSession, vocabulary: Vocabulary, text: Column) -> Column:
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         own = codec(shared.value)
-        rows = [None if t is None else np.array(own.encode(t), dtype=np.int32) for t in texts.to_pylist()]
+        rows = [None if t is None else own.encode(t) for t in texts.to_pylist()]
         ends = np.cumsum([0] + [0 if r is None else len(r) for r in rows]).astype(np.int32)
         flat = np.concatenate([r for r in rows if r is not None] or [np.zeros(0, np.int32)])
         missing = pa.array([r is None for r in rows], pa.bool_())
