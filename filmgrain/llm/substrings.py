@@ -4,12 +4,12 @@ Seeds: of every ``WIDTH`` consecutive runs of ``SEED`` words, the one with the s
 hash is an anchor, so two documents that share ``LENGTH`` words share an anchor inside
 them. Anchors are brought together by hash; those of two documents or more are seeds.
 
-Extension: from a seed, a repeat can reach at most ``LENGTH - SEED`` words to either side
-before it holds a whole window of ``LENGTH`` words. Each window around a seed is looked
-up among the windows around the same seed elsewhere, by a 96-bit hash; a window that an
-earlier document (smaller id) also has is covered. Covered windows that touch are joined
-into maximal repeats, which are removed. Windows without a seed occur in one document
-only and are never written.
+Extension: a seed reaches ``LENGTH - SEED`` words to either side. Of the windows of
+``LENGTH`` words there, those whose own anchor it is are looked up among the windows
+around the same seed elsewhere, by a 96-bit hash; a window that an earlier document
+(smaller id) also has is covered. Covered windows that touch are joined into maximal
+repeats, which are removed. A window whose anchor is no seed occurs in one document only
+and is never written.
 
 Scale: exact copies of whole documents are settled by a digest first and leave the join,
 so a group of copies, however large, has one member in it. Anchors and windows are sorted
@@ -45,16 +45,13 @@ RESULT = ("id long, n_words long, n_removed long, repeats array<struct<start:int
           "kept_sha256 string, kept string")
 
 
-def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Positions of the rightmost smallest hash of each run of ``width`` (of all, if fewer)."""
-    if not len(hashes):
-        return np.zeros(0, dtype=np.int64)
-    width = min(width, len(hashes))
+def smallest(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The position of the smallest hash (the last, of equals) in each run of ``width``."""
     low = sliding_min(hashes, width)
     at = np.zeros(len(low), dtype=np.int64)
     for j in range(width):
         at = np.where(hashes[j:j + len(low)] == low, np.arange(j, j + len(low)), at)
-    return np.unique(at)
+    return at
 
 
 def _hashes(packed: bytes) -> np.ndarray:
@@ -86,7 +83,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copies.is_valid and tag.as_py() in copies.as_py():
                 continue
             runs = run_hashes(_hashes(packed.as_py()), SEED)
-            at = winnow(runs, WIDTH)
+            at = np.unique(smallest(runs, WIDTH))
             keys.append(runs[at].view(np.int64))
             ids.append(np.full(len(at), ident.as_py(), dtype=np.int64))
             places.append(at.astype(np.int32))
@@ -135,14 +132,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list[np.ndarray]] = [[], [], [], [], []]
         for ident, tag, packed, seeds in zip(*(batch.column(c) for c in ("id", "tag", "packed", "seeds"))):
             own = _hashes(packed.as_py())
-            n = len(own) - LENGTH + 1
-            if n <= 0:
+            if len(own) < LENGTH:
                 continue
-            at = seeds.values.to_numpy()
-            cover = np.zeros(n + 1, dtype=np.int32)
-            np.add.at(cover, np.clip(at - (LENGTH - SEED), 0, n), 1)
-            np.add.at(cover, np.clip(at + 1, 0, n), -1)
-            begin = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
+            at = smallest(run_hashes(own, SEED), WIDTH)
+            known = np.zeros(len(own), dtype=bool)
+            places = seeds.values.to_numpy()
+            known[places[places < len(own)]] = True  # an id that occurs twice has the seeds of both texts
+            begin = np.flatnonzero(known[at])
             a, b = run_hashes(own, LENGTH, 1)[begin], run_hashes(own, LENGTH, 2)[begin]
             for col, x in zip(cols, (
                     a.view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32),
@@ -176,15 +172,15 @@ def _kept(with_text: bool):
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for ident, tag, count, packed, copies, covered in zip(*(
-                    batch.column(c) for c in ("id", "tag", "n_words", "packed", "copies", "covered"))):
+            for ident, tag, mark, count, packed, copies, covered in zip(*(
+                    batch.column(c) for c in ("id", "tag", "mark", "n_words", "packed", "copies", "covered"))):
                 plain, n = zstandard.decompress(packed.as_py()), count.as_py()
                 tag = tag.as_py()
                 if copies.is_valid and tag in copies.as_py():
                     plain, removed, spans = b"", n, [{"start": 0, "end": n}]
                 elif covered.is_valid:
                     pairs = covered.values
-                    at = pairs.field("pos").to_numpy()[pairs.field("tag").to_numpy() == tag]
+                    at = pairs.field("pos").to_numpy()[pairs.field("tag").to_numpy() == mark.as_py()]
                     cover = np.zeros(n + 1, dtype=np.int32)
                     np.add.at(cover, at, 1)
                     np.add.at(cover, np.minimum(at + LENGTH, n), -1)
@@ -222,18 +218,22 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     long_ = packed.filter(F.col("id").isNotNull() & (F.col("n_words") >= LENGTH)).select("id", "digest", "tag")
     firsts = long_.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter(
         "first < last").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop("last")
-    copies = cut(long_.withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS))).join(firsts, ["digest", "salt"]).filter(
-        F.col("id") > F.col("first")).groupBy("id").agg(F.collect_set("tag").alias("copies")))
+    copies = long_.withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS))).join(firsts, ["digest", "salt"]).filter(
+        F.col("id") > F.col("first")).groupBy("id").agg(F.collect_set("tag").alias("copies"))
+    # Only an id that occurs more than once needs its tag beside it.
+    often = packed.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
+    notes = cut(copies.join(often, "id", "full").select("id", "copies", F.col("n").isNotNull().alias("often")))
 
-    sources = packed.filter(F.col("id").isNotNull() & (F.col("n_words") >= LENGTH)).join(copies, "id", "left")
+    sources = packed.filter(F.col("id").isNotNull() & (F.col("n_words") >= LENGTH)).join(notes, "id", "left")
     seeds = sources.select("id", "tag", "packed", "copies").mapInArrow(
         _anchors, "anchor long, id long, pos int").repartition(partitions, "anchor").sortWithinPartitions(
         "anchor", "id").mapInArrow(_shared, "id long, pos int").groupBy("id").agg(F.collect_list("pos").alias("seeds"))
-    windows = packed.select("id", "tag", "packed").join(seeds, "id").mapInArrow(
+    tag = F.when(F.coalesce("often", F.lit(False)), F.col("tag")).otherwise(0).alias("tag")
+    windows = packed.join(seeds, "id").join(notes, "id", "left").select("id", tag, "packed", "seeds").mapInArrow(
         _windows, "h long, g int, id long, tag long, pos int")
     covered = windows.repartition(partitions, "h", "g").sortWithinPartitions("h", "g", "id").mapInArrow(
         _covered, "id long, tag long, pos int").groupBy("id").agg(
         F.collect_list(F.struct("tag", "pos")).alias("covered"))
-    told = packed.join(copies, "id", "left").join(covered, "id", "left").select(
-        "id", "tag", "n_words", "packed", "copies", "covered")
+    told = packed.join(notes, "id", "left").join(covered, "id", "left").select(
+        "id", "tag", tag.alias("mark"), "n_words", "packed", "copies", "covered")
     return told.mapInArrow(_kept(with_text), RESULT).withColumnRenamed("id", id_column)
