@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -186,7 +187,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         change = np.zeros(batch.num_rows - 1, dtype=bool)
         for k in keys:
             column = batch.column(k)
-            change |= np.asarray(pa.compute.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False))
+            change |= np.asarray(pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False))
         start = [0, *(np.flatnonzero(change) + 1).tolist()]
         for a, b in zip(start, start[1:] + [batch.num_rows]):
             piece = batch.slice(a, b - a)
