@@ -23,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmgrain.llm.arrays import Powers, mix, sliding_min
+from filmgrain.llm.packing import packing
 from filmgrain.llm.shipping import ship
 from filmgrain.workspace import cut
 
@@ -115,10 +115,6 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_NAMES)
 
 
-def _text(packed) -> str:
-    return zstandard.decompress(packed).decode("utf-8", "surrogatepass")
-
-
 def against_next(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  partitions: int | None = None) -> DataFrame:
     """Every document compared with its edited text and with the next one in order of id.
@@ -129,11 +125,14 @@ def against_next(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     spark = ship(docs.sparkSession)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    zstd = packing(docs.select(F.col(text_column).alias("text")))
+
+    def unpacked(packed: bytes) -> str:
+        return zstd.unpack(packed).decode("utf-8", "surrogatepass")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            packed = [squeeze.compress(t.as_py().encode("utf-8", "surrogatepass")) for t in batch.column("text")]
+            packed = [zstd.pack(t.as_py().encode("utf-8", "surrogatepass")) for t in batch.column("text")]
             yield pa.record_batch([batch.column("id"), batch.column("tie"), pa.array(packed, pa.binary())],
                                   names=["id", "tie", "packed"])
 
@@ -148,7 +147,7 @@ def against_next(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         before, out = None, []
         for batch in batches:
             for ident, packed in zip(batch.column("id").to_pylist(), batch.column("packed")):
-                text = _text(packed.as_py())
+                text = unpacked(packed.as_py())
                 now = (ident, text, sketch(text))
                 if before:
                     out.append(_compare(*before, *now[1:]))
@@ -181,7 +180,7 @@ def against_next(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ident, packed, following in zip(*(batch.column(c).to_pylist() for c in ("id", "packed", "next"))):
-                text, after = _text(packed), _text(following)
+                text, after = unpacked(packed), unpacked(following)
                 yield _batch([_compare(ident, text, sketch(text), after, sketch(after))])
 
     found = ordered.select("id", "packed").mapInArrow(inner, RESULT).unionByName(pairs.mapInArrow(outer, RESULT))
