@@ -29,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmgrain.llm.arrays import run_hashes, sliding_min, word_hashes, words
+from filmgrain.llm.packing import Packing, packing
 from filmgrain.llm.shipping import ship
 from filmgrain.workspace import cut
 
@@ -54,42 +54,43 @@ def smallest(hashes: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def _hashes(packed: bytes) -> np.ndarray:
-    return word_hashes(*words(zstandard.decompress(packed)))
-
-
-def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    squeeze = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        digests, tags, counts, packed = [], [], [], []
-        for text in batch.column("text"):
-            own = (text.as_py() or "").encode("utf-8", "surrogatepass").split()  # ASCII white space
-            plain = b" ".join(own)
-            digest = hashlib.blake2b(plain, digest_size=16).digest()
-            digests.append(digest)
-            tags.append(int.from_bytes(digest[:8], "big", signed=True))
-            counts.append(len(own))
-            packed.append(squeeze.compress(plain))
-        yield pa.record_batch(
-            [batch.column("id"), pa.array(digests, pa.binary()), pa.array(tags, pa.int64()),
-             pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
-            names=["id", "digest", "tag", "n_words", "packed"])
-
-
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys, ids, places = [], [], []
-        for ident, tag, packed, copies in zip(*(batch.column(c) for c in ("id", "tag", "packed", "copies"))):
-            if copies.is_valid and tag.as_py() in copies.as_py():
-                continue
-            runs = run_hashes(_hashes(packed.as_py()), SEED)
-            at = np.unique(smallest(runs, WIDTH))
-            keys.append(runs[at].view(np.int64))
-            ids.append(np.full(len(at), ident.as_py(), dtype=np.int64))
-            places.append(at.astype(np.int32))
-        if keys:
-            yield pa.record_batch([np.concatenate(keys), np.concatenate(ids), np.concatenate(places)],
-                                  names=["anchor", "id", "pos"])
+def _prepare(zstd: Packing):
+    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, tags, counts, packed = [], [], [], []
+            for text in batch.column("text"):
+                own = (text.as_py() or "").encode("utf-8", "surrogatepass").split()  # ASCII white space
+                plain = b" ".join(own)
+                digest = hashlib.blake2b(plain, digest_size=16).digest()
+                digests.append(digest)
+                tags.append(int.from_bytes(digest[:8], "big", signed=True))
+                counts.append(len(own))
+                packed.append(zstd.pack(plain))
+            yield pa.record_batch(
+                [batch.column("id"), pa.array(digests, pa.binary()), pa.array(tags, pa.int64()),
+                 pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
+                names=["id", "digest", "tag", "n_words", "packed"])
+
+    return prepare
+
+
+def _anchors(zstd: Packing):
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ids, places = [], [], []
+            for ident, tag, packed, copies in zip(*(batch.column(c) for c in ("id", "tag", "packed", "copies"))):
+                if copies.is_valid and tag.as_py() in copies.as_py():
+                    continue
+                runs = run_hashes(word_hashes(*words(zstd.unpack(packed.as_py()))), SEED)
+                at = np.unique(smallest(runs, WIDTH))
+                keys.append(runs[at].view(np.int64))
+                ids.append(np.full(len(at), ident.as_py(), dtype=np.int64))
+                places.append(at.astype(np.int32))
+            if keys:
+                yield pa.record_batch([np.concatenate(keys), np.concatenate(ids), np.concatenate(places)],
+                                      names=["anchor", "id", "pos"])
+
+    return anchors
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,27 +127,30 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ident, several = keys[-1], first[-1], bool(many[-1])
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows around the seeds of each document."""
-    for batch in batches:
-        cols: list[list[np.ndarray]] = [[], [], [], [], []]
-        for ident, tag, packed, seeds in zip(*(batch.column(c) for c in ("id", "tag", "packed", "seeds"))):
-            own = _hashes(packed.as_py())
-            if len(own) < LENGTH:
-                continue
-            at = smallest(run_hashes(own, SEED), WIDTH)
-            known = np.zeros(len(own), dtype=bool)
-            places = seeds.values.to_numpy()
-            known[places[places < len(own)]] = True  # an id that occurs twice has the seeds of both texts
-            begin = np.flatnonzero(known[at])
-            a, b = run_hashes(own, LENGTH, 1)[begin], run_hashes(own, LENGTH, 2)[begin]
-            for col, x in zip(cols, (
-                    a.view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32),
-                    np.full(len(begin), ident.as_py(), np.int64), np.full(len(begin), tag.as_py(), np.int64),
-                    begin.astype(np.int32))):
-                col.append(x)
-        if cols[0]:
-            yield pa.record_batch([np.concatenate(c) for c in cols], names=["h", "g", "id", "tag", "pos"])
+def _windows(zstd: Packing):
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows around the seeds of each document."""
+        for batch in batches:
+            cols: list[list[np.ndarray]] = [[], [], [], [], []]
+            for ident, tag, packed, seeds in zip(*(batch.column(c) for c in ("id", "tag", "packed", "seeds"))):
+                own = word_hashes(*words(zstd.unpack(packed.as_py())))
+                if len(own) < LENGTH:
+                    continue
+                at = smallest(run_hashes(own, SEED), WIDTH)
+                known = np.zeros(len(own), dtype=bool)
+                places = seeds.values.to_numpy()
+                known[places[places < len(own)]] = True  # an id that occurs twice has the seeds of both texts
+                begin = np.flatnonzero(known[at])
+                a, b = run_hashes(own, LENGTH, 1)[begin], run_hashes(own, LENGTH, 2)[begin]
+                for col, x in zip(cols, (
+                        a.view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32),
+                        np.full(len(begin), ident.as_py(), np.int64), np.full(len(begin), tag.as_py(), np.int64),
+                        begin.astype(np.int32))):
+                    col.append(x)
+            if cols[0]:
+                yield pa.record_batch([np.concatenate(c) for c in cols], names=["h", "g", "id", "tag", "pos"])
+
+    return windows
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,13 +172,13 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.filter(pa.array(later)).select(["id", "tag", "pos"])
 
 
-def _kept(with_text: bool):
+def _kept(zstd: Packing, with_text: bool):
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for ident, tag, mark, count, packed, copies, covered in zip(*(
                     batch.column(c) for c in ("id", "tag", "mark", "n_words", "packed", "copies", "covered"))):
-                plain, n = zstandard.decompress(packed.as_py()), count.as_py()
+                plain, n = zstd.unpack(packed.as_py()), count.as_py()
                 tag = tag.as_py()
                 if copies.is_valid and tag in copies.as_py():
                     plain, removed, spans = b"", n, [{"start": 0, "end": n}]
@@ -211,8 +215,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     spark = ship(docs.sparkSession)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    zstd = packing(rows)
     packed = cut(rows.mapInArrow(
-        _prepare, "id long, digest binary, tag long, n_words long, packed binary").repartition(partitions, "id"))
+        _prepare(zstd), "id long, digest binary, tag long, n_words long, packed binary").repartition(partitions, "id"))
 
     # Whole copies: every window starts in the first document already.
     long_ = packed.filter(F.col("id").isNotNull() & (F.col("n_words") >= LENGTH)).select("id", "digest", "tag")
@@ -226,14 +231,14 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     sources = packed.filter(F.col("id").isNotNull() & (F.col("n_words") >= LENGTH)).join(notes, "id", "left")
     seeds = sources.select("id", "tag", "packed", "copies").mapInArrow(
-        _anchors, "anchor long, id long, pos int").repartition(partitions, "anchor").sortWithinPartitions(
+        _anchors(zstd), "anchor long, id long, pos int").repartition(partitions, "anchor").sortWithinPartitions(
         "anchor", "id").mapInArrow(_shared, "id long, pos int").groupBy("id").agg(F.collect_list("pos").alias("seeds"))
     tag = F.when(F.coalesce("often", F.lit(False)), F.col("tag")).otherwise(0).alias("tag")
     windows = packed.join(seeds, "id").join(notes, "id", "left").select("id", tag, "packed", "seeds").mapInArrow(
-        _windows, "h long, g int, id long, tag long, pos int")
+        _windows(zstd), "h long, g int, id long, tag long, pos int")
     covered = windows.repartition(partitions, "h", "g").sortWithinPartitions("h", "g", "id").mapInArrow(
         _covered, "id long, tag long, pos int").groupBy("id").agg(
         F.collect_list(F.struct("tag", "pos")).alias("covered"))
     told = packed.join(notes, "id", "left").join(covered, "id", "left").select(
         "id", "tag", tag.alias("mark"), "n_words", "packed", "copies", "covered")
-    return told.mapInArrow(_kept(with_text), RESULT).withColumnRenamed("id", id_column)
+    return told.mapInArrow(_kept(zstd, with_text), RESULT).withColumnRenamed("id", id_column)
