@@ -15,7 +15,7 @@ Scale: exact copies of whole documents are settled by a digest first and leave t
 so a group of copies, however large, has one member in it. Anchors and windows are sorted
 by hash and read as a stream: a group needs no memory, and no pairs are made. A shared
 passage has many anchors, which spread over as many tasks. Texts are packed and
-shuffled once, to where both later joins find them.
+shuffled once, to where all later joins find them.
 
 Defined results: null texts have no words; a null id is never earlier or later than
 another, so such a document keeps everything; documents with the same id do not remove
@@ -54,22 +54,33 @@ def smallest(hashes: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
+def _tag(plain: bytes) -> tuple[bytes, int]:
+    digest = hashlib.blake2b(plain, digest_size=16).digest()
+    return digest, int.from_bytes(digest[:8], "big", signed=True)
+
+
+def _plain(text: pa.Scalar) -> bytes:
+    return b" ".join((text.as_py() or "").encode("utf-8", "surrogatepass").split())  # ASCII white space
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        plain = [_plain(t) for t in batch.column("text")]
+        digests, tags = zip(*map(_tag, plain)) if plain else ((), ())
+        long_ = [p.count(b" ") + 1 >= LENGTH for p in plain]
+        yield pa.record_batch([batch.column("id"), pa.array(digests, pa.binary()), pa.array(tags, pa.int64()),
+                               pa.array(long_, pa.bool_())], names=["id", "digest", "tag", "long"])
+
+
 def _prepare(zstd: Packing):
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, tags, counts, packed = [], [], [], []
-            for text in batch.column("text"):
-                own = (text.as_py() or "").encode("utf-8", "surrogatepass").split()  # ASCII white space
-                plain = b" ".join(own)
-                digest = hashlib.blake2b(plain, digest_size=16).digest()
-                digests.append(digest)
-                tags.append(int.from_bytes(digest[:8], "big", signed=True))
-                counts.append(len(own))
-                packed.append(zstd.pack(plain))
+            plain = [_plain(t) for t in batch.column("text")]
             yield pa.record_batch(
-                [batch.column("id"), pa.array(digests, pa.binary()), pa.array(tags, pa.int64()),
-                 pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
-                names=["id", "digest", "tag", "n_words", "packed"])
+                [batch.column("id"), pa.array([_tag(p)[1] for p in plain], pa.int64()),
+                 pa.array([p.count(b" ") + 1 if p else 0 for p in plain], pa.int64()),
+                 pa.array([zstd.pack(p) for p in plain], pa.binary())],
+                names=["id", "tag", "n_words", "packed"])
 
     return prepare
 
@@ -79,9 +90,11 @@ def _anchors(zstd: Packing):
         for batch in batches:
             keys, ids, places = [], [], []
             for ident, tag, packed, copies in zip(*(batch.column(c) for c in ("id", "tag", "packed", "copies"))):
-                if copies.is_valid and tag.as_py() in copies.as_py():
+                if not ident.is_valid or (copies.is_valid and tag.as_py() in copies.as_py()):
                     continue
                 runs = run_hashes(word_hashes(*words(zstd.unpack(packed.as_py()))), SEED)
+                if len(runs) < WIDTH:
+                    continue
                 at = np.unique(smallest(runs, WIDTH))
                 keys.append(runs[at].view(np.int64))
                 ids.append(np.full(len(at), ident.as_py(), dtype=np.int64))
@@ -132,7 +145,9 @@ def _windows(zstd: Packing):
         """Windows around the seeds of each document."""
         for batch in batches:
             cols: list[list[np.ndarray]] = [[], [], [], [], []]
-            for ident, tag, packed, seeds in zip(*(batch.column(c) for c in ("id", "tag", "packed", "seeds"))):
+            for ident, mark, packed, seeds in zip(*(batch.column(c) for c in ("id", "mark", "packed", "seeds"))):
+                if not seeds.is_valid:
+                    continue
                 own = word_hashes(*words(zstd.unpack(packed.as_py())))
                 if len(own) < LENGTH:
                     continue
@@ -144,11 +159,11 @@ def _windows(zstd: Packing):
                 a, b = run_hashes(own, LENGTH, 1)[begin], run_hashes(own, LENGTH, 2)[begin]
                 for col, x in zip(cols, (
                         a.view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32),
-                        np.full(len(begin), ident.as_py(), np.int64), np.full(len(begin), tag.as_py(), np.int64),
+                        np.full(len(begin), ident.as_py(), np.int64), np.full(len(begin), mark.as_py(), np.int64),
                         begin.astype(np.int32))):
                     col.append(x)
             if cols[0]:
-                yield pa.record_batch([np.concatenate(c) for c in cols], names=["h", "g", "id", "tag", "pos"])
+                yield pa.record_batch([np.concatenate(c) for c in cols], names=["h", "g", "id", "mark", "pos"])
 
     return windows
 
@@ -169,7 +184,7 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         later = ids > np.repeat(first, np.diff(start, append=len(h)))
         key, ident = (h[-1], g[-1]), first[-1]
         if later.any():
-            yield batch.filter(pa.array(later)).select(["id", "tag", "pos"])
+            yield batch.filter(pa.array(later)).select(["id", "mark", "pos"])
 
 
 def _kept(zstd: Packing, with_text: bool):
@@ -184,7 +199,7 @@ def _kept(zstd: Packing, with_text: bool):
                     plain, removed, spans = b"", n, [{"start": 0, "end": n}]
                 elif covered.is_valid:
                     pairs = covered.values
-                    at = pairs.field("pos").to_numpy()[pairs.field("tag").to_numpy() == mark.as_py()]
+                    at = pairs.field("pos").to_numpy()[pairs.field("mark").to_numpy() == mark.as_py()]
                     cover = np.zeros(n + 1, dtype=np.int32)
                     np.add.at(cover, at, 1)
                     np.add.at(cover, np.minimum(at + LENGTH, n), -1)
@@ -216,29 +231,31 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     zstd = packing(rows)
-    packed = cut(rows.mapInArrow(
-        _prepare(zstd), "id long, digest binary, tag long, n_words long, packed binary").repartition(partitions, "id"))
+    # One exchange: the plan below reads it at each of its three joins by id.
+    packed = rows.mapInArrow(_prepare(zstd), "id long, tag long, n_words long, packed binary").repartition(partitions, "id")
 
     # Whole copies: every window starts in the first document already.
-    long_ = packed.filter(F.col("id").isNotNull() & (F.col("n_words") >= LENGTH)).select("id", "digest", "tag")
+    named = cut(rows.filter("id IS NOT NULL").mapInArrow(_digests, "id long, digest binary, tag long, long boolean"))
+    long_ = named.filter("long")
     firsts = long_.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter(
         "first < last").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop("last")
     copies = long_.withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS))).join(firsts, ["digest", "salt"]).filter(
         F.col("id") > F.col("first")).groupBy("id").agg(F.collect_set("tag").alias("copies"))
     # Only an id that occurs more than once needs its tag beside it.
-    often = packed.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
+    often = named.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
     notes = cut(copies.join(often, "id", "full").select("id", "copies", F.col("n").isNotNull().alias("often")))
 
-    sources = packed.filter(F.col("id").isNotNull() & (F.col("n_words") >= LENGTH)).join(notes, "id", "left")
-    seeds = sources.select("id", "tag", "packed", "copies").mapInArrow(
+    # All columns and left joins throughout, so that the exchange is the same and is made once.
+    whole = ["id", "tag", "n_words", "packed"]
+    mark = F.when(F.coalesce("often", F.lit(False)), F.col("tag")).otherwise(0).alias("mark")
+    seeds = packed.join(notes, "id", "left").select(*whole, "copies").mapInArrow(
         _anchors(zstd), "anchor long, id long, pos int").repartition(partitions, "anchor").sortWithinPartitions(
         "anchor", "id").mapInArrow(_shared, "id long, pos int").groupBy("id").agg(F.collect_list("pos").alias("seeds"))
-    tag = F.when(F.coalesce("often", F.lit(False)), F.col("tag")).otherwise(0).alias("tag")
-    windows = packed.join(seeds, "id").join(notes, "id", "left").select("id", tag, "packed", "seeds").mapInArrow(
-        _windows(zstd), "h long, g int, id long, tag long, pos int")
+    windows = packed.join(seeds, "id", "left").join(notes, "id", "left").select(*whole, mark, "seeds").mapInArrow(
+        _windows(zstd), "h long, g int, id long, mark long, pos int")
     covered = windows.repartition(partitions, "h", "g").sortWithinPartitions("h", "g", "id").mapInArrow(
-        _covered, "id long, tag long, pos int").groupBy("id").agg(
-        F.collect_list(F.struct("tag", "pos")).alias("covered"))
+        _covered, "id long, mark long, pos int").groupBy("id").agg(
+        F.collect_list(F.struct("mark", "pos")).alias("covered"))
     told = packed.join(notes, "id", "left").join(covered, "id", "left").select(
-        "id", "tag", tag.alias("mark"), "n_words", "packed", "copies", "covered")
+        *whole, mark, "copies", "covered")
     return told.mapInArrow(_kept(zstd, with_text), RESULT).withColumnRenamed("id", id_column)
