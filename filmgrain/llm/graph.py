@@ -1,11 +1,13 @@
-"""Connected components as DataFrames: hooking to the smallest neighbour, then contraction.
+"""Connected components as DataFrames: hooking in a random order, then contraction.
 
-Each round every vertex points to the smallest vertex among itself and its neighbours,
-pointers are followed once more, and edges are rewritten to what their ends point to.
-Every vertex with a smaller neighbour moves, so the vertices left at least halve. A
-component's smallest id never moves, and in the end all others point to it.
+Each round draws a new order of vertices by hash. A vertex points to the first among
+itself and its neighbours, pointers are followed twice over (chains are short in a random
+order), and edges are rewritten to what their ends point to. On a path about a third of
+the vertices come before their neighbours and stay, elsewhere fewer, so rounds grow as
+the logarithm of the vertices. In the end each component has one vertex left, and the
+smallest id that leads there names it.
 
-Each round's edges and labels are written to the shared folder; only counts reach the driver.
+Each round's edges and labels are written to the shared folder; no vertex reaches the driver.
 """
 
 from __future__ import annotations
@@ -16,27 +18,37 @@ from pyspark.sql import functions as F
 from filmgrain.workspace import cut
 
 
+def _follow(point: DataFrame) -> DataFrame:
+    far = point.select(F.col("id").alias("to"), F.col("to").alias("far"))
+    return point.join(far, "to", "left").select("id", F.coalesce("far", "to").alias("to"))
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component) for every id in ``edges`` (a, b), which may hold loops, copies and both directions."""
+    """(id, component) for every id in ``edges`` (a, b); loops, copies and both directions may occur.
+
+    Edges with a null end are left out, and so are ids that only have a loop.
+    """
     pairs = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL AND a != b")
     both = lambda e: e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = cut(both(pairs).distinct())
-    labels = None
+    labels, turn = None, 0
     while not links.isEmpty():
-        low = links.groupBy("a").agg(F.min("b").alias("low"))
-        point = cut(low.select(F.col("a").alias("id"), F.least("a", "low").alias("to")))
-        # followed once more; a vertex without an entry points to itself
-        far = point.select(F.col("id").alias("to"), F.col("to").alias("far"))
-        point = cut(point.join(far, "to", "left").select("id", F.coalesce("far", "to").alias("to")))
+        turn += 1
+        rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
+        first = links.groupBy("a").agg(F.min(rank("b")).alias("low")).withColumn("own", rank("a"))
+        point = first.select(F.col("a").alias("id"), F.least("own", "low").getField("v").alias("to"))
+        point = cut(_follow(_follow(cut(point))))
         if labels is None:
             labels = point.select("id", F.col("to").alias("component"))
         else:
-            moved = point.select(F.col("id").alias("component"), "to")
-            labels = labels.join(moved, "component", "left").select(
+            labels = labels.join(point.withColumnRenamed("id", "component"), "component", "left").select(
                 "id", F.coalesce("to", "component").alias("component"))
         labels = cut(labels)
         ends = links.filter("a < b")
         for side in ("a", "b"):
             ends = ends.join(point.withColumnRenamed("id", side), side).drop(side).withColumnRenamed("to", side)
         links = cut(both(ends.filter("a != b")).distinct())
-    return labels if labels is not None else links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    if labels is None:
+        return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    names = cut(labels.groupBy("component").agg(F.min("id").alias("name")))
+    return labels.join(names, "component").select("id", F.col("name").alias("component"))
