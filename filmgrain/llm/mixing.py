@@ -155,7 +155,7 @@ def mix(
     take = lambda end, n: F.struct(
         F.least(shard(end), F.lit(shards - 1)).alias("shard"),
         F.md5(F.concat(F.lit(f"{n}:"), "ord")).alias("key"))
-    twice = F.when(F.col("again"), F.array(take("all_ends", 0))).otherwise(F.array())
+    twice = F.when(F.col("again") & (F.col("size") > 0), F.array(take("all_ends", 0))).otherwise(F.array())
     # A topping document may lie in a block without a quota; it joins the last used block's shard.
     placed = F.when(F.col("nth") <= last, take("extra_ends", 1)).otherwise(F.struct(
         F.size(F.filter("extra_ends", lambda e: e < last)).cast("int").alias("shard"),
