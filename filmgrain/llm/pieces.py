@@ -24,6 +24,8 @@ from __future__ import annotations
 import functools
 import math
 import re
+from array import array
+from collections import deque
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -37,7 +39,9 @@ from filmgrain.llm.shipping import ship
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Stretches of one generation remembered per process; two generations are kept.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
+#: Transitions found by falling back that a process keeps.
+KEPT_TRANSITIONS = 1 << 19
 _STRETCH = re.compile(r" *[^ ]+| +")
 
 
@@ -69,18 +73,57 @@ def read_vocabulary(path: str = MODEL, by_rank: bool = True) -> Vocabulary:
         tuple(by_byte[b] for b in range(256)) if len(by_byte) == 256 else None, model.unk_id(), len(ids))
 
 
+class State(dict):
+    """A state of the automaton: its transitions, where it falls back, and the pieces that end here.
+
+    The pieces are those of the state itself and of its output links, longest first. A
+    transition that the trie lacks is found by falling back, and kept while there is room.
+    """
+
+    __slots__ = ("automaton", "back", "ends")
+
+    def __init__(self, automaton: Automaton) -> None:
+        self.automaton, self.back, self.ends = automaton, None, ()
+
+    def __missing__(self, char: str) -> State:
+        found = self.back[char] if self.back is not None else self
+        if self.automaton.room > 0:
+            self.automaton.room -= 1
+            self[char] = found
+        return found
+
+
+class Automaton:
+    """Aho-Corasick over (text, value) pairs."""
+
+    def __init__(self, entries: Iterable[tuple[str, tuple]], room: int = KEPT_TRANSITIONS) -> None:
+        self.room = 0  # nothing is kept while the trie is built
+        self.root = State(self)
+        for text, value in entries:
+            state = self.root
+            for char in text:
+                if char not in state:
+                    state[char] = State(self)
+                state = state[char]
+            state.ends = (value,)
+        queue = deque(self.root.values())
+        for state in queue:
+            state.back = self.root
+        while queue:  # by depth: what a state falls back to is complete
+            state = queue.popleft()
+            state.ends += state.back.ends
+            for char, child in state.items():
+                child.back = state.back[char]
+                queue.append(child)
+        self.room = room
+
+
 class Codec:
     """Encoder and decoder of one vocabulary."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        import ahocorasick
-
         self.vocabulary = vocabulary
-        self.automaton = ahocorasick.Automaton()
-        for i, piece, score in vocabulary.pieces:
-            self.automaton.add_word(piece, (len(piece), score, i))
-        if vocabulary.pieces:
-            self.automaton.make_automaton()
+        self.automaton = Automaton((piece, (len(piece), score, i)) for i, piece, score in vocabulary.pieces)
         self.byte_score = min((s for _, _, s in vocabulary.pieces), default=0.0) - 1.0
         self.single = {p for _, p, _ in vocabulary.pieces if len(p) == 1}
         self.splits = not any(re.search(r"[^ ] ", p) for _, p, _ in vocabulary.pieces)
@@ -97,29 +140,22 @@ class Codec:
         last = len(text)
         # Scores of the paths that end with each character; the entry after them, also read as
         # the one before the first, is the empty path.
-        score = [-math.inf] * last + [0.0]
+        score = [0.0] * (last + 1)
         came: list[tuple[int, float, int] | None] = [None] * last
-        matches = self.automaton.iter(text) if self.vocabulary.pieces else ()
-        if self.single.issuperset(text):
-            for end, piece in matches:
+        state, single = self.automaton.root, self.single
+        for end, char in enumerate(text):
+            state = state[char]
+            top, best = -math.inf, None
+            for piece in state.ends:
                 s = score[end - piece[0]] + piece[1]
-                if s > score[end]:
-                    score[end] = s
-                    came[end] = piece
-        else:  # characters that are no piece are spelled in bytes, before later matches read their score
-            strange = [i for i, c in enumerate(text) if c not in self.single]
-            spelled = 0
-            for end, piece in (*matches, (last, None)):
-                while spelled < len(strange) and strange[spelled] <= end:
-                    i = strange[spelled]
-                    s = score[i - 1] + self.byte_score * len(text[i].encode("utf-8", "replace"))
-                    if s > score[i]:
-                        score[i], came[i] = s, None
-                    spelled += 1
-                if piece:
-                    s = score[end - piece[0]] + piece[1]
-                    if s > score[end]:
-                        score[end], came[end] = s, piece
+                if s > top:
+                    top, best = s, piece
+            if char not in single:  # it may be spelled in bytes
+                s = score[end - 1] + self.byte_score * len(char.encode("utf-8", "replace"))
+                if s > top:
+                    top, best = s, None
+            score[end] = top
+            came[end] = best
         out: list[int] = []
         at = last - 1
         while at >= 0:
@@ -139,7 +175,7 @@ class Codec:
         """Ids of a stretch as 32-bit numbers, remembered for this and the next generation."""
         ids = self.older.get(stretch)
         if ids is None:
-            ids = np.array(self.best(stretch), dtype="<i4").tobytes()
+            ids = array("i", self.best(stretch)).tobytes()
         if len(stretch) <= 64:
             if len(self.recent) >= REMEMBERED:
                 self.recent, self.older = {}, self.recent
