@@ -131,6 +131,12 @@ def advance(
     points: DataFrame, feats: DataFrame, runs: dict[Run, Centroids], turn: int
 ) -> dict[Run, Centroids]:
     """One iteration of every run. Only one row per cluster reaches the driver."""
+    return _advance(points, feats, runs, turn)[0]
+
+
+def _advance(points, feats, runs, turn) -> tuple[dict[Run, Centroids], set[Run]]:
+    """The same, and the runs in which a cluster was empty."""
+    refilled: set[Run] = set()
     moved: dict[Run, Centroids] = {run: {} for run in runs}
     for r in means(assign(points, runs)).collect():
         moved[(r["label"], r["k"])][r["cluster"]] = (r["x"], r["y"])
@@ -138,26 +144,31 @@ def advance(
     for (label, k), cents in runs.items():
         empty = [c for c in sorted(cents) if c not in moved[(label, k)]]
         if empty:
+            refilled.add((label, k))
             need = (label, len(empty))
             if need not in drawn:
                 drawn[need] = replacements(feats, label, len(empty), turn)
             moved[(label, k)].update(zip(empty, drawn[need]))
-    return moved
+    return moved, refilled
 
 
 def fit(
     points: DataFrame, feats: DataFrame, runs: dict[Run, Centroids], iterations: int = ITERATIONS
 ) -> tuple[dict[Run, Centroids], dict[Run, Centroids]]:
-    """(centroids before the last iteration, centroids after it) of every run."""
+    """(centroids before the last iteration, centroids after it) of every run.
+
+    A run that did not move is left out from then on, unless a cluster was empty: its
+    replacement is drawn anew each turn.
+    """
     before, after = dict(runs), dict(runs)
     active = dict(runs)
     for turn in range(1, iterations + 1):
         if not active:
             break
-        moved = advance(points, feats, active, turn)
+        moved, refilled = _advance(points, feats, active, turn)
         for run, cents in moved.items():
             before[run], after[run] = active[run], cents
-        active = {run: c for run, c in moved.items() if c != active[run]}
+        active = {run: c for run, c in moved.items() if c != active[run] or run in refilled}
     return before, after
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.operators.joins import hot_keys, join_hot, with_label
+from filmgrain.operators.joins import join_salted, with_label
 from filmgrain.workspace import cut
 
 
@@ -30,12 +30,11 @@ def flat_relation(
         F.col("runtime").alias("runtimeMinutes"), F.col("avgRatings").alias("averageRating"),
     )
     cast = without_repeats(actor_title_role, "titleid", ["titleid", "actorid"])
-    hot = hot_keys(actor_title_role, ["titleid"])
     genres = with_label(title_genre, genre, "genreid", "genre")
     people = member.select(F.col("id").alias("actorid"), "birthYear")
     roles = role.select(F.col("id").alias("roleid"), "role")
     return (
-        join_hot(cast, movies, ["titleid"], hot)
+        join_salted(cast, movies, ["titleid"])
         .join(genres, "titleid", "left")
         .join(people, "actorid", "left")
         .join(roles, "roleid", "left")

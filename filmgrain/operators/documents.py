@@ -8,58 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.operators.joins import small_side
-
-# Longest array one document row holds; longer lists go on in further rows (parts).
-MAX_ITEMS = 1_000_000
 LISTS = {"genres": "string", "director_id": "bigint", "writer_id": "bigint", "producer_id": "bigint"}
 
 
-def oversize(links: DataFrame, key: str, max_items: int = MAX_ITEMS) -> DataFrame | None:
-    """Groups with more than ``max_items`` links and their number of parts; None if there are none."""
-    return _oversize({"links": links.select(key)}, key, max_items)["links"]
-
-
-def _oversize(tables: Mapping[str, DataFrame], key: str, max_items: int) -> dict[str, DataFrame | None]:
-    """The same for several tables, whose rows are counted in one job.
-
-    A table with no more than ``max_items`` rows altogether is not grouped for it.
-    """
-    names = list(tables)
-    rows = reduce(DataFrame.unionByName, [
-        tables[n].select(F.lit(i).alias("t")) for i, n in enumerate(names)
-    ]).groupBy("t").count().collect()
-    totals = {names[r["t"]]: r["count"] for r in rows}
-    out: dict[str, DataFrame | None] = {}
-    for n, df in tables.items():
-        out[n] = None
-        if totals.get(n, 0) > max_items:
-            sizes = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
-            parts = sizes.select(key, F.ceil(F.col("_n") * 2 / max_items).alias("_p"))
-            out[n] = None if parts.isEmpty() else parts
-    return out
-
-
-def with_parts(links: DataFrame, key: str, value: str, large: DataFrame | None) -> DataFrame:
-    """Links with the part of their group they belong to.
-
-    Groups not listed in ``large`` are part 0. The others are spread by a hash of the
-    value, so no task has to build an array that grows with the data.
-    """
-    if large is None:
-        return links.withColumn("part", F.lit(0))
-    spread = F.pmod(F.xxhash64(value), F.col("_p")).cast("int")
-    return links.join(small_side(large), key, "left").withColumn(
-        "part", F.coalesce(spread, F.lit(0))
-    ).drop("_p")
-
-
-def group_list(links: DataFrame, key: str, value: str, out: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """(key, part, sorted list of values)."""
-    large = oversize(links, key, max_items)
-    return with_parts(links, key, value, large).groupBy(key, "part").agg(
-        F.sort_array(F.collect_list(value)).alias(out)
-    )
+def group_list(links: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """(key, sorted list of values); the list is the group's by definition."""
+    return links.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias(out))
 
 
 def cast_entries(cast: DataFrame, roles: DataFrame, role: DataFrame) -> DataFrame:
@@ -83,58 +37,42 @@ def cast_entries(cast: DataFrame, roles: DataFrame, role: DataFrame) -> DataFram
 
 def assemble(
     title: DataFrame, lists: Mapping[str, DataFrame],
-    cast: tuple[DataFrame, DataFrame, DataFrame] | None = None, max_items: int = MAX_ITEMS,
+    cast: tuple[DataFrame, DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """One document per title.
 
     ``lists`` maps an array field to its (titleid, value) links; ``cast`` holds the
     title-actor links, the actor-title-role links and the role dictionary. Title rows
     and all links are stacked and grouped by title in a single shuffle. Missing lists
-    are null. A title with a list beyond ``max_items`` gets further rows, told apart
-    by ``part``; each repeats the title's own fields.
+    are null.
     """
     base = title.withColumnsRenamed({"avgRatings": "avgRating", "id": "_id"})
     own = [c for c in base.columns if c != "_id"]
     own_type = base.select(F.struct(*own).alias("o")).schema["o"].dataType.simpleString()
     slots = {n: LISTS[n] for n in lists}
-    stacked = {n: links.toDF("_id", "_value").selectExpr("_id", "_value", "xxhash64(_value) AS _item")
-               for n, links in lists.items()}
-    counted = {n: links.toDF("_id", "_value") for n, links in lists.items()}
+    stacked = {n: links.toDF("_id", "_value") for n, links in lists.items()}
     if cast is not None:
         slots["actors"] = "struct<actor:bigint,role:array<string>>"
-        stacked["actors"] = cast_entries(*cast).selectExpr(
-            "titleid AS _id", "struct(actorid AS actor, role) AS _value", "xxhash64(actorid) AS _item"
-        )
-        counted["actors"] = cast[0].select("titleid", "actorid").toDF("_id", "_value")
-
-    # sizes come from the bare links, before any list is built
-    large = _oversize(counted, "_id", max_items)
-    parts = []
-    for n, df in stacked.items():
-        parts.append(with_parts(df, "_id", "_item", large[n]).selectExpr(
-            "_id", "part", f"cast(NULL AS {own_type}) AS _own",
-            *[f"cast({'_value' if m == n else 'NULL'} AS {t}) AS _{m}" for m, t in slots.items()],
-        ))
-    rows = reduce(DataFrame.unionByName, parts)
-    blank = [f"cast(NULL AS {t}) AS _{m}" for m, t in slots.items()]
-    fields = f"struct({', '.join(own)}) AS _own"
-    heads = base.selectExpr("_id", "0 AS part", fields, *blank)
-    if any(df is not None for df in large.values()):
-        more = rows.where("part > 0").select("_id", "part").distinct().join(base, "_id")
-        heads = heads.unionByName(more.selectExpr("_id", "part", fields, *blank))
-    out = rows.unionByName(heads).groupBy("_id", "part").agg(
+        stacked["actors"] = cast_entries(*cast).selectExpr("titleid AS _id", "struct(actorid AS actor, role) AS _value")
+    heads = base.selectExpr("_id", f"struct({', '.join(own)}) AS _own",
+                            *[f"cast(NULL AS {t}) AS _{m}" for m, t in slots.items()])
+    rows = [heads] + [df.selectExpr(
+        "_id", f"cast(NULL AS {own_type}) AS _own",
+        *[f"cast({'_value' if m == n else 'NULL'} AS {t}) AS _{m}" for m, t in slots.items()],
+    ) for n, df in stacked.items()]
+    out = reduce(DataFrame.unionByName, rows).groupBy("_id").agg(
         F.max("_own").alias("_own"),
         *[F.expr(f"sort_array(collect_list(_{n})) AS {n}") for n in slots],
     )
     return out.where("_own IS NOT NULL").selectExpr(
-        "_id", "part", "_own.*", *[f"CASE WHEN size({n}) > 0 THEN {n} END AS {n}" for n in slots]
+        "_id", "_own.*", *[f"CASE WHEN size({n}) > 0 THEN {n} END AS {n}" for n in slots]
     )
 
 
 def heads(docs: DataFrame) -> DataFrame:
     """The titles of the documents, one row each, under the names of the normalised table."""
     lists = [f.name for f in docs.schema if f.dataType.typeName() == "array"]
-    return docs.where("part = 0").drop("part", *lists).withColumnsRenamed(
+    return docs.drop(*lists).withColumnsRenamed(
         {"_id": "id", "avgRating": "avgRatings"}
     )
 

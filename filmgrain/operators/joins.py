@@ -7,61 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.workspace import cut
+#: Parts into which the rows of every key are dealt where one side is grouped by the key.
+SALTS = 16
 
-# A dictionary side is broadcast only after its rows were counted up to this bound.
-DICTIONARY_ROWS = 100_000
 
+def join_salted(many: DataFrame, one: DataFrame, key: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """``many`` joined to a narrow side that is unique by ``key``, each key in ``salts`` parts.
 
-def small_side(df: DataFrame, max_rows: int = DICTIONARY_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
-
-    Reading stops at the bound. Beyond it the frame is returned unmarked, and the
-    join is a shuffle join in which adaptive execution splits skewed partitions. The
-    mark survives filters and projections, so a dictionary is checked once, where it
-    is obtained, and then passed on.
-    """
-    seen = df.select(F.lit(1)).take(max_rows + 1)
-    return F.broadcast(df) if len(seen) <= max_rows else df
-
-
-# A key with more rows than this is joined apart from the others.
-HOT_ROWS = 5_000_000
-HOT_KEYS = 10_000
-
-
-def hot_keys(df: DataFrame, key: Sequence[str], rows: int = HOT_ROWS) -> DataFrame | None:
-    """The keys that hold more than ``rows`` rows, or None.
-
-    The bound rises with the table, so there are fewer than ``HOT_KEYS`` of them. A
-    table with no more rows than the bound is only counted.
-    """
-    total = df.count()
-    bound = max(rows, total // HOT_KEYS)
-    if total <= bound:
-        return None
-    counts = df.groupBy(*key).agg(F.count("*").alias("_n"))
-    hot = cut(counts.where(F.col("_n") > bound).select(*key))
-    return None if hot.isEmpty() else hot
-
-
-def join_hot(
-    many: DataFrame, one: DataFrame, key: Sequence[str], hot: DataFrame | None, how: str = "inner"
-) -> DataFrame:
-    """``many`` joined to a side that is unique by ``key``, hot keys apart.
-
-    Rows of hot keys stay where they are and meet their few partners by broadcast, so
-    no task receives all rows of such a key. Adaptive execution splits a skewed join
-    of two fresh shuffles by itself; this is for sides that are grouped by the key
-    already, where it cannot.
+    Adaptive execution splits a skewed join of two fresh shuffles by itself; this is for
+    sides that are grouped by the key already, where it cannot. Nothing is counted first:
+    the unique side is repeated, a constant number of times at every size.
     """
-    key = list(key)
-    if hot is None:
-        return many.join(one, key, how)
-    few = F.broadcast(hot)
-    cold = many.join(few, key, "left_anti").join(one, key, how)
-    partners = F.broadcast(one.join(few, key, "left_semi"))
-    return cold.unionByName(many.join(few, key, "left_semi").join(partners, key, how))
+    parts = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int"))
+    return dealt.join(parts, [*key, "_salt"], how).drop("_salt")
 
 
 def with_label(links: DataFrame, dictionary: DataFrame, key: str, label: str) -> DataFrame:

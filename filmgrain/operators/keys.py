@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.operators.joins import HOT_ROWS, hot_keys, join_hot, with_parents
+from filmgrain.operators.joins import join_salted, with_parents
 from filmgrain.workspace import cut
 
 
@@ -16,7 +16,7 @@ def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def split_key(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, key: Sequence[str], order: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """(the first row of each key by ``order``, the rows that lost).
 
@@ -31,8 +31,7 @@ def split_key(
         F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in df.columns
     ])
     left = F.col("_n") - F.when(whole.eqNullSafe(F.col("_best")), 1).otherwise(0)
-    hot = hot_keys(df, key, hot_rows)
-    losers = join_hot(counted, best, key, hot).withColumn("copies", left).where("copies > 0")
+    losers = join_salted(counted, best, key).withColumn("copies", left).where("copies > 0")
     return winners, losers.select(*df.columns, "copies")
 
 

@@ -58,7 +58,7 @@ def dense_ids(labels: DataFrame, label: str, out: str = "id", start: int = 0) ->
 
 def spread_key(col: str, seed: int) -> Column:
     """A fixed pseudo-random order over whole-number ids."""
-    return F.pmod(F.col(col) * 7919 + seed * 104_729, F.lit(1_000_003))
+    return F.pmod(F.pmod(F.col(col), F.lit(1_000_003)) * 7919 + seed * 104_729, F.lit(1_000_003))
 
 
 def sample_rows(df: DataFrame, k: int, key: str | None = None, seed: int = 0) -> DataFrame:
@@ -73,4 +73,9 @@ def groups_with_repeats(df: DataFrame, group: str, pair: Sequence[str]) -> DataF
 
 
 def without_repeats(df: DataFrame, group: str, pair: Sequence[str]) -> DataFrame:
-    return df.join(groups_with_repeats(df, group, pair), group, "left_anti")
+    """Rows of the groups in which no ``pair`` repeats; a group with most rows is dealt into parts."""
+    from filmgrain.operators.joins import join_salted
+
+    counted = df.groupBy(*pair).agg(F.count("*").alias("n"))
+    bad = counted.groupBy(group).agg(F.bool_or(F.col("n") > 1).alias("bad")).where("bad").select(group)
+    return join_salted(df, bad, [group], "left_anti")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmgrain import schemas
@@ -25,11 +25,18 @@ def typed(records: DataFrame) -> DataFrame:
 
 
 def by_id(records: DataFrame) -> DataFrame:
-    """Records usable by title id: key present, not a person, first per id."""
-    ids = records.withColumn("_id", drop_markers("_id", "tt"))
-    usable = ids.where(F.col("_id").isNotNull() & ~F.col("_id").contains("nm")).drop("title")
-    first = first_per_key(usable, ["_id"], ["_pos"])
-    return typed(first).withColumn("_id", F.col("_id").try_cast("bigint")).drop("_pos")
+    """Records usable by title id: a readable number, not a person; the first of each number.
+
+    Spellings of one number are one id; ids that are no number count as missing.
+    """
+    usable = records.withColumn("_id", title_number("_id")).where(F.col("_id").isNotNull()).drop("title")
+    return typed(first_per_key(usable, ["_id"], ["_pos"])).drop("_pos")
+
+
+def title_number(column: str) -> Column:
+    """The number of a title id; null for people and for what is no number."""
+    text = drop_markers(column, "tt")
+    return F.when(~F.col(column).contains("nm"), text.try_cast("bigint"))
 
 
 def by_title(records: DataFrame) -> DataFrame:
@@ -76,8 +83,15 @@ def set_by_title(docs: DataFrame, updates: DataFrame, values: Sequence[str] = VA
 
 
 def update_ratings(movies: DataFrame, ratings: DataFrame, key: str = "title_id") -> DataFrame:
-    """Ratings and votes of matching movies replaced, the others untouched."""
-    joined = movies.alias("d").join(ratings.alias("u"), key, "left")
+    """Ratings and votes of matching movies replaced, the others untouched.
+
+    Of several ratings of one movie the last by ``_pos`` counts, and where they have no
+    position the one with most votes, then the best; each movie stays one row.
+    """
+    order = ["_pos"] if "_pos" in ratings.columns else ["votes", "ratings"]
+    last = ratings.groupBy(key).agg(F.max(F.struct(*order, *[
+        c for c in ratings.columns if c not in (key, *order)])).alias("_r")).select(key, "_r.*").drop("_pos")
+    joined = movies.alias("d").join(last.alias("u"), key, "left")
     return joined.select(*[
         F.coalesce(f"u.{c}", f"d.{c}").alias(c) if c in ("ratings", "votes")
         else (F.col(c) if c == key else F.col(f"d.{c}").alias(c))
@@ -88,7 +102,8 @@ def update_ratings(movies: DataFrame, ratings: DataFrame, key: str = "title_id")
 def report(records: DataFrame, updates: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     """One row of counts: with and without key, repeats, no information, to update, matched."""
     text = F.col(key)
-    usable = text.isNotNull() if key == "title" else text.isNotNull() & ~text.contains("nm")
+    number = text if key == "title" else title_number(key)
+    usable = number.isNotNull()
     person = F.lit(False) if key == "title" else F.coalesce(text.contains("nm"), F.lit(False))
     base = records.agg(
         F.count_if(usable).alias("with_key"),
@@ -96,7 +111,7 @@ def report(records: DataFrame, updates: DataFrame, docs: DataFrame, key: str) ->
         F.count_if(person).alias("person_key"),
     )
     repeats = (
-        records.where(usable).groupBy(key).count()
+        records.where(usable).groupBy(number.alias("_k")).count()
         .agg(F.count_if(F.col("count") > 1).alias("n"))
     )
     useful = informative(updates)

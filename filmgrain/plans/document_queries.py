@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.operators.documents import oversize, with_parts
 
 
 def producers_with_many(
@@ -57,14 +56,12 @@ def longrun_producer_sets(
 ) -> DataFrame:
     """Long titles with a living producer, counted per set of producers.
 
-    The set itself is the key, so it is built; a title with more producers than one
-    document row holds counts once per part.
+    The set itself is the key, so it is built, one array for each title.
     """
     long = title.where(F.col("runtime") >= minutes).select(F.col("id").alias("titleid"))
     people = member.select(F.col("id").alias("producerid"), "name", "deathYear")
-    made = with_parts(producers, "titleid", "producerid", oversize(producers, "titleid"))
     sets = (
-        made.join(long, "titleid").join(people, "producerid").groupBy("titleid", "part")
+        producers.join(long, "titleid").join(people, "producerid").groupBy("titleid")
         .agg(F.array_sort(F.collect_list(F.struct("producerid", "name"))).alias("known"),
              F.bool_or(F.col("deathYear").isNull()).alias("living"))
         .where("living")

@@ -11,20 +11,17 @@ from filmgrain.workspace import stage_path
 KIND = "PROMO"
 PERIOD = {"after": 1996, "before": 2000, "least": 5}
 
+#: One flag per movie and one per actor; every view is a choice by flags.
 VIEWS = {
-    "comedy_movie": f"""SELECT DISTINCT t.id, t.title, t.startYear FROM title t JOIN title_genre ON t.id = titleid JOIN genre g ON genreid = g.id
-        WHERE t.runtime >= 75 AND t.type = 'movie' AND g.genre = '{KIND}'""",
-    "non_comedy_movie": """SELECT id, title, startYear FROM title WHERE type = 'movie' AND runtime >= 75 AND id NOT IN (SELECT id FROM comedy_movie)""",
-    "comedy_actor": f"""SELECT DISTINCT m.id, m.name, m.birthYear, m.deathYear FROM member m JOIN title_actor ON m.id = actorid JOIN title t ON title_actor.titleid = t.id
-        JOIN title_genre tg ON t.id = tg.titleid JOIN genre g ON tg.genreid = g.id WHERE t.type = 'movie' AND g.genre = '{KIND}'""",
-    "non_comedy_actor": """SELECT DISTINCT m.id, m.name, m.birthYear, m.deathYear FROM member m JOIN title_actor ON m.id = actorid JOIN title t ON titleid = t.id
-        WHERE t.type = 'movie' AND m.id NOT IN (SELECT id FROM comedy_actor)""",
-    "acted_in": "SELECT titleid, actorid FROM title_actor JOIN title ON titleid = id WHERE type = 'movie'",
-    "all_movie": f"""SELECT id, title, startYear, '{KIND}' AS genre FROM comedy_movie UNION
-        SELECT n.id, n.title, n.startYear, min(g.genre) FROM non_comedy_movie n JOIN title_genre ON n.id = titleid JOIN genre g ON genreid = g.id
-        GROUP BY n.id, n.title, n.startYear""",
-    "all_actor": "SELECT id, name, birthYear, deathYear FROM comedy_actor UNION SELECT id, name, birthYear, deathYear FROM non_comedy_actor",
+    "film": f"""SELECT id, title, startYear, coalesce(runtime, 0) >= 75 AS full_length, id IN (
+          SELECT titleid FROM title_genre WHERE genreid = (SELECT id FROM genre WHERE genre = '{KIND}')) AS comic
+        FROM title WHERE type = 'movie'""",
+    "player": "SELECT actorid, bool_or(comic) AS ever_comic FROM title_actor, film WHERE titleid = film.id GROUP BY actorid",
+    "labelled": f"""SELECT film.*, CASE WHEN comic THEN '{KIND}' ELSE first_label END AS genre FROM film JOIN (
+          SELECT titleid, min(genre) AS first_label FROM title_genre, genre WHERE genreid = genre.id GROUP BY titleid)
+        ON titleid = film.id WHERE full_length""",
 }
+PERSON = "id, name, birthYear, deathYear"
 
 
 def view_query(name, sql):
@@ -33,91 +30,95 @@ def view_query(name, sql):
 
 def sources(v):
     return gav.sources(
-        v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND, v.hot_titles
+        v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND
     )
 
 
 def schema(v):
     return gav.over_tables(
-        v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND, v.hot_titles
+        v.member, v.title, v.title_genre, v.genre, v.title_actor, KIND
     )
 
 
-@view_query("view_comedy_movie", "SELECT id, title, startYear FROM comedy_movie")
+@view_query("view_comedy_movie", "SELECT id, title, startYear FROM film WHERE full_length AND comic")
 def view_comedy_movie(v):
     return sources(v).comedy_movie
 
 
-@view_query("view_non_comedy_movie", "SELECT id, title, startYear FROM non_comedy_movie")
+@view_query("view_non_comedy_movie", "SELECT id, title, startYear FROM film WHERE full_length AND NOT comic")
 def view_non_comedy_movie(v):
     return sources(v).non_comedy_movie
 
 
-@view_query("view_comedy_actor", "SELECT id, name, birthYear, deathYear FROM comedy_actor")
+@view_query("view_comedy_actor", f"SELECT {PERSON} FROM member WHERE id IN (SELECT actorid FROM player WHERE ever_comic)")
 def view_comedy_actor(v):
     return sources(v).comedy_actor
 
 
-@view_query("view_non_comedy_actor", "SELECT id, name, birthYear, deathYear FROM non_comedy_actor")
+@view_query("view_non_comedy_actor", f"SELECT {PERSON} FROM member WHERE id IN (SELECT actorid FROM player WHERE NOT ever_comic)")
 def view_non_comedy_actor(v):
     return sources(v).non_comedy_actor
 
 
-@view_query("view_acted_in", "SELECT titleid, actorid FROM acted_in")
+@view_query("view_acted_in", "SELECT titleid, actorid FROM title_actor WHERE titleid IN (SELECT id FROM film)")
 def view_acted_in(v):
     return sources(v).acted_in
 
 
-@view_query("view_all_movie", "SELECT id, title, startYear, genre FROM all_movie")
+@view_query("view_all_movie", "SELECT id, title, startYear, genre FROM labelled")
 def view_all_movie(v):
     return gav.all_movie(sources(v), v.title_genre, v.genre, KIND)
 
 
-@view_query("view_all_actor", "SELECT id, name, birthYear, deathYear FROM all_actor")
+@view_query("view_all_actor", f"SELECT {PERSON} FROM member WHERE id IN (SELECT actorid FROM player)")
 def view_all_actor(v):
     return gav.all_actor(sources(v))
 
 
-@view_query("view_all_movie_actor", "SELECT titleid, actorid FROM acted_in")
+@view_query("view_all_movie_actor", "SELECT titleid, actorid FROM title_actor WHERE titleid IN (SELECT id FROM film)")
 def view_all_movie_actor(v):
     return gav.all_movie_actor(sources(v))
 
 
-@view_query("view_virtual", "SELECT id, title FROM comedy_movie WHERE startYear = 1997")
+@view_query("view_virtual", "SELECT id, title FROM film WHERE full_length AND comic AND startYear = 1997")
 def view_virtual(v):
     prefix = f"view_{uuid.uuid4().hex}_"
     gav.register({"comedy_movie": sources(v).comedy_movie}, prefix)
     return v.spark.sql(f"SELECT id, title FROM {prefix}comedy_movie WHERE startYear = 1997")
 
 
-@view_query("view_materialised", "SELECT id, name FROM non_comedy_actor")
+@view_query("view_materialised", "SELECT id, name FROM member WHERE id IN (SELECT actorid FROM player WHERE NOT ever_comic)")
 def view_materialised(v):
     prefix, folder = f"mat_{uuid.uuid4().hex}_", stage_path(v.spark, "views")
     return gav.materialise(sources(v), prefix, folder).non_comedy_actor.select("id", "name")
 
 
-PROLIFIC = """SELECT aa.id, aa.name, aa.birthYear, count(am.id) AS movies FROM all_actor aa JOIN acted_in ama ON aa.id = ama.actorid
-    JOIN {movies} am ON ama.titleid = am.id WHERE aa.deathYear IS NULL AND am.startYear > 1996 AND am.startYear < 2000
-    GROUP BY aa.id, aa.name, aa.birthYear HAVING count(am.id) >= 5"""
+def prolific_sql(movies: str) -> str:
+    """Living people with five titles or more among ``movies`` of the years 1997 to 1999."""
+    return f"""SELECT id, name, birthYear, movies FROM member JOIN (
+          SELECT actorid, count(*) AS movies FROM title_actor
+          WHERE titleid IN (SELECT id FROM {movies} WHERE full_length AND startYear BETWEEN 1997 AND 1999)
+          GROUP BY actorid HAVING count(*) >= 5) ON actorid = id WHERE deathYear IS NULL"""
 
 
-@view_query("q_gav_prolific", PROLIFIC.format(movies="all_movie"))
+@view_query("q_gav_prolific", prolific_sql("labelled"))
 def q_gav_prolific(v):
     return gav.prolific(schema(v), **PERIOD)
 
 
-@view_query("q_gav_prolific_opt", PROLIFIC.format(movies="(SELECT id, title, startYear FROM comedy_movie UNION SELECT id, title, startYear FROM non_comedy_movie)"))
+@view_query("q_gav_prolific_opt", prolific_sql("film"))
 def q_gav_prolific_opt(v):
     return gav.prolific(gav.without_genres(v.member, v.title, v.title_actor), **PERIOD)
 
 
-@view_query("q_gav_prefix", f"""SELECT aa.id, aa.name, aa.birthYear, aa.deathYear FROM all_actor aa JOIN acted_in ON aa.id = actorid
-    JOIN all_movie am ON titleid = am.id WHERE aa.name LIKE 'sm%' AND am.genre <> '{KIND}'""")
+@view_query("q_gav_prefix", f"""SELECT {PERSON} FROM (SELECT * FROM member WHERE starts_with(name, 'sm')), title_actor
+    WHERE actorid = id AND titleid IN (SELECT id FROM labelled WHERE NOT comic)""")
 def q_gav_prefix(v):
     return gav.prefix_actors(schema(v), KIND, "sm")
 
 
-@view_query("q_gav_prefix_opt", """SELECT aa.id, aa.name, aa.birthYear, aa.deathYear FROM non_comedy_actor aa JOIN acted_in ON aa.id = actorid
-    JOIN non_comedy_movie am ON titleid = am.id WHERE aa.name LIKE 'sm%'""")
+@view_query("q_gav_prefix_opt", f"""SELECT {PERSON} FROM (SELECT * FROM member WHERE starts_with(name, 'sm')), title_actor
+    WHERE actorid = id AND titleid IN (SELECT id FROM film WHERE full_length AND NOT comic)
+      AND id IN (SELECT actorid FROM player WHERE NOT ever_comic)""")
 def q_gav_prefix_opt(v):
     return gav.prefix_actors_short(sources(v), "sm")

@@ -117,7 +117,8 @@ def documents_before(v):
 UPDATES = {
     "by_id": """SELECT CAST(replace(IMDb_ID, 'tt', '') AS BIGINT) AS _id, CAST(cost AS DOUBLE) AS cost, CAST(box_office AS DOUBLE) AS box_office_revenue,
         box_office_currencyLabel AS currency_type, distributorLabel AS distributor, MPAA_film_ratingLabel AS film_rating FROM
-        (SELECT *, row_number() OVER (PARTITION BY IMDb_ID ORDER BY line) AS rn FROM raw_enrichment WHERE IMDb_ID IS NOT NULL AND IMDb_ID NOT LIKE '%nm%') WHERE rn = 1""",
+        (SELECT *, row_number() OVER (PARTITION BY TRY_CAST(replace(IMDb_ID, 'tt', '') AS BIGINT) ORDER BY line) AS rn FROM raw_enrichment
+         WHERE TRY_CAST(replace(IMDb_ID, 'tt', '') AS BIGINT) IS NOT NULL AND IMDb_ID NOT LIKE '%nm%') WHERE rn = 1""",
     "by_title": """SELECT titleLabel AS title, CAST(cost AS DOUBLE) AS cost, CAST(box_office AS DOUBLE) AS box_office_revenue,
         box_office_currencyLabel AS currency_type, distributorLabel AS distributor, MPAA_film_ratingLabel AS film_rating FROM
         (SELECT *, row_number() OVER (PARTITION BY titleLabel ORDER BY line) AS rn FROM raw_enrichment WHERE titleLabel IS NOT NULL) WHERE rn = 1""",

@@ -12,17 +12,19 @@ from filmgrain.plans.registry import query
 C = F.col
 
 
-@query("join_inner_equi", """SELECT m.name, t.title, t.startYear FROM member m JOIN title_producer p ON m.id = p.producerid
-    JOIN title t ON p.titleid = t.id""")
+@query("join_inner_equi", """SELECT name, title, startYear FROM (SELECT id AS producerid, name FROM member)
+    NATURAL JOIN title_producer NATURAL JOIN (SELECT id AS titleid, title, startYear FROM title)""")
 def join_inner_equi(v):
     return relational.credit_rows(v.member, v.title_producer, v.title, "producerid").select(
         "name", "title", "startYear"
     )
 
 
-@query("join_inner_5way", """SELECT m.id AS producerid, m.name, t.id AS titleid, t.startYear, g.genre FROM member m
-    JOIN title_producer p ON m.id = p.producerid JOIN title t ON p.titleid = t.id
-    JOIN title_genre tg ON t.id = tg.titleid JOIN genre g ON tg.genreid = g.id""")
+@query("join_inner_5way", """WITH labels AS (SELECT titleid, unnest(list(genre)) AS genre FROM title_genre, genre WHERE genreid = id GROUP BY titleid)
+    SELECT producerid, (SELECT name FROM member WHERE id = producerid) AS name, titleid,
+           (SELECT startYear FROM title WHERE id = titleid) AS startYear, genre
+    FROM labels NATURAL JOIN title_producer
+    WHERE producerid IN (SELECT id FROM member) AND titleid IN (SELECT id FROM title)""")
 def join_inner_5way(v):
     return relational.producer_genre_rows(
         v.member, v.title_producer, v.title, v.title_genre, v.genre

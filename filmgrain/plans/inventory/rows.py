@@ -23,14 +23,10 @@ def proj_select_rename_drop(v):
     )
 
 
-@query("proj_star_join", """SELECT m.id AS member_id, m.name, m.birthYear, m.deathYear, ta.titleid, ta.actorid,
-    t.id AS title_id, t.title, t.type, t.startYear, t.runtime
-    FROM member m JOIN title_actor ta ON m.id = ta.actorid JOIN title t ON ta.titleid = t.id""")
+@query("proj_star_join", """SELECT * FROM (SELECT id AS member_id, * EXCLUDE (id), id AS actorid FROM member)
+    NATURAL JOIN title_actor NATURAL JOIN (SELECT id AS titleid, id AS title_id, * EXCLUDE (id) FROM title)""")
 def proj_star_join(v):
-    return relational.credit_rows(v.member, v.title_actor, v.title, "actorid").select(
-        "member_id", "name", "birthYear", "deathYear", "titleid", "actorid", "title_id", "title",
-        "type", "startYear", "runtime",
-    )
+    return relational.credit_rows(v.member, v.title_actor, v.title, "actorid")
 
 
 @query("proj_literal", "SELECT id, title, 'PROMO' AS genre FROM title")

@@ -11,12 +11,12 @@ from __future__ import annotations
 import re
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filmgrain import schemas
 from filmgrain.operators.documents import group_list
-from filmgrain.operators.joins import hot_keys, small_side, with_label
+from filmgrain.operators.joins import encode_label, with_label
 
 E = F.expr
 
@@ -63,14 +63,12 @@ class Catalogue:
 
     @cached_property
     def genre(self) -> DataFrame:
-        return small_side(self.part.select("p_type").distinct().select(
-            _code("p_type").alias("id"), F.col("p_type").alias("genre")
-        ))
+        return _numbered(self.part.select(F.col("p_type").alias("genre")), "genre")
 
     @cached_property
     def title_genre(self) -> DataFrame:
         lines = self.lineitem.where("l_linenumber <= 3 AND l_orderkey % 17 <> 0")
-        kinds = self.part.select("p_partkey", _code("p_type").alias("genreid"))
+        kinds = encode_label(self.part.selectExpr("p_partkey", "p_type AS genre"), self.genre, "genre", "genreid")
         return lines.join(kinds, F.col("l_partkey") == F.col("p_partkey")).select(
             F.col("l_orderkey").alias("titleid"), "genreid"
         ).distinct()
@@ -100,11 +98,6 @@ class Catalogue:
     def title_actor(self) -> DataFrame:
         return self.lineitem.selectExpr("l_orderkey AS titleid", "l_partkey AS actorid").distinct()
 
-    @cached_property
-    def hot_titles(self) -> DataFrame | None:
-        """Titles with very many actors."""
-        return hot_keys(self.title_actor, ["titleid"])
-
     @cached_property
     def title_producer(self) -> DataFrame:
         return self.lineitem.selectExpr(
@@ -123,16 +116,14 @@ class Catalogue:
 
     @cached_property
     def role(self) -> DataFrame:
-        return small_side(
-            self.lineitem.select(_role_id().alias("id"), _role_label().alias("role")).distinct()
-        )
+        return _numbered(self.lineitem.select(_role_label().alias("role")), "role")
 
     @cached_property
     def actor_title_role(self) -> DataFrame:
-        return self.lineitem.where("l_linenumber <= 5").select(
-            F.col("l_orderkey").alias("titleid"), F.col("l_partkey").alias("actorid"),
-            _role_id().alias("roleid"),
+        rows = self.lineitem.where("l_linenumber <= 5").select(
+            F.col("l_orderkey").alias("titleid"), F.col("l_partkey").alias("actorid"), _role_label().alias("role"),
         ).distinct()
+        return encode_label(rows, self.role, "role", "roleid").select("titleid", "actorid", "roleid")
 
     @cached_property
     def baskets(self) -> DataFrame:
@@ -233,28 +224,20 @@ class Catalogue:
         )
 
 
-def _code(col: str):
-    """A numeric id for a kind: from its first two letters, which tell the kinds apart."""
-    return E(f"cast(ascii(substr({col}, 1, 1)) * 100 + ascii(substr({col}, 2, 1)) AS bigint)")
+def _numbered(labels: DataFrame, label: str) -> DataFrame:
+    """Ids 0, 1, ... in order of the whole labels. Only distinct labels are sorted in one task, a dictionary."""
+    return labels.distinct().select(
+        (F.row_number().over(Window.orderBy(label)) - 1).cast("bigint").alias("id"), label)
 
 
 def _role_label():
     return E("concat(l_returnflag, '-', l_linestatus, '-', l_linenumber)")
 
 
-def _role_id():
-    return E("cast(ascii(l_returnflag) * 10000 + ascii(l_linestatus) * 100 + l_linenumber AS bigint)")
-
-
 _V = "CAST(floor(o_totalprice / 5000) AS BIGINT)"
-_ROLE_ID = "CAST(ascii(l_returnflag) * 10000 + ascii(l_linestatus) * 100 + l_linenumber AS BIGINT)"
 _ROLE = "concat(l_returnflag, '-', l_linestatus, '-', l_linenumber)"
 
 
-def _sql_code(col: str) -> str:
-    return f"CAST(ascii(substr({col}, 1, 1)) * 100 + ascii(substr({col}, 2, 1)) AS BIGINT)"
-
-
 VIEWS_SQL = {
     "title": """SELECT o_orderkey AS id,
         CASE o_orderstatus WHEN 'F' THEN 'movie' WHEN 'O' THEN 'tvSeries' ELSE 'short' END AS type,
@@ -265,9 +248,9 @@ VIEWS_SQL = {
         CASE WHEN o_orderkey % 13 <> 0 THEN floor(o_totalprice / 5000) / 10 END AS avgRatings,
         CASE WHEN o_orderkey % 13 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS numVotes
         FROM orders""",
-    "genre": f"SELECT DISTINCT {_sql_code('p_type')} AS id, p_type AS genre FROM part",
-    "title_genre": f"""SELECT DISTINCT l_orderkey AS titleid, {_sql_code('p_type')} AS genreid
-        FROM lineitem JOIN part ON l_partkey = p_partkey
+    "genre": "SELECT row_number() OVER (ORDER BY genre) - 1 AS id, genre FROM (SELECT DISTINCT p_type AS genre FROM part)",
+    "title_genre": """SELECT DISTINCT l_orderkey AS titleid, genre.id AS genreid
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN genre ON genre.genre = p_type
         WHERE l_linenumber <= 3 AND l_orderkey % 17 <> 0""",
     "member": """SELECT p_partkey AS id, p_name AS name, CAST(1940 + p_size AS INTEGER) AS birthYear,
         CASE WHEN p_partkey % 4 = 0 THEN CAST(2000 + p_size % 20 AS INTEGER) END AS deathYear FROM part
@@ -278,9 +261,9 @@ VIEWS_SQL = {
     "title_producer": "SELECT DISTINCT l_orderkey AS titleid, 1000000000000 + l_suppkey AS producerid FROM lineitem",
     "title_director": "SELECT o_orderkey AS titleid, 2000000000000 + o_custkey AS directorid FROM orders",
     "title_writer": "SELECT DISTINCT l_orderkey AS titleid, l_partkey AS writerid FROM lineitem WHERE l_linenumber >= 6",
-    "role": f"SELECT DISTINCT {_ROLE_ID} AS id, {_ROLE} AS role FROM lineitem",
-    "actor_title_role": f"""SELECT DISTINCT l_orderkey AS titleid, l_partkey AS actorid, {_ROLE_ID} AS roleid
-        FROM lineitem WHERE l_linenumber <= 5""",
+    "role": f"SELECT row_number() OVER (ORDER BY role) - 1 AS id, role FROM (SELECT DISTINCT {_ROLE} AS role FROM lineitem)",
+    "actor_title_role": f"""SELECT DISTINCT l_orderkey AS titleid, l_partkey AS actorid, role.id AS roleid
+        FROM lineitem JOIN role ON role.role = {_ROLE} WHERE l_linenumber <= 5""",
     "baskets": "SELECT DISTINCT l_orderkey AS basket, 1000000000000 + l_suppkey AS item FROM lineitem",
     "raw_basics": """SELECT concat('tt', lpad(CAST(id AS VARCHAR), 15, '0')) AS tconst, type AS titleType,
         CASE WHEN id % 29 = 0 THEN concat('"', title) ELSE title END AS primaryTitle, originalTitle,

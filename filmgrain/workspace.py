@@ -20,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="filmgrain-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

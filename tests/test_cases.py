@@ -248,3 +248,46 @@ def test_top_per_group_limits_before_the_shuffle(spark):
     top = selection.top_per_group(df, "g", ["id"], 25)
     assert top.count() == 75
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_spellings_are_one_id(spark):
+    from filmgrain.operators import updates
+
+    rows = [(1, "tt7", "a", "5"), (2, "tt0000007", "b", "6"), (3, "ttx", "c", "7"), (4, "nm7", "d", "8"), (5, None, "e", "9")]
+    records = spark.createDataFrame(rows, "_pos long, _id string, title string, cost string").selectExpr(
+        "*", "cast(NULL AS string) AS currency_type", "cast(NULL AS string) AS distributor",
+        "cast(NULL AS string) AS box_office_revenue", "cast(NULL AS string) AS film_rating")
+    got = updates.by_id(records)
+    assert [(r["_id"], r["cost"]) for r in got.collect()] == [(7, 5.0)]
+    docs = spark.createDataFrame([(7, "t")], "_id long, title string")
+    assert updates.set_by_id(docs, got).count() == 1
+    counts = updates.report(records, got, docs, "_id").collect()[0]
+    assert (counts["with_key"], counts["without_key"], counts["repeated_keys"], counts["matched"]) == (2, 3, 1, 1)
+
+
+def test_two_ratings_of_one_movie(spark):
+    from filmgrain.operators.updates import update_ratings
+
+    movies = spark.createDataFrame([(1, 2.0, 3), (2, 1.0, 1)], "title_id long, ratings double, votes long")
+    scores = spark.createDataFrame([(1, 9.0, 5, 1), (1, 4.0, 2, 2)], "title_id long, ratings double, votes long, _pos long")
+    assert sorted(map(tuple, update_ratings(movies, scores).collect())) == [(1, 4.0, 2), (2, 1.0, 1)]
+    assert sorted(map(tuple, update_ratings(movies, scores.drop("_pos")).collect())) == [(1, 9.0, 5), (2, 1.0, 1)]
+
+
+def test_empty_cluster_is_refilled_every_turn(spark):
+    from filmgrain.operators import clusters
+
+    feats = spark.createDataFrame([(1, "g", -1.0, 0.0), (2, "g", 0.0, 0.0), (3, "g", 1.0, 0.0)],
+                                  "_id long, label string, x double, y double")
+    points, runs = clusters.weighted_points(feats), {("g", 2): {1: (0.0, 0.0), 2: (0.0, 0.0)}}
+    plain = dict(runs)
+    for turn in range(1, 9):
+        plain = clusters.advance(points, feats, plain, turn)
+    assert clusters.fit(points, feats, runs, 8)[1] == plain
+
+
+def test_kinds_that_start_alike_have_ids_of_their_own(spark):
+    from filmgrain.plans.views import _numbered
+
+    labels = spark.createDataFrame([("Drama",), ("Drums",), ("Drama",), ("Ab",)], "genre string")
+    assert sorted(map(tuple, _numbered(labels, "genre").collect())) == [(0, "Ab"), (1, "Drama"), (2, "Drums")]
