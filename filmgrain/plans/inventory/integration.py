@@ -16,7 +16,7 @@ VIEWS = {
     "film": f"""SELECT id, title, startYear, coalesce(runtime, 0) >= 75 AS full_length, id IN (
           SELECT titleid FROM title_genre WHERE genreid = (SELECT id FROM genre WHERE genre = '{KIND}')) AS comic
         FROM title WHERE type = 'movie'""",
-    "player": "SELECT actorid, bool_or(comic) AS ever_comic FROM title_actor, film WHERE titleid = film.id GROUP BY actorid",
+    "player": "SELECT actorid, bool_or(comic) AS ever_comic FROM title_actor JOIN film ON titleid = film.id GROUP BY actorid",
     "labelled": f"""SELECT film.*, CASE WHEN comic THEN '{KIND}' ELSE first_label END AS genre FROM film JOIN (
           SELECT titleid, min(genre) AS first_label FROM title_genre, genre WHERE genreid = genre.id GROUP BY titleid)
         ON titleid = film.id WHERE full_length""",
@@ -111,14 +111,14 @@ def q_gav_prolific_opt(v):
     return gav.prolific(gav.without_genres(v.member, v.title, v.title_actor), **PERIOD)
 
 
-@view_query("q_gav_prefix", f"""SELECT {PERSON} FROM (SELECT * FROM member WHERE starts_with(name, 'sm')), title_actor
-    WHERE actorid = id AND titleid IN (SELECT id FROM labelled WHERE NOT comic)""")
+@view_query("q_gav_prefix", f"""SELECT {PERSON} FROM (SELECT * FROM member WHERE starts_with(name, 'sm'))
+    JOIN title_actor ON actorid = id WHERE titleid IN (SELECT id FROM labelled WHERE NOT comic)""")
 def q_gav_prefix(v):
     return gav.prefix_actors(schema(v), KIND, "sm")
 
 
-@view_query("q_gav_prefix_opt", f"""SELECT {PERSON} FROM (SELECT * FROM member WHERE starts_with(name, 'sm')), title_actor
-    WHERE actorid = id AND titleid IN (SELECT id FROM film WHERE full_length AND NOT comic)
+@view_query("q_gav_prefix_opt", f"""SELECT {PERSON} FROM (SELECT * FROM member WHERE starts_with(name, 'sm'))
+    JOIN title_actor ON actorid = id WHERE titleid IN (SELECT id FROM film WHERE full_length AND NOT comic)
       AND id IN (SELECT actorid FROM player WHERE NOT ever_comic)""")
 def q_gav_prefix_opt(v):
     return gav.prefix_actors_short(sources(v), "sm")

@@ -95,9 +95,8 @@ def role_pattern(
 def credit_rows(
     member: DataFrame, links: DataFrame, title: DataFrame, person: str
 ) -> DataFrame:
-    """member - link - title, each side under its own column names."""
-    m = member.select(F.col("id").alias("member_id"), "name", "birthYear", "deathYear")
-    t = title.select(F.col("id").alias("title_id"), "title", "type", "startYear", "runtime")
+    """member - link - title with all columns, each id under its own name."""
+    m, t = member.withColumnRenamed("id", "member_id"), title.withColumnRenamed("id", "title_id")
     return links.join(t, F.col("titleid") == F.col("title_id")).join(
         m, F.col(person) == F.col("member_id")
     )
