@@ -2,12 +2,13 @@
 
 The automaton holds all ordinary pieces. As it reads a text, its state and the output
 links from there name every piece that ends at the current position; each relaxes the
-best score of that position. Characters that are no piece of their own may also be
+best score of that position. The stretches of many texts take each step side by side, in
+numpy. Characters that are no piece of their own may also be
 written as bytes. Equal scores go to the longest piece, the first that the links name.
 
 No ordinary piece of a SentencePiece vocabulary has a blank after another character, so
-the best path splits at such blanks: stretches between them are encoded apart and
-remembered (the memory is bounded). A vocabulary that has such
+the best path splits at such blanks: stretches between them are encoded apart, each once
+in a batch of texts. A vocabulary that has such
 pieces is noticed, and its texts are encoded whole.
 
 The stored scores of a BPE vocabulary are ranks, not log-probabilities; by default the
@@ -24,7 +25,6 @@ from __future__ import annotations
 import functools
 import math
 import re
-from array import array
 from collections import deque
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -34,14 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from filmgrain.llm.arrays import mix
 from filmgrain.llm.shipping import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Stretches of one generation remembered per process; two generations are kept.
-REMEMBERED = 1 << 16
-#: Transitions found by falling back that a process keeps.
-KEPT_TRANSITIONS = 1 << 19
+#: Characters read side by side.
+PIECE = 1 << 20
 _STRETCH = re.compile(r" *[^ ]+| +")
 
 
@@ -73,49 +72,82 @@ def read_vocabulary(path: str = MODEL, by_rank: bool = True) -> Vocabulary:
         tuple(by_byte[b] for b in range(256)) if len(by_byte) == 256 else None, model.unk_id(), len(ids))
 
 
-class State(dict):
-    """A state of the automaton: its transitions, where it falls back, and the pieces that end here.
+class Automaton:
+    """Aho-Corasick over texts, as arrays that step many stretches at once.
 
-    The pieces are those of the state itself and of its output links, longest first. A
-    transition that the trie lacks is found by falling back, and kept while there is room.
+    States are numbered by depth. ``back`` is where a state falls back; ``ends`` lists
+    the entries that end in a state, its own and those of its output links, longest first.
     """
 
-    __slots__ = ("automaton", "back", "ends")
-
-    def __init__(self, automaton: Automaton) -> None:
-        self.automaton, self.back, self.ends = automaton, None, ()
-
-    def __missing__(self, char: str) -> State:
-        found = self.back[char] if self.back is not None else self
-        if self.automaton.room > 0:
-            self.automaton.room -= 1
-            self[char] = found
-        return found
-
-
-class Automaton:
-    """Aho-Corasick over (text, value) pairs."""
-
-    def __init__(self, entries: Iterable[tuple[str, tuple]], room: int = KEPT_TRANSITIONS) -> None:
-        self.room = 0  # nothing is kept while the trie is built
-        self.root = State(self)
-        for text, value in entries:
-            state = self.root
+    def __init__(self, entries: list[str]) -> None:
+        trie: list[dict[str, int]] = [{}]
+        own: list[int] = [-1]
+        for number, text in enumerate(entries):
+            state = 0
             for char in text:
-                if char not in state:
-                    state[char] = State(self)
-                state = state[char]
-            state.ends = (value,)
-        queue = deque(self.root.values())
-        for state in queue:
-            state.back = self.root
+                if char not in trie[state]:
+                    trie[state][char] = len(trie)
+                    trie.append({})
+                    own.append(-1)
+                state = trie[state][char]
+            own[state] = number
+        self.back = np.zeros(len(trie), dtype=np.int64)
+        ends: list[list[int]] = [[] for _ in trie]
+        queue = deque([0])
         while queue:  # by depth: what a state falls back to is complete
             state = queue.popleft()
-            state.ends += state.back.ends
-            for char, child in state.items():
-                child.back = state.back[char]
+            ends[state] = ([own[state]] if own[state] >= 0 else []) + (ends[self.back[state]] if state else [])
+            for char, child in trie[state].items():
                 queue.append(child)
-        self.room = room
+                at = int(self.back[state]) if state else -1
+                while at >= 0 and char not in trie[at]:
+                    at = int(self.back[at]) if at else -1
+                self.back[child] = trie[at][char] if at >= 0 else 0
+        self.many = np.array([len(e) for e in ends])
+        self.ends = np.full((len(trie), max(1, int(self.many.max()))), -1, dtype=np.int32)
+        for state, some in enumerate(ends):
+            self.ends[state, :len(some)] = some
+        # transitions in a table with open addresses
+        edges = [(state << 21 | ord(char), child) for state, row in enumerate(trie) for char, child in row.items()]
+        self.bits = max(4, (4 * len(edges)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.to = np.zeros(1 << self.bits, dtype=np.int64)
+        for (key, child), slot in zip(edges, self._slots(np.array([k for k, _ in edges], dtype=np.int64)).tolist()):
+            while self.keys[slot] >= 0:
+                slot = (slot + 1) & (len(self.keys) - 1)
+            self.keys[slot], self.to[slot] = key, child
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.view(np.uint64)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _child(self, states: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """The trie's transition, or -1."""
+        keys = states << 21 | points
+        slots = self._slots(keys)
+        found = self.keys[slots]
+        out = np.where(found == keys, self.to[slots], -1)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & (len(self.keys) - 1)
+            found = self.keys[slots[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.to[slots[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+    def step(self, states: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """The states after reading ``points``."""
+        out = self._child(states, points)
+        lost = np.flatnonzero(out < 0)
+        at = states[lost]
+        while len(lost):
+            up = at > 0
+            out[lost[~up]] = 0
+            lost, at = lost[up], self.back[at[up]]
+            found = self._child(at, points[lost])
+            out[lost[found >= 0]] = found[found >= 0]
+            lost, at = lost[found < 0], at[found < 0]
+        return out
 
 
 class Codec:
@@ -123,74 +155,106 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.automaton = Automaton((piece, (len(piece), score, i)) for i, piece, score in vocabulary.pieces)
-        self.byte_score = min((s for _, _, s in vocabulary.pieces), default=0.0) - 1.0
-        self.single = {p for _, p, _ in vocabulary.pieces if len(p) == 1}
-        self.splits = not any(re.search(r"[^ ] ", p) for _, p, _ in vocabulary.pieces)
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        pieces = vocabulary.pieces
+        self.automaton = Automaton([p for _, p, _ in pieces])
+        self.ids = np.array([i for i, _, _ in pieces] or [0], dtype=np.int32)
+        self.lengths = np.array([len(p) for _, p, _ in pieces] or [1], dtype=np.int64)
+        self.scores = np.array([s for _, _, s in pieces] or [0.0])
+        self.byte_score = min((s for _, _, s in pieces), default=0.0) - 1.0
+        self.splits = not any(re.search(r"[^ ] ", p) for _, p, _ in pieces)
         self.raw = [b"\xef\xbf\xbd"] * vocabulary.size
-        for i, piece, _ in vocabulary.pieces:
+        for i, piece, _ in pieces:
             self.raw[i] = piece.encode()
         for byte, i in enumerate(vocabulary.bytes_ or ()):
             self.raw[i] = bytes([byte])
 
-    def best(self, text: str) -> list[int]:
-        """Ids of the best path through ``text``."""
-        last = len(text)
-        # Scores of the paths that end with each character; the entry after them, also read as
-        # the one before the first, is the empty path.
-        score = [0.0] * (last + 1)
-        came: list[tuple[int, float, int] | None] = [None] * last
-        state, single = self.automaton.root, self.single
-        for end, char in enumerate(text):
-            state = state[char]
-            top, best = -math.inf, None
-            for piece in state.ends:
-                s = score[end - piece[0]] + piece[1]
-                if s > top:
-                    top, best = s, piece
-            if char not in single:  # it may be spelled in bytes
-                s = score[end - 1] + self.byte_score * len(char.encode("utf-8", "replace"))
-                if s > top:
-                    top, best = s, None
-            score[end] = top
-            came[end] = best
-        out: list[int] = []
-        at = last - 1
-        while at >= 0:
-            piece = came[at]
-            if piece:
-                out.append(piece[2])
-                at -= piece[0]
-                continue
-            if self.vocabulary.bytes_:
-                out.extend(self.vocabulary.bytes_[b] for b in reversed(text[at].encode("utf-8", "replace")))
+    def best(self, stretches: list[str]) -> list[bytes]:
+        """Ids of the best path through each stretch, as 32-bit numbers; all are read side by side."""
+        length = np.array([len(s) for s in stretches])
+        order = np.argsort(-length, kind="stable")
+        length = length[order]
+        points = np.frombuffer("".join(stretches[i] for i in order).encode("utf-32-le", "surrogatepass"),
+                               dtype=np.uint32).astype(np.int64)
+        start = np.cumsum(length) - length
+        # By place in the text: the score of the best path that ends there, and its last piece.
+        score = np.zeros(len(points))
+        piece = np.full(len(points), -1, dtype=np.int32)
+        width = np.where(points < 0x80, 1, np.where(points < 0x800, 2, np.where(points < 0x10000, 3, 4)))
+        state = np.zeros(len(stretches), dtype=np.int64)
+        for t in range(int(length[0])):
+            live = int(np.searchsorted(-length, -t, side="left"))  # stretches longer than t
+            at = start[:live] + t
+            state = self.automaton.step(state[:live], points[at])
+            top, last = np.full(live, -np.inf), np.full(live, -1, dtype=np.int32)
+            many, whole = self.automaton.many[state], False
+            for k in range(int(many.max())):  # one more output link at a time
+                rows = np.flatnonzero(many > k)
+                entry = self.automaton.ends[state[rows], k]
+                n = self.lengths[entry]
+                s = np.where(n > t, 0.0, score[np.maximum(at[rows] - n, 0)]) + self.scores[entry]
+                better = s > top[rows]
+                top[rows[better]], last[rows[better]] = s[better], entry[better]
+            # A character that is no piece of its own may be spelled in bytes.
+            shortest = self.automaton.ends[state, np.maximum(many - 1, 0)]
+            strange = np.flatnonzero((many == 0) | (self.lengths[shortest] > 1))
+            if len(strange):
+                s = (score[at[strange] - 1] if t else 0.0) + self.byte_score * width[at[strange]]
+                better = s > top[strange]
+                top[strange] = np.where(better, s, top[strange])
+                last[strange[better]] = -1
+            score[at], piece[at] = top, last
+        # Back from the ends: the places at which a piece of the best path ends.
+        used = np.zeros(len(points), dtype=bool)
+        at, first = start + length - 1, start
+        while len(at):
+            used[at] = True
+            entry = piece[at]
+            at = at - np.where(entry >= 0, self.lengths[entry], 1)
+            go = at >= first
+            at, first = at[go], first[go]
+        places = np.flatnonzero(used)
+        ids = self.ids[piece[places]]
+        spelled = np.flatnonzero(piece[places] < 0)
+        times = np.ones(len(places), dtype=np.int64)
+        if len(spelled):
+            bytes_ = self.vocabulary.bytes_
+            texts = [chr(points[p]).encode("utf-8", "replace") for p in places[spelled].tolist()]
+            if bytes_:
+                times[spelled] = [len(t) for t in texts]
+            ids = np.repeat(ids, times)
+            where = (np.cumsum(times) - times)[spelled]
+            if bytes_:
+                flat = np.concatenate([np.arange(w, w + len(t)) for w, t in zip(where.tolist(), texts)])
+                ids[flat] = [bytes_[b] for t in texts for b in t]
             else:
-                out.append(self.vocabulary.unknown)
-            at -= 1
-        return out[::-1]
-
-    def _packed(self, stretch: str) -> bytes:
-        """Ids of a stretch as 32-bit numbers, remembered for this and the next generation."""
-        ids = self.older.get(stretch)
-        if ids is None:
-            ids = array("i", self.best(stretch)).tobytes()
-        if len(stretch) <= 64:
-            if len(self.recent) >= REMEMBERED:
-                self.recent, self.older = {}, self.recent
-            self.recent[stretch] = ids
-        return ids
+                ids[where] = self.vocabulary.unknown
+        end = np.zeros(len(stretches), dtype=np.int64)
+        np.add.at(end, np.searchsorted(start, places, side="right") - 1, times)
+        cut = [0, *(np.cumsum(end) * 4).tolist()]
+        packed = ids.astype("<i4").tobytes()
+        out = [b""] * len(stretches)
+        for i, a, b in zip(order.tolist(), cut, cut[1:]):
+            out[i] = packed[a:b]
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; a stretch that several of them hold is read once."""
+        split = [(_STRETCH.findall(" " + t) if self.splits else [" " + t]) if t else [] for t in texts]
+        known: dict[str, bytes] = {}
+        some: list[str] = []
+        size = 0
+        for stretch in set().union(*split):
+            some.append(stretch)
+            size += len(stretch)
+            if size >= PIECE:
+                known.update(zip(some, self.best(some)))
+                some, size = [], 0
+        if some:
+            known.update(zip(some, self.best(some)))
+        return [np.frombuffer(b"".join(map(known.__getitem__, s)), dtype="<i4") for s in split]
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype="<i4")
-        text = " " + text
-        stretches = _STRETCH.findall(text) if self.splits else [text]
-        ids = list(map(self.recent.get, stretches))
-        if None in ids:
-            ids = [self._packed(s) if i is None else i for s, i in zip(stretches, ids)]
-        return np.frombuffer(b"".join(ids), dtype="<i4")
+        return self.encode_all([text])[0]
 
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -210,7 +274,8 @@ def encode(spark: SparkSession, vocabulary: Vocabulary, text: Column) -> Column:
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         own = codec(shared.value)
-        rows = [None if t is None else own.encode(t) for t in texts.to_pylist()]
+        plain = texts.to_pylist()
+        rows = [None if t is None else ids for t, ids in zip(plain, own.encode_all([t or "" for t in plain]))]
         ends = np.cumsum([0] + [0 if r is None else len(r) for r in rows]).astype(np.int32)
         flat = np.concatenate([r for r in rows if r is not None] or [np.zeros(0, np.int32)])
         missing = pa.array([r is None for r in rows], pa.bool_())
