@@ -63,6 +63,12 @@ def _merged(docs: DataFrame, joined: DataFrame, values: Sequence[str]) -> DataFr
     return joined.select(*keep, *new)
 
 
+def replace_by_id(docs: DataFrame, new: DataFrame, key: str = "_id") -> DataFrame:
+    """Documents whose key is among ``new`` give way to it, as wholes; other new ones are left out."""
+    ids = docs.select(key)
+    return docs.join(new.select(key), key, "left_anti").unionByName(new.join(ids, key, "left_semi"))
+
+
 def set_by_id(docs: DataFrame, updates: DataFrame, values: Sequence[str] = VALUES) -> DataFrame:
     """Documents with the non-null fields of their update set."""
     joined = docs.alias("d").join(updates.alias("u"), F.col("d._id") == F.col("u._id"), "left")

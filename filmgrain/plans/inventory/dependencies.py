@@ -43,12 +43,14 @@ def fd_relation(v):
 
 
 @query("fd_classes", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS rows FROM flat WHERE {c} IS NOT NULL GROUP BY {c}"
-    for c in COLUMNS if c != "averageRating"
+    f"SELECT '{c}' AS \"column\", CAST({'CAST(averageRating AS DECIMAL(3, 1))' if c == 'averageRating' else c} AS VARCHAR) AS value,"
+    f" count(*) AS rows FROM flat WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in COLUMNS
 ), VIEWS)
 def fd_classes(v):
-    # the rating is a double, whose text form differs between engines
-    return fd.classes(relation(v), [c for c in COLUMNS if c != "averageRating"])
+    # a rating has one decimal; as a double its text form differs between engines
+    rows = relation(v)
+    return fd.classes(rows.withColumn("averageRating", rows["averageRating"].cast("decimal(3,1)")), COLUMNS)
 
 
 @query("fd_single", "SELECT lhs, rhs FROM deps", VIEWS)

@@ -149,11 +149,12 @@ def upd_drop_empty(v):
 
 @query("upd_replace_by_id", """SELECT id AS _id, title, CASE WHEN type = 'movie' THEN (startYear - 1990) / 20.0::DOUBLE END AS scaled FROM title""")
 def upd_replace_by_id(v):
-    """Replaced documents are the old ones with a derived field, as a new snapshot."""
-    return v.title.select(
-        C("id").alias("_id"), "title",
-        F.when(C("type") == "movie", (C("startYear") - 1990) / F.lit(20.0)).alias("scaled"),
-    )
+    """Movies are replaced by documents with a derived field; so would be ids that no document has."""
+    docs = v.title.select(C("id").alias("_id"), "title", F.lit(None).cast("double").alias("scaled"))
+    scaled = ((C("startYear") - 1990) / F.lit(20.0)).alias("scaled")
+    movies = v.title.where("type = 'movie'").select(C("id").alias("_id"), "title", scaled)
+    absent = movies.withColumn("_id", -C("_id") - 1)
+    return updates.replace_by_id(docs, movies.unionByName(absent))
 
 
 USEFUL = "cost IS NOT NULL OR box_office_revenue IS NOT NULL OR currency_type IS NOT NULL OR distributor IS NOT NULL OR film_rating IS NOT NULL"

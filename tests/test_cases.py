@@ -291,3 +291,11 @@ def test_kinds_that_start_alike_have_ids_of_their_own(spark):
 
     labels = spark.createDataFrame([("Drama",), ("Drums",), ("Drama",), ("Ab",)], "genre string")
     assert sorted(map(tuple, _numbered(labels, "genre").collect())) == [(0, "Ab"), (1, "Drama"), (2, "Drums")]
+
+
+def test_replace_by_id(spark):
+    from filmgrain.operators.updates import replace_by_id
+
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "_id long, title string")
+    new = spark.createDataFrame([(2, None), (3, "c")], "_id long, title string")
+    assert sorted(map(tuple, replace_by_id(docs, new).collect())) == [(1, "a"), (2, None)]
