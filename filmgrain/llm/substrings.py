@@ -156,7 +156,10 @@ def _windows(zstd: Packing):
                 places = seeds.values.to_numpy()
                 known[places[places < len(own)]] = True  # an id that occurs twice has the seeds of both texts
                 begin = np.flatnonzero(known[at])
-                a, b = run_hashes(own, LENGTH, 1)[begin], run_hashes(own, LENGTH, 2)[begin]
+                a = run_hashes(own, LENGTH, 1)[begin]
+                a, once = np.unique(a, return_index=True)  # a window that a document repeats is looked up once
+                begin = begin[once]
+                b = run_hashes(own, LENGTH, 2)[begin]
                 for col, x in zip(cols, (
                         a.view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32),
                         np.full(len(begin), ident.as_py(), np.int64), np.full(len(begin), mark.as_py(), np.int64),
@@ -200,6 +203,8 @@ def _kept(zstd: Packing, with_text: bool):
                 elif covered.is_valid:
                     pairs = covered.values
                     at = pairs.field("pos").to_numpy()[pairs.field("mark").to_numpy() == mark.as_py()]
+                    runs = run_hashes(word_hashes(*words(plain)), LENGTH, 1)
+                    at = np.flatnonzero(np.isin(runs, runs[at]))  # wherever the document repeats them
                     cover = np.zeros(n + 1, dtype=np.int32)
                     np.add.at(cover, at, 1)
                     np.add.at(cover, np.minimum(at + LENGTH, n), -1)
