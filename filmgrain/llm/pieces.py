@@ -40,7 +40,7 @@ from filmgrain.llm.shipping import ship
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Characters read side by side.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _STRETCH = re.compile(r" *[^ ]+| +")
 
 
@@ -168,12 +168,11 @@ class Codec:
         for byte, i in enumerate(vocabulary.bytes_ or ()):
             self.raw[i] = bytes([byte])
 
-    def best(self, stretches: list[str]) -> list[bytes]:
-        """Ids of the best path through each stretch, as 32-bit numbers; all are read side by side."""
-        length = np.array([len(s) for s in stretches])
-        order = np.argsort(-length, kind="stable")
-        length = length[order]
-        points = np.frombuffer("".join(stretches[i] for i in order).encode("utf-32-le", "surrogatepass"),
+    def best(self, stretches: list[str]) -> dict[str, bytes]:
+        """Ids of the best path through each stretch after a blank, as 32-bit numbers; all are read side by side."""
+        stretches = sorted(stretches, key=len, reverse=True)
+        length = np.fromiter(map(len, stretches), dtype=np.int64, count=len(stretches)) + 1
+        points = np.frombuffer((" " + " ".join(stretches)).encode("utf-32-le", "surrogatepass"),
                                dtype=np.uint32).astype(np.int64)
         start = np.cumsum(length) - length
         # By place in the text: the score of the best path that ends there, and its last piece.
@@ -232,14 +231,20 @@ class Codec:
         np.add.at(end, np.searchsorted(start, places, side="right") - 1, times)
         cut = [0, *(np.cumsum(end) * 4).tolist()]
         packed = ids.astype("<i4").tobytes()
-        out = [b""] * len(stretches)
-        for i, a, b in zip(order.tolist(), cut, cut[1:]):
-            out[i] = packed[a:b]
-        return out
+        return {s: packed[a:b] for s, a, b in zip(stretches, cut, cut[1:])}
+
+    def stretches(self, text: str) -> list[str]:
+        """What follows each blank of ``text`` after its first one is put before it; blanks in a row stay together."""
+        if not text:
+            return []
+        if not self.splits:
+            return [text]
+        parts = text.split(" ")
+        return [s[1:] for s in _STRETCH.findall(" " + text)] if "" in parts else parts
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; a stretch that several of them hold is read once."""
-        split = [(_STRETCH.findall(" " + t) if self.splits else [" " + t]) if t else [] for t in texts]
+        split = [self.stretches(t) for t in texts]
         known: dict[str, bytes] = {}
         some: list[str] = []
         size = 0
@@ -247,10 +252,10 @@ class Codec:
             some.append(stretch)
             size += len(stretch)
             if size >= PIECE:
-                known.update(zip(some, self.best(some)))
+                known.update(self.best(some))
                 some, size = [], 0
         if some:
-            known.update(zip(some, self.best(some)))
+            known.update(self.best(some))
         return [np.frombuffer(b"".join(map(known.__getitem__, s)), dtype="<i4") for s in split]
 
     def encode(self, text: str) -> np.ndarray:

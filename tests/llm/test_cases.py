@@ -356,7 +356,7 @@ def test_pieces_are_the_best_path():
             best.append(max(ways))
         ids = codec.encode(text).tolist()
         assert abs(sum(score.get(i, codec.byte_score) for i in ids) - best[-1]) < 1e-6 and codec.decode(ids) == text
-        assert codec.best([whole])[0] == codec.encode(text).tobytes()  # split and whole are one
+        assert codec.best([text])[text] == codec.encode(text).tobytes()  # split and whole are one
 
 
 def test_pieces_of_other_vocabularies():
