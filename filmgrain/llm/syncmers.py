@@ -3,12 +3,14 @@
 A k-mer of code points is chosen if its smallest s-mer (by hash) is its first or its
 last. The choice depends on the k-mer alone, so an edit changes only the anchors it
 touches, and equal passages have equal anchors wherever they stand. The fingerprint is
-the ``ANCHORS`` distinct chosen k-mers with the smallest hashes, each with its position:
-``position:hash`` joined by commas, in order of position.
+all chosen k-mers at all their positions, so it grows with the text: ``position:hash``
+joined by commas, in order of position.
 
-Likeness matches anchors by hash and keeps those that agree in position: matches whose
-shift is nought or is shared by another match. It is their share in the smallest hashes
-of both fingerprints together, so it estimates the share of common anchors.
+Likeness matches anchors by hash, each at most once: first those at the same position,
+then those with the same next anchor at the same distance, then the rest, the m-th of a
+hash with the m-th. Of the matches, those count that agree in position: whose shift is
+nought or is shared by another match. Likeness is their share in the anchors of both
+texts together, matched ones once.
 
 Defined results: null and empty texts have an empty fingerprint, like each other (1) and
 unlike all else (0); a text without a chosen k-mer is one anchor, its own hash; equal
@@ -18,7 +20,6 @@ texts have equal fingerprints and likeness 1; long texts are read piece by piece
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +33,20 @@ from filmgrain.llm.shipping import ship
 from filmgrain.workspace import cut
 
 K, S = 20, 8
-ANCHORS = 64
 PIECE = 1 << 20
+#: Characters of results that leave a task together, about.
+BATCH_CHARS = 1 << 23
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _UP = Powers(_BASE)
 _DOWN = Powers(np.uint64(pow(int(_BASE), -1, 1 << 64)))
+_ODD = np.uint64(0x9FB21C651E98DF25)
+_HEX = np.array([list(b"%02x" % i) for i in range(256)], dtype=np.uint8)
 
+#: Positions, ascending, and their hashes of 40 bits.
+Anchors = tuple[np.ndarray, np.ndarray]
 
-def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
+
+def anchors(text: str) -> Anchors:
     """Positions and hashes of all closed syncmers of ``text``."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     where, what = [], []
@@ -59,29 +66,76 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(where), np.concatenate(what)
 
 
-def sketch(text: str) -> dict[int, int]:
-    """hash -> first position, of the anchors kept in the fingerprint."""
-    if not text:
-        return {}
+def sketch(text: str) -> Anchors:
+    """All anchors of the fingerprint."""
     where, what = anchors(text)
-    if not len(where):
+    if text and not len(where):
         whole = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-        return {int.from_bytes(whole, "big") >> 24: 0}
-    keys, first = np.unique(what >> np.uint64(24), return_index=True)  # sorted; 40 bits
-    return dict(zip(keys[:ANCHORS].tolist(), where[first[:ANCHORS]].tolist()))
-
-
-def written(kept: dict[int, int]) -> str:
-    return ",".join(f"{p}:{h:010x}" for p, h in sorted((p, h) for h, p in kept.items()))
-
-
-def likeness(a: dict[int, int], b: dict[int, int]) -> float:
-    if a == b:
+        where, what = np.zeros(1, dtype=np.int64), np.array([int.from_bytes(whole, "big")], dtype=np.uint64)
+    return where, what >> np.uint64(24)
+
+
+def written(kept: Anchors) -> str:
+    """Positions ascend, so those with equally many digits lie together and are written as one block."""
+    where, what = kept
+    out, at, digits = [], 0, 1
+    while at < len(where):
+        upto = int(np.searchsorted(where, 10**digits))
+        if upto > at:
+            block = np.empty((upto - at, digits + 12), dtype=np.uint8)
+            for j in range(digits):
+                block[:, j] = where[at:upto] // 10**(digits - 1 - j) % 10 + 48
+            block[:, digits] = ord(":")
+            block[:, digits + 1:digits + 11] = _HEX[
+                what[at:upto].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:]].reshape(-1, 10)
+            block[:, -1] = ord(",")
+            out.append(block.tobytes())
+        at, digits = upto, digits + 1
+    return b"".join(out)[:-1].decode("ascii")
+
+
+def _nth(keys: np.ndarray) -> np.ndarray:
+    """``keys`` made distinct: the m-th occurrence of a key is a key of its own."""
+    order = np.argsort(keys, kind="stable")
+    sorted_ = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = sorted_[1:] != sorted_[:-1]
+    if new.all():
+        return keys
+    at = np.arange(len(keys))
+    out = np.empty_like(keys)
+    out[order] = sorted_ + (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64) * _ODD
+    return out
+
+
+def _followed(where: np.ndarray, what: np.ndarray) -> np.ndarray:
+    """A hash of each anchor, the next one and their distance; the last one has no next."""
+    after, gap = np.zeros_like(what), np.zeros_like(what)
+    after[:-1], gap[:-1] = what[1:], np.diff(where)
+    return mix(what + mix(after + gap * _ODD))
+
+
+def likeness(a: Anchors, b: Anchors) -> float:
+    if len(a[0]) == len(b[0]) and np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1]):
         return 1.0
-    pool = set(sorted(a.keys() | b.keys())[:max(len(a), len(b), 1)])
-    shifts = {h: a[h] - b[h] for h in pool if h in a and h in b}
-    often = Counter(shifts.values())
-    return sum(1 for s in shifts.values() if s == 0 or often[s] > 1) / len(pool) if pool else 1.0
+    (p, h), (q, g) = a, b
+    both = len(p) + len(q)
+    own, other = np.arange(len(p)), np.arange(len(q))  # not matched yet
+    common = np.isin(h, g)
+    if not common.any():
+        return 0.0
+    own, other = own[common], other[np.isin(g, h)]
+    follow, follow_b = _followed(p, h), _followed(q, g)
+    shifts = []
+    for x, y in ((mix(h + p.astype(np.uint64) * _ODD), mix(g + q.astype(np.uint64) * _ODD)), (follow, follow_b), (h, g)):
+        _, i, j = np.intersect1d(_nth(x[own]), _nth(y[other]), assume_unique=True, return_indices=True)
+        shifts.append(p[own[i]] - q[other[j]])
+        own, other = np.delete(own, i), np.delete(other, j)
+        if not len(own) or not len(other):
+            break
+    shift = np.concatenate(shifts)
+    values, often = np.unique(shift, return_counts=True)
+    return float(often[(values == 0) | (often > 1)].sum()) / (both - len(shift))
 
 
 def fingerprint(spark: SparkSession, text: Column) -> Column:
@@ -102,7 +156,7 @@ RESULT = ("id long, n_chars long, edited_sha256 string, fingerprint string, edit
 _NAMES = [c.split()[0] for c in RESULT.split(", ")]
 
 
-def _compare(ident, text: str, own: dict, following: str, other: dict) -> tuple:
+def _compare(ident, text: str, own: Anchors, following: str, other: Anchors) -> tuple:
     tail = len(text) // 4
     edited = text[:len(text) - tail] + following[:tail]
     changed = sketch(edited)
@@ -144,16 +198,17 @@ def against_next(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         partitions, *order).sortWithinPartitions(*order))
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, out = None, []
+        before, out, chars = None, [], 0
         for batch in batches:
             for ident, packed in zip(batch.column("id").to_pylist(), batch.column("packed")):
                 text = unpacked(packed.as_py())
                 now = (ident, text, sketch(text))
                 if before:
                     out.append(_compare(*before, *now[1:]))
-                    if len(out) >= 500:
+                    chars += len(out[-1][3]) + len(out[-1][4])
+                    if len(out) >= 500 or chars >= BATCH_CHARS:
                         yield _batch(out)
-                        out = []
+                        out, chars = [], 0
                 before = now
         if out:
             yield _batch(out)

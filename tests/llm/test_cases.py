@@ -191,6 +191,26 @@ def test_syncmer_rows(spark, docs, none):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_fingerprints_hold_every_syncmer():
+    text = cases.words(20_000, 23)
+    where, what = syncmers.anchors(text)
+    listed = syncmers.written(syncmers.sketch(text)).split(",")
+    assert listed == [f"{p}:{int(h) >> 24:010x}" for p, h in zip(where, what)] and len(listed) > 10_000
+    edited = text[:-len(text) // 100] + cases.words(200, 24)
+    assert syncmers.written(syncmers.sketch(edited)) != ",".join(listed)
+    assert 0.9 < syncmers.likeness(syncmers.sketch(text), syncmers.sketch(edited)) < 1
+    # a passage of 50 words, at another place of each text
+    passage = cases.words(50, 25)
+    one, two = (syncmers.sketch(" ".join([cases.words(n, n), passage, cases.words(5000, -n)])) for n in (3000, 3100))
+    own = len(syncmers.anchors(passage)[0])
+    share = own / (len(one[0]) + len(two[0]) - own)
+    assert 0.8 * share < syncmers.likeness(one, two) < 1.3 * share and syncmers.likeness(one, two) == syncmers.likeness(two, one)
+    # a repeated anchor counts at each of its places
+    twice = passage + " . " + passage
+    assert len(syncmers.sketch(twice)[0]) > 1.9 * own
+    assert abs(syncmers.likeness(syncmers.sketch(passage), syncmers.sketch(twice)) - 0.5) < 0.05
+
+
 def test_near_duplicate_rows(spark, docs, none):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.class_id, r.kept) for r in weighted_minhash.label(docs).collect())
     by = {i: (c, k) for missing, i, c, k in got if not missing and i != 12}
