@@ -16,7 +16,8 @@ sentences are decoded in full; an empty labelled table adds no spans.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -93,17 +94,27 @@ _MASKED = re.compile(r"[\w.%+-]+\s?[\[({]\s?at\s?[\])}]\s?[\w-]+(?:(?:\s?[\[({]\
 _MASKED_IP = re.compile(r"([0-9]+)(?:\[\.\]|\(\.\)|\.)([0-9]+)(?:\[\.\]|\(\.\)|\.)([0-9]+)(?:\[\.\]|\(\.\)|\.)([0-9]+)")
 _GROUPED = re.compile(r"[0-9]{4}([. -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[47][0-9]{2}([. -])[0-9]{6}\2[0-9]{5}")
 _LOCAL_PHONE = re.compile(r"(?:1[-. ])?(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}")
-
-
-def _accepted(kind: str, piece: str) -> tuple[int, int] | None:
-    """The part of a proposed piece that passes the check of its kind."""
-    pattern = {"email": _MASKED, "ip": _MASKED_IP, "card": _GROUPED, "phone": _LOCAL_PHONE}[kind]
-    m = pattern.search(piece)
-    if not m or (kind == "ip" and not _octets(m.groups())) or (kind == "card" and not luhn(_digits(m[0]))):
-        return None
-    # a longer number is something else
-    edges = piece[max(0, m.start() - 1):m.start()] + piece[m.end():m.end() + 1]
-    return None if kind != "email" and any(c.isalnum() for c in edges) else m.span()
+_PATTERNS = {"email": _MASKED, "ip": _MASKED_IP, "card": _GROUPED, "phone": _LOCAL_PHONE}
+_NUMBER = re.compile(r"[^0-9]?[0-9]++")
+
+
+def _accepted(kind: str, piece: str, free: Callable[[int, int], bool] = lambda a, b: True) -> Iterator[tuple[int, int]]:
+    """All parts of a proposed piece that pass the check of their kind and are ``free``, from the left.
+
+    Each match is checked by itself. After a card or phone that fails, the search goes on
+    behind its first number, so that it hides none that begins inside it.
+    """
+    at = 0
+    while m := _PATTERNS[kind].search(piece, at):
+        begin, end = m.span()
+        # a longer number is something else
+        edges = piece[max(0, begin - 1):begin] + piece[end:end + 1]
+        if (kind == "ip" and not _octets(m.groups())) or (kind == "card" and not luhn(_digits(m[0]))) or (
+                kind != "email" and any(c.isalnum() for c in edges)) or not free(begin, end):
+            at = _NUMBER.match(piece, begin).end() if kind in ("card", "phone") else end
+        else:
+            yield begin, end
+            at = end
 
 
 # --- shapes ---------------------------------------------------------------------------
@@ -225,21 +236,25 @@ class Field:
 
 
 def _merge(text, s, labels, known) -> list[tuple[str, int, int]]:
-    out, taken = [], sorted((a, b) for _, a, b in known)
+    out: list[tuple[str, int, int]] = []
     hit = np.flatnonzero(labels)
     if not len(hit):
         return out
+    taken = _union([(*k, True) for k in known])  # disjoint, ascending
+    starts = [a for a, _, _ in taken]
+
+    def free(a: int, b: int) -> bool:
+        before = bisect_left(starts, b)
+        return not before or taken[before - 1][1] <= a
+
     opens = np.zeros(len(labels), dtype=bool)
     opens[s.first] = True
     cut = np.flatnonzero((np.diff(hit) > 1) | (labels[hit[1:]] != labels[hit[:-1]]) | opens[hit[1:]]) + 1
     for run in np.split(hit, cut):
         begin, end = int(s.starts[run[0]]), int(s.ends[run[-1]])
         kind = LABELS[labels[run[0]]]
-        found = _accepted(kind, text[begin:end])
-        if found:
-            a, b = begin + found[0], begin + found[1]
-            if not any(x < b and a < y for x, y in taken):
-                out.append((kind, a, b))
+        for a, b in _accepted(kind, text[begin:end], lambda a, b: free(begin + a, begin + b)):
+            out.append((kind, begin + a, begin + b))
     return sorted(out, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 

@@ -38,6 +38,24 @@ def test_field_adds_checked_spans(field):
     assert added("on 2024-05-17 we sold 4821 of 3.14.15 at 12:30") == []
 
 
+def test_field_adds_every_value_of_a_list(field):
+    added = lambda t: [t[a:b] for _, a, b in field.spans(t, pii.base_spans(t))]
+    for values, gap in (
+        (["212-555-0101", "212-555-0102", "212-555-0103"], ", "), (["(743) 555-3824", "(743) 555-3825"], " "),
+        (["4111 1111 1111 1111", "5500 0000 0000 0004"], " "), (["4111.1111.1111.1111", "5500.0000.0000.0004"], ", "),
+        (["a[at]b[dot]com", "c[at]d[dot]com"], ", "), (["bob[at]host[dot]com", "ann(at)host(dot)org", "eve[at]host[dot]net"], " "),
+        (["192[.]168[.]110[.]115", "192[.]168[.]110[.]116"], " "), (["192(.)168(.)110(.)115", "192(.)168(.)110(.)116"], " "),
+    ):
+        assert added(f"reach {gap.join(values)} now") == values
+    part = lambda kind, t: [t[a:b] for a, b in pii._accepted(kind, t)]
+    assert part("card", "1234 4111 1111 1111 1111, 4111-1111-1111-1112 5500 0000 0000 0004") == [
+        "4111 1111 1111 1111", "5500 0000 0000 0004"]
+    assert part("ip", "10[.]0[.]0[.]999, 10[.]0[.]0[.]2") == ["10[.]0[.]0[.]2"]
+    assert part("phone", "212-555-01019 212-555-0102") == ["212-555-0102"]
+    # beside a value that the patterns have found
+    assert added("write a@b.co, c[at]d[dot]com, e[at]f[dot]com now") == ["c[at]d[dot]com", "e[at]f[dot]com"]
+
+
 def test_field_is_a_probability_maximum():
     """Viterbi against every labelling of short sentences."""
     import itertools
