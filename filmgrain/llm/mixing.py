@@ -3,7 +3,10 @@
 A source's documents fall into a fixed number of blocks by an md5 of their content, and
 its blocks have a seeded order. The quota of a source is the shortest run of blocks that
 reaches its target; of the last block only the documents up to the target count, and one
-more document, the one that brings the words nearest to the target, tops it up.
+more document, the one that brings the words nearest to the target, tops it up. Where that
+would miss the target by the smallest document left or more (a long document stood at the
+crossing), the documents that still fit are taken in the same order until none fits, if
+the source comes nearer to its target so.
 
 The quotas, one number a source and pass, are split among the output shards down a binary
 tree: at each node a multivariate-hypergeometric draw gives the left half its share of
@@ -79,16 +82,83 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Runs of the fill: documents of ``least`` to ``most`` words up to the md5 ``last``.
+STEPS = "array<struct<least:long,most:long,last:string>>"
+
+
+def _frame(spark, values: dict, column: str) -> DataFrame:
+    return spark.createDataFrame([(s, v) for s, v in values.items()], f"stratum string, {column}")
+
+
+def _by_block(blocks: DataFrame, small: DataFrame) -> DataFrame:
+    return blocks.select("stratum", "block").join(small, "stratum")
+
+
+def _in_steps() -> Column:
+    return F.coalesce(F.exists("steps", lambda s: F.col("size").between(s["least"], s["most"]) & (
+        F.col("ord") <= s["last"])), F.lit(False))
+
+
+def _nearest(free: DataFrame, blocks: DataFrame, gaps: dict[str, float]) -> dict[str, tuple]:
+    """stratum -> (off, md5, least): the free document nearest to the gap, null if none is nearer than nothing,
+    by how much the source then misses its target, and the smallest free size."""
+    near = free.join(_by_block(blocks, _frame(free.sparkSession, gaps, "gap double")), ["stratum", "block"])
+    off = F.abs(F.col("size") - F.col("gap"))
+    rows = near.groupBy("stratum").agg(F.min(F.when(off < F.col("gap"), F.struct(off.alias("off"), "ord"))).alias("best"),
+                                       F.min("size").alias("least")).collect()
+    return {r.stratum: (r.best.off, r.best.ord, r.least) if r.best else (gaps[r.stratum], None, r.least) for r in rows}
+
+
+def _fill(free: DataFrame, blocks: DataFrame, gaps: dict[str, float]) -> dict[str, list[tuple]]:
+    """Runs of the documents that still fit, by source, until none fits; ``gaps`` becomes what is left.
+
+    The first run is over all that fit. Each later one is over the largest fitting sizes
+    within a factor of two, of which at most one fits after a run, so runs are twice the
+    classes of sizes at most.
+    """
+    steps: dict[str, list[tuple]] = {s: [] for s in gaps}
+    open_, first = set(gaps), True
+    inside = Window.partitionBy("stratum", "block").orderBy("ord").rangeBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("stratum").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    while open_:
+        state = free.sparkSession.createDataFrame([(s, gaps[s], steps[s]) for s in open_], f"stratum string, gap double, steps {STEPS}")
+        fit = free.join(_by_block(blocks, state), ["stratum", "block"]).filter((F.col("size") <= F.col("gap")) & ~_in_steps())
+        top = {r.stratum: r.n for r in fit.groupBy("stratum").agg(F.max("size").alias("n")).collect()}
+        open_ = set(top)
+        if not open_:
+            break
+        least = {s: 1 if first else 1 << (n.bit_length() - 1) for s, n in top.items()}
+        fit = cut(fit.join(_by_block(blocks, _frame(free.sparkSession, least, "least long")), ["stratum", "block"]).filter(
+            "size >= least").select("stratum", "block", "ord", "size", "gap"))
+        sums = fit.groupBy("stratum", "block", "gap").agg(F.sum("size").alias("words")).withColumn("upto", F.sum("words").over(upto))
+        crossing = cut(sums.filter("upto > gap").groupBy("stratum").agg(
+            F.min(F.struct("block", (F.col("upto") - F.col("words")).alias("before"))).alias("c")).select("stratum", "c.*"))
+        taken = {r.stratum: ("g", r.n) for r in sums.groupBy("stratum").agg(F.sum("words").alias("n")).collect()}
+        taken |= {r.stratum: (r.block, r.before) for r in crossing.collect()}  # up to the block
+        part = fit.join(crossing, ["stratum", "block"]).withColumn("upto", F.col("before") + F.sum("size").over(inside))
+        taken |= {r.stratum: (r.ord, r.n) for r in part.filter("upto <= gap").groupBy("stratum").agg(
+            F.max("ord").alias("ord"), F.max("upto").alias("n")).collect()}
+        for s, (last, n) in taken.items():
+            if n:
+                steps[s].append((least[s], top[s], last))
+                gaps[s] -= n
+            else:  # only repeated rows are left at the crossing, which do not fit together
+                open_.discard(s)
+        first = False
+    return {s: x for s, x in steps.items() if x}
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2,
-    shards: int = 8, seed: int = 17,
+    shards: int = 8, seed: int = 17, fill: bool = True,
     id_column: str = "doc_id", source_column: str = "source", text_column: str = "text",
 ) -> DataFrame:
     """Every row as (id, source, size, content, source_size, target, takes).
 
     ``takes`` has an entry (shard, key) for each time the mixture takes the row: the
     shard that gets it and its place in that shard's shuffled order. ``content`` is an
-    md5 of the text. ``weights`` repeat over the sources in order of code points.
+    md5 of the text. ``weights`` repeat over the sources in order of code points. Without
+    ``fill`` a source ends with its run of blocks and one topping document.
     """
     if most != 2:
         raise ValueError("a document is taken at most twice")
@@ -131,37 +201,55 @@ def mix(
         partly.withColumn("extra", F.col("upto") <= F.col("need")).drop("upto"))
     chosen = cut(chosen.select("id", "source", "stratum", "block", "size", "content", "ord", "extra"))
 
-    # The document that brings a source nearest to its target, if any does. What a source
-    # has is attached to its blocks, so that no join gathers a whole source.
-    taken = chosen.filter("extra").groupBy("stratum").agg(F.sum("size").alias("taken"))
-    gaps = blocks.join(taken, "stratum", "left").select(
-        "stratum", "block", (F.col("need") - F.coalesce("taken", F.lit(0))).alias("gap"))
-    off = F.abs(F.col("size") - F.col("gap"))
-    top = chosen.filter("NOT extra AND size > 0").join(gaps, ["stratum", "block"]).filter(
-        off < F.col("gap")).groupBy("stratum").agg(F.min(F.struct(off.alias("off"), "ord")).alias("best"))
-    top = top.select("stratum", F.col("best.ord").alias("top"))
+    # What a source lacks is attached to its blocks, so that no join gathers a whole source.
+    taken = {r.stratum: r.n for r in chosen.filter("extra").groupBy("stratum").agg(F.sum("size").alias("n")).collect()}
+    gaps = {r.stratum: r.need - taken.get(r.stratum, 0) for r in plan.collect()}
+    free = chosen.filter("NOT extra AND size > 0")
+    tops = _nearest(free, blocks, gaps)
+    gaps = {s: gaps[s] for s, (off, _, least) in tops.items() if fill and gaps[s] >= least and off >= least}
+    steps = _fill(free, blocks, dict(gaps))
+    if steps:
+        listed = _by_block(blocks, _frame(spark, steps, "steps " + STEPS))
+        rest = free.join(listed, ["stratum", "block"]).withColumn("filled", _in_steps())
+        got = {r.stratum: r.n for r in rest.filter("filled").groupBy("stratum").agg(F.sum("size").alias("n")).collect()}
+        after = _nearest(rest.filter("NOT filled").drop("steps"), blocks, {s: gaps[s] - got[s] for s in steps})
+        after = {s: after.get(s, (gaps[s] - got[s], None, None)) for s in steps}
+        steps = {s: x for s, x in steps.items() if after[s][0] < tops[s][0]}  # only where it comes nearer
+        tops |= {s: after[s] for s in steps}
+    if steps:
+        listed = _by_block(blocks, _frame(spark, steps, "steps " + STEPS))
+        chosen = cut(chosen.join(listed, ["stratum", "block"], "left").withColumn(
+            "filled", _in_steps() & ~F.col("extra") & (F.col("size") > 0)).withColumn(
+            "extra", F.col("extra") | F.col("filled")).drop("steps"))
+        also = chosen.filter("filled").select("stratum", "block").distinct().withColumn("also", F.lit(True))
+        blocks = cut(blocks.join(also, ["stratum", "block"], "left"))
+    else:
+        blocks = blocks.withColumn("also", F.lit(None).cast("boolean"))
+    used = (F.col("state") > 0) | F.coalesce("also", F.lit(False))
+    blocks = blocks.withColumn("used", used).withColumn("nth_used", F.sum(F.col("used").cast("long")).over(upto))
+    top = _frame(spark, {s: t for s, (_, t, _) in tops.items()}, "top string")
 
     # Blocks of each source and pass go to shards in runs, by the tree's quotas.
     counts = {r.stratum: (r.used, r.all) for r in blocks.groupBy("stratum").agg(
-        F.sum((F.col("state") > 0).cast("long")).alias("used"), F.count("*").alias("all")).collect()}
+        F.sum(F.col("used").cast("long")).alias("used"), F.count("*").alias("all")).collect()}
     quotas = [counts[s][p] for p in (0, 1) for s, _ in totals]
     tree = splitting_tree(quotas, shards, seed).cumsum(axis=0).T if quotas else np.zeros((0, shards), int)
     ends = spark.createDataFrame(
         [(s, tree[i].tolist(), tree[len(totals) + i].tolist()) for i, (s, _) in enumerate(totals)],
         "stratum string, extra_ends array<long>, all_ends array<long>",
     )
-    shard = lambda end: F.size(F.filter(end, lambda e: e < F.col("nth"))).cast("int")
+    shard = lambda end, nth: F.size(F.filter(end, lambda e: e < F.col(nth))).cast("int")
     last = F.element_at("extra_ends", -1)
-    take = lambda end, n: F.struct(
-        F.least(shard(end), F.lit(shards - 1)).alias("shard"),
+    take = lambda end, nth, n: F.struct(
+        F.least(shard(end, nth), F.lit(shards - 1)).alias("shard"),
         F.md5(F.concat(F.lit(f"{n}:"), "ord")).alias("key"))
-    twice = F.when(F.col("again") & (F.col("size") > 0), F.array(take("all_ends", 0))).otherwise(F.array())
+    twice = F.when(F.col("again") & (F.col("size") > 0), F.array(take("all_ends", "nth", 0))).otherwise(F.array())
     # A topping document may lie in a block without a quota; it joins the last used block's shard.
-    placed = F.when(F.col("nth") <= last, take("extra_ends", 1)).otherwise(F.struct(
+    placed = F.when(F.col("used"), take("extra_ends", "nth_used", 1)).otherwise(F.struct(
         F.size(F.filter("extra_ends", lambda e: e < last)).cast("int").alias("shard"),
         F.md5(F.concat(F.lit("1:"), "ord")).alias("key")))
     extra = (F.col("extra") & (F.col("size") > 0)) | F.coalesce(F.col("ord") == F.col("top"), F.lit(False))
-    about = blocks.select("stratum", "block", "nth", "again", "source_size", "target").join(
+    about = blocks.select("stratum", "block", "nth", "used", "nth_used", "again", "source_size", "target").join(
         top, "stratum", "left").join(ends, "stratum")
     return chosen.join(about, ["stratum", "block"]).select(
         F.col("id").alias(id_column), "source", "size", "content", "source_size", "target",

@@ -52,7 +52,8 @@ def op7_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, folder, "documents"))
+    # Its SQL ends a source with one topping document.
+    mixed = mixing.mix(table(spark, folder, "documents"), fill=False)
     return mixed.select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"),
         (F.col("size") * F.size("takes")).alias("taken"))

@@ -363,6 +363,21 @@ def test_mixture_meets_targets(spark):
     assert len(shards) == 8 and max(share) - min(share) < 0.15
 
 
+def test_mixture_passes_by_a_document_longer_than_the_need(spark):
+    rng = random.Random(11)
+    short = [rng.randint(20, 60) for _ in range(300)]
+    order = lambda i, text: hashlib.md5(f"17:{i}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()
+    long_ = "w " * 40_000
+    first = min(range(10**6, 10**6 + 2000), key=lambda i: order(i, long_))  # stands before nearly all others
+    rows = [(first, long_, "a")] + [(i, "w " * n, "a") for i, n in enumerate(short)] + [(5000 + i, "w " * 100, "b") for i in range(300)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 1), share=0.5).collect()
+    own = [r for r in mixed if r.source == "a"]
+    assert 40_000 > own[0].target > sum(short)
+    assert sum(r.size * len(r.takes) for r in own) == sum(short)
+    shards = [t.shard for r in own for t in r.takes]
+    assert len(set(shards)) == 8 and max(shards.count(i) for i in range(8)) < 0.3 * len(shards)
+
+
 def test_shard_rows(spark, docs, none):
     rows = sharding.interleave(docs, shards=4).collect()
     assert len(rows) == docs.count()
