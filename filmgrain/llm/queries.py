@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmgrain.llm import chat, itq, langid, mixing, pieces, pii, sharding, substrings, syncmers, weighted_minhash
+from filmgrain.llm import (
+    chat, itq, langid, mixing, pieces, pii, sharding, substrings, syncmers, token_counts, weighted_minhash, whitening,
+)
 from filmgrain.llm.oracles import SQL  # noqa: F401  re-exported beside QUERIES
 
 
@@ -97,7 +100,20 @@ def op2_ngram_filters(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
 
 
+def op12_rank_merged_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = token_counts.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = table(spark, folder, "documents").select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        token_counts.count(spark, vocabulary, F.col("text")).alias("n_tokens"))
+    return docs.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op13_polarised_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_crf_pii, op2_ngram_filters, op3_chat_windows, op4_seed_and_extend,
     op5_weighted_minhash, op6_itq_links, op7_syncmer_fingerprints, op8_mix_sources, op9_viterbi_pieces, op10_interleaved_shards,
+    op12_rank_merged_tokens, op13_polarised_whitening,
 )}
