@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from filmgrain.workspace import stage_path
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """Written and read again: unlike a checkpoint, a file carries no constraints on, which would double each round."""
     path = stage_path(df.sparkSession, "components")
     df.write.parquet(path)
@@ -37,25 +37,25 @@ def components(edges: DataFrame) -> DataFrame:
     """
     pairs = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL AND a != b")
     both = lambda e: e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = _stored(both(pairs).distinct())
+    links = stored(both(pairs).distinct())
     labels, turn = None, 0
     while not links.isEmpty():
         turn += 1
         rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
         first = links.groupBy("a").agg(F.min(rank("b")).alias("low")).withColumn("own", rank("a"))
         point = first.select(F.col("a").alias("id"), F.least("own", "low").getField("v").alias("to"))
-        point = _stored(_follow(_follow(_stored(point))))
+        point = stored(_follow(_follow(stored(point))))
         if labels is None:
             labels = point.select("id", F.col("to").alias("component"))
         else:
             labels = labels.join(point.withColumnRenamed("id", "component"), "component", "left").select(
                 "id", F.coalesce("to", "component").alias("component"))
-        labels = _stored(labels)
+        labels = stored(labels)
         ends = links.filter("a < b")
         for side in ("a", "b"):
             ends = ends.join(point.withColumnRenamed("id", side), side).drop(side).withColumnRenamed("to", side)
-        links = _stored(both(ends.filter("a != b")).distinct())
+        links = stored(both(ends.filter("a != b")).distinct())
     if labels is None:
         return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    names = _stored(labels.groupBy("component").agg(F.min("id").alias("name")))
+    names = stored(labels.groupBy("component").agg(F.min("id").alias("name")))
     return labels.join(names, "component").select("id", F.col("name").alias("component"))

@@ -149,3 +149,43 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (rank * 8 // tot
        rank - (rank * 8 // total * total + 7) // 8 AS slot, NULL::INT AS grown_shard
 FROM lined
 """
+
+SQL["op11_euler_tour_trie"] = r"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i::UBIGINT FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8),
+said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, turn, role, length(text) AS chars,
+         md5(octet_length(encode(role))::VARCHAR || ':' || role || text) AS said FROM said),
+own AS (
+  SELECT conv_id, list(said ORDER BY turn NULLS FIRST, role, said) AS said,
+         list(chars ORDER BY turn NULLS FIRST, role, said) AS chars FROM turns GROUP BY conv_id),
+headed AS (
+  SELECT o.*, (xor(list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(range(1, len(conv_id::VARCHAR) + 1),
+      lambda j: ord(substr(conv_id::VARCHAR, j, 1))::UBIGINT)),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) % 6)::BIGINT AS h
+  FROM own o, crc_table),
+rebuilt AS (
+  SELECT o.conv_id, coalesce(b.said, [])[1:h] || o.said[h + 1:] AS said, coalesce(b.chars, [])[1:h] || o.chars[h + 1:] AS chars
+  FROM headed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+begun AS (
+  SELECT conv_id, d, said[1:d] AS path, coalesce(chars[d], 0) AS chars
+  FROM (SELECT *, unnest(range(0, len(said) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM begun GROUP BY path, d),
+kids AS (SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+told AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON n.path = k.path),
+trees AS (
+  SELECT path[1:k] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM told) GROUP BY 1),
+ended AS (SELECT said AS path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM rebuilt GROUP BY said)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves,
+       t.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM told n JOIN trees t ON n.path = t.path LEFT JOIN nodes p ON n.d > 0 AND p.path = n.path[1:n.d - 1]
+LEFT JOIN ended e ON e.path = n.path
+"""

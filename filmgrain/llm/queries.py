@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmgrain.llm import (
-    chat, itq, langid, mixing, pieces, pii, sharding, substrings, syncmers, token_counts, weighted_minhash, whitening,
+    chat, itq, langid, mixing, pieces, pii, sharding, substrings, syncmers, token_counts, tries,
+    weighted_minhash, whitening,
 )
 from filmgrain.llm.oracles import SQL  # noqa: F401  re-exported beside QUERIES
 
@@ -100,6 +101,10 @@ def op2_ngram_filters(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
 
 
+def op11_euler_tour_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.trie(table(spark, folder, "conversations"))
+
+
 def op12_rank_merged_tokens(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = token_counts.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     docs = table(spark, folder, "documents").select(
@@ -115,5 +120,5 @@ def op13_polarised_whitening(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_crf_pii, op2_ngram_filters, op3_chat_windows, op4_seed_and_extend,
     op5_weighted_minhash, op6_itq_links, op7_syncmer_fingerprints, op8_mix_sources, op9_viterbi_pieces, op10_interleaved_shards,
-    op12_rank_merged_tokens, op13_polarised_whitening,
+    op11_euler_tour_trie, op12_rank_merged_tokens, op13_polarised_whitening,
 )}

@@ -37,7 +37,7 @@ def odd_texts(n, seed):
 
 def test_every_code_point(own, library):
     points = [chr(i) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
-    texts = ["".join(f"a{c} {c}1{c}{c}" for c in points[i:i + 64]) for i in range(0, len(points), 64)]
+    texts = ["".join(f"a{c} {c}1" for c in points[i:i + 64]) for i in range(0, len(points), 64)]
     assert own.count(texts) == library(texts)
 
 
