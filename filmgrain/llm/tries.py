@@ -235,42 +235,43 @@ def subtrees(linked_nodes: DataFrame, least: int = LEAST) -> DataFrame:
         span("leaves").alias("inner_leaves"), span("saved").alias("inner_saved"))
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (depth, a, b, conv) -> (depth, a, b, first, ids): up to ``CHUNK`` ids of a node in a string."""
-    key, ids = None, []
+def _batch(rows: list[tuple], *names: str) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(column) for column in zip(*rows)], names=[*_NODE, *names])
 
-    def row() -> pa.RecordBatch:
-        values = [*key, ids[0], ",".join(map(str, ids))]
-        return pa.record_batch([pa.array([v]) for v in values], names=[*_NODE, "first", "ids"])
 
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (depth, a, b, conv) -> (depth, a, b, first, ids): up to ``CHUNK`` ids of a node in a string."""
+    key, ids = (), []
     for batch in batches:
+        out = []
         for *now, conv in zip(*(c.to_pylist() for c in batch.columns)):
             if ids and (now != key or len(ids) == CHUNK):
-                yield row()
+                out.append((*key, ids[0], ",".join(map(str, ids))))
                 ids = []
             key = now
             ids.append(conv)
+        if out:
+            yield _batch(out, "first", "ids")
     if ids:
-        yield row()
+        yield _batch([(*key, ids[0], ",".join(map(str, ids)))], "first", "ids")
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted strings -> (depth, a, b, sha) of all of a node's, comma-joined."""
     key, state = None, hashlib.sha256()
-
-    def row() -> pa.RecordBatch:
-        return pa.record_batch([pa.array([v]) for v in (*key, state.hexdigest())], names=[*_NODE, "sha"])
-
     for batch in batches:
+        out = []
         for *now, _, ids in zip(*(c.to_pylist() for c in batch.columns)):
-            if now != key:
-                if key is not None:
-                    yield row()
-                key, state = now, hashlib.sha256(ids.encode())
-            else:
+            if now == key:
                 state.update(b"," + ids.encode())
+                continue
+            if key is not None:
+                out.append((*key, state.hexdigest()))
+            key, state = now, hashlib.sha256(ids.encode())
+        if out:
+            yield _batch(out, "sha")
     if key is not None:
-        yield row()
+        yield _batch([(*key, state.hexdigest())], "sha")
 
 
 def ends(rows: DataFrame, lengths: DataFrame) -> DataFrame:
