@@ -1,18 +1,24 @@
 """Language identification by bit-sliced Bloom filters over character n-grams.
 
 One filter serves all languages: each of its positions holds a bitmask with a bit per
-language, so that the conjunction of an n-gram's positions is the mask of all languages
+language, in as many machine words as their number needs, so that the conjunction of an n-gram's positions is the mask of all languages
 that contain it, in as many reads as there are hash functions. A language contains an
 n-gram if its rate there is at least ``RIVAL`` of the highest rate in any language. A
 document's popcounts per language, less the false positives that the filter's filling
 makes certain on average, decide.
 
-Fitting reads the labels and lengths of all labelled documents, and the n-grams of a
-sample bounded by ``sample_chars`` per language, chosen by a hash of the text.
+Fitting reads the labels, lengths and hashes of all labelled texts, and the n-grams of a
+sample bounded by ``sample_chars`` per language: stretches of ``STRETCH`` characters of the
+distinct texts, drawn by a hash of text and offset, at a rate of ``sample_chars`` by the
+language's distinct characters. So a language reaches its sample however long its texts are,
+and one that is smaller than that is read whole. The driver holds the n-grams of the samples,
+at most ``sample_chars`` a language, and the masks: positions x languages bits.
 
 Defined results: text that is null or without letters is ``und`` with score 0; so is all
 text if nothing was learned. Ties go to the language first in code points. Documents
-without a label are not learned from; repeated texts count once in the sample. The score
+without a label or text are not learned from; repeated texts count once. Texts of any length
+are read whole in a prediction, in pieces of ``PIECE`` characters. Any number of languages
+may occur. An empty table teaches nothing; other columns are not read. The score
 is the corrected share of the document's n-grams that the language contains.
 """
 
@@ -33,11 +39,11 @@ from filmgrain.llm.shipping import ship
 N = 4
 #: Characters per language that the filter is fitted on, about.
 SAMPLE_CHARS = 2_000_000
+STRETCH = 10_000
 RIVAL = 0.1
 LOG2_POSITIONS = 21
 HASHES = 2
 PIECE = 1 << 20
-MOST_LANGUAGES = 64
 UNKNOWN = "und"
 
 _ODD = np.random.default_rng(11).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,12 +87,17 @@ def positions(gram: np.ndarray) -> Iterator[np.ndarray]:
 
 @dataclass(frozen=True)
 class Filter:
-    """Languages, the masks of all positions, and the filled share per language."""
+    """Languages, the masks of all positions (positions x words), and the filled share per language."""
 
     languages: tuple[str, ...]
     masks: np.ndarray
     filled: np.ndarray
 
+    @property
+    def word(self) -> int:
+        """Languages in one word of a mask."""
+        return 8 * self.masks.itemsize
+
     def masks_of(self, gram: np.ndarray) -> np.ndarray:
         """The languages that contain each n-gram, false positives included."""
         first, *rest = (self.masks[p] for p in positions(gram))
@@ -100,7 +111,7 @@ class Filter:
             mask = self.masks_of(gram)
             total += len(gram)
             for i in range(len(found)):
-                found[i] += np.count_nonzero(mask & self.masks.dtype.type(1 << i))
+                found[i] += np.count_nonzero(mask[:, i // self.word] & _bit(self.masks, i))
         if not total or not len(found):
             return UNKNOWN, 0.0
         false = self.filled ** HASHES
@@ -109,10 +120,15 @@ class Filter:
         return self.languages[best], float(share[best])
 
 
+def _bit(masks: np.ndarray, language: int) -> np.unsignedinteger:
+    return masks.dtype.type(1 << language % (8 * masks.itemsize))
+
+
 def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, count: np.ndarray) -> Filter:
     """A filter from n-gram counts; ``lang`` holds indices into ``languages``."""
     kind = np.uint8 if len(languages) <= 8 else np.uint64
-    masks = np.zeros(1 << LOG2_POSITIONS, dtype=kind)
+    width = 8 * np.dtype(kind).itemsize
+    masks = np.zeros((1 << LOG2_POSITIONS, max(1, -(-len(languages) // width))), dtype=kind)
     totals = np.bincount(lang, weights=count, minlength=len(languages))
     keys, where = np.unique(gram, return_inverse=True)
     rate = count / np.maximum(totals, 1)[lang]
@@ -120,43 +136,44 @@ def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, count: np.nd
     np.maximum.at(top, where, rate)
     own = rate >= RIVAL * top[where]
     for p in positions(gram[own]):
-        np.bitwise_or.at(masks, p, kind(1) << lang[own].astype(kind))
-    filled = np.array([np.count_nonzero(masks & kind(1 << i)) for i in range(len(languages))]) / len(masks)
+        np.bitwise_or.at(masks, (p, lang[own] // width), kind(1) << (lang[own] % width).astype(kind))
+    filled = np.array([np.count_nonzero(masks[:, i // width] & _bit(masks, i)) for i in range(len(languages))]) / len(masks)
     return Filter(tuple(languages), masks, filled)
 
 
 def fit(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang",
         sample_chars: int = SAMPLE_CHARS) -> Filter:
     """Learn the filter from rows whose label and text are not null."""
-    ship(labelled.sparkSession)
+    spark = ship(labelled.sparkSession)
     rows = labelled.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).filter(
-        "lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.sum(F.char_length("text")).alias("n")).collect()}
+        "lang IS NOT NULL AND text IS NOT NULL").withColumn("key", F.xxhash64("text"))
+    once = rows.groupBy("lang", "key").agg(F.max(F.char_length("text")).alias("n"))
+    sizes = {r.lang: r.n for r in once.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(sizes)  # Python compares strings by code point
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"a mask holds {MOST_LANGUAGES} languages, not {len(languages)}")
     if not languages:
         return build([], np.zeros(0, int), np.zeros(0, np.uint64), np.zeros(0))
-    share = F.lit(0.0)
-    for name, n in sizes.items():
-        share = F.when(F.col("lang") == name, min(1.0, sample_chars / max(n, 1))).otherwise(share)
-    draw = F.shiftrightunsigned(F.xxhash64("text"), 11) / float(1 << 53)
-    sample = rows.filter(draw < share).dropDuplicates(["lang", "text"])
+    rates = spark.createDataFrame(
+        [(name, i, min(1.0, sample_chars / max(sizes[name], 1))) for i, name in enumerate(languages)],
+        "lang string, nth int, rate double")
+    draw = F.shiftrightunsigned(F.xxhash64("key", "at"), 11) / float(1 << 53)
+    last = F.expr(f"(char_length(text) - 1) div {STRETCH}")
+    cut = rows.join(F.broadcast(rates), "lang").filter("text != ''").withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    sample = cut.filter(draw < F.col("rate")).select(
+        "nth", "key", "at", F.substring("text", F.col("at") * STRETCH + 1, F.lit(STRETCH)).alias("text"),
+    ).dropDuplicates(["nth", "key", "at"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            for nth, text in zip(batch.column("nth").to_pylist(), batch.column("text").to_pylist()):
                 for gram in grams(text):
                     keys, n = np.unique(gram, return_counts=True)
                     yield pa.record_batch({
-                        "lang": pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int32))),
-                        "gram": keys.view(np.int64), "n": n.astype(np.int64)})
+                        "nth": np.full(len(keys), nth, np.int32), "gram": keys.view(np.int64), "n": n.astype(np.int64)})
 
-    counted = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
+    counted = sample.mapInArrow(count, "nth int, gram long, n long").groupBy("nth", "gram").agg(
         F.sum("n").alias("n")).toArrow()
-    index = {name: i for i, name in enumerate(languages)}
-    lang = np.array([index[x] for x in counted["lang"].to_pylist()], dtype=np.int64)
-    return build(languages, lang, counted["gram"].to_numpy().view(np.uint64), counted["n"].to_numpy().astype(float))
+    lang, gram, n = (counted[c].to_numpy() for c in ("nth", "gram", "n"))
+    return build(languages, lang.astype(np.int64), gram.view(np.uint64), n.astype(float))
 
 
 def predict(spark: SparkSession, model: Filter, text: Column) -> Column:

@@ -6,7 +6,8 @@ reaches its target; of the last block only the documents up to the target count,
 more document, the one that brings the words nearest to the target, tops it up. Where that
 would miss the target by the smallest document left or more (a long document stood at the
 crossing), the documents that still fit are taken in the same order until none fits, if
-the source comes nearer to its target so.
+the source comes nearer to its target so. A source whose unused documents are all too long
+goes on with those that it has taken once: no document is taken more than twice.
 
 The quotas, one number a source and pass, are split among the output shards down a binary
 tree: at each node a multivariate-hypergeometric draw gives the left half its share of
@@ -148,17 +149,41 @@ def _fill(free: DataFrame, blocks: DataFrame, gaps: dict[str, float]) -> dict[st
     return {s: x for s, x in steps.items() if x}
 
 
+def _nearer(
+    free: DataFrame, blocks: DataFrame, gaps: dict[str, float], tops: dict[str, tuple],
+    least: dict[str, int] | None = None, others: DataFrame | None = None,
+) -> tuple[dict[str, list[tuple]], dict[str, tuple]]:
+    """(runs of the fill for the sources that come nearer to their need by it, topping documents).
+
+    Only sources that lack their smallest free document (``least``) or more are filled;
+    ``others`` may top up, too. What the runs take is taken off ``gaps``.
+    """
+    least = least if least is not None else {s: n for s, (_, _, n) in tops.items() if n is not None}
+    steps = _fill(free, blocks, {s: gaps[s] for s, n in least.items() if gaps[s] >= n and tops[s][0] >= n})
+    if not steps:
+        return steps, tops
+    listed = _by_block(blocks, _frame(free.sparkSession, steps, "steps " + STEPS))
+    rest = free.join(listed, ["stratum", "block"]).withColumn("filled", _in_steps())
+    got = {r.stratum: r.n for r in rest.filter("filled").groupBy("stratum").agg(F.sum("size").alias("n")).collect()}
+    pool = rest.filter("NOT filled").select("stratum", "block", "ord", "size")
+    pool = pool if others is None else pool.unionByName(others.select("stratum", "block", "ord", "size"))
+    left = {s: gaps[s] - got[s] for s in steps}
+    after = {s: (gap, None, None) for s, gap in left.items()} | _nearest(pool, blocks, left)
+    steps = {s: x for s, x in steps.items() if after[s][0] < tops[s][0]}
+    gaps |= {s: left[s] for s in steps}
+    return steps, tops | {s: after[s] for s in steps}
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2,
-    shards: int = 8, seed: int = 17, fill: bool = True,
+    shards: int = 8, seed: int = 17,
     id_column: str = "doc_id", source_column: str = "source", text_column: str = "text",
 ) -> DataFrame:
     """Every row as (id, source, size, content, source_size, target, takes).
 
     ``takes`` has an entry (shard, key) for each time the mixture takes the row: the
     shard that gets it and its place in that shard's shuffled order. ``content`` is an
-    md5 of the text. ``weights`` repeat over the sources in order of code points. Without
-    ``fill`` a source ends with its run of blocks and one topping document.
+    md5 of the text. ``weights`` repeat over the sources in order of code points.
     """
     if most != 2:
         raise ValueError("a document is taken at most twice")
@@ -205,17 +230,8 @@ def mix(
     taken = {r.stratum: r.n for r in chosen.filter("extra").groupBy("stratum").agg(F.sum("size").alias("n")).collect()}
     gaps = {r.stratum: r.need - taken.get(r.stratum, 0) for r in plan.collect()}
     free = chosen.filter("NOT extra AND size > 0")
-    tops = _nearest(free, blocks, gaps)
-    gaps = {s: gaps[s] for s, (off, _, least) in tops.items() if fill and gaps[s] >= least and off >= least}
-    steps = _fill(free, blocks, dict(gaps))
-    if steps:
-        listed = _by_block(blocks, _frame(spark, steps, "steps " + STEPS))
-        rest = free.join(listed, ["stratum", "block"]).withColumn("filled", _in_steps())
-        got = {r.stratum: r.n for r in rest.filter("filled").groupBy("stratum").agg(F.sum("size").alias("n")).collect()}
-        after = _nearest(rest.filter("NOT filled").drop("steps"), blocks, {s: gaps[s] - got[s] for s in steps})
-        after = {s: after.get(s, (gaps[s] - got[s], None, None)) for s in steps}
-        steps = {s: x for s, x in steps.items() if after[s][0] < tops[s][0]}  # only where it comes nearer
-        tops |= {s: after[s] for s in steps}
+    tops = {s: (gap, None, None) for s, gap in gaps.items()} | _nearest(free, blocks, gaps)
+    steps, tops = _nearer(free, blocks, gaps, tops)
     if steps:
         listed = _by_block(blocks, _frame(spark, steps, "steps " + STEPS))
         chosen = cut(chosen.join(listed, ["stratum", "block"], "left").withColumn(
@@ -225,6 +241,15 @@ def mix(
         blocks = cut(blocks.join(also, ["stratum", "block"], "left"))
     else:
         blocks = blocks.withColumn("also", F.lit(None).cast("boolean"))
+    # A source that still lacks words takes documents that it has taken once for a second time.
+    once = {r.stratum: gaps[r.stratum] for r in plan.filter("NOT again").collect() if tops[r.stratum][0] > 0}
+    seconds = chosen.filter("extra AND size > 0")
+    near = _nearest(seconds, blocks, once)
+    tops |= {s: t for s, t in near.items() if t[0] < tops[s][0]}
+    again, tops = _nearer(seconds, blocks, gaps, tops, {s: t[2] for s, t in near.items()}, chosen.filter("NOT extra AND size > 0"))
+    listed = _by_block(blocks, _frame(spark, again, "steps " + STEPS))
+    chosen = chosen.join(listed, ["stratum", "block"], "left").withColumn(
+        "second", F.col("extra") & (F.col("size") > 0) & _in_steps()).drop("steps")
     used = (F.col("state") > 0) | F.coalesce("also", F.lit(False))
     blocks = blocks.withColumn("used", used).withColumn("nth_used", F.sum(F.col("used").cast("long")).over(upto))
     top = _frame(spark, {s: t for s, (_, t, _) in tops.items()}, "top string")
@@ -243,12 +268,14 @@ def mix(
     take = lambda end, nth, n: F.struct(
         F.least(shard(end, nth), F.lit(shards - 1)).alias("shard"),
         F.md5(F.concat(F.lit(f"{n}:"), "ord")).alias("key"))
-    twice = F.when(F.col("again") & (F.col("size") > 0), F.array(take("all_ends", "nth", 0))).otherwise(F.array())
+    topped = F.coalesce(F.col("ord") == F.col("top"), F.lit(False))
+    both = (F.col("again") & (F.col("size") > 0)) | F.col("second") | (topped & F.col("extra"))
+    twice = F.when(both, F.array(take("all_ends", "nth", 0))).otherwise(F.array())
     # A topping document may lie in a block without a quota; it joins the last used block's shard.
     placed = F.when(F.col("used"), take("extra_ends", "nth_used", 1)).otherwise(F.struct(
         F.size(F.filter("extra_ends", lambda e: e < last)).cast("int").alias("shard"),
         F.md5(F.concat(F.lit("1:"), "ord")).alias("key")))
-    extra = (F.col("extra") & (F.col("size") > 0)) | F.coalesce(F.col("ord") == F.col("top"), F.lit(False))
+    extra = (F.col("extra") & (F.col("size") > 0)) | topped
     about = blocks.select("stratum", "block", "nth", "used", "nth_used", "again", "source_size", "target").join(
         top, "stratum", "left").join(ends, "stratum")
     return chosen.join(about, ["stratum", "block"]).select(

@@ -86,42 +86,6 @@ SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(low
 FROM embeddings e LEFT JOIN sound s ON e.vec_id = s.vec_id LEFT JOIN counts c ON s.r = c.r LEFT JOIN lows ON lows.a = e.vec_id
 """
 
-SQL["op8_mix_sources"] = r"""
-WITH RECURSIVE sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('17:' || coalesce(doc_id::VARCHAR, '-') || ':' || md5(coalesce(text, ''))) AS ord
-  FROM documents),
-sources AS (
-  SELECT source, sum(size)::BIGINT AS n,
-         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2 ELSE 1 END AS w
-  FROM sized GROUP BY source),
--- water rises until the capped shares hold 150 per cent: sources fill in order of size by weight
-levels AS (
-  SELECT *, coalesce(sum(2 * n) OVER (ORDER BY n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_,
-         sum(w) OVER (ORDER BY n / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w,
-         1.5 * sum(n) OVER () AS pool
-  FROM sources WHERE n > 0),
-water AS (
-  SELECT arg_min((pool - full_) / open_w, (n / w, source)) FILTER ((pool - full_) / open_w <= 2 * n / w) AS lam FROM levels),
-goals AS (
-  SELECT source, n, CASE WHEN n = 0 THEN 0 ELSE least(2.0 * n, coalesce(lam * w, 2.0 * n)) END AS target
-  FROM sources, water),
-needs AS (SELECT *, CASE WHEN target > n THEN target - n ELSE target END AS need FROM goals),
-lined AS (
-  SELECT s.*, g.n, g.target, g.need,
-         sum(size) OVER (PARTITION BY s.source ORDER BY ord, size ROWS UNBOUNDED PRECEDING) AS upto
-  FROM sized s JOIN needs g ON s.source IS NOT DISTINCT FROM g.source),
-picked AS (SELECT *, upto <= need AS extra FROM lined),
-gaps AS (SELECT source, any_value(need) - coalesce(sum(size) FILTER (extra), 0) AS gap FROM picked GROUP BY source),
-tops AS (
-  SELECT p.source, arg_min(ord, (abs(size - gap), ord)) AS top
-  FROM picked p JOIN gaps g ON p.source IS NOT DISTINCT FROM g.source
-  WHERE NOT extra AND size > 0 AND abs(size - gap) < gap GROUP BY p.source)
-SELECT doc_id, size, n AS source_size, round(target, 6) AS target,
-       size * ((target > n)::INT + (extra OR coalesce(ord = top, false))::INT) AS taken
-FROM picked p LEFT JOIN tops t ON p.source IS NOT DISTINCT FROM t.source
-"""
-
 #: CRC-32 by table, the table by its polynomial.
 SQL["op10_interleaved_shards"] = r"""
 WITH RECURSIVE bits(i, k, c) AS (

@@ -105,8 +105,8 @@ def test_filter_has_no_false_negatives_and_corrects_false_positives():
     lang = np.arange(300_000) % 3
     model = langid.build(["a", "b", "c"], lang, grams, np.ones(300_000))
     for i in range(3):
-        assert ((model.masks_of(grams[lang == i]) >> i) & 1).all()
-    other = model.masks_of(rng.integers(0, 2**63, 100_000, dtype=np.uint64))
+        assert ((model.masks_of(grams[lang == i])[:, 0] >> i) & 1).all()
+    other = model.masks_of(rng.integers(0, 2**63, 100_000, dtype=np.uint64))[:, 0]
     for i in range(3):
         assert abs(np.mean((other >> i) & 1) - model.filled[i] ** langid.HASHES) < 0.01
 
@@ -373,7 +373,8 @@ def test_mixture_passes_by_a_document_longer_than_the_need(spark):
     mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 1), share=0.5).collect()
     own = [r for r in mixed if r.source == "a"]
     assert 40_000 > own[0].target > sum(short)
-    assert sum(r.size * len(r.takes) for r in own) == sum(short)
+    assert abs(sum(r.size * len(r.takes) for r in own) - own[0].target) < 60  # short ones, once and then again
+    assert all(len(r.takes) == 0 for r in own if r.doc_id == first)
     shards = [t.shard for r in own for t in r.takes]
     assert len(set(shards)) == 8 and max(shards.count(i) for i in range(8)) < 0.3 * len(shards)
 
