@@ -106,8 +106,6 @@ def test_query_is_the_plain_mixture(spark, scale):
         s = source[doc_id]
         total[s] += r.taken
         goal[s] = r.target
-        if size and taken < 2 * size:
-            least[s] = min(least.get(s, size), size)
     # near: within one per cent, and sources of a few documents are off by 4 % at most
     off = {s: total[s] - goal[s] for s in goal}
     assert all(abs(off[s]) <= (0.04 if scale == "sf0.001" else 0.01) * goal[s] for s in goal), off
