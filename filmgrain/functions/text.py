@@ -79,6 +79,14 @@ def drop_second_acting_entry(jobs: Column, marker: str = "ACT") -> Column:
     return F.when(F.size(acting) == 2, trimmed).otherwise(jobs)
 
 
+def exact_match(col: str, routes: dict[str, tuple[str, ...]]) -> Column:
+    """The route whose values hold the cell; null if none does."""
+    out = F.lit(None).cast("string")
+    for name, accepted in routes.items():
+        out = F.when(F.col(col).isin(*accepted), F.lit(name)).otherwise(out)
+    return out
+
+
 def first_match(col: Name, routes: Sequence[tuple[str, str]]) -> Column:
     """Target of the first route whose marker occurs in the upper-cased text."""
     text = F.upper(_c(col))

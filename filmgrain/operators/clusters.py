@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from filmgrain.functions.numeric import euclid, min_max
 from filmgrain.operators.joins import with_scalars
-from filmgrain.operators.selection import sample_rows, spread_key
+from filmgrain.operators.selection import bottom_k, sample_rows, spread_key
 from filmgrain.workspace import cut
 
 Run = tuple[str, int]
@@ -76,13 +76,10 @@ def initial(feats: DataFrame, label: str, k: int, seed: int = 0) -> Centroids:
 
 def initial_all(feats: DataFrame, sizes: dict[str, Iterable[int]], seed: int = 0) -> dict[Run, Centroids]:
     """Starts for many runs: one draw per label, whose first k rows start the run of size k."""
-    out = {}
-    for label, ks in sizes.items():
-        ks = list(ks)
-        drawn = initial(feats, label, max(ks), seed)
-        for k in ks:
-            out[(label, k)] = {i: xy for i, xy in drawn.items() if i <= k}
-    return out
+    sizes = {label: list(ks) for label, ks in sizes.items()}
+    rows = bottom_k(feats, "label", "_id", {label: max(ks) for label, ks in sizes.items()}, seed).collect()
+    return {(label, k): {r["rank"]: (r["x"], r["y"]) for r in rows if r["label"] == label and r["rank"] <= k}
+            for label, ks in sizes.items() for k in ks}
 
 
 def _runs_column(runs: dict[Run, Centroids]) -> Column:

@@ -1,15 +1,18 @@
-"""Frequent itemsets, level by level.
+"""Frequent itemsets, level by level, and FP-growth.
 
 Baskets are distinct (basket, item) rows; an itemset is frequent when more than
 ``min_support`` baskets hold all its items.
 
 A basket adds at most one to the support of a set. So with the ``min_support``
 largest baskets set aside, every frequent set still shows up in a basket that is
-left, and joins need to run over those only. What the large baskets add is read from
-a bit mask per item (bit i: the item is in large basket i): it is the number of bits
-the masks of all items share. No pair is ever formed inside a large basket. Baskets
-still above the limit after that are joined in slices, so one basket's work is spread
-over many tasks.
+left, and joins run over those only. What the baskets set aside add is the number of them
+that hold all the items, known from a list per item. No pair is formed inside them, so
+baskets that hold a third of all rows each cost what their rows cost. That is the one way
+at every size; a skewed self-join of what is left is split by adaptive execution.
+
+Pairs are pruned before they are counted: a fixed number of counters over hashed pairs,
+added up on the map side, is a sure upper bound of each pair's support, and only pairs
+whose counter can reach it are shuffled.
 """
 
 from __future__ import annotations
@@ -22,18 +25,17 @@ from pyspark.sql import functions as F
 
 from filmgrain.workspace import cut
 
-LARGE_BASKET = 1_000
-MAX_MASK_BITS = 62
+#: Counters over hashed pairs; also the bound of what is broadcast.
+COUNTERS = 1 << 18
 
 
 @dataclass
 class Prepared:
-    """Rows (basket, item, mask, slices) left for joining, and how the split was made."""
+    """Rows (basket, item, aside) left for joining; ``aside`` lists the baskets set aside that hold the item."""
 
     rows: DataFrame
     min_support: int
     set_aside: int
-    sliced: bool
 
 
 def popular_links(title: DataFrame, links: DataFrame, item: str, min_rating: float = 5,
@@ -54,74 +56,56 @@ def level_one(baskets: DataFrame, min_support: int = 5) -> DataFrame:
     )
 
 
-def prepare(
-    baskets: DataFrame, min_support: int = 5, large: int = LARGE_BASKET, l1: DataFrame | None = None
-) -> Prepared:
-    """Keep frequent items, set the largest baskets aside as masks, slice the next ones."""
+def prepare(baskets: DataFrame, min_support: int = 5, l1: DataFrame | None = None) -> Prepared:
+    """Keep frequent items and set the ``min_support`` largest baskets aside."""
     if l1 is None:
         l1 = level_one(baskets, min_support)
     items = l1.select(F.col("item1").alias("item"))
     rows = cut(baskets.join(items, "item", "left_semi").select("basket", "item"))
-    bits = min(min_support, MAX_MASK_BITS)
     sizes = rows.groupBy("basket").agg(F.count("*").alias("n"))
-    top = sizes.where(F.col("n") > large).orderBy(F.desc("n"), "basket").limit(bits + 1).collect()
-    aside = [r["basket"] for r in top[:bits]]
-    sliced = len(top) > bits
-    left = rows.withColumn("mask", F.lit(0).cast("bigint"))
-    if aside:
-        position = reduce(
-            lambda acc, ib: F.when(F.col("basket") == F.lit(ib[1]), F.lit(1 << ib[0])).otherwise(acc),
-            enumerate(aside), F.lit(0),
-        ).cast("bigint")
-        masks = rows.where(F.col("basket").isin(aside)).groupBy("item").agg(
-            F.bit_or(position).alias("mask")
-        )
-        left = (
-            rows.where(~F.col("basket").isin(aside)).join(masks, "item", "left")
-            .withColumn("mask", F.coalesce("mask", F.lit(0).cast("bigint")))
-        )
-    if sliced:
-        wide = sizes.where(F.col("n") > large).select(
-            "basket", F.ceil(F.col("n") / large).cast("int").alias("slices")
-        )
-        left = left.join(wide, "basket", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
-    else:
-        left = left.withColumn("slices", F.lit(1))
-    left = left.select("basket", "item", "mask", "slices")
-    return Prepared(cut(left) if aside or sliced else left, min_support, len(aside), sliced)
+    aside = [r["basket"] for r in sizes.orderBy(F.desc("n"), "basket").limit(min_support).collect()]
+    held = rows.where(F.col("basket").isin(aside)).groupBy("item").agg(F.collect_list("basket").alias("aside"))
+    left = rows.where(~F.col("basket").isin(aside)).join(held, "item", "left")
+    none = F.array().cast(held.schema["aside"].dataType)
+    return Prepared(cut(left.select("basket", "item", F.coalesce("aside", none).alias("aside"))), min_support, len(aside))
 
 
 def _pairs(p: Prepared) -> DataFrame:
-    """(basket, item1 < item2, mask) over the joinable rows."""
-    a = p.rows.select("basket", F.col("item").alias("item1"), F.col("mask").alias("m1"), "slices")
-    b = p.rows.select("basket", F.col("item").alias("item2"), F.col("mask").alias("m2"), "slices")
-    on = ["basket"]
-    if p.sliced:
-        a = a.withColumn("slice", F.pmod(F.xxhash64("item1"), F.col("slices")).cast("int"))
-        b = b.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        on = ["basket", "slice"]
-    return (
-        a.drop("slices").join(b.drop("slices"), on).where("item1 < item2")
-        .select("basket", "item1", "item2", F.col("m1").bitwiseAND(F.col("m2")).alias("mask"))
-    )
+    """(basket, item1 < item2, aside) over the joinable rows."""
+    a = p.rows.select("basket", F.col("item").alias("item1"), F.col("aside").alias("a1"))
+    b = p.rows.select("basket", F.col("item").alias("item2"), F.col("aside").alias("a2"))
+    return a.join(b, "basket").where("item1 < item2").select(
+        "basket", "item1", "item2", F.array_intersect("a1", "a2").alias("aside"))
 
 
 def _support(occurrences: DataFrame, n: int, min_support: int) -> DataFrame:
     items = [f"item{i}" for i in range(1, n + 1)]
-    joint = F.count("*") + F.bit_count(F.max("mask"))
+    joint = F.count("*") + F.max(F.size("aside"))
     return occurrences.groupBy(*items).agg(joint.alias("support")).where(
         F.col("support") > min_support
     )
 
 
+def hopeful_pairs(p: Prepared, counters: int = COUNTERS) -> DataFrame:
+    """Occurrences of the pairs whose counter does not rule them out.
+
+    A counter holds the occurrences of all pairs that share its hash, so with the baskets set
+    aside it is never below a pair's support. It takes ``counters`` rows a task to shuffle.
+    """
+    pairs = _pairs(p).withColumn("slot", F.pmod(F.xxhash64("item1", "item2"), F.lit(counters)).cast("int"))
+    bound = pairs.groupBy("slot").agg(F.count("*").alias("bound"))
+    return pairs.join(F.broadcast(bound), "slot").where(
+        F.col("bound") + F.size("aside") > p.min_support).drop("slot", "bound")
+
+
 def level_two(p: Prepared) -> DataFrame:
     """Pairs with their joint support."""
-    return _support(_pairs(p), 2, p.min_support)
+    return _support(hopeful_pairs(p), 2, p.min_support)
 
 
 def pair_occurrences(p: Prepared, l2: DataFrame) -> DataFrame:
     """Baskets of the frequent pairs only."""
-    return _pairs(p).join(l2.select("item1", "item2"), ["item1", "item2"], "left_semi")
+    return hopeful_pairs(p).join(l2.select("item1", "item2"), ["item1", "item2"], "left_semi")
 
 
 def extend(occurrences: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
@@ -130,17 +114,16 @@ def extend(occurrences: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     last = f"item{n - 1}"
     step = pairs.select(
         "basket", F.col("item1").alias(last), F.col("item2").alias(f"item{n}"),
-        F.col("mask").alias("_m"),
+        F.col("aside").alias("_a"),
     )
     return occurrences.join(step, ["basket", last]).select(
         "basket", *[f"item{i}" for i in range(1, n + 1)],
-        F.col("mask").bitwiseAND(F.col("_m")).alias("mask"),
+        F.array_intersect("aside", "_a").alias("aside"),
     )
 
 
 def levels(
     baskets: DataFrame, min_support: int = 5, max_level: int | None = None,
-    large: int = LARGE_BASKET,
 ) -> list[DataFrame]:
     """Non-empty levels 1, 2, ... until one is empty (or ``max_level`` is reached).
 
@@ -153,7 +136,7 @@ def levels(
     found = [l1]
     if max_level == 1:
         return found
-    p = prepare(baskets, min_support, large, l1)
+    p = prepare(baskets, min_support, l1)
     current = cut(level_two(p))
     pairs = occurrences = None
     n = 2
@@ -172,9 +155,9 @@ def levels(
     return found
 
 
-def level(baskets: DataFrame, n: int, min_support: int = 5, large: int = LARGE_BASKET) -> DataFrame:
+def level(baskets: DataFrame, n: int, min_support: int = 5) -> DataFrame:
     """Level ``n`` alone; an empty frame of its columns when no such set exists."""
-    found = levels(baskets, min_support, n, large)
+    found = levels(baskets, min_support, n)
     if len(found) == n:
         return found[-1]
     item = baskets.schema["item"].dataType
@@ -190,35 +173,19 @@ def last_level_named(found: list[DataFrame], names: DataFrame) -> DataFrame:
     return attach_names(last, names, [c for c in last.columns if c.startswith("item")])
 
 
-def fp_growth(baskets: DataFrame, min_support: int = 5, large: int = LARGE_BASKET) -> DataFrame:
+def fp_growth(baskets: DataFrame, min_support: int = 5) -> DataFrame:
     """The same itemsets from MLlib's FPGrowth, as (items, support).
 
-    FPGrowth takes a basket as one array. Large baskets are set aside as masks as
-    above; when more than ``min_support`` baskets are large, an array would grow with
-    the data, and the level-wise run answers instead.
+    FPGrowth takes a basket as one array; it holds the basket's frequent items only, so it is
+    at most as long as level one.
     """
     from pyspark.ml.fpm import FPGrowth
 
-    p = prepare(baskets, min_support, large)
-    if p.sliced or p.set_aside >= min_support:
-        return as_sets(levels(baskets, min_support, large=large))
-    arrays = cut(p.rows.groupBy("basket").agg(F.collect_set("item").alias("items")))
+    items = level_one(baskets, min_support).select(F.col("item1").alias("item"))
+    arrays = cut(baskets.join(items, "item", "left_semi").groupBy("basket").agg(F.collect_set("item").alias("items")))
     n = arrays.count()
-    least = min_support + 1 - p.set_aside
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / max(n, 1)).fit(arrays)
-    sets = model.freqItemsets.select(
-        F.array_sort("items").alias("items"), F.col("freq").alias("cold")
-    )
-    if not p.set_aside:
-        return sets.select("items", F.col("cold").alias("support"))
-    masks = p.rows.select("item", "mask").distinct()
-    shared = (
-        sets.select("items", "cold", F.explode("items").alias("item")).join(masks, "item")
-        .groupBy("items", "cold").agg(F.bit_count(F.bit_and("mask")).alias("hot"))
-    )
-    return shared.select("items", (F.col("cold") + F.col("hot")).alias("support")).where(
-        F.col("support") > min_support
-    )
+    model = FPGrowth(itemsCol="items", minSupport=(min_support + 0.5) / max(n, 1)).fit(arrays)
+    return model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("support"))
 
 
 def as_sets(found: list[DataFrame]) -> DataFrame:

@@ -35,6 +35,47 @@ def split_key(
     return winners, losers.select(*df.columns, "copies")
 
 
+def split_first(df: DataFrame, key: Sequence[str], position: str = "_pos") -> tuple[DataFrame, DataFrame]:
+    """(the first row of each key in file order, the rows that lost), both without ``position``.
+
+    Equal lost rows come once, with their number in ``copies``: a key that repeats endlessly
+    with few different rows is counted on the map side.
+    """
+    rest = [c for c in df.columns if c not in key and c != position]
+    counted = df.groupBy(*key, *rest).agg(F.count("*").alias("_n"), F.min(position).alias(position))
+    whole = F.struct(position, *rest)
+    best = counted.groupBy(*key).agg(F.min(whole).alias("_best"))
+    columns = [c for c in df.columns if c != position]
+    winners = best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in columns])
+    left = F.col("_n") - F.when(F.col(position) == F.col(f"_best.{position}"), 1).otherwise(0)
+    losers = join_salted(counted, best, key).withColumn("copies", left).where("copies > 0")
+    return winners, losers.select(*columns, "copies")
+
+
+def judge_links(
+    rows: DataFrame, parents: Mapping[str, tuple[DataFrame, Sequence[str]]], key: Sequence[str]
+) -> DataFrame:
+    """Distinct links with ``outcome`` and ``copies``: ``kept`` once, further copies as ``repeated``, and links
+    with an unknown parent under ``unknown <name>``, the first that is missing.
+
+    ``parents`` maps a name to (rows of known parents, the link's columns that hold its key).
+    Links are counted before parents are looked up, so a link that comes endlessly is one row.
+    """
+    judged = rows.groupBy(*key).agg(F.count("*").alias("_n"))
+    fault = F.lit(None).cast("string")
+    for name, (known_rows, columns) in parents.items():
+        have = known_rows.select(*columns).distinct().withColumn(f"_has_{name}", F.lit(True))
+        judged = judged.join(have, list(columns), "left")
+    for name in reversed(parents):
+        fault = F.when(F.col(f"_has_{name}").isNull(), F.lit(f"unknown {name}")).otherwise(fault)
+    one = F.lit(1).cast("bigint")
+    told = lambda outcome, copies: F.struct(outcome.alias("outcome"), copies.alias("copies"))
+    kept = told(F.lit("kept"), one)
+    outcomes = F.when(fault.isNotNull(), F.array(told(fault, F.col("_n")))).when(
+        F.col("_n") > 1, F.array(kept, told(F.lit("repeated"), F.col("_n") - 1))).otherwise(F.array(kept))
+    return judged.select(*key, F.explode(outcomes).alias("_o")).select(*key, "_o.outcome", "_o.copies")
+
+
 def split_reference(
     df: DataFrame, parent: DataFrame, key: str, parent_key: str = "id"
 ) -> tuple[DataFrame, DataFrame]:

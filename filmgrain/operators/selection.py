@@ -57,8 +57,8 @@ def dense_ids(labels: DataFrame, label: str, out: str = "id", start: int = 0) ->
 
 
 def spread_key(col: str, seed: int) -> Column:
-    """A fixed pseudo-random order over whole-number ids."""
-    return F.pmod(F.pmod(F.col(col), F.lit(1_000_003)) * 7919 + seed * 104_729, F.lit(1_000_003))
+    """A fixed pseudo-random order over ids: an md5 of seed and id, alike in every engine."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(col).cast("string")))
 
 
 def sample_rows(df: DataFrame, k: int, key: str | None = None, seed: int = 0) -> DataFrame:
@@ -67,6 +67,20 @@ def sample_rows(df: DataFrame, k: int, key: str | None = None, seed: int = 0) ->
     return df.orderBy(*order).limit(k)
 
 
+def bottom_k(df: DataFrame, group: str, key: str, sizes: dict, seed: int = 0) -> DataFrame:
+    """The rows of each group with the ``sizes[group]`` smallest hashes, ranked from 1; all groups in one job.
+
+    Spark keeps the first rows of each group per task before the shuffle, so what is moved
+    grows with tasks and samples and not with the data. Groups without a size are left out.
+    """
+    most = F.lit(None).cast("int")
+    for name, k in sizes.items():
+        most = F.when(F.col(group) == F.lit(name), F.lit(k)).otherwise(most)
+    w = Window.partitionBy(group).orderBy(spread_key(key, seed), F.col(key))
+    ranked = df.where(F.col(group).isin(*sizes)).withColumn("rank", F.row_number().over(w))
+    return ranked.where(F.col("rank") <= max(sizes.values(), default=0)).where(F.col("rank") <= most)
+
+
 def groups_with_repeats(df: DataFrame, group: str, pair: Sequence[str]) -> DataFrame:
     """Groups in which some ``pair`` occurs more than once."""
     return df.groupBy(*pair).count().where("count > 1").select(group).distinct()

@@ -81,23 +81,20 @@ def set_by_title(docs: DataFrame, updates: DataFrame, values: Sequence[str] = VA
     The chosen document is resolved on the update side, so the documents join once,
     on their unique ``_id``.
     """
-    chosen = (
-        docs.join(updates.select("title"), "title", "left_semi")
-        .groupBy("title").agg(F.min("_id").alias("_id"))
-    )
-    return set_by_id(docs, updates.join(chosen, "title").drop("title"), values)
-
+    return set_by_id(docs, by_chosen_id(docs, updates), values)
 
-def update_ratings(movies: DataFrame, ratings: DataFrame, key: str = "title_id") -> DataFrame:
-    """Ratings and votes of matching movies replaced, the others untouched.
 
-    Of several ratings of one movie the last by ``_pos`` counts, and where they have no
-    position the one with most votes, then the best; each movie stays one row.
-    """
+def latest_ratings(ratings: DataFrame, key: str = "title_id") -> DataFrame:
+    """One rating a movie: the last by ``_pos``, and without positions the one with most votes, then the best."""
     order = ["_pos"] if "_pos" in ratings.columns else ["votes", "ratings"]
     last = ratings.groupBy(key).agg(F.max(F.struct(*order, *[
         c for c in ratings.columns if c not in (key, *order)])).alias("_r")).select(key, "_r.*").drop("_pos")
-    joined = movies.alias("d").join(last.alias("u"), key, "left")
+    return last
+
+
+def set_ratings(movies: DataFrame, latest: DataFrame, key: str = "title_id") -> DataFrame:
+    """Ratings and votes of matching movies replaced, the others untouched; each movie stays one row."""
+    joined = movies.alias("d").join(latest.alias("u"), key, "left")
     return joined.select(*[
         F.coalesce(f"u.{c}", f"d.{c}").alias(c) if c in ("ratings", "votes")
         else (F.col(c) if c == key else F.col(f"d.{c}").alias(c))
@@ -105,28 +102,39 @@ def update_ratings(movies: DataFrame, ratings: DataFrame, key: str = "title_id")
     ])
 
 
+def update_ratings(movies: DataFrame, ratings: DataFrame, key: str = "title_id") -> DataFrame:
+    return set_ratings(movies, latest_ratings(ratings, key), key)
+
+
+def by_chosen_id(docs: DataFrame, updates: DataFrame) -> DataFrame:
+    """Updates by title under the ``_id`` they change: the smallest of the documents that share the title."""
+    chosen = (
+        docs.join(updates.select("title"), "title", "left_semi")
+        .groupBy("title").agg(F.min("_id").alias("_id"))
+    )
+    return updates.join(chosen, "title").drop("title")
+
+
 def report(records: DataFrame, updates: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     """One row of counts: with and without key, repeats, no information, to update, matched."""
     text = F.col(key)
     number = text if key == "title" else title_number(key)
-    usable = number.isNotNull()
     person = F.lit(False) if key == "title" else F.coalesce(text.contains("nm"), F.lit(False))
-    base = records.agg(
-        F.count_if(usable).alias("with_key"),
-        F.count_if(~F.coalesce(usable, F.lit(False))).alias("without_key"),
-        F.count_if(person).alias("person_key"),
-    )
-    repeats = (
-        records.where(usable).groupBy(number.alias("_k")).count()
-        .agg(F.count_if(F.col("count") > 1).alias("n"))
-    )
-    useful = informative(updates)
-    matched = useful.select(key).join(docs.select(key).distinct(), key, "left_semi")
-    one = lambda df: df.agg(F.count("*").alias("n")).scalar()
-    return base.select(
-        "with_key", "without_key", "person_key",
-        repeats.scalar().alias("repeated_keys"),
-        (one(updates) - one(useful)).alias("no_information"),
-        one(useful).alias("to_update"),
-        one(matched).alias("matched"),
-    ).withColumn("unmatched", F.col("to_update") - F.col("matched"))
+    # a row per key with its number of records, rows without a key apart, updates and documents stacked on
+    none = F.lit(0).cast("bigint")
+    zero = {c: none.alias(c) for c in ("records", "unkeyed", "person", "empty", "useful", "docs")}
+    kind = docs.schema[key].dataType
+    part = lambda df, k, **own: df.select(k.cast(kind).alias("k"), *[
+        own[c].cast("bigint").alias(c) if c in own else zero[c] for c in zero])
+    filled = F.coalesce(*[F.col(c).cast("string") for c in VALUES]).isNotNull()
+    stacked = part(records, number, records=number.isNotNull(), unkeyed=number.isNull(), person=person).unionByName(
+        part(updates, F.col(key), empty=~filled, useful=filled)).unionByName(part(docs, F.col(key), docs=F.lit(True)))
+    by_key = stacked.groupBy("k").agg(*[F.sum(c).alias(c) for c in zero])
+    known = F.col("docs") > 0
+    return by_key.agg(
+        F.coalesce(F.sum("records"), none).alias("with_key"), F.coalesce(F.sum("unkeyed"), none).alias("without_key"),
+        F.coalesce(F.sum("person"), none).alias("person_key"),
+        F.count_if(F.col("records") > 1).alias("repeated_keys"), F.coalesce(F.sum("empty"), none).alias("no_information"),
+        F.coalesce(F.sum("useful"), none).alias("to_update"),
+        F.coalesce(F.sum(F.when(known, F.col("useful"))), none).alias("matched"),
+        F.coalesce(F.sum(F.when(~known, F.col("useful"))), none).alias("unmatched"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from filmgrain.functions import text
 from filmgrain.operators.joins import encode_label, known
-from filmgrain.operators.selection import dense_ids, first_per_key
+from filmgrain.operators.keys import judge_links, split_first
+from filmgrain.operators.selection import dense_ids
 from filmgrain.operators.updates import update_ratings
 
 PERSON_TABLES = {"ACTOR": "actors", "ACTRESS": "actors", "DIRECTOR": "directors",
@@ -19,27 +20,31 @@ CATEGORIES = {"actor": ("actor", "actress"), "director": ("director",),
 
 # denormalised tables
 
-def movies(basics: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Non-adult movies with three genre slots, ratings merged in."""
+def movies(basics: DataFrame, ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(non-adult movies with three genre slots, ratings merged in; lines whose id an earlier line has).
+
+    ``basics`` comes with its position: of the lines of an id the first stays, as in a keyed
+    insert in file order.
+    """
     rows = basics.where((F.col("titleType") == "movie") & (F.col("isAdult") == "0")).select(
         text.strip_prefix("tconst").alias("title_id"),
         F.col("primaryTitle").alias("primary_title"), F.col("originalTitle").alias("original_title"),
         F.col("startYear").try_cast("int").alias("release_year"),
         F.col("runtimeMinutes").try_cast("int").alias("runtime_minutes"),
         *text.fixed_slots("genres", ["genre_one", "genre_two", "genre_three"]),
-        F.lit(None).cast("decimal(3,1)").alias("ratings"), F.lit(None).cast("bigint").alias("votes"),
+        F.lit(None).cast("decimal(3,1)").alias("ratings"), F.lit(None).cast("bigint").alias("votes"), "_pos",
     )
-    unique = first_per_key(rows, ["title_id"], ["primary_title"])
+    unique, repeated = split_first(rows, ["title_id"])
     scores = ratings.select(
         text.strip_prefix("tconst").alias("title_id"),
         F.col("averageRating").try_cast("decimal(3,1)").alias("ratings"),
         F.col("numVotes").try_cast("bigint").alias("votes"),
     )
-    return update_ratings(unique, scores)
+    return update_ratings(unique, scores), repeated
 
 
 def profession_rows(names: DataFrame) -> DataFrame:
-    """One row per person and profession that has a table, with its ``target``."""
+    """One row per person and profession that has a table, with its ``target``; a position is kept."""
     first, last = text.split_name("primaryName")
     jobs = text.drop_second_acting_entry(text.upper_list(text.split_list("primaryProfession")))
     target = F.lit(None).cast("string")
@@ -50,15 +55,15 @@ def profession_rows(names: DataFrame) -> DataFrame:
             text.strip_prefix("nconst").alias("id"), first.alias("first_name"), last.alias("last_name"),
             F.col("birthYear").try_cast("int").alias("birth_year"),
             F.col("deathYear").try_cast("int").alias("death_year"),
-            F.explode(jobs).alias("job"),
+            F.explode(jobs).alias("job"), *[c for c in names.columns if c == "_pos"],
         )
         .withColumn("target", target).where(F.col("target").isNotNull()).drop("job")
     )
 
 
-def people(names: DataFrame) -> DataFrame:
-    """All person tables as one frame with ``target``, unique on (target, id)."""
-    return first_per_key(profession_rows(names), ["target", "id"], ["first_name"])
+def people(names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(all person tables as one frame with ``target``, unique on (target, id); lines that came later)."""
+    return split_first(profession_rows(names), ["target", "id"])
 
 
 def person_table(people_rows: DataFrame, target: str) -> DataFrame:
@@ -93,16 +98,13 @@ def principal_rows(principals: DataFrame) -> DataFrame:
 
 
 def known_links(rows: DataFrame, movies_: DataFrame, people_: DataFrame) -> DataFrame:
-    """Distinct links whose movie is known and whose person is in the target's table.
+    """Links with ``outcome`` and ``copies``: kept once where the movie is known and the person is in the target's table.
 
     Rows of several dumps are stacked before this, so parents are joined once.
     """
     persons = people_.select("target", F.col("id").alias("person_id"))
-    return (
-        rows.distinct().join(movies_.select("title_id"), "title_id", "left_semi")
-        .join(persons, ["target", "person_id"], "left_semi")
-        .select("target", "title_id", "person_id")
-    )
+    parents = {"title": (movies_, ["title_id"]), "person": (persons, ["target", "person_id"])}
+    return judge_links(rows, parents, ["target", "title_id", "person_id"])
 
 
 # normalised tables
@@ -138,19 +140,12 @@ def members(names: DataFrame) -> DataFrame:
     )
 
 
-def principal_pairs(principals: DataFrame) -> dict[str, DataFrame]:
-    """Distinct (titleid, person) pairs per exact category."""
-    rows = principals.select(
+def principal_links(principals: DataFrame) -> DataFrame:
+    """Distinct (link, titleid, person), ``link`` being the table of the exact category; one pass for all tables."""
+    return principals.select(
+        text.exact_match("category", CATEGORIES).alias("link"),
         text.id_number("tconst", "tt").alias("titleid"), text.id_number("nconst", "nm").alias("person"),
-        "category",
-    )
-    out = {}
-    for name, accepted in CATEGORIES.items():
-        key = f"{name}id"
-        out[name] = rows.where(F.col("category").isin(*accepted)).select(
-            "titleid", F.col("person").alias(key)
-        ).dropDuplicates(["titleid", key])
-    return out
+    ).where("link IS NOT NULL").distinct()
 
 
 def role_rows(principals: DataFrame) -> DataFrame:

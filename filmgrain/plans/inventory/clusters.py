@@ -30,9 +30,9 @@ def views(sizes: list[tuple[str, int]], iterations: int) -> dict[str, str]:
             FROM title WHERE type = 'movie' AND numVotes >= 10000 AND startYear IS NOT NULL AND avgRatings IS NOT NULL""",
         "feats": "SELECT genre AS label, _id, x, y FROM scaled JOIN title_genre ON titleid = _id JOIN genre ON genreid = genre.id",
         "pts": "SELECT label, x, y, count(*) AS w FROM feats GROUP BY label, x, y",
-        "drawn": "SELECT label, x, y, row_number() OVER (PARTITION BY label ORDER BY (_id * 7919) % 1000003, _id) AS c FROM feats",
+        "drawn": "SELECT label, x, y, row_number() OVER (PARTITION BY label ORDER BY md5(concat('0:', _id)), _id) AS c FROM feats",
         "init": f"SELECT r.label, r.k, c, x, y FROM (VALUES {runs}) r(label, k) JOIN drawn d ON d.label = r.label AND c <= r.k",
-        "spare": f"""SELECT label, turn, x, y, row_number() OVER (PARTITION BY label, turn ORDER BY (_id * 7919 + turn * 104729) % 1000003, _id) AS pos
+        "spare": f"""SELECT label, turn, x, y, row_number() OVER (PARTITION BY label, turn ORDER BY md5(concat(turn, ':', _id)), _id) AS pos
             FROM feats CROSS JOIN (SELECT unnest(range(1, {iterations + 1})) AS turn)
             QUALIFY pos <= 50""",
     }
@@ -131,19 +131,18 @@ def km_elbow(v):
     return curve.select("label", "k", F.round("sse", DIGITS).alias("sse"))
 
 
-@query("km_best", steps(100) + f"""SELECT a.label, CAST(a.c AS INTEGER) AS cluster, round(any_value(f.x), {DIGITS}) AS centre_x, round(any_value(f.y), {DIGITS}) AS centre_y,
-    count(*) AS members, round(avg(a.x), {DIGITS}) AS label_x, round(avg(a.y), {DIGITS}) AS label_y FROM
+@query("km_best", steps(100) + f"""SELECT a.label, CAST(a.c AS INTEGER) AS cluster, round(f.x, {DIGITS}) AS centre_x, round(f.y, {DIGITS}) AS centre_y,
+    CAST(a.rank AS INTEGER) AS rank, a._id, round(a.x, {DIGITS}) AS x, round(a.y, {DIGITS}) AS y,
+    round(avg(a.x) OVER (PARTITION BY a.label, a.c), {DIGITS}) AS label_x, round(avg(a.y) OVER (PARTITION BY a.label, a.c), {DIGITS}) AS label_y FROM
     (SELECT *, row_number() OVER (PARTITION BY label, c ORDER BY _id) AS rank FROM
       (SELECT p.label, p._id, p.x, p.y, (min({{'d': sqrt((p.x-s.x)*(p.x-s.x) + (p.y-s.y)*(p.y-s.y)), 'c': s.c}})).c AS c
        FROM feats p JOIN step s ON s.label = p.label AND s.turn = 99 GROUP BY p.label, p._id, p.x, p.y)) a
-    JOIN step f ON f.label = a.label AND f.c = a.c AND f.turn = 100 WHERE a.rank <= 25 GROUP BY a.label, a.c""",
+    JOIN step f ON f.label = a.label AND f.c = a.c AND f.turn = 100 WHERE a.rank <= 25""",
        views(list(BEST.items()), 100))
 def km_best(v):
+    """A row for each of the up to 25 members shown of a cluster, with its centroid and label position."""
     centres, shown, place = clusters.best(labelled(v), BEST)
-    sizes = shown.groupBy("label", "cluster").agg(F.count("*").alias("members"))
     r = lambda c, n: F.round(c, DIGITS).alias(n)
-    return (
-        centres.select("label", "cluster", r("x", "centre_x"), r("y", "centre_y"))
-        .join(sizes, ["label", "cluster"])
-        .join(place.select("label", "cluster", r("x", "label_x"), r("y", "label_y")), ["label", "cluster"])
-    )
+    about = centres.select("label", "cluster", r("x", "centre_x"), r("y", "centre_y")).join(
+        place.select("label", "cluster", r("x", "label_x"), r("y", "label_y")), ["label", "cluster"])
+    return shown.select("label", "cluster", "rank", "_id", r("x", "x"), r("y", "y")).join(about, ["label", "cluster"])

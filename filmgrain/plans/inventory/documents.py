@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from filmgrain.operators import documents
 from filmgrain.operators.joins import lookup_array
-from filmgrain.plans.etl import PERSON_TABLES, profession_rows
+from filmgrain.plans.etl import profession_rows
 from filmgrain.plans.registry import query
 
 C = F.col
-SCALARS = ("id", "type", "title", "startYear", "runtime", "avgRatings", "numVotes")
+SCALARS = ("id", "type", "title", "originalTitle", "startYear", "endYear", "runtime", "avgRatings", "numVotes")
 
 
 def docs_with(v, *fields: str):
@@ -74,19 +74,16 @@ def arr_contains(v):
     WHERE job IN ('ACTOR', 'ACTRESS', 'DIRECTOR', 'WRITER', 'PRODUCER')""", {"acting_jobs": """SELECT nconst, list_filter(j, lambda x: contains(x, 'ACT')) AS acting, j FROM
     (SELECT nconst, string_split(upper(primaryProfession), ',') AS j FROM raw_names)"""})
 def arr_explode_route(v):
-    rows = profession_rows(v.raw_names)
-    frames = [rows.where(C("target") == t).select("id", "target") for t in sorted(set(PERSON_TABLES.values()))]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return profession_rows(v.raw_names).select("id", "target")
 
 
-@query("json_doc_build", """SELECT concat('{"_id":', id, ',"type":"', type, '","title":"', title, '","startYear":', startYear,
+@query("json_doc_build", """SELECT concat('{"_id":', id, ',"type":"', type, '","title":"', title, '","originalTitle":"', originalTitle, '","startYear":', startYear,
     CASE WHEN endYear IS NOT NULL THEN concat(',"endYear":', endYear) ELSE '' END,
-    CASE WHEN runtime IS NOT NULL THEN concat(',"runtime":', runtime) ELSE '' END, '}') AS doc FROM title""")
+    CASE WHEN runtime IS NOT NULL THEN concat(',"runtime":', runtime) ELSE '' END,
+    CASE WHEN avgRatings IS NOT NULL THEN concat(',"avgRatings":', CAST(avgRatings AS DECIMAL(3,1))) ELSE '' END,
+    CASE WHEN numVotes IS NOT NULL THEN concat(',"numVotes":', numVotes) ELSE '' END, '}') AS doc FROM title""")
 def json_doc_build(v):
-    docs = v.title.select(C("id").alias("_id"), "type", "title", "startYear", "endYear", "runtime")
+    docs = v.title.withColumn("avgRatings", C("avgRatings").cast("decimal(3,1)")).withColumnRenamed("id", "_id")
     return documents.to_json_document(docs)
 
 
@@ -100,7 +97,7 @@ def json_unwrap_rename(v):
     return rename_enrichment(read_wrapped_json(v.spark, stage_enrichment(v)))
 
 
-@query("doc_assemble", """SELECT t.id AS _id, t.title, t.startYear, g.genres, d.directors, w.writers, p.producers, a.cast_list FROM title t
+@query("doc_assemble", """SELECT t.id AS _id, t.type, t.title, t.originalTitle, t.startYear, t.endYear, t.runtime, t.avgRatings AS avgRating, t.numVotes, g.genres, d.directors, w.writers, p.producers, a.cast_list FROM title t
     LEFT JOIN (SELECT titleid, string_agg(genre, ',' ORDER BY genre) AS genres FROM title_genre JOIN genre ON genreid = id GROUP BY titleid) g ON g.titleid = t.id
     LEFT JOIN (SELECT titleid, string_agg(directorid, ',' ORDER BY directorid) AS directors FROM title_director GROUP BY titleid) d ON d.titleid = t.id
     LEFT JOIN (SELECT titleid, string_agg(writerid, ',' ORDER BY writerid) AS writers FROM title_writer GROUP BY titleid) w ON w.titleid = t.id
@@ -110,13 +107,18 @@ def json_unwrap_rename(v):
             FROM actor_title_role JOIN role ON roleid = id GROUP BY titleid, actorid) r
         ON r.titleid = a.titleid AND r.actorid = a.actorid GROUP BY a.titleid) a ON a.titleid = t.id""")
 def doc_assemble(v):
-    docs = docs_with(v, "genres", "director_id", "writer_id", "producer_id", "actors")
+    return flat(docs_with(v, "genres", "director_id", "writer_id", "producer_id", "actors"))
+
+
+def flat(docs):
+    """Documents with their arrays as text."""
     ids = lambda c: F.array_join(C(c).cast("array<string>"), ",")
     cast = F.transform("actors", lambda a: F.concat(
         a["actor"].cast("string"), F.lit(":"), F.coalesce(F.array_join(a["role"], "|"), F.lit(""))
     ))
     return docs.select(
-        "_id", "title", "startYear", F.array_join("genres", ",").alias("genres"),
+        "_id", "type", "title", "originalTitle", "startYear", "endYear", "runtime", "avgRating", "numVotes",
+        F.array_join("genres", ",").alias("genres"),
         ids("director_id").alias("directors"), ids("writer_id").alias("writers"),
         ids("producer_id").alias("producers"), F.array_join(cast, ";").alias("cast_list"),
     )

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from filmgrain import schemas
 from filmgrain.operators import keys, updates
+from filmgrain.operators.store import Collection
 from filmgrain.plans.inventory.sources import stage_enrichment
 from filmgrain.plans.registry import query
 from filmgrain.sources.readers import read_wrapped_json
+from filmgrain.workspace import cut, stage_path
 
 C = F.col
 
@@ -35,11 +38,28 @@ def chk_fk(v):
     ).select("titleid", "actorid", "outcome")
 
 
-@query("chk_length", """SELECT id, 'title' AS "column", CAST(length(title) AS INTEGER) AS length FROM title WHERE length(title) > 8
-    UNION ALL SELECT id, 'originalTitle', CAST(length(originalTitle) AS INTEGER) FROM title WHERE length(originalTitle) > 12""")
+LONG = {
+    "title": "SELECT id, type, repeat(title, CAST(id % 70 AS INTEGER)) AS title, repeat(originalTitle, CAST(id % 40 AS INTEGER)) AS originalTitle FROM title",
+    "genre": "SELECT id, repeat(genre, CAST(id % 20 AS INTEGER)) AS genre FROM genre",
+    "role": "SELECT id, repeat(role, CAST(id * 20 AS INTEGER)) AS role FROM role",
+    "member": "SELECT id, repeat(name, CAST(id % 30 AS INTEGER)) AS name FROM member",
+}
+
+
+@query("chk_length", " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", id, '{c}' AS "column", CAST(length({c}) AS INTEGER) AS length FROM ({LONG[t]}) WHERE length({c}) > {n}"""
+    for t, limits in schemas.TEXT_LIMITS.items() for c, n in limits.items()))
 def chk_length(v):
-    rows = v.title.select("id", "title", "originalTitle")
-    return keys.too_long(rows, {"title": 8, "originalTitle": 12}).select("id", "column", "length")
+    """Every table against its declared limits; the labels are repeated, so that some are too long."""
+    out = None
+    for name, limits in schemas.TEXT_LIMITS.items():
+        times = {"title": {"title": 70, "originalTitle": 40}, "genre": {"genre": 20}, "member": {"name": 30}}.get(name, {})
+        rows = getattr(v, name).withColumns({
+            c: F.expr(f"repeat({c}, cast(id % {n} AS int))") for c, n in times.items()} or {
+            "role": F.expr("repeat(role, cast(id * 20 AS int))")})
+        found = keys.too_long(rows.select("id", *limits), limits).select(F.lit(name).alias("table"), "id", "column", "length")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 @query("load_relation", """SELECT DISTINCT l_orderkey AS titleid, 1000000000000 + l_suppkey AS producerid FROM lineitem
@@ -70,7 +90,12 @@ def load_relation3(v):
     )
 
 
-@query("batch_all_or_nothing", "SELECT 'clean' AS batch, id FROM title WHERE type = 'movie'")
+@query("batch_all_or_nothing", """WITH batches AS (
+      SELECT 'clean' AS batch, id FROM title WHERE type = 'movie' UNION ALL SELECT 'repeated', titleid FROM title_actor
+      UNION ALL SELECT 'present', id FROM title WHERE type <> 'movie'),
+    clashes AS (SELECT batch FROM batches GROUP BY batch, id HAVING count(*) > 1
+      UNION SELECT batch FROM batches WHERE id IN (SELECT id FROM title WHERE type = 'short'))
+    SELECT batch, id FROM batches WHERE batch NOT IN (SELECT batch FROM clashes)""")
 def batch_all_or_nothing(v):
     stored = v.title.where("type = 'short'").select("id")
     clean = v.title.where("type = 'movie'").select("id")
@@ -98,7 +123,9 @@ def upd_ratings(v):
         "cast(substr(tconst, 3) AS bigint) AS title_id", "cast(averageRating AS double) AS ratings",
         "cast(numVotes AS bigint) AS votes",
     )
-    return updates.update_ratings(movies, ratings)
+    stored = Collection(v.spark, stage_path(v.spark, "movies")).create(movies, "title_id")
+    stored.merge(updates.latest_ratings(ratings), updates.set_ratings, "ratings")
+    return stored.read()
 
 
 def enrichment(v):
@@ -110,10 +137,20 @@ def documents_before(v):
     return v.title.select(
         C("id").alias("_id"), "title",
         F.when(C("id") % 4 == 0, F.lit("EUR")).alias("currency_type"),
-        F.lit(None).cast("double").alias("cost"), F.lit(None).cast("string").alias("film_rating"),
+        *[F.lit(None).cast(kind).alias(c) for c, kind in (
+            ("cost", "double"), ("distributor", "string"), ("box_office_revenue", "double"), ("film_rating", "string"))],
     )
 
 
+def merged(v, changes, change, batch):
+    """The stored documents after ``batch`` has run, and run again."""
+    stored = Collection(v.spark, stage_path(v.spark, "documents")).create(documents_before(v))
+    changes = cut(changes)
+    stored.merge(changes, change, batch)
+    stored.merge(changes, change, batch)  # finds its own name
+    return stored.read()
+
+
 UPDATES = {
     "by_id": """SELECT CAST(replace(IMDb_ID, 'tt', '') AS BIGINT) AS _id, CAST(cost AS DOUBLE) AS cost, CAST(box_office AS DOUBLE) AS box_office_revenue,
         box_office_currencyLabel AS currency_type, distributorLabel AS distributor, MPAA_film_ratingLabel AS film_rating FROM
@@ -132,13 +169,14 @@ CHANGED = ["_id", "title", "currency_type", "cost", "distributor", "box_office_r
 @query("upd_partial_by_id", MERGED.format(u="by_id"), UPDATES)
 def upd_partial_by_id(v):
     useful = updates.informative(updates.by_id(enrichment(v)))
-    return updates.set_by_id(documents_before(v), useful).select(*CHANGED)
+    return merged(v, useful, updates.set_by_id, "enrichment by id").select(*CHANGED)
 
 
 @query("upd_partial_by_title", MERGED.format(u="(SELECT t._id, b.* EXCLUDE (title) FROM by_title b JOIN (SELECT title, min(_id) AS _id FROM docs GROUP BY title) t ON t.title = b.title)"), UPDATES)
 def upd_partial_by_title(v):
     useful = updates.informative(updates.by_title(enrichment(v)))
-    return updates.set_by_title(documents_before(v), useful).select(*CHANGED)
+    chosen = updates.by_chosen_id(documents_before(v), useful)
+    return merged(v, chosen, updates.set_by_id, "enrichment by title").select(*CHANGED)
 
 
 @query("upd_drop_empty", """SELECT _id, cost, distributor FROM by_id WHERE cost IS NOT NULL OR box_office_revenue IS NOT NULL
@@ -154,7 +192,9 @@ def upd_replace_by_id(v):
     scaled = ((C("startYear") - 1990) / F.lit(20.0)).alias("scaled")
     movies = v.title.where("type = 'movie'").select(C("id").alias("_id"), "title", scaled)
     absent = movies.withColumn("_id", -C("_id") - 1)
-    return updates.replace_by_id(docs, movies.unionByName(absent))
+    stored = Collection(v.spark, stage_path(v.spark, "documents")).create(docs)
+    stored.merge(movies.unionByName(absent), updates.replace_by_id, "scaled movies")
+    return stored.read()
 
 
 USEFUL = "cost IS NOT NULL OR box_office_revenue IS NOT NULL OR currency_type IS NOT NULL OR distributor IS NOT NULL OR film_rating IS NOT NULL"

@@ -60,8 +60,7 @@ def fi_l3(v):
     ON x.basket = y.basket AND x.item < y.item GROUP BY 1, 2 HAVING count(*) > 3""", {"popular": POPULAR})
 def fi_level_n(v):
     popular = itemsets.popular_links(v.title, v.title_producer, "producerid")
-    # a low bound on basket size makes the large-basket route run as well
-    return itemsets.level(popular, 2, min_support=3, large=6)
+    return itemsets.level(popular, 2, min_support=3)
 
 
 @level_query("fi_loop", ALL_LEVELS)

@@ -142,8 +142,8 @@ def join_cross_scalar(v):
     WITH feats AS (SELECT id AS _id, (startYear - min(startYear) OVER ()) / (max(startYear) OVER () - min(startYear) OVER ())::DOUBLE AS x,
              (avgRatings - min(avgRatings) OVER ()) / (max(avgRatings) OVER () - min(avgRatings) OVER ()) AS y
              FROM title WHERE type = 'movie' AND numVotes >= 10000 AND startYear IS NOT NULL AND avgRatings IS NOT NULL),
-         cents AS (SELECT row_number() OVER (ORDER BY (_id * 7919) % 1000003, _id) AS c, x, y FROM
-             (SELECT * FROM feats ORDER BY (_id * 7919) % 1000003, _id LIMIT 12)),
+         cents AS (SELECT row_number() OVER (ORDER BY md5(concat('0:', _id)), _id) AS c, x, y FROM
+             (SELECT * FROM feats ORDER BY md5(concat('0:', _id)), _id LIMIT 12)),
          dists AS (SELECT f._id, c.c, sqrt((f.x-c.x)*(f.x-c.x) + (f.y-c.y)*(f.y-c.y)) AS d FROM feats f CROSS JOIN cents c)
     SELECT _id, CAST(c AS INTEGER) AS cluster, round(d, 6) AS dist FROM (SELECT *, row_number() OVER (PARTITION BY _id ORDER BY d, c) AS rn FROM dists) WHERE rn = 1""")
 def join_cross_nearest(v):

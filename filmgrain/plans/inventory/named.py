@@ -14,7 +14,7 @@ from filmgrain.plans.registry import query
 @query("q_missing_roles", """-- an actor of a title has a role there if any of the first five lines says so
     SELECT l_orderkey AS titleid, l_partkey AS actorid FROM lineitem GROUP BY ALL HAVING min(l_linenumber) > 5""")
 def q_missing_roles(v):
-    return rel.missing_roles(v.title_actor, v.actor_title_role)
+    return rel.missing_roles_stored(v.stored.title_actor, v.stored.actor_title_role)
 
 
 @query("q_living_prefix", """WITH film AS (SELECT * FROM title WHERE type = 'movie' AND NOT (startYear = 1998 AND coalesce(endYear, 1998) = 1998)),
@@ -24,7 +24,7 @@ def q_missing_roles(v):
     FROM (SELECT id AS actorid, birthYear AS born FROM member WHERE starts_with(name, 'red') AND deathYear IS NULL)
     NATURAL JOIN cast_ JOIN film ON film.id = titleid""")
 def q_living_prefix(v):
-    return rel.living_prefix(v.member, v.title_actor, v.title, "red", 1998)
+    return rel.living_prefix(v.stored.member, v.stored.actor_title, v.stored.title, "red", 1998)
 
 
 @query("q_genre_year_producers", """SELECT DISTINCT name FROM member WHERE contains(name, '00001') AND id IN (
@@ -32,8 +32,9 @@ def q_living_prefix(v):
       WHERE titleid IN (SELECT titleid FROM title_genre WHERE genreid = (SELECT id FROM genre WHERE genre = 'PROMO'))
         AND titleid IN (SELECT id FROM title WHERE 1997 IN (startYear, endYear)))""")
 def q_genre_year_producers(v):
+    s = v.stored
     return rel.genre_year_producers(
-        v.member, v.title_producer, v.title, v.title_genre, v.genre, "00001", 1997, "PROMO"
+        s.member, s.title_producer, s.title, s.title_genre, s.genre, "00001", 1997, "PROMO"
     )
 
 
@@ -41,7 +42,7 @@ def q_genre_year_producers(v):
       SELECT producerid, count_if(titleid IN (SELECT id FROM title WHERE runtime > 120)) AS n FROM title_producer GROUP BY producerid)
     SELECT name, sum(n)::BIGINT AS total FROM member, works WHERE producerid = id AND deathYear IS NULL AND n > 0 GROUP BY name""")
 def q_longrun_producers(v):
-    return rel.longrun_producers(v.member, v.title_producer, v.title, 120)
+    return rel.longrun_producers(v.stored.member, v.stored.title_producer, v.stored.title, 120)
 
 
 @query("q_role_pattern", """SELECT (SELECT name FROM member WHERE id = actorid) AS name, role FROM (
@@ -49,7 +50,7 @@ def q_longrun_producers(v):
       FROM lineitem WHERE l_linenumber <= 5)
     WHERE regexp_full_match(role, '(a.*f-1)|(n-x-9)|(r-o-2)', 'i') AND actorid IN (SELECT id FROM member WHERE deathYear IS NULL)""")
 def q_role_pattern(v):
-    return rel.role_pattern(v.member, v.actor_title_role, v.role, ("a%f-1", "n-x-9"), "r-o-2")
+    return rel.role_pattern(v.stored.member, v.stored.actor_title_role, v.stored.role, ("a%f-1", "n-x-9"), "r-o-2")
 
 
 @query("q_doc_producers_50", """SELECT m.id AS _id, min(m.name) AS name, count(*) AS count FROM title t JOIN title_genre tg ON tg.titleid = t.id

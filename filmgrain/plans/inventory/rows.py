@@ -130,14 +130,7 @@ def flt_route_first_match(v):
 @query("flt_route_exact", """SELECT tconst, nconst, CASE WHEN category IN ('actor', 'actress') THEN 'actor' ELSE category END AS link
     FROM raw_principals WHERE category IN ('actor', 'actress', 'director', 'writer', 'producer')""")
 def flt_route_exact(v):
-    frames = [
-        v.raw_principals.where(C("category").isin(*accepted)).select("tconst", "nconst", F.lit(name).alias("link"))
-        for name, accepted in CATEGORIES.items()
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return v.raw_principals.select("tconst", "nconst", text.exact_match("category", CATEGORIES).alias("link")).where("link IS NOT NULL")
 
 
 # distinct and row choice
@@ -202,8 +195,8 @@ def key_surrogate(v):
     return selection.dense_ids(v.member, "name")
 
 
-@query("key_ordinal", """SELECT CAST(row_number() OVER (ORDER BY (id * 7919) % 1000003, id) AS INTEGER) AS cluster, id FROM
-    (SELECT id FROM title ORDER BY (id * 7919) % 1000003, id LIMIT 10)""")
+@query("key_ordinal", """SELECT CAST(row_number() OVER (ORDER BY md5(concat('0:', id)), id) AS INTEGER) AS cluster, id FROM
+    (SELECT id FROM title ORDER BY md5(concat('0:', id)), id LIMIT 10)""")
 def key_ordinal(v):
     from pyspark.sql import Window
 
@@ -233,12 +226,12 @@ def limit_n(v):
     return v.title_actor.select("titleid", "actorid").orderBy("titleid", "actorid").limit(5)
 
 
-@query("sample_k", "SELECT id, title FROM title ORDER BY (id * 7919) % 1000003, id LIMIT 50")
+@query("sample_k", "SELECT id, title FROM title ORDER BY md5(concat('0:', id)), id LIMIT 50")
 def sample_k(v):
     return selection.sample_rows(v.title.select("id", "title"), 50, "id")
 
 
-@query("sample_one", "SELECT id, title FROM title ORDER BY (id * 7919 + 3 * 104729) % 1000003, id LIMIT 1")
+@query("sample_one", "SELECT id, title FROM title ORDER BY md5(concat('3:', id)), id LIMIT 1")
 def sample_one(v):
     return selection.sample_rows(v.title.select("id", "title"), 1, "id", seed=3)
 

@@ -16,6 +16,8 @@ from filmgrain.workspace import stage_path
 DUMPS = {
     "title.basics": "raw_basics", "title.ratings": "raw_ratings", "name.basics": "raw_names",
     "title.crew": "raw_crew", "title.principals": "raw_principals",
+    # dumps in which keys come again, in the order of their lines
+    "title.basics.lines": "raw_basics_lines", "name.basics.lines": "raw_names_lines",
 }
 _staged: dict[tuple[str, str, str], str] = {}
 
@@ -25,7 +27,8 @@ def staged_tsv(v, name: str) -> str:
     key = (v.spark.sparkContext.applicationId, v.folder, name)
     if key not in _staged:
         path = stage_path(v.spark, name)
-        writers.write_tsv(getattr(v, DUMPS[name]), path)
+        rows = getattr(v, DUMPS[name])
+        writers.write_tsv(rows.orderBy("line").drop("line") if "line" in rows.columns else rows, path)
         _staged[key] = path
     return _staged[key]
 
@@ -73,15 +76,20 @@ def stage_enrichment(v) -> str:
         F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("value"))).alias(c)
         for c in schemas.ENRICHMENT_FIELDS
     ]
-    v.raw_enrichment.orderBy("line").select(F.to_json(F.struct(*cells)).alias("value")).write.text(path)
+    # some lines have a key that no schema names
+    further = F.when(F.col("line") % 6 == 0, F.struct(F.concat(F.lit("Award "), "line").alias("value"))).alias("awardLabel")
+    v.raw_enrichment.orderBy("line").select(F.to_json(F.struct(*cells, further)).alias("value")).write.text(path)
     _staged[key] = path
     return path
 
 
 @query("src_jsonl_wrapped", """SELECT IMDb_ID, titleLabel, cost, box_office, box_office_currencyLabel,
-    distributorLabel, MPAA_film_ratingLabel FROM raw_enrichment""")
+    distributorLabel, MPAA_film_ratingLabel, CASE WHEN line % 6 = 0 THEN concat('awardLabel=Award ', line) ELSE '' END AS rest FROM raw_enrichment""")
 def src_jsonl_wrapped(v):
-    return readers.read_wrapped_json(v.spark, stage_enrichment(v))
+    """Whole lines: ``rest`` lists the keys that the schema does not name, with their values."""
+    lines = readers.read_wrapped_json_whole(v.spark, stage_enrichment(v))
+    listed = F.transform(F.array_sort(F.map_entries("rest")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return lines.withColumn("rest", F.array_join(listed, ","))
 
 
 @query("src_table", "SELECT id, genre FROM genre")
@@ -139,12 +147,23 @@ def sink_ctas(v):
     return writers.create_table_as(first.withColumn("titles", F.lit(0)), name, folder)
 
 
-@query("sink_docs", """SELECT id AS _id, title, runtime FROM title""")
+@query("sink_docs", """SELECT t.id AS _id, type, title, originalTitle, startYear, endYear, runtime, avgRatings AS avgRating, numVotes,
+    g.genres, d.directors, w.writers, p.producers, a.cast_list FROM title t
+    LEFT JOIN (SELECT titleid, string_agg(genre, ',' ORDER BY genre) AS genres FROM title_genre JOIN genre ON genreid = id GROUP BY titleid) g ON g.titleid = t.id
+    LEFT JOIN (SELECT titleid, string_agg(directorid, ',' ORDER BY directorid) AS directors FROM title_director GROUP BY titleid) d ON d.titleid = t.id
+    LEFT JOIN (SELECT titleid, string_agg(writerid, ',' ORDER BY writerid) AS writers FROM title_writer GROUP BY titleid) w ON w.titleid = t.id
+    LEFT JOIN (SELECT titleid, string_agg(producerid, ',' ORDER BY producerid) AS producers FROM title_producer GROUP BY titleid) p ON p.titleid = t.id
+    LEFT JOIN (SELECT titleid, string_agg(entry, ';' ORDER BY actorid) AS cast_list FROM
+        (SELECT c.titleid, c.actorid, concat(c.actorid, ':', coalesce(string_agg(role, '|' ORDER BY role), '')) AS entry FROM title_actor c
+         LEFT JOIN (SELECT titleid, actorid, role FROM actor_title_role JOIN role ON roleid = role.id) r ON r.titleid = c.titleid AND r.actorid = c.actorid
+         GROUP BY c.titleid, c.actorid) GROUP BY titleid) a ON a.titleid = t.id""")
 def sink_docs(v):
+    """Whole documents, arrays and cast included, written as JSON lines and read again."""
+    from filmgrain.plans.inventory.documents import docs_with, flat
+
     path = stage_path(v.spark, "docs")
-    docs = v.title.select(F.col("id").alias("_id"), "title", "runtime")
-    writers.write_documents(docs, path)
-    return v.spark.read.schema(docs.schema).json(path)
+    writers.write_documents(docs_with(v, "genres", "director_id", "writer_id", "producer_id", "actors"), path)
+    return flat(v.spark.read.schema(schemas.DOCUMENT).json(path))
 
 
 @query("sink_replace", "SELECT id, name FROM member WHERE deathYear IS NULL")
@@ -155,13 +174,17 @@ def sink_replace(v):
     return readers.read_table(v.spark, path)
 
 
-@query("sink_text", """SELECT concat(lhs, ' -> ', rhs) AS value FROM (
-    SELECT 'id' AS lhs, unnest(['type', 'startYear']) AS rhs
-    UNION ALL SELECT 'type', 'startYear' WHERE (SELECT max(n) FROM (SELECT count(DISTINCT startYear) AS n FROM title GROUP BY type)) = 1
-    UNION ALL SELECT 'startYear', 'type' WHERE (SELECT max(n) FROM (SELECT count(DISTINCT type) AS n FROM title GROUP BY startYear)) = 1
-    UNION ALL SELECT 'type', 'id' WHERE (SELECT max(n) FROM (SELECT count(DISTINCT id) AS n FROM title GROUP BY type)) = 1
-    UNION ALL SELECT 'startYear', 'id' WHERE (SELECT max(n) FROM (SELECT count(DISTINCT id) AS n FROM title GROUP BY startYear)) = 1)""")
+TITLE_COLUMNS = ("id", "type", "title", "originalTitle", "startYear", "endYear", "runtime", "avgRatings", "numVotes")
+
+
+def _holds(left: str, right: str) -> str:
+    """SQL for a dependency: each left value has one right value, which is not null."""
+    return (f"SELECT '{left} -> {right}' AS value WHERE NOT EXISTS (SELECT 1 FROM title WHERE {left} IS NOT NULL "
+            f"GROUP BY {left} HAVING count(DISTINCT {right}) > 1 OR count({right}) < count(*))")
+
+
+@query("sink_text", " UNION ALL ".join(_holds(a, b) for a in TITLE_COLUMNS for b in TITLE_COLUMNS if a != b))
 def sink_text(v):
     path = stage_path(v.spark, "deps")
-    writers.write_dependencies(dependencies.single(v.title.select("id", "type", "startYear")), path)
+    writers.write_dependencies(dependencies.single(v.title.select(*TITLE_COLUMNS)), path)
     return v.spark.read.text(path)

@@ -19,6 +19,12 @@ def missing_roles(title_actor: DataFrame, actor_title_role: DataFrame) -> DataFr
     return title_actor.select(*pair).subtract(actor_title_role.select(*pair))
 
 
+def missing_roles_stored(title_actor: DataFrame, actor_title_role: DataFrame) -> DataFrame:
+    """The same from stored links, whose pairs are distinct and not null: an anti join keeps their layout."""
+    pair = ["titleid", "actorid"]
+    return title_actor.select(*pair).join(actor_title_role.select(*pair), pair, "left_anti")
+
+
 def living_prefix(
     member: DataFrame, title_actor: DataFrame, title: DataFrame, prefix: str = "Phi", year: int = 2014
 ) -> DataFrame:
@@ -48,10 +54,12 @@ def genre_year_producers(
     t = title.where((F.col("startYear") == year) | (F.col("endYear") == year)).select(
         F.col("id").alias("titleid")
     )
-    wanted = genre.where(F.col("genre") == kind).select(F.col("id").alias("genreid"))
-    tagged = title_genre.join(wanted, "genreid").select("titleid")
+    # a label is in its dictionary once, so its id can reach the scan of the links
+    wanted = genre.where(F.col("genre") == kind).agg(F.max("id").alias("id")).scalar()
+    tagged = title_genre.where(F.col("genreid") == wanted).select("titleid")
     counted = (
-        title_producer.join(m, "producerid").join(t, "titleid").join(tagged, "titleid")
+        # titles first: stored links lie by title, and few of them are left to meet the people
+        title_producer.join(t, "titleid").join(tagged, "titleid").join(m, "producerid")
         .groupBy("name").agg(F.count("*").alias("total")).orderBy(F.desc("total"), "name")
     )
     return counted if keep_count else counted.select("name")

@@ -28,6 +28,13 @@ class Catalogue:
         self.spark = spark
         self.folder = folder
 
+    @cached_property
+    def stored(self):
+        """The same catalogue as stored tables."""
+        from filmgrain.plans.stored import StoredCatalogue
+
+        return StoredCatalogue(self.spark, self.folder)
+
     def given(self, name: str) -> DataFrame:
         return self.spark.read.schema(schemas.GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
 
@@ -146,6 +153,14 @@ class Catalogue:
             "genres",
         )
 
+    @cached_property
+    def raw_basics_lines(self) -> DataFrame:
+        return _lines(self.raw_basics, "primaryTitle")
+
+    @cached_property
+    def raw_names_lines(self) -> DataFrame:
+        return _lines(self.raw_names, "primaryName")
+
     @cached_property
     def raw_ratings(self) -> DataFrame:
         v = "cast(floor(o_totalprice / 5000) AS bigint)"
@@ -230,6 +245,15 @@ def _numbered(labels: DataFrame, label: str) -> DataFrame:
         (F.row_number().over(Window.orderBy(label)) - 1).cast("bigint").alias("id"), label)
 
 
+def _lines(dump: DataFrame, label: str) -> DataFrame:
+    """A dump with its lines numbered: some keys have a line with another label before, and copies far behind."""
+    key = F.substring(dump.columns[0], 3, 15).cast("bigint")
+    rows = dump.withColumn("line", 2 * key + 1)
+    before = dump.where(key % 23 == 0).withColumn("line", 2 * key).withColumn(label, F.concat(label, F.lit(" (again)")))
+    behind = dump.where(key % 46 == 0).withColumn("line", 2 * key + 10**15)
+    return rows.unionByName(before).unionByName(behind)
+
+
 def _role_label():
     return E("concat(l_returnflag, '-', l_linestatus, '-', l_linenumber)")
 
@@ -238,6 +262,13 @@ _V = "CAST(floor(o_totalprice / 5000) AS BIGINT)"
 _ROLE = "concat(l_returnflag, '-', l_linestatus, '-', l_linenumber)"
 
 
+def _lines_sql(dump: str, key: str, label: str) -> str:
+    number = f"CAST(substr({key}, 3) AS BIGINT)"
+    return (f"SELECT *, 2 * {number} + 1 AS line FROM {dump} UNION ALL "
+            f"SELECT * REPLACE (concat({label}, ' (again)') AS {label}), 2 * {number} FROM {dump} WHERE {number} % 23 = 0 UNION ALL "
+            f"SELECT *, 2 * {number} + 1000000000000000 FROM {dump} WHERE {number} % 46 = 0")
+
+
 VIEWS_SQL = {
     "title": """SELECT o_orderkey AS id,
         CASE o_orderstatus WHEN 'F' THEN 'movie' WHEN 'O' THEN 'tvSeries' ELSE 'short' END AS type,
@@ -272,6 +303,8 @@ VIEWS_SQL = {
         CASE WHEN id % 31 = 0 THEN 'Reality-TV' ELSE CAST(runtime AS VARCHAR) END AS runtimeMinutes, g.genres
         FROM title LEFT JOIN (SELECT titleid, string_agg(genre, ',' ORDER BY genre) AS genres
             FROM title_genre JOIN genre ON genreid = genre.id GROUP BY titleid) g ON g.titleid = title.id""",
+    "raw_basics_lines": _lines_sql("raw_basics", "tconst", "primaryTitle"),
+    "raw_names_lines": _lines_sql("raw_names", "nconst", "primaryName"),
     "raw_ratings": f"""SELECT concat('tt', CASE WHEN o_orderkey % 13 = 0 THEN CAST(o_orderkey + 5000000000000 AS VARCHAR)
             ELSE lpad(CAST(o_orderkey AS VARCHAR), 15, '0') END) AS tconst,
         concat({_V} // 10, '.', {_V} % 10) AS averageRating,

@@ -11,12 +11,16 @@ from pyspark.sql import types as T
 from filmgrain import schemas
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Tab-separated text with a header, no quoting at all, backslash-N as null."""
-    return spark.read.csv(
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType, position: bool = False) -> DataFrame:
+    """Tab-separated text with a header, no quoting at all, backslash-N as null.
+
+    ``position=True`` adds ``_pos``, the row's place in the files.
+    """
+    lines = spark.read.csv(
         path, schema=schema, sep="\t", header=True, quote="", nullValue="\\N",
         encoding="UTF-8", enforceSchema=True, mode="PERMISSIVE",
     )
+    return with_position(lines) if position else lines
 
 
 def read_tsv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -49,15 +53,30 @@ def read_wrapped_json(
     """
     lines = spark.read.schema(schema).json(path)
     cells = [F.col(f"{f.name}.value").alias(f.name) for f in schema]
-    if position:
-        cells.append(
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias("_pos")
-        )
-    return lines.select(*cells)
+    return with_position(lines).select(*cells, "_pos") if position else lines.select(*cells)
+
+
+def read_wrapped_json_whole(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.ENRICHMENT, rest: str = "rest"
+) -> DataFrame:
+    """The same, and every key that the schema does not name: ``rest`` maps it to its value.
+
+    Keys need not be known beforehand. A line without further keys has an empty map, a cell
+    without a value a null one, and a line that is no JSON object a null map and null cells.
+    """
+    cells = F.from_json("value", "map<string,struct<value:string>>")
+    known = [f.name for f in schema]
+    found = spark.read.text(path).select(F.transform_values(cells, lambda _, c: c["value"]).alias("_c"))
+    return found.select(
+        *[F.element_at("_c", name).alias(name) for name in known],
+        F.map_filter("_c", lambda k, _: ~k.isin(*known)).alias(rest))
+
+
+def with_position(lines: DataFrame) -> DataFrame:
+    """``_pos`` added, which orders rows as they stand in the files: by file, split, and row within the split."""
+    return lines.select("*", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")).alias("_pos"))
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -46,7 +46,7 @@ def append_new(
 
 def create_table_as(
     df: DataFrame, table: str, path: str | None = None,
-    bucket_by: str | None = None, buckets: int = 0,
+    bucket_by: str | Sequence[str] = (), buckets: int = 0,
 ) -> DataFrame:
     """Store a snapshot once; an existing table is kept as it is.
 
@@ -58,8 +58,9 @@ def create_table_as(
         writer = df.write.mode("ignore").format("parquet")
         if path:
             writer = writer.option("path", path)
-        if bucket_by and buckets:
-            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        keys_ = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
+        if keys_ and buckets:
+            writer = writer.bucketBy(buckets, *keys_).sortBy(*keys_)
         writer.saveAsTable(table)
     return spark.table(table)
 

@@ -265,6 +265,18 @@ def test_two_spellings_are_one_id(spark):
     assert (counts["with_key"], counts["without_key"], counts["repeated_keys"], counts["matched"]) == (2, 3, 1, 1)
 
 
+def test_report_counts_in_one_pass(spark):
+    records = spark.createDataFrame([("tt1", "a", "USD"), ("tt01", "a", None), ("tt2", "b", None), ("nm3", None, "X"), (None, "c", "Y"), ("tt9", "d", "Z")],
+                                    "_id string, title string, currency_type string").selectExpr(
+        "*", *[f"cast(NULL AS string) AS {c}" for c in ("cost", "distributor", "box_office_revenue", "film_rating")],
+        "monotonically_increasing_id() AS _pos")
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "_id long, title string")
+    got = updates.report(records, updates.by_id(records), docs, "_id")
+    assert got.first().asDict() == {
+        "with_key": 4, "without_key": 2, "person_key": 1, "repeated_keys": 1, "no_information": 1, "to_update": 2, "matched": 1, "unmatched": 1}
+    assert updates.report(records.limit(0), updates.by_id(records.limit(0)), docs, "_id").first()["with_key"] == 0
+
+
 def test_two_ratings_of_one_movie(spark):
     from filmgrain.operators.updates import update_ratings
 

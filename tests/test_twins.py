@@ -43,12 +43,13 @@ def test_itemsets_with_huge_baskets(spark, huge):
     least = 3
     df = spark.createDataFrame(rows, "basket int, item int")
     want = {s: c for s, c in brute_sets(rows, least).items()}
-    found = itemsets.levels(df, least, max_level=4, large=6)
+    found = itemsets.levels(df, least, max_level=4)
     got = {tuple(r["items"]): r["support"] for r in itemsets.as_sets(found).collect()}
     assert got == want
-    if huge:
-        p = itemsets.prepare(df, least, 6)
-        assert p.set_aside == min(huge, least) and p.sliced == (huge > least)
+    p = itemsets.prepare(df, least)
+    assert p.set_aside == least and p.rows.select("basket").distinct().count() <= len({b for b, _ in rows}) - least
+    few = itemsets._support(itemsets.hopeful_pairs(p, counters=3), 2, least)  # counters that nearly all pairs share
+    assert {(r["item1"], r["item2"]): r["support"] for r in few.collect()} == {s: n for s, n in want.items() if len(s) == 2}
 
 
 @pytest.mark.parametrize("huge", [0, 1, 2])
@@ -56,7 +57,7 @@ def test_fp_growth_agrees(spark, huge):
     rows = random_baskets(huge)
     df = spark.createDataFrame(rows, "basket int, item int")
     sets = lambda d: {tuple(r["items"]): r["support"] for r in d.collect()}
-    assert sets(itemsets.fp_growth(df, 4, large=6)) == sets(itemsets.as_sets(itemsets.levels(df, 4, large=6)))
+    assert sets(itemsets.fp_growth(df, 4)) == sets(itemsets.as_sets(itemsets.levels(df, 4)))
 
 
 def test_support_never_grows_with_size(spark, v):
