@@ -15,6 +15,7 @@ sentences are decoded in full; an empty labelled table adds no spans.
 
 from __future__ import annotations
 
+import itertools
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -129,6 +130,13 @@ for _i, _c in enumerate(".,@-_()[]:+/#$%\"'=&*!?;{}<>"):
 _VALUE = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS = Powers()
 _STOPS = np.array([ord(c) for c in ".!?"], dtype=np.uint32)
+#: What follows a word and is no part of its shape, and what may stand before it.
+_AFTER = np.array([ord(c) for c in ".,;:!?\"'"], dtype=np.uint32)
+_BEFORE = np.array([ord(c) for c in "\"'"], dtype=np.uint32)
+#: Brackets around a word, or on one side of it; an area code in brackets, of up to so many characters, keeps them.
+_BRACKETS, _AREA = ((ord("("), ord(")")), (ord("["), ord("]"))), 5
+#: Marks after a word that are looked through, at most.
+_MARKS = 3
 
 
 @dataclass
@@ -143,7 +151,11 @@ class Sentences:
 
 
 def sentences(text: str) -> Sentences:
-    """A sentence ends at a line break or after a word ending in a stop."""
+    """A sentence ends at a line break or after a word ending in a stop.
+
+    Quotes and brackets around a word and stops and commas behind it are not part of its
+    shape, so that a value has one shape wherever it stands in a sentence.
+    """
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     code = np.where(points < 128, _CODES[np.minimum(points, 127)], 1).astype(np.uint8)
     inside = np.zeros(len(code) + 2, dtype=np.int8)
@@ -156,8 +168,22 @@ def sentences(text: str) -> Sentences:
     keep = np.ones(len(code), dtype=bool)  # runs count once, but each digit counts
     keep[1:] = (code[1:] != code[:-1]) | (code[1:] == 3)
     keep &= code != 0
+    last = ends - 1
+    for _ in range(_MARKS):
+        mark = (last > starts) & np.isin(points[last], _AFTER)
+        keep[last[mark]] = False
+        last = last - mark
+    follows = code[np.minimum(starts + 1, ends - 1)]
+    follows = (follows >= 1) & (follows <= 3) & (last > starts)
+    keep[starts[np.isin(points[starts], _BEFORE) & follows]] = False
+    for left, right in _BRACKETS:
+        opened, closed = (np.concatenate([[0], np.cumsum(points == p)]) for p in (left, right))
+        opened, closed = opened[ends] - opened[starts], closed[ends] - closed[starts]
+        around = (points[starts] == left) & (points[last] == right) & (last - starts > _AREA)
+        keep[last[(points[last] == right) & (last > starts) & (around | (opened == 0))]] = False
+        keep[starts[(points[starts] == left) & follows & (around | (closed == 0))]] = False
     upto = np.cumsum(keep)
-    begin = upto[starts] - 1
+    begin = upto[starts] - keep[starts]
     place = np.arange(int(upto[-1])) - np.repeat(begin, np.diff(begin, append=upto[-1]))
     terms = _VALUE[code[keep]] * _POWERS.upto(int(place.max()) + 1)[place]
     shapes = mix(np.add.reduceat(terms, begin))
@@ -322,13 +348,19 @@ def fit(labelled: DataFrame) -> Field:
     return train(rows)
 
 
-def labelled_table(spark: SparkSession, sentences_: int = 900, seed: int = 3) -> DataFrame:
-    """A small labelled table from rules: fillers around values of each kind, and look-alikes."""
+def labelled_table(spark: SparkSession, sentences_: int = 1800, seed: int = 3) -> DataFrame:
+    """A small labelled table from rules: fillers around values of each kind, and look-alikes.
+
+    Values stand inside and at the end of sentences, bare, in brackets and in quotes; octets
+    come in every combination of lengths.
+    """
     rng = np.random.default_rng(seed)
     pick = lambda *a: a[rng.integers(len(a))]
     num = lambda n: "".join(str(d) for d in rng.integers(0, 10, n))
     word = lambda: "".join(rng.choice(list("aeiorstnlm"), rng.integers(2, 9)))
-    octet = lambda: str(rng.integers(0, 256))
+    octets = itertools.cycle(itertools.product((1, 2, 3), repeat=4))
+    octet = lambda n: str(rng.integers((0, 10, 100)[n - 1], (10, 100, 256)[n - 1]))
+    sides = lambda: pick(("", ""), ("", ""), ("", ""), ("", ""), ("", ""), ("(", ")"), ("[", "]"), ('"', '"'))
 
     def card(groups, sep):
         body = pick("4", "5", "37") if groups[0] == 4 else "4"
@@ -347,7 +379,7 @@ def labelled_table(spark: SparkSession, sentences_: int = 900, seed: int = 3) ->
             return pick(f"{word()}{gap}{at}{gap}{word()}{gap}{dot}{gap}{word()}", f"{word()}@{word()}.{word()}",
                         f"{word()}.{word()}@{word()}.{word()}", f"{word()}{at}{word()}.{word()}")
         if kind == "ip":
-            return pick(".", ".", "[.]", "(.)").join(octet() for _ in range(4))
+            return pick(".", "[.]", "(.)").join(octet(n) for n in next(octets))
         if kind == "card":
             return card(*pick(((4, 4, 4, 4), " "), ((4, 4, 4, 4), "-"), ((4, 4, 4, 4), "."),
                               ((4, 6, 5), " "), ((4, 6, 5), "-")))
@@ -375,13 +407,20 @@ def labelled_table(spark: SparkSession, sentences_: int = 900, seed: int = 3) ->
             add(plain(), "O")
         for _ in range(rng.integers(0, 3)):
             if rng.random() < 0.6:
-                kind = pick(*KINDS)
-                add(value(kind) + pick("", "", ",", ";"), kind)
+                kind = pick(*KINDS, "ip")
+                left, right = sides()
+                for more in range(pick(0, 0, 0, 1, 2), -1, -1):  # a list now and then
+                    add(left + value(kind) + right + (pick("", ",") if more else pick("", "", ",", ";", ":")), kind)
             else:
                 add(other() + pick("", "", ",", ";"), "O")
             for _ in range(rng.integers(1, 4)):
                 add(plain(), "O")
-        add(plain() + pick("", ".", "!", "?"), "O")
+        if rng.random() < 0.5:  # a value or a look-alike at the end
+            kind = pick(*KINDS, "ip", "O", "O")
+            left, right = sides()
+            add((other() if kind == "O" else left + value(kind) + right) + pick("", ".", "!", "?"), kind)
+        else:
+            add(plain() + pick("", ".", "!", "?"), "O")
     return spark.createDataFrame(out, "sentence long, position int, word string, label string")
 
 
