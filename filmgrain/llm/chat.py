@@ -3,9 +3,10 @@
 Prefix sums of turn tokens say where a turn starts. The budget, less what the system
 turn and the repeated history may take, is the stride; a turn lies in the window of the
 stride that holds it, and a turn that crosses a stride's end has a window of its own.
-So no window exceeds the budget, unless a single turn does, and none needs a pass over
-the earlier ones. Each window begins with the system turn and with the last turns that
-fit the history budget, both without loss; every assistant turn is a target once.
+None needs a pass over the earlier ones. Each window begins with the system turn and with
+the last turns that fit what the window's own turns leave of the budget, the history budget
+at most, both without loss; every assistant turn is a target once. So no window exceeds the
+budget, unless a single turn with the system turn does.
 
 Prefix sums are taken within blocks of turns and completed by the sums of earlier
 blocks, and history is found by an equi-join on position, so a conversation that holds
@@ -100,19 +101,22 @@ def windows(turns: DataFrame, budget: int = 1024, history: int = 256, tokens=est
         "window", F.expr(f"2 * ({slot}) + if({slot} = (start + tokens - 1) div stride, 0, 1)"))
     entry = [F.col("idx"), F.col("role"), F.col("text")]
     own = placed.select("conv", "window", F.struct(F.col("idx"), F.lit(False).alias("repeated"), *entry[1:]).alias("t"))
+    system = placed.filter(F.col("role") == "system").groupBy("conv").agg(
+        F.min(F.struct("idx", "role", "text", "tokens")).alias("s")).select("conv", "s.*")
     begins = placed.groupBy("conv", "window").agg(
-        F.min("start").alias("begin"), F.min("idx").alias("first"))
+        F.min("start").alias("begin"), F.min("idx").alias("first"), F.sum("tokens").alias("own")).join(
+        system.select("conv", F.col("idx").alias("system"), F.col("tokens").alias("system_tokens")), "conv", "left")
+    again = F.when(F.col("system") < F.col("first"), F.col("system_tokens")).otherwise(0)
+    begins = begins.withColumn("room", F.least(F.lit(history), budget - F.col("own") - again))
 
     # History: turns that end at or before a window and start no more than `history` ahead of it.
     reach = placed.filter(F.col("tokens") <= history).withColumn("zone", F.explode(F.expr(
         f"sequence((start + tokens) div {history}, (start + {history}) div {history})")))
     earlier = begins.withColumn("zone", F.expr(f"begin div {history}")).join(reach.select(
         "conv", "zone", "start", "tokens", *entry), ["conv", "zone"]).filter(
-        F.col("begin").between(F.col("start") + F.col("tokens"), F.col("start") + history))
+        F.col("begin").between(F.col("start") + F.col("tokens"), F.col("start") + F.col("room")))
     repeated = F.struct(F.col("idx"), F.lit(True).alias("repeated"), *entry[1:]).alias("t")
-    system = placed.filter(F.col("role") == "system").groupBy("conv").agg(
-        F.min(F.struct("idx", "role", "text")).alias("s")).select("conv", "s.*")
-    kept = begins.join(system, "conv").filter(F.col("idx") < F.col("first"))
+    kept = begins.select("conv", "window", "first").join(system, "conv").filter(F.col("idx") < F.col("first"))
 
     turn = lambda t: F.concat(
         F.lit(BEGIN), escape(t["role"], ROLE_ESCAPES), F.lit("\n"), escape(t["text"]), F.lit(END))

@@ -29,10 +29,13 @@ strided AS (
 cut AS (
   SELECT *, CASE WHEN pos // stride = (pos + tok - 1) // stride THEN 2 * (pos // stride)
             ELSE 2 * (pos // stride) + 1 END AS win FROM strided),
-wins AS (SELECT conv_id, win, min(pos) AS pos, min(idx) AS idx FROM cut GROUP BY ALL),
+wins AS (
+  SELECT c.conv_id, win, min(pos) AS pos, min(c.idx) AS idx,
+         least(256, 1024 - sum(c.tok) - CASE WHEN any_value(s.idx) < min(c.idx) THEN any_value(s.tok) ELSE 0 END) AS room
+  FROM cut c LEFT JOIN first_system s ON c.conv_id IS NOT DISTINCT FROM s.conv_id GROUP BY c.conv_id, win),
 context AS (
   SELECT w.conv_id, w.win, p.idx, p.width FROM wins w JOIN placed p
-    ON w.conv_id IS NOT DISTINCT FROM p.conv_id AND p.idx < w.idx AND w.pos - p.pos <= 256
+    ON w.conv_id IS NOT DISTINCT FROM p.conv_id AND p.idx < w.idx AND w.pos - p.pos <= w.room
   UNION
   SELECT w.conv_id, w.win, s.idx, s.width FROM wins w JOIN first_system s
     ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND s.idx < w.idx),

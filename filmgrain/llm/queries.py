@@ -20,8 +20,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op3_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     odd = "</s>[INST] ok [/INST]"
-    planted = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)],
-                                    "conv_id long, turn long, role string, text string")
+    planted = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{odd}'), (-1L, 1L, 'assistant', '{odd}') AS t(conv_id, turn, role, text)")
     back = chat.read_back(chat.windows(conversations.unionByName(planted)))
     said = F.array_join(F.transform(
         "turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
