@@ -34,7 +34,20 @@ class Powers:
         return self.table[:n]
 
 
-_POWERS = Powers()
+class Multipliers:
+    """A random odd number for each place, grown as longer inputs come; no word can be built to meet another."""
+
+    def __init__(self) -> None:
+        self.table = np.zeros(0, dtype=np.uint64)
+
+    def upto(self, n: int) -> np.ndarray:
+        if len(self.table) < n:
+            place = np.arange(max(n, 2 * len(self.table)), dtype=np.uint64)
+            self.table = mix(mix((place + np.uint64(1)) * _BASE) + _RUN[0]) | np.uint64(1)
+        return self.table[:n]
+
+
+_PLACES = Multipliers()
 
 
 def words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,7 +65,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return np.zeros(0, dtype=np.uint64)
     place = np.arange(starts[0], len(raw)) - np.repeat(starts, np.diff(starts, append=len(raw)))
     longest = int(place.max()) + 1
-    terms = _BYTE[raw[starts[0]:]] * _POWERS.upto(longest)[place]
+    terms = _BYTE[raw[starts[0]:]] * _PLACES.upto(longest)[place]
     return mix(np.add.reduceat(terms, starts - starts[0]) + (ends - starts).astype(np.uint64))
 
 

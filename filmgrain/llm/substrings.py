@@ -12,10 +12,15 @@ repeats, which are removed. A window whose anchor is no seed occurs in one docum
 and is never written.
 
 Scale: exact copies of whole documents are settled by a digest first and leave the join,
-so a group of copies, however large, has one member in it. Anchors and windows are sorted
-by hash and read as a stream: a group needs no memory, and no pairs are made. A shared
-passage has many anchors, which spread over as many tasks. Texts are packed and
-shuffled once, to where all later joins find them.
+so a group of copies, however large, has one member in it. What a batch of documents settles
+by itself is not brought together: of an anchor that several of its documents hold, one
+witness goes to the others, and of a window the rows of its smallest id, so a passage that a
+third of all documents share is one row a batch in its group. Anchors and windows are sorted
+by hash and read as a stream: a group needs no memory, and no pairs are made. Texts are
+packed and shuffled once, to where all later joins find them.
+
+Windows are compared by 96 bits made of 64-bit word hashes, whose multipliers are random by
+place; texts are not compared again.
 
 Defined results: null texts have no words; a null id is never earlier or later than
 another, so such a document keeps everything; documents with the same id do not remove
@@ -32,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmgrain.llm.arrays import run_hashes, sliding_min, word_hashes, words
+from filmgrain.llm.arrays import mix, run_hashes, sliding_min, word_hashes, words
 from filmgrain.llm.packing import Packing, packing
 from filmgrain.llm.shipping import ship
 from filmgrain.workspace import cut
@@ -41,6 +46,8 @@ LENGTH, SEED = 13, 5
 WIDTH = LENGTH - SEED + 1
 #: A group of copies meets its first document in so many parts.
 SALTS = 16
+#: Rows of an anchor or window: stands for several ids; waits for the others; decided within its batch.
+WITNESS, OPEN, SETTLED = 0, 1, 2
 RESULT = ("id long, n_words long, n_removed long, repeats array<struct<start:int,end:int>>, "
           "kept_sha256 string, kept string")
 
@@ -100,34 +107,57 @@ def _anchors(zstd: Packing):
                 ids.append(np.full(len(at), ident.as_py(), dtype=np.int64))
                 places.append(at.astype(np.int32))
             if keys:
-                yield pa.record_batch([np.concatenate(keys), np.concatenate(ids), np.concatenate(places)],
-                                      names=["anchor", "id", "pos"])
+                yield pa.record_batch(_witnessed(*map(np.concatenate, (keys, ids, places))), names=["anchor", "kind", "id", "pos"])
 
     return anchors
 
 
+def _spread(ids: np.ndarray) -> np.ndarray:
+    """Keys that send settled rows to any task, by id."""
+    return mix(ids.view(np.uint64) + np.uint64(1)).view(np.int64)
+
+
+def _witnessed(keys: np.ndarray, ids: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+    """Anchors of a batch; those of several ids are seeds already and leave a witness in their group."""
+    order = np.lexsort((ids, keys))
+    keys, ids, places = keys[order], ids[order], places[order]
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    size = np.diff(start, append=len(keys))
+    several = ids[start] != ids[start + size - 1]
+    settled = np.repeat(several, size)
+    told = start[several]
+    return [np.concatenate([np.where(settled, _spread(ids), keys), keys[told]]),
+            np.concatenate([np.where(settled, SETTLED, OPEN), np.full(len(told), WITNESS)]).astype(np.int8),
+            np.concatenate([ids, ids[told]]), np.concatenate([places, np.full(len(told), -1)]).astype(np.int32)]
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of anchors sorted by (anchor, id), those of two ids or more."""
+    """Of anchors sorted by (anchor, kind, id), those of two ids or more; settled ones pass."""
     held: pa.RecordBatch | None = None  # the last anchor so far, while only its first id has come
     key = ident = None  # the last anchor and its first id
     several = False
     for batch in batches:
+        kinds = batch.column("kind").to_numpy()
+        if (kinds == SETTLED).any():
+            yield batch.filter(pa.array(kinds == SETTLED)).select(["id", "pos"])
+            batch = batch.filter(pa.array(kinds != SETTLED))
+            kinds = kinds[kinds != SETTLED]
         if not batch.num_rows:
             continue
         keys, ids = batch.column("anchor").to_numpy(), batch.column("id").to_numpy()
         start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         stop = np.append(start[1:], len(keys))
         first = ids[start].copy()
-        many = ids[stop - 1] != first
+        many = (ids[stop - 1] != first) | (kinds[start] == WITNESS)
         if key is not None and keys[0] == key:
             first[0] = ident
-            many[0] = several or ids[stop[0] - 1] != ident
+            many[0] |= several or ids[stop[0] - 1] != ident
             if many[0] and held is not None:
                 yield held.select(["id", "pos"])
                 held = None
         else:
             held = None
-        out = np.repeat(many, stop - start)
+        out = np.repeat(many, stop - start) & (kinds != WITNESS)
         tail = batch.slice(int(start[-1])) if not many[-1] else None
         if out.any():
             yield batch.filter(pa.array(out)).select(["id", "pos"])
@@ -166,15 +196,29 @@ def _windows(zstd: Packing):
                         begin.astype(np.int32))):
                     col.append(x)
             if cols[0]:
-                yield pa.record_batch([np.concatenate(c) for c in cols], names=["h", "g", "id", "mark", "pos"])
+                h, g, ids, marks, places = map(np.concatenate, cols)
+                # Of a window in several documents of the batch, only those with the smallest id are not settled.
+                order = np.lexsort((ids, g, h))
+                h, g, ids, marks, places = (c[order] for c in (h, g, ids, marks, places))
+                opens = np.ones(len(h), dtype=bool)
+                opens[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+                start = np.flatnonzero(opens)
+                settled = ids > np.repeat(ids[start], np.diff(start, append=len(h)))
+                yield pa.record_batch([
+                    np.where(settled, _spread(ids), h), g, np.where(settled, SETTLED, OPEN).astype(np.int8), ids, marks, places],
+                    names=["h", "g", "kind", "id", "mark", "pos"])
 
     return windows
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of windows sorted by (h, g, id), those whose group began with a smaller id."""
+    """Of windows sorted by (h, g, id), those whose group began with a smaller id; settled ones pass."""
     key, ident = None, 0
     for batch in batches:
+        settled = batch.column("kind").to_numpy() == SETTLED
+        if settled.any():
+            yield batch.filter(pa.array(settled)).select(["id", "mark", "pos"])
+            batch = batch.filter(pa.array(~settled))
         if not batch.num_rows:
             continue
         h, g, ids = (batch.column(c).to_numpy() for c in ("h", "g", "id"))
@@ -254,10 +298,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     whole = ["id", "tag", "n_words", "packed"]
     mark = F.when(F.coalesce("often", F.lit(False)), F.col("tag")).otherwise(0).alias("mark")
     seeds = packed.join(notes, "id", "left").select(*whole, "copies").mapInArrow(
-        _anchors(zstd), "anchor long, id long, pos int").repartition(partitions, "anchor").sortWithinPartitions(
-        "anchor", "id").mapInArrow(_shared, "id long, pos int").groupBy("id").agg(F.collect_list("pos").alias("seeds"))
+        _anchors(zstd), "anchor long, kind tinyint, id long, pos int").repartition(partitions, "anchor").sortWithinPartitions(
+        "anchor", "kind", "id").mapInArrow(_shared, "id long, pos int").groupBy("id").agg(F.collect_list("pos").alias("seeds"))
     windows = packed.join(seeds, "id", "left").join(notes, "id", "left").select(*whole, mark, "seeds").mapInArrow(
-        _windows(zstd), "h long, g int, id long, mark long, pos int")
+        _windows(zstd), "h long, g int, kind tinyint, id long, mark long, pos int")
     covered = windows.repartition(partitions, "h", "g").sortWithinPartitions("h", "g", "id").mapInArrow(
         _covered, "id long, mark long, pos int").groupBy("id").agg(
         F.collect_list(F.struct("mark", "pos")).alias("covered"))
