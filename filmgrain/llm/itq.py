@@ -24,6 +24,7 @@ part; repeated rows link with each other; an empty table gives none.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,7 +39,8 @@ from filmgrain.llm.shipping import ship
 from filmgrain.workspace import cut
 
 THRESHOLD = 0.98
-TABLES, BITS = 12, 12
+#: Bits of a table where there are few vectors, and what two linked vectors may miss each other by in all tables.
+LEAST_BITS, MISSED = 8, 1e-4
 #: Vectors a rotation is learned on, at most.
 SAMPLE = 20_000
 TURNS = 30
@@ -86,9 +88,17 @@ def learn(unit: np.ndarray, bits: int, seed: int = 7) -> tuple[np.ndarray, np.nd
     return centre, axes, np.median(x @ axes.T, axis=0)
 
 
-def usable(vector) -> bool:
-    """Finite, not empty and not zero."""
-    return len(vector) > 0 and bool(np.isfinite(vector).all()) and bool(np.any(vector))
+def layout(rows: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """(tables, bits) for labels of up to ``rows`` vectors.
+
+    A table has about as many buckets as a label has vectors, so a bucket holds few however
+    large the label grows. Two unit vectors at the threshold differ in a bit with the
+    probability of their angle by pi, for axes in random position; there are as many tables
+    as it takes to miss a pair in all of them with probability ``MISSED``.
+    """
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(rows, 2))))
+    meet = (1 - math.acos(min(1.0, threshold)) / math.pi) ** bits
+    return (math.ceil(math.log(MISSED) / math.log(1 - meet)) if meet < 1 else 1), bits
 
 
 def _units(rows: np.ndarray) -> np.ndarray:
@@ -96,25 +106,35 @@ def _units(rows: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def fit(vectors: DataFrame, column: str = "embedding", bits: int = TABLES * BITS, sample: int = SAMPLE) -> Quantiser:
+def fit(vectors: DataFrame, column: str = "embedding", bits: int = 144, sample: int = SAMPLE) -> Quantiser:
     """Learn a quantiser from at most about ``sample`` vectors, chosen by a hash of their values."""
     values = vectors.select(F.col(column).cast("array<double>").alias("v")).filter(
         F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
     n = values.count()
     share = min(1.0, sample / max(n, 1))
     drawn = values.filter(F.shiftrightunsigned(F.xxhash64("v"), 11) / float(1 << 53) < share)
-    by: dict[int, list] = {}
-    for v in drawn.limit(2 * sample).toArrow()["v"].to_pylist():
-        if usable(np.array(v)):
-            by.setdefault(len(v), []).append(v)
-    return Quantiser(bits, {d: learn(_units(np.array(sorted(rows))), bits) for d, rows in sorted(by.items())})
-
-
-def links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, bits: int = BITS, block: int = BLOCK,
+    found = drawn.limit(2 * sample).toArrow()["v"].combine_chunks()
+    lengths = found.value_lengths().to_numpy(zero_copy_only=False)
+    models = {}
+    for dim in np.unique(lengths[lengths > 0]).tolist():
+        rows = found.take(pa.array(np.flatnonzero(lengths == dim))).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        rows = np.unique(rows[np.isfinite(rows).all(axis=1) & rows.any(axis=1)], axis=0)  # in an order of their own
+        if len(rows):
+            models[dim] = learn(_units(rows), bits)
+    return Quantiser(bits, models)
+
+
+def links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int | None = None, bits: int | None = None, block: int = BLOCK,
           id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label",
           model: Quantiser | None = None) -> DataFrame:
-    """Per row: id, n_links and component_id (the smallest id that links reach)."""
+    """Per row: id, n_links and component_id (the smallest id that links reach).
+
+    Unless they are given, ``tables`` and ``bits`` follow from the largest label.
+    """
     spark = ship(vectors.sparkSession)
+    if tables is None or bits is None:
+        sizes = vectors.filter(F.col(label_column).isNotNull()).groupBy(label_column, F.size(vector_column)).count()
+        tables, bits = layout(sizes.agg(F.max("count").alias("n")).first().n or 0, threshold)
     model = model or fit(vectors, vector_column, tables * bits)
     shared = spark.sparkContext.broadcast(model)  # bits x dimension numbers
     rows = vectors.select(
@@ -140,10 +160,10 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES
                 parts = shared.value.codes(_units(flat)).reshape(len(at), tables, bits) @ weights
                 yield pa.record_batch(
                     [part.column(c) for c in ("key", "label", "v", "rep", "times")]
-                    + [pa.array(list(parts.astype(np.int32)), pa.list_(pa.int32()))],
+                    + [pa.array(list(parts.astype(np.int64)), pa.list_(pa.int64()))],
                     names=["key", "label", "v", "rep", "times", "code"])
 
-    coded = cut(reps.mapInArrow(code, "key long, label string, v array<double>, rep long, times long, code array<int>"))
+    coded = cut(reps.mapInArrow(code, "key long, label string, v array<double>, rep long, times long, code array<long>"))
     narrow = coded.select("key", F.xxhash64("label", F.size("v")).alias("space"), F.posexplode("code").alias("t", "s"))
     sizes = narrow.groupBy("space", "t", "s").agg(F.count("*").alias("n")).filter("n > 1")
     # Blocks of a bucket; a vector of block i meets blocks (i, j) for every j.
