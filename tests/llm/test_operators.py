@@ -301,7 +301,7 @@ def test_links_equal_all_pairs_and_recall(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, key string")
     got = {r.vec_id: r for r in itq.links(frame, block=64).collect()}
     good = [(i, np.array(v), y) for i, v, y, _ in rows if i is not None and y is not None and v is not None
-            and None not in v and itq.usable(np.array(v))]
+            and None not in v and len(v) > 0 and np.isfinite(v).all() and np.any(v)]
     unit = {i: v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for i, v, _ in good}
     pairs = [(a, b) for a, va, x in good for b, vb, y in good
              if a != b and x == y and len(va) == len(vb) and unit[a] @ unit[b] >= 0.98]
@@ -455,3 +455,87 @@ def test_pipeline_runs(spark, folder):
     v = pieces.read_vocabulary()
     assert out.filter(~pieces.decode(spark, v, F.col("piece_ids")).eqNullSafe(F.col("text"))).count() == 0
     assert out.count() > 0
+
+
+def test_no_window_exceeds_the_budget(spark):
+    """Unless a single turn does, with the system turn."""
+    rng = random.Random(6)
+    rows = [(1, 0, "system", "s" * 400), (1, 1, "user", "u" * 900), (1, 2, "assistant", "a" * 3500),
+            (2, 0, "system", "s" * 3100)] + [(2, t, "user", "x" * 200) for t in range(1, 9)]
+    rows += [(3 + c, t, rng.choice(["user", "assistant", "system"]), "w" * rng.randint(0, 3000)) for c in range(20) for t in range(40)]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    tokens = lambda text: (len(text) + 3) // 4 + chat.MARKUP_TOKENS
+    over = 0
+    for r in made:
+        turns = [t.split("\n", 1) for t in r.formatted.replace(chat.BEGIN, "").split(chat.END)[:-1]]
+        own = [tokens(text) for _, text in turns[r.n_context:]]
+        context = [(role, tokens(text)) for role, text in turns[:r.n_context]]
+        total = sum(own) + sum(n for _, n in context)
+        if total > 1024:
+            over += 1
+            assert len(own) == 1 and all(role == "system" for role, _ in context) and len(context) <= 1
+    assert over < len(made) / 4
+
+
+def test_long_words_that_differ_are_different(spark):
+    """Words built so that a polynomial modulo a power of two cannot tell them apart."""
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))
+    two = one.translate(str.maketrans("ab", "ba"))
+    shared = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"{shared} {one}"), (2, f"{shared} {two}"), (3, f"{shared} {one}")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substrings.remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_passages_that_a_batch_settles(spark):
+    """A passage in most documents, over small and large batches and partitions, against removal window by window."""
+    rng = random.Random(4)
+    passages = [cases.words(30, s) for s in range(3)]
+    texts = []
+    for i in range(120):
+        parts = [cases.words(rng.randint(3, 20), 1000 + i)]
+        if i % 10:
+            parts.insert(rng.randint(0, 1), passages[0])
+        if i % 7 == 0:
+            parts.append(passages[1])
+        if i in (5, 90):
+            parts.append(passages[2])
+        texts.append((i, " ".join(parts)))
+    rng.shuffle(texts)
+    seen, want = {}, {}
+    for i, text in sorted(texts):
+        own = text.split()
+        windows = [tuple(own[j:j + 13]) for j in range(len(own) - 12)]
+        gone = {j + d for j, w in enumerate(windows) if seen.get(w, i) < i for d in range(13)}
+        want[i] = len(gone)
+        for w in windows:
+            seen.setdefault(w, i)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size, parts in (("3", 4), ("1000", 1), ("1", 7)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(docs.repartition(parts), partitions=5).collect()}
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        assert got == want, (size, parts)
+
+
+def test_tables_grow_with_the_label():
+    tables, bits = zip(*(itq.layout(n) for n in (0, 100, 4000, 16_000, 10**6, 10**9)))
+    assert list(bits) == sorted(bits) and list(tables) == sorted(tables) and bits[2] == 12 and bits[-1] == 30
+    assert all((1 - (1 - np.arccos(0.98) / np.pi) ** b) ** t <= itq.MISSED for t, b in zip(tables, bits))
+
+
+@pytest.mark.parametrize("dim", [8, 32, 200])
+def test_recall_on_several_dimensions(spark, dim):
+    rng = np.random.default_rng(dim)
+    base = rng.standard_normal((600, dim))
+    near = base[:300] + rng.standard_normal((300, dim)) * 0.15
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([base, near]))]
+    got = {r.vec_id: r.n_links for r in itq.links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    assert want.sum() > 100 and sum(got.values()) >= 0.99 * want.sum() and all(got[i] <= want[i] for i in got)

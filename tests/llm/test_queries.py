@@ -119,3 +119,68 @@ def test_linear_email_scan():
         text = "".join(rng.choice("ab.@-1 +") for _ in range(rng.randint(0, 40)))
         assert [("email", *s) for s in pii.emails(text)] == [s for s in plain_base(text) if s[0] == "email"], text
         assert pii.base_spans(text) == plain_base(text), text
+
+
+def plain_syncmers(text, k=syncmers.K, s=syncmers.S):
+    """(position, k-mer) of the k-mers whose smallest inner substring, by the operator's order, lies at an edge."""
+    import numpy as np
+
+    from filmgrain.llm.arrays import mix
+
+    base, mask = int(syncmers._BASE), 2**64 - 1
+    value = {}
+
+    def order(part):
+        if part not in value:
+            total = sum((ord(c) + 1) * pow(base, i, 2**64) for i, c in enumerate(part)) & mask
+            value[part] = int(mix(np.array([total], dtype=np.uint64))[0])
+        return value[part]
+
+    out = []
+    for i in range(len(text) - k + 1):
+        inner = [order(text[j:j + s]) for j in range(i, i + k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append((i, text[i:i + k]))
+    return out
+
+
+def test_syncmers_one_by_one():
+    rng = random.Random(8)
+    texts = ["", "short", "a" * 60, "ab" * 50, "é\U0001F600" * 40] + [
+        "".join(rng.choice("abcd é\n") for _ in range(rng.randint(10, 400))) for _ in range(40)]
+    for text in texts:
+        where, what = syncmers.anchors(text)
+        plain = plain_syncmers(text)
+        assert where.tolist() == [i for i, _ in plain], text
+        # equal k-mers have equal hashes, different ones different hashes
+        names = {}
+        for (_, mer), h in zip(plain, what.tolist()):
+            assert names.setdefault(mer, h) == h
+        assert len(set(names.values())) == len(names)
+
+
+def test_syncmers_over_pieces(monkeypatch):
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdef ") for _ in range(3000))
+    whole = syncmers.anchors(text)
+    monkeypatch.setattr(syncmers, "PIECE", 128)
+    cut = syncmers.anchors(text)
+    assert whole[0].tolist() == cut[0].tolist() and whole[1].tolist() == cut[1].tolist()
+
+
+def test_likeness_bounds_by_shared_syncmers():
+    """Never above the share of syncmers that two texts have in common at all, and all of it for a plain shift."""
+    from collections import Counter
+
+    rng = random.Random(12)
+    for _ in range(60):
+        a = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(50, 600)))
+        at = rng.randint(0, len(a))
+        b = rng.choice([a[:at] + "".join(rng.choice("xyz") for _ in range(rng.randint(0, 80))) + a[at:], a[at:], "".join(
+            rng.choice("abcdefgh ") for _ in range(300))])
+        one, two = Counter(m for _, m in plain_syncmers(a)), Counter(m for _, m in plain_syncmers(b))
+        both = sum((one & two).values())
+        union = sum((one | two).values())
+        got = syncmers.likeness(syncmers.sketch(a), syncmers.sketch(b))
+        assert 0 <= got <= 1 and (not one or not two or got <= both / union + 1e-9)
+        assert syncmers.likeness(syncmers.sketch(b), syncmers.sketch(a)) == got
