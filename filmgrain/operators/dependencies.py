@@ -1,4 +1,4 @@
-"""Functional dependencies between single columns.
+"""Functional dependencies, from single columns and from pairs of columns.
 
 X -> Y holds when every non-null value of X goes with exactly one Y value and never
 with a null Y. Rows with a null X say nothing.
@@ -141,3 +141,73 @@ def implied_pairs(deps: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
         .distinct()
     )
+
+
+def stripped(df: DataFrame) -> DataFrame:
+    """``df`` with each cell replaced by the id of its class in its column, plus ``nulls``, a mask of its null cells.
+
+    A class of one row can break no dependency, so it is stripped: its cell is null, like a
+    null cell itself, and only the mask tells the two apart.
+    """
+    columns = df.columns
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    text = [(F.col(c) + F.lit(0.0) if c in floats else F.col(c)).cast("string").alias(c) for c in columns]  # one zero
+    mask = sum((F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(columns)),
+               F.lit(0).cast("bigint"))
+    rows = df.select(*text).withColumn("nulls", mask)
+    # ids are written before they are used, so a task that runs again finds the same ones
+    ids = cut(classes(rows, columns).where("rows > 1").withColumn("id", F.monotonically_increasing_id()))
+    for c in columns:
+        own = ids.where(F.col("column") == c).select(F.col("value").alias(c), F.col("id").alias(f"_id_{c}"))
+        rows = rows.join(own, c, "left")
+    return rows.select(*[F.col(f"_id_{c}").alias(c) for c in columns], "nulls")
+
+
+def minimal_pairs(df: DataFrame, deps: DataFrame | None = None) -> DataFrame:
+    """Dependencies {X, Z} -> Y that neither X -> Y nor Z -> Y implies, as (lhs1, lhs2, rhs) in column order.
+
+    Every row with X and Z present has a Y, the same in all rows that agree in both; a pair that
+    is never present together says nothing. ``deps`` are those of single columns (``single``).
+
+    Partitions of single columns are multiplied: a row takes part in the product of X and Z only
+    where both its classes have further rows, and a product class of one row is stripped again.
+    Classes are longs, so products are hash aggregates that combine before the shuffle, all pairs
+    in one job. Pairs of which one column determines the other are left out, as their product is a
+    partition already known. What comes to the driver is a row a pair of columns.
+    """
+    df = cut(df)
+    cols = df.columns
+    spark = df.sparkSession
+    held = {(r.lhs, r.rhs) for r in (single(df) if deps is None else deps).collect()}
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))
+             if (cols[i], cols[j]) not in held and (cols[j], cols[i]) not in held]
+    schema = "lhs1 string, lhs2 string, rhs string"
+    if not pairs:
+        return spark.createDataFrame([], schema)
+    parts = cut(stripped(df))
+    # null cells beside a present pair, from the distinct masks
+    masks = parts.select("nulls").distinct()
+    beside = masks.agg(*[
+        F.bit_or(F.when(F.expr(f"nulls & {1 << i | 1 << j}L = 0"), F.col("nulls"))).alias(f"p{k}")
+        for k, (i, j) in enumerate(pairs)]).first()
+    open_pairs = {}
+    for k, (i, j) in enumerate(pairs):
+        if beside[k] is not None:
+            targets = [y for y in range(len(cols)) if y not in (i, j) and not beside[k] >> y & 1
+                       and (cols[i], cols[y]) not in held and (cols[j], cols[y]) not in held]
+            if targets:
+                open_pairs[k] = targets
+    if not open_pairs:
+        return spark.createDataFrame([], schema)
+    entries = F.array(*[
+        F.struct(F.lit(k).alias("pair"), F.col(cols[pairs[k][0]]).alias("a"), F.col(cols[pairs[k][1]]).alias("b"))
+        for k in open_pairs])
+    wanted = sorted({y for targets in open_pairs.values() for y in targets})
+    met = parts.select(*[F.col(cols[y]).alias(f"c{y}") for y in wanted], F.explode(F.filter(
+        entries, lambda e: e["a"].isNotNull() & e["b"].isNotNull())).alias("e"))
+    same = [F.expr(f"CASE WHEN min(c{y}) = max(c{y}) AND count(c{y}) = count(*) THEN {1 << y}L ELSE 0L END") for y in wanted]
+    product = met.groupBy("e.pair", "e.a", "e.b").agg(F.count("*").alias("n"), sum(same[1:], same[0]).alias("ok"))
+    kept = {r.pair: r.ok for r in product.where("n > 1").groupBy("pair").agg(F.bit_and("ok").alias("ok")).collect()}
+    found = [(cols[pairs[k][0]], cols[pairs[k][1]], cols[y])
+             for k, targets in open_pairs.items() for y in targets if kept.get(k, -1) >> y & 1]
+    return spark.createDataFrame(found, schema)

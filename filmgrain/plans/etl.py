@@ -110,7 +110,7 @@ def known_links(rows: DataFrame, movies_: DataFrame, people_: DataFrame) -> Data
 # normalised tables
 
 def titles(basics: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Titles and ratings, each kept without the other; adult flag and genres dropped."""
+    """Titles and ratings, each kept without the other; adult flag and genres dropped; a position is kept."""
     return basics.join(ratings, "tconst", "full_outer").select(
         text.id_number("tconst", "tt").alias("id"), F.col("titleType").alias("type"),
         F.col("primaryTitle").alias("title"), "originalTitle",
@@ -118,7 +118,7 @@ def titles(basics: DataFrame, ratings: DataFrame) -> DataFrame:
         F.col("endYear").try_cast("int").alias("endYear"),
         text.to_number("runtimeMinutes").try_cast("int").alias("runtime"),
         F.col("averageRating").try_cast("decimal(3,1)").alias("avgRatings"),
-        text.to_number("numVotes").alias("numVotes"),
+        text.to_number("numVotes").alias("numVotes"), *[c for c in basics.columns if c == "_pos"],
     )
 
 
@@ -136,7 +136,7 @@ def members(names: DataFrame) -> DataFrame:
     return names.select(
         text.id_number("nconst", "nm").alias("id"), F.col("primaryName").alias("name"),
         F.col("birthYear").try_cast("int").alias("birthYear"),
-        F.col("deathYear").try_cast("int").alias("deathYear"),
+        F.col("deathYear").try_cast("int").alias("deathYear"), *[c for c in names.columns if c == "_pos"],
     )
 
 

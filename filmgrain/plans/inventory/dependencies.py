@@ -65,3 +65,22 @@ ORDER = ", ".join(f"('{c}', {i})" for i, c in enumerate(COLUMNS))
     FROM deps JOIN (VALUES {ORDER}) l(c, i) ON l.c = lhs JOIN (VALUES {ORDER}) z(c, i) ON z.c <> lhs AND z.c <> rhs""", VIEWS)
 def fd_implied_pairs(v):
     return fd.implied_pairs(fd.single(relation(v)), COLUMNS)
+
+
+def _pair_holds(x: str, z: str) -> str:
+    others = [y for y in COLUMNS if y not in (x, z)]
+    inner = ", ".join(f"min({y}) IS NOT DISTINCT FROM max({y}) AND count({y}) = count(*) AS {y}" for y in others)
+    tests = ", ".join(f"bool_and({y}) AS {y}" for y in others)
+    return (
+        f"SELECT '{x}' AS lhs1, '{z}' AS lhs2, rhs FROM (UNPIVOT (SELECT {tests} FROM (SELECT {inner} FROM flat"
+        f" WHERE {x} IS NOT NULL AND {z} IS NOT NULL GROUP BY {x}, {z}) HAVING count(*) > 0)"
+        f" ON COLUMNS(*) INTO NAME rhs VALUE ok) WHERE ok"
+    )
+
+
+@query("fd_minimal_pairs", "SELECT lhs1, lhs2, rhs FROM pairs WHERE (lhs1, rhs) NOT IN (SELECT lhs, rhs FROM deps)"
+       " AND (lhs2, rhs) NOT IN (SELECT lhs, rhs FROM deps)",
+       {**VIEWS, "pairs": " UNION ALL ".join(_pair_holds(x, z) for i, x in enumerate(COLUMNS) for z in COLUMNS[i + 1:])})
+def fd_minimal_pairs(v):
+    """Found from stripped partitions, not implied by a single column."""
+    return fd.minimal_pairs(relation(v))

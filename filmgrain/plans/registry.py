@@ -14,7 +14,7 @@ SQL: dict[str, str] = {}
 
 MODULES = (
     "sources", "rows", "joins", "aggregates", "functions", "documents", "integrity",
-    "integration", "dependencies", "itemsets", "clusters", "named", "etl",
+    "integration", "dependencies", "itemsets", "clusters", "named", "etl", "loading",
 )
 
 

@@ -78,6 +78,16 @@ TEXT_LIMITS = {
     "member": {"name": 255},
 }
 
+# Declared keys of the normalised tables; of a link, the whole row.
+KEYS = {name: ("id",) if "id" in table.names else tuple(table.names) for name, table in TABLES.items()}
+
+# Declared parents: the table whose key a column holds.
+PARENTS = {
+    name: {"titleid": "title", **{c: "genre" if c == "genreid" else "role" if c == "roleid" else "member"
+                                  for c in table.names if c != "titleid"}}
+    for name, table in TABLES.items() if "titleid" in table.names
+}
+
 # Denormalised movie tables.
 MOVIES = _struct(
     "title_id bigint, primary_title string, original_title string, release_year int,"
