@@ -45,6 +45,8 @@ LEAST_BITS, MISSED = 8, 1e-4
 SAMPLE = 20_000
 TURNS = 30
 BLOCK = 1024
+#: Groups of up to so many rows are compared many at once.
+FEW = 64
 
 
 @dataclass(frozen=True)
@@ -160,7 +162,7 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int | None =
                 parts = shared.value.codes(_units(flat)).reshape(len(at), tables, bits) @ weights
                 yield pa.record_batch(
                     [part.column(c) for c in ("key", "label", "v", "rep", "times")]
-                    + [pa.array(list(parts.astype(np.int64)), pa.list_(pa.int64()))],
+                    + [pa.ListArray.from_arrays(np.arange(0, parts.size + 1, tables, dtype=np.int32), parts.astype(np.int64).ravel())],
                     names=["key", "label", "v", "rep", "times", "code"])
 
     coded = cut(reps.mapInArrow(code, "key long, label string, v array<double>, rep long, times long, code array<long>"))
@@ -175,8 +177,8 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int | None =
         "key", "space", "t", "s", "i", "j", "own", "label", "v", "rep", "times", "code")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["space", "t", "s", "i", "j", "label"]):
-            yield from _compare(group, threshold)
+        for some, starts in _groups(batches, ["space", "t", "s", "i", "j", "label"]):
+            yield from _compare(some, starts, threshold)
 
     order = ["space", "t", "s", "i", "j", "label"]
     found = cut(full.repartition(*order[:5]).sortWithinPartitions(*order, "rep").mapInArrow(
@@ -198,56 +200,86 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int | None =
         F.col("id").alias(id_column), "n_links", F.coalesce("component", "id").alias("component_id"))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal keys; a group is bounded by two blocks."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of consecutive rows with equal keys, many at a time, with the place where each starts.
+
+    A group is bounded by two blocks, so what is held back for the next batch is too.
+    """
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        change = np.zeros(batch.num_rows - 1, dtype=bool)
+        rows = pa.Table.from_batches([*held, batch]).combine_chunks()
+        change = np.zeros(rows.num_rows - 1, dtype=bool)
         for k in keys:
-            column = batch.column(k)
+            column = rows.column(k).chunk(0)
             change |= np.asarray(pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False))
-        start = [0, *(np.flatnonzero(change) + 1).tolist()]
-        for a, b in zip(start, start[1:] + [batch.num_rows]):
-            piece = batch.slice(a, b - a)
-            if held and any(held[0].column(k)[0] != piece.column(k)[0] for k in keys):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(piece)
+        starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        last = int(starts[-1])
+        if last:
+            yield rows.slice(0, last), starts[:-1]
+        held = rows.slice(last).to_batches()
     if held:
-        yield pa.Table.from_batches(held)
+        yield pa.Table.from_batches(held), np.zeros(1, dtype=np.int64)
 
 
-def _compare(group: pa.Table, threshold: float) -> Iterator[pa.RecordBatch]:
-    n = group.num_rows
-    if n < 2:
-        return
-    group = group.combine_chunks()
-    column = lambda c: group.column(c).chunk(0)
-    unit = _units(column("v").flatten().to_numpy().reshape(n, -1))
-    code = column("code").flatten().to_numpy().reshape(n, -1)
-    key, rep, times, own = (column(c).to_numpy() for c in ("key", "rep", "times", "own"))
-    table, i, j = (column(c)[0].as_py() for c in ("t", "i", "j"))
-    left = np.flatnonzero(own == i) if i != j else np.arange(n)
-    right = np.flatnonzero(own == j) if i != j else left
-    near = unit[left] @ unit[right].T >= threshold
-    for t in range(table):  # counted where they met first
-        near &= code[left, t][:, None] != code[right, t][None, :]
-    if i == j:
-        np.fill_diagonal(near, False)
-    links = np.zeros(n, dtype=np.int64)
-    links[left] += near @ times[right]
-    if i != j:
-        links[right] += near.T @ times[left]
+def _compare(rows: pa.Table, starts: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links of every row within its group and spanning forests, counted in the first table in which a pair meets.
+
+    Groups of few rows are compared together, as many at once as have an equal number of rows
+    and of dimensions; each of the others is compared by itself.
+    """
+    rows = rows.combine_chunks()
+    column = lambda c: rows.column(c).chunk(0)
+    dims = pc.list_value_length(column("v")).to_numpy()
+    offsets, flat = np.concatenate([[0], np.cumsum(dims)]), column("v").flatten().to_numpy()
+    code = column("code").flatten().to_numpy().reshape(rows.num_rows, -1)
+    key, rep, times, own, table, i, j = (column(c).to_numpy() for c in ("key", "rep", "times", "own", "t", "i", "j"))
+    size = np.diff(np.append(starts, rows.num_rows))
+    links, edges = np.zeros(rows.num_rows, dtype=np.int64), []
+
+    def units(at: np.ndarray) -> np.ndarray:
+        return _units(flat[offsets[at][:, None] + np.arange(dims[at[0]])])
+
+    few = (size >= 2) & (size <= FEW) & (i[starts] == j[starts])
+    for n, dim in np.unique(np.stack([size[few], dims[starts[few]]], axis=1), axis=0).tolist():
+        chosen = starts[few & (size == n) & (dims[starts] == dim)]
+        for part in np.array_split(chosen, math.ceil(len(chosen) * n / 4096)):
+            at = part[:, None] + np.arange(n)
+            unit = units(at.ravel()).reshape(len(part), n, dim)
+            near = unit @ unit.transpose(0, 2, 1) >= threshold
+            g, a, b = np.nonzero(np.triu(near, 1))
+            met = (code[at[g, a]] == code[at[g, b]]).argmax(axis=1) == table[part[g]]
+            g, a, b = g[met], a[met], b[met]
+            np.add.at(links, at[g, a], times[at[g, b]])
+            np.add.at(links, at[g, b], times[at[g, a]])
+            near[:] = False
+            near[g, a, b] = near[g, b, a] = True
+            edges += [_forest(near[x], at[x], at[x]) for x in np.unique(g)]
+    for start, n in zip(starts[(size >= 2) & ~few].tolist(), size[(size >= 2) & ~few].tolist()):
+        here = np.arange(start, start + n)
+        alone = i[start] == j[start]
+        left = here if alone else here[own[here] == i[start]]
+        right = here if alone else here[own[here] == j[start]]
+        if not len(left) or not len(right):
+            continue
+        near = units(left) @ units(right).T >= threshold
+        for t in range(table[start]):
+            near &= code[left, t][:, None] != code[right, t][None, :]
+        if alone:
+            np.fill_diagonal(near, False)
+        links[left] += near @ times[right]
+        if not alone:
+            links[right] += near.T @ times[left]
+        edges.append(_forest(near, left, right))
     at = np.flatnonzero(links)
     if not len(at):
         return
-    edges = _forest(near, left, right)
-    none, some = [None] * len(edges), [None] * len(at)
+    edge = np.concatenate(edges)
+    none, some = [None] * len(edge), [None] * len(at)
     yield pa.record_batch([
         pa.array(key[at].tolist() + none, pa.int64()), pa.array(links[at].tolist() + none, pa.int64()),
-        pa.array(some + rep[edges[:, 0]].tolist(), pa.int64()), pa.array(some + rep[edges[:, 1]].tolist(), pa.int64()),
+        pa.array(some + rep[edge[:, 0]].tolist(), pa.int64()), pa.array(some + rep[edge[:, 1]].tolist(), pa.int64()),
     ], names=["key", "n", "a", "b"])
 
 
