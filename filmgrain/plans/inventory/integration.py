@@ -111,8 +111,11 @@ def q_gav_prolific_opt(v):
     return gav.prolific(gav.without_genres(v.member, v.title, v.title_actor), **PERIOD)
 
 
-@view_query("q_gav_prefix", f"""SELECT {PERSON} FROM (SELECT * FROM member WHERE starts_with(name, 'sm'))
-    JOIN title_actor ON actorid = id WHERE titleid IN (SELECT id FROM labelled WHERE NOT comic)""")
+PREFIX = f"""SELECT {PERSON} FROM (SELECT * FROM member WHERE starts_with(name, 'sm'))
+    JOIN title_actor ON actorid = id WHERE titleid IN (SELECT id FROM labelled WHERE NOT comic)"""
+
+
+@view_query("q_gav_prefix", PREFIX)
 def q_gav_prefix(v):
     return gav.prefix_actors(schema(v), KIND, "sm")
 
@@ -122,3 +125,31 @@ def q_gav_prefix(v):
       AND id IN (SELECT actorid FROM player WHERE NOT ever_comic)""")
 def q_gav_prefix_opt(v):
     return gav.prefix_actors_short(sources(v), "sm")
+
+
+# The same two queries over the global schema as it is defined, a union of source views:
+# unfolded by the optimiser, or read from the views as they were stored.
+
+
+def defined(v, views):
+    return gav.over_views(views, v.title_genre, v.genre, KIND)
+
+
+@view_query("q_gav_prolific_view", prolific_sql("labelled"))
+def q_gav_prolific_view(v):
+    return gav.prolific(defined(v, sources(v)), **PERIOD)
+
+
+@view_query("q_gav_prolific_stored", prolific_sql("labelled"))
+def q_gav_prolific_stored(v):
+    return gav.prolific(defined(v.stored, v.stored.source_views(KIND)), **PERIOD)
+
+
+@view_query("q_gav_prefix_view", PREFIX)
+def q_gav_prefix_view(v):
+    return gav.prefix_actors(defined(v, sources(v)), KIND, "sm")
+
+
+@view_query("q_gav_prefix_stored", PREFIX)
+def q_gav_prefix_stored(v):
+    return gav.prefix_actors(defined(v.stored, v.stored.source_views(KIND)), KIND, "sm")

@@ -57,8 +57,9 @@ def q_role_pattern(v):
     JOIN genre g ON g.id = genreid AND g.genre = 'PROMO' JOIN title_producer p ON p.titleid = t.id JOIN member m ON m.id = p.producerid
     WHERE t.startYear = 1997 AND regexp_matches(m.name, '.*00001.*') GROUP BY m.id HAVING count(*) >= 20""")
 def q_doc_producers_50(v):
+    s = v.stored
     return docq.producers_with_many(
-        v.title, v.labelled_genre, v.title_producer, v.member, 1997, "PROMO", ".*00001.*", 20
+        s.title, s.labelled_genre, s.title_producer, s.member, 1997, "PROMO", ".*00001.*", 20
     )
 
 
@@ -66,7 +67,7 @@ def q_doc_producers_50(v):
     (SELECT titleid FROM title_writer JOIN member ON id = writerid GROUP BY titleid
      HAVING bool_or(regexp_matches(name, '.*ring.*')) AND bool_or(deathYear IS NULL)) HAVING count(*) > 0""")
 def q_doc_writer_avg(v):
-    return docq.writer_average(v.title, v.title_writer, v.member, ".*ring.*")
+    return docq.writer_average(v.stored.title, v.stored.title_writer, v.stored.member, ".*ring.*")
 
 
 @query("q_doc_longrun_sets", """SELECT producers, any_value(names) AS names, count(*) AS count FROM
@@ -74,7 +75,7 @@ def q_doc_writer_avg(v):
      FROM title_producer JOIN member m ON m.id = producerid JOIN title t ON t.id = titleid WHERE t.runtime >= 120
      GROUP BY titleid HAVING bool_or(deathYear IS NULL)) GROUP BY producers""")
 def q_doc_longrun_sets(v):
-    sets = docq.longrun_producer_sets(v.title, v.title_producer, v.member, 120)
+    sets = docq.longrun_producer_sets(v.stored.title, v.stored.title_producer, v.stored.member, 120)
     return sets.select(
         F.array_join(F.col("producers").cast("array<string>"), ",").alias("producers"),
         F.array_join("name", ",").alias("names"), "count",
@@ -88,9 +89,10 @@ def q_doc_longrun_sets(v):
     LEFT JOIN (SELECT titleid, actorid, string_agg(role, '|' ORDER BY role) AS roles FROM actor_title_role JOIN role ON role.id = roleid
         GROUP BY titleid, actorid) r ON r.titleid = t.id AND r.actorid = a.id""")
 def q_doc_director_actor(v):
-    roles = with_label(v.actor_title_role, v.role, "roleid", "role").drop("roleid")
+    s = v.stored
+    roles = with_label(s.actor_title_role, s.role, "roleid", "role").drop("roleid")
     rows = docq.director_actor(
-        v.title, v.labelled_genre, v.title_director, v.title_actor, roles, v.member,
+        s.title, s.labelled_genre, s.title_director, s.title_actor, roles, s.member,
         "PROMO", "Customer#000000044", "cold gizmo",
     )
     return rows.withColumn("role", F.array_join("role", "|"))
@@ -98,15 +100,15 @@ def q_doc_director_actor(v):
 
 @query("rpt_genre_boxplot", FIVE, FIVE_VIEWS)
 def rpt_genre_boxplot(v):
-    return docq.genre_boxplot(v.title, v.labelled_genre)
+    return docq.genre_boxplot(v.stored.title, v.stored.labelled_genre)
 
 
 @query("rpt_genre_cast", """SELECT genre, sum(n) / count(*) AS mean_cast FROM title_genre JOIN genre ON genreid = id
     JOIN (SELECT titleid, count(*) AS n FROM title_actor GROUP BY titleid) c ON c.titleid = title_genre.titleid GROUP BY genre""")
 def rpt_genre_cast(v):
-    return docq.genre_cast(v.labelled_genre, v.title_actor)
+    return docq.genre_cast(v.stored.labelled_genre, v.stored.title_actor)
 
 
 @query("rpt_year_count", "SELECT startYear, count(*) AS titles FROM title WHERE startYear IS NOT NULL GROUP BY startYear")
 def rpt_year_count(v):
-    return docq.year_count(v.title)
+    return docq.year_count(v.stored.title)

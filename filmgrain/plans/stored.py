@@ -19,6 +19,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from filmgrain.operators.selection import dense_ids
+from filmgrain.plans import integration
 from filmgrain.plans.views import Catalogue, _role_label
 from filmgrain.sources.writers import create_table_as
 from filmgrain.workspace import stage_path
@@ -26,9 +27,15 @@ from filmgrain.workspace import stage_path
 #: Columns by which each table is bucketed and sorted; none for dictionaries.
 LAYOUT: dict[str, tuple[str, ...]] = {
     "genre": (), "role": (), "title": ("id",), "member": ("id",), "title_genre": ("titleid",),
-    "title_producer": ("titleid",), "title_actor": ("titleid", "actorid"),
+    "title_producer": ("titleid",), "title_writer": ("titleid",), "title_director": ("titleid",),
+    "title_actor": ("titleid", "actorid"),
     "actor_title_role": ("titleid", "actorid"), "actor_title": ("actorid",),
 }
+#: The same for the stored source views.
+VIEW_LAYOUT: dict[str, tuple[str, ...]] = {
+    "comedy_movie": ("id",), "non_comedy_movie": ("id",), "comedy_actor": ("id",), "non_comedy_actor": ("id",),
+    "acted_in": ("titleid", "actorid"),
+}
 
 
 def _kept(name: str, define: Callable[[StoredCatalogue], DataFrame] | None = None) -> cached_property:
@@ -45,15 +52,25 @@ class StoredCatalogue(Catalogue):
     member = _kept("member")
     title_genre = _kept("title_genre")
     title_producer = _kept("title_producer")
+    title_writer = _kept("title_writer")
+    title_director = _kept("title_director")
     title_actor = _kept("title_actor")
     actor_title_role = _kept("actor_title_role")
     actor_title = _kept("actor_title", lambda self: self.title_actor)
 
-    def keep(self, name: str, make: Callable[[StoredCatalogue], DataFrame]) -> DataFrame:
+    def source_views(self, kind: str) -> integration.Sources:
+        """The source views for a genre, stored on first use and not refreshed."""
+        mark = hashlib.md5(kind.encode()).hexdigest()[:8]
+        lazy = integration.sources(self.member, self.title, self.title_genre, self.genre, self.title_actor, kind)
+        return integration.Sources(**{
+            name: self.keep(f"{name}_{mark}", lambda self, rows=rows: rows, VIEW_LAYOUT[name]) for name, rows in lazy.items()
+        })
+
+    def keep(self, name: str, make: Callable[[StoredCatalogue], DataFrame], by: tuple[str, ...] | None = None) -> DataFrame:
         mark = hashlib.md5(f"{self.spark.sparkContext.applicationId}:{self.folder}".encode()).hexdigest()
         table = f"catalogue_{mark}_{name}"
         if not self.spark.catalog.tableExists(table):
-            rows, by = make(self), LAYOUT[name]
+            rows, by = make(self), LAYOUT[name] if by is None else by
             buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             if by:  # one file a bucket
                 rows = rows.repartition(buckets, *by)

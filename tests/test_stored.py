@@ -10,6 +10,7 @@ from filmgrain import schemas
 from filmgrain.operators import keys, selection, updates
 from filmgrain.operators.store import Collection
 from filmgrain.plans import document_queries, etl, registry, relational
+from filmgrain.plans.inventory import integration as inventory
 from filmgrain.plans.views import Catalogue
 from filmgrain.sources import readers, writers
 
@@ -42,12 +43,35 @@ def test_links_join_titles_without_a_shuffle(spark, folder, v, no_broadcast):
 
 
 def test_stored_tables_are_the_views(v):
-    for name in ("genre", "title", "member", "title_genre", "title_producer", "title_actor"):
+    for name in ("genre", "title", "member", "title_genre", "title_producer", "title_writer", "title_director", "title_actor"):
         a, b = getattr(v.stored, name), getattr(v, name)
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
     assert v.stored.title is not v.title and v.stored.title.count() == v.title.count()
 
 
+def test_source_views_are_stored_once(spark, v):
+    lazy, stored = inventory.sources(v), v.stored.source_views(inventory.KIND)
+    for (name, a), (_, b) in zip(stored.items(), lazy.items()):
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty(), name
+    files = [sorted(df.inputFiles()) for _, df in stored.items()]
+    assert files == [sorted(df.inputFiles()) for _, df in v.stored.source_views(inventory.KIND).items()]
+    other = v.stored.source_views("another genre")  # a genre has views of its own
+    assert other.comedy_movie.isEmpty() and other.non_comedy_movie.count() > stored.non_comedy_movie.count()
+
+
+@pytest.mark.parametrize("name", ["q_gav_prolific_stored", "q_gav_prefix_stored"])
+def test_queries_over_stored_views_read_nothing_else(spark, folder, name):
+    registry.load()
+    found = plan(registry.RUN[name](spark, folder))
+    assert "lineitem.parquet" not in found and "orders.parquet" not in found and "acted_in" in found
+
+
+def test_document_queries_make_no_link_distinct(spark, folder):
+    registry.load()
+    for name in ("q_doc_producers_50", "q_doc_writer_avg", "q_doc_longrun_sets", "rpt_genre_boxplot", "rpt_genre_cast"):
+        assert "lineitem.parquet" not in plan(registry.RUN[name](spark, folder)), name
+
+
 def test_selective_roles_reach_the_links(spark, v, no_broadcast):
     """Spark's runtime Bloom filter, which large links get by themselves, in the plan."""
     size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
