@@ -3,23 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Parts into which the rows of every key are dealt where one side is grouped by the key.
-SALTS = 16
+#: Parts into which the rows of a hot key are dealt, and the rows that make a key hot.
+SALTS, HOT_ROWS = 16, 100_000
 
 
-def join_salted(many: DataFrame, one: DataFrame, key: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """``many`` joined to a narrow side that is unique by ``key``, each key in ``salts`` parts.
+def join_salted(many: DataFrame, one: DataFrame, key: Sequence[str], how: str = "inner", salts: int = SALTS,
+                rows: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``many`` joined to a narrow side that is unique by ``key``, each hot key in ``salts`` parts.
 
     Adaptive execution splits a skewed join of two fresh shuffles by itself; this is for
-    sides that are grouped by the key already, where it cannot. Nothing is counted first:
-    the unique side is repeated, a constant number of times at every size.
+    sides that are grouped by the key already, where it cannot. Only keys with ``hot_rows`` rows or
+    more are dealt and repeated, so both sides move once. There are at most as many of them as rows
+    divided by ``hot_rows``, and they are broadcast. ``rows`` names the column of ``one`` that holds
+    the number of rows of ``many``; without it they are counted, which combines before the shuffle.
     """
-    parts = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    dealt = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int"))
+    counted = one if rows else many.groupBy(*key).agg(F.count("*").alias("_rows"))
+    hot = F.broadcast(counted.where(F.col(rows or "_rows") >= hot_rows).select(*key, F.lit(True).alias("_hot")))
+    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    parts = one.join(hot, list(key), "left").select(*one.columns, F.explode(spread).alias("_salt"))
+    # rows without a key meet nothing and may lie anywhere
+    apart = reduce(Column.__or__, [F.col(k).isNull() for k in key], F.col("_hot").isNotNull())
+    salt = F.when(apart, F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int")).otherwise(0)
+    dealt = many.join(hot, list(key), "left").select(*many.columns, salt.alias("_salt"))
     return dealt.join(parts, [*key, "_salt"], how).drop("_salt")
 
 

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmgrain.operators.joins import join_salted, with_parents
 from filmgrain.workspace import cut
 
 
+def _best(counted: DataFrame, key: Sequence[str], order: Column) -> DataFrame:
+    """The first of each key's counted rows, how many differ (``_rows``), and how many there are with copies (``_copies``)."""
+    return counted.groupBy(*key).agg(F.min(order).alias("_best"), F.count("*").alias("_rows"), F.sum("_n").alias("_copies"))
+
+
 def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
@@ -26,12 +31,13 @@ def split_key(
     rest = [c for c in df.columns if c not in key and c not in order]
     whole = F.struct(*order, *rest)
     counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    best = counted.groupBy(*key).agg(F.min(whole).alias("_best"))
+    best = _best(counted, key, whole)
     winners = best.select(*[
         F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in df.columns
     ])
     left = F.col("_n") - F.when(whole.eqNullSafe(F.col("_best")), 1).otherwise(0)
-    losers = join_salted(counted, best, key).withColumn("copies", left).where("copies > 0")
+    several = best.where("_copies > 1").select(*key, "_best", "_rows")
+    losers = join_salted(counted, several, key, rows="_rows").withColumn("copies", left).where("copies > 0")
     return winners, losers.select(*df.columns, "copies")
 
 
@@ -44,11 +50,12 @@ def split_first(df: DataFrame, key: Sequence[str], position: str = "_pos") -> tu
     rest = [c for c in df.columns if c not in key and c != position]
     counted = df.groupBy(*key, *rest).agg(F.count("*").alias("_n"), F.min(position).alias(position))
     whole = F.struct(position, *rest)
-    best = counted.groupBy(*key).agg(F.min(whole).alias("_best"))
+    best = _best(counted, key, whole)
     columns = [c for c in df.columns if c != position]
     winners = best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in columns])
-    left = F.col("_n") - F.when(F.col(position) == F.col(f"_best.{position}"), 1).otherwise(0)
-    losers = join_salted(counted, best, key).withColumn("copies", left).where("copies > 0")
+    left = F.col("_n") - F.when(F.col(position) == F.col("_first"), 1).otherwise(0)
+    several = best.where("_copies > 1").select(*key, F.col(f"_best.{position}").alias("_first"), "_rows")
+    losers = join_salted(counted, several, key, rows="_rows").withColumn("copies", left).where("copies > 0")
     return winners, losers.select(*columns, "copies")
 
 
