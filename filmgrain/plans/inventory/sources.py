@@ -23,12 +23,12 @@ _staged: dict[tuple[str, str, str], str] = {}
 
 
 def staged_tsv(v, name: str) -> str:
-    """Path of a raw dump as tab-separated text, written once per application and folder."""
+    """Path of a raw dump as gzipped tab-separated text, a file a task, written once per application and folder."""
     key = (v.spark.sparkContext.applicationId, v.folder, name)
     if key not in _staged:
         path = stage_path(v.spark, name)
         rows = getattr(v, DUMPS[name])
-        writers.write_tsv(rows.orderBy("line").drop("line") if "line" in rows.columns else rows, path)
+        writers.write_tsv(rows.orderBy("line").drop("line") if "line" in rows.columns else rows, path, "gzip")
         _staged[key] = path
     return _staged[key]
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from filmgrain.operators import keys
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Raw dump layout: tabs, header, no quoting, backslash-N for null."""
-    df.write.csv(path, sep="\t", header=True, quote="", escape="", nullValue="\\N", emptyValue="")
+def write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Raw dump layout: tabs, header, no quoting, backslash-N for null; ``compression`` as in published dumps."""
+    df.write.csv(path, sep="\t", header=True, quote="", escape="", nullValue="\\N", emptyValue="", compression=compression)
 
 
 def write_csv_nulls(df: DataFrame, path: str, null: str = "None") -> None:
