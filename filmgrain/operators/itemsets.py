@@ -27,6 +27,8 @@ from filmgrain.workspace import cut
 
 #: Counters over hashed pairs; also the bound of what is broadcast.
 COUNTERS = 1 << 18
+#: Basket cells for each task of FP-growth that builds trees, and for each group of items that has one tree a task.
+TASK_CELLS, GROUP_CELLS = 100_000, 10_000
 
 
 @dataclass
@@ -177,14 +179,17 @@ def fp_growth(baskets: DataFrame, min_support: int = 5) -> DataFrame:
     """The same itemsets from MLlib's FPGrowth, as (items, support).
 
     FPGrowth takes a basket as one array; it holds the basket's frequent items only, so it is
-    at most as long as level one.
+    at most as long as level one. A task builds a tree for each group of items and looks through
+    it as it grows, so tasks and groups grow with the baskets, not with the bytes that cells take.
     """
     from pyspark.ml.fpm import FPGrowth
 
     items = level_one(baskets, min_support).select(F.col("item1").alias("item"))
     arrays = cut(baskets.join(items, "item", "left_semi").groupBy("basket").agg(F.collect_set("item").alias("items")))
-    n = arrays.count()
-    model = FPGrowth(itemsCol="items", minSupport=(min_support + 0.5) / max(n, 1)).fit(arrays)
+    size = arrays.agg(F.count("*").alias("n"), F.sum(F.size("items")).alias("cells")).first()
+    cells = size.cells or 0
+    model = FPGrowth(itemsCol="items", minSupport=(min_support + 0.5) / max(size.n, 1),
+                     numPartitions=cells // GROUP_CELLS + 1).fit(arrays.repartition(cells // TASK_CELLS + 1))
     return model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("support"))
 
 
