@@ -58,6 +58,9 @@ def classes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+#: Pairs are first held against one in so many of their product classes.
+FIRST_LOOK = 64
+
 NUMBERS = ("byte", "short", "integer", "long", "float", "double", "boolean", "date", "timestamp")
 
 
@@ -172,7 +175,7 @@ def minimal_pairs(df: DataFrame, deps: DataFrame | None = None) -> DataFrame:
     Partitions of single columns are multiplied: a row takes part in the product of X and Z only
     where both its classes have further rows, and a product class of one row is stripped again.
     Classes are longs, so products are hash aggregates that combine before the shuffle, all pairs
-    in one job. Pairs of which one column determines the other are left out, as their product is a
+    in one job, first over one class in ``FIRST_LOOK``, so that a broken pair does not move all its rows. Pairs of which one column determines the other are left out, as their product is a
     partition already known. What comes to the driver is a row a pair of columns.
     """
     df = cut(df)
@@ -197,17 +200,32 @@ def minimal_pairs(df: DataFrame, deps: DataFrame | None = None) -> DataFrame:
                        and (cols[i], cols[y]) not in held and (cols[j], cols[y]) not in held]
             if targets:
                 open_pairs[k] = targets
+    if FIRST_LOOK > 1:  # most targets are broken there already; what is left is held against all classes
+        open_pairs = unbroken(parts, pairs, open_pairs, FIRST_LOOK)
+    found = [(cols[pairs[k][0]], cols[pairs[k][1]], cols[y])
+             for k, targets in unbroken(parts, pairs, open_pairs).items() for y in targets]
+    return spark.createDataFrame(found, schema)
+
+
+def unbroken(parts: DataFrame, pairs: Sequence[tuple[int, int]], open_pairs: dict[int, list[int]], one_in: int = 1) -> dict[int, list[int]]:
+    """The targets of each pair that none of its product classes breaks; pairs without any are left out.
+
+    ``parts`` are stripped rows, ``open_pairs`` maps the place of a pair to the places of its targets. With
+    ``one_in`` only one of so many classes is looked at, each whole, so that what breaks there is broken.
+    """
     if not open_pairs:
-        return spark.createDataFrame([], schema)
+        return {}
+    cols = parts.columns
     entries = F.array(*[
         F.struct(F.lit(k).alias("pair"), F.col(cols[pairs[k][0]]).alias("a"), F.col(cols[pairs[k][1]]).alias("b"))
         for k in open_pairs])
     wanted = sorted({y for targets in open_pairs.values() for y in targets})
-    met = parts.select(*[F.col(cols[y]).alias(f"c{y}") for y in wanted], F.explode(F.filter(
-        entries, lambda e: e["a"].isNotNull() & e["b"].isNotNull())).alias("e"))
-    same = [F.expr(f"CASE WHEN min(c{y}) = max(c{y}) AND count(c{y}) = count(*) THEN {1 << y}L ELSE 0L END") for y in wanted]
+    looked = lambda e: F.pmod(F.xxhash64(e["pair"], e["a"], e["b"]), F.lit(one_in)) == 0
+    # ids of classes are not negative; a cell without one is alone with its value
+    met = parts.select(*[F.coalesce(F.col(cols[y]), F.lit(-1)).alias(f"c{y}") for y in wanted], F.explode(F.filter(
+        entries, lambda e: e["a"].isNotNull() & e["b"].isNotNull() & (looked(e) if one_in > 1 else F.lit(True)))).alias("e"))
+    same = [F.expr(f"CASE WHEN min(c{y}) = max(c{y}) AND min(c{y}) >= 0 THEN {1 << y}L ELSE 0L END") for y in wanted]
     product = met.groupBy("e.pair", "e.a", "e.b").agg(F.count("*").alias("n"), sum(same[1:], same[0]).alias("ok"))
     kept = {r.pair: r.ok for r in product.where("n > 1").groupBy("pair").agg(F.bit_and("ok").alias("ok")).collect()}
-    found = [(cols[pairs[k][0]], cols[pairs[k][1]], cols[y])
-             for k, targets in open_pairs.items() for y in targets if kept.get(k, -1) >> y & 1]
-    return spark.createDataFrame(found, schema)
+    left = {k: [y for y in targets if kept.get(k, -1) >> y & 1] for k, targets in open_pairs.items()}
+    return {k: targets for k, targets in left.items() if targets}
