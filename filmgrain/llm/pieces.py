@@ -23,6 +23,7 @@ whole. Tokenizers are only read, never trained.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import re
 from collections import deque
@@ -41,6 +42,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Characters read side by side.
 PIECE = 1 << 18
+#: Stretches whose ids are kept from one batch of texts to the next, at most, and their longest.
+KEPT, LONGEST = 1 << 16, 32
 _STRETCH = re.compile(r" *[^ ]+| +")
 
 
@@ -162,6 +165,7 @@ class Codec:
         self.scores = np.array([s for _, _, s in pieces] or [0.0])
         self.byte_score = min((s for _, _, s in pieces), default=0.0) - 1.0
         self.splits = not any(re.search(r"[^ ] ", p) for _, p, _ in pieces)
+        self.kept: dict[str, bytes] = {}
         self.raw = [b"\xef\xbf\xbd"] * vocabulary.size
         for i, piece, _ in pieces:
             self.raw[i] = piece.encode()
@@ -243,12 +247,16 @@ class Codec:
         return [s[1:] for s in _STRETCH.findall(" " + text)] if "" in parts else parts
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; a stretch that several of them hold is read once."""
+        """Ids of each text; a stretch that several of them hold is read once, short ones of earlier batches not again."""
         split = [self.stretches(t) for t in texts]
         known: dict[str, bytes] = {}
         some: list[str] = []
         size = 0
         for stretch in set().union(*split):
+            ids = self.kept.get(stretch)
+            if ids is not None:
+                known[stretch] = ids
+                continue
             some.append(stretch)
             size += len(stretch)
             if size >= PIECE:
@@ -256,6 +264,9 @@ class Codec:
                 some, size = [], 0
         if some:
             known.update(self.best(some))
+        if len(self.kept) + len(known) > KEPT:
+            self.kept.clear()  # those of this batch stay, as far as there is room
+        self.kept.update(itertools.islice(((s, i) for s, i in known.items() if len(s) <= LONGEST), KEPT))
         return [np.frombuffer(b"".join(map(known.__getitem__, s)), dtype="<i4") for s in split]
 
     def encode(self, text: str) -> np.ndarray:
