@@ -32,8 +32,8 @@ from filmgrain.llm.shipping import ship
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
-#: Characters decoded together.
-PIECE = 1 << 20
+#: Characters decoded together; a worker holds some 200 bytes for each.
+PIECE = 1 << 18
 #: Rows of a labelled table that are read, at most; a larger one is an error.
 MOST_LABELLED = 200_000
 
