@@ -132,12 +132,12 @@ def _witnessed(keys: np.ndarray, ids: np.ndarray, places: np.ndarray) -> list[np
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of anchors sorted by (anchor, kind, id), those of two ids or more; settled ones pass."""
+    """Of anchors sorted by (anchor, kind, id), those of two ids or more; settled ones pass. Without kinds all are open."""
     held: pa.RecordBatch | None = None  # the last anchor so far, while only its first id has come
     key = ident = None  # the last anchor and its first id
     several = False
     for batch in batches:
-        kinds = batch.column("kind").to_numpy()
+        kinds = batch.column("kind").to_numpy() if "kind" in batch.schema.names else np.full(batch.num_rows, OPEN)
         if (kinds == SETTLED).any():
             yield batch.filter(pa.array(kinds == SETTLED)).select(["id", "pos"])
             batch = batch.filter(pa.array(kinds != SETTLED))
