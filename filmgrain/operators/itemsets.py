@@ -13,20 +13,27 @@ at every size; a skewed self-join of what is left is split by adaptive execution
 Pairs are pruned before they are counted: a fixed number of counters over hashed pairs,
 added up on the map side, is a sure upper bound of each pair's support, and only pairs
 whose counter can reach it are shuffled.
+
+Tasks grow with the pairs that the baskets can form, whatever the session's number of shuffle
+partitions and however adaptive execution would merge them by bytes: few bytes of baskets make many pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmgrain.workspace import cut
 
 #: Counters over hashed pairs; also the bound of what is broadcast.
 COUNTERS = 1 << 18
+#: Basket cells for each task of a join by basket, and pairs that they form there.
+TASK_ROWS, TASK_PAIRS = 500_000, 1_000_000
 #: Basket cells for each task of FP-growth that builds trees, and for each group of items that has one tree a task.
 TASK_CELLS, GROUP_CELLS = 100_000, 10_000
 
@@ -38,6 +45,26 @@ class Prepared:
     rows: DataFrame
     min_support: int
     set_aside: int
+    tasks: int
+
+
+@contextmanager
+def _in_tasks(spark: SparkSession, n: int) -> Iterator[None]:
+    """Shuffles of the jobs run inside have ``n`` partitions, which stay apart."""
+    held = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, x in held.items():
+            spark.conf.set(k, x)
+        yield
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
+
+
+def _cut(df: DataFrame, n: int) -> DataFrame:
+    with _in_tasks(df.sparkSession, n):
+        return cut(df)
 
 
 def popular_links(title: DataFrame, links: DataFrame, item: str, min_rating: float = 5,
@@ -61,15 +88,23 @@ def level_one(baskets: DataFrame, min_support: int = 5) -> DataFrame:
 def prepare(baskets: DataFrame, min_support: int = 5, l1: DataFrame | None = None) -> Prepared:
     """Keep frequent items and set the ``min_support`` largest baskets aside."""
     if l1 is None:
-        l1 = level_one(baskets, min_support)
+        l1 = cut(level_one(baskets, min_support))
+    cells = l1.agg(F.sum("support")).first()[0] or 0
     items = l1.select(F.col("item1").alias("item"))
-    rows = cut(baskets.join(items, "item", "left_semi").select("basket", "item"))
-    sizes = rows.groupBy("basket").agg(F.count("*").alias("n"))
-    aside = [r["basket"] for r in sizes.orderBy(F.desc("n"), "basket").limit(min_support).collect()]
+    n = cells // TASK_ROWS + 1
+    rows = _cut(baskets.join(items, "item", "left_semi").select("basket", "item"), n)
+    with _in_tasks(rows.sparkSession, n):
+        sizes = rows.groupBy("basket").agg(F.count("*").alias("n"))
+        largest = sizes.orderBy(F.desc("n"), "basket").limit(min_support + 1).collect()
+    aside = [r["basket"] for r in largest[:min_support]]
     held = rows.where(F.col("basket").isin(aside)).groupBy("item").agg(F.collect_list("basket").alias("aside"))
     left = rows.where(~F.col("basket").isin(aside)).join(held, "item", "left")
     none = F.array().cast(held.schema["aside"].dataType)
-    return Prepared(cut(left.select("basket", "item", F.coalesce("aside", none).alias("aside"))), min_support, len(aside))
+    left = _cut(left.select("basket", "item", F.coalesce("aside", none).alias("aside")), n)
+    # no basket left has more items than the first of them, and no task less than a row in twenty of TASK_ROWS
+    most = largest[min_support]["n"] - 1 if len(largest) > min_support else 0
+    tasks = max(n, min(cells * most // 2 // TASK_PAIRS, cells * 20 // TASK_ROWS) + 1)
+    return Prepared(left, min_support, len(aside), tasks)
 
 
 def _pairs(p: Prepared) -> DataFrame:
@@ -101,13 +136,13 @@ def hopeful_pairs(p: Prepared, counters: int = COUNTERS) -> DataFrame:
 
 
 def level_two(p: Prepared) -> DataFrame:
-    """Pairs with their joint support."""
-    return _support(hopeful_pairs(p), 2, p.min_support)
+    """Pairs with their joint support, written once."""
+    return _cut(_support(hopeful_pairs(p), 2, p.min_support), p.tasks)
 
 
 def pair_occurrences(p: Prepared, l2: DataFrame) -> DataFrame:
-    """Baskets of the frequent pairs only."""
-    return hopeful_pairs(p).join(l2.select("item1", "item2"), ["item1", "item2"], "left_semi")
+    """Baskets of the frequent pairs only, written once."""
+    return _cut(hopeful_pairs(p).join(l2.select("item1", "item2"), ["item1", "item2"], "left_semi"), p.tasks)
 
 
 def extend(occurrences: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
@@ -139,7 +174,7 @@ def levels(
     if max_level == 1:
         return found
     p = prepare(baskets, min_support, l1)
-    current = cut(level_two(p))
+    current = level_two(p)
     pairs = occurrences = None
     n = 2
     while not current.isEmpty():
@@ -148,12 +183,12 @@ def levels(
             break
         items = [f"item{i}" for i in range(1, n + 1)]
         if n == 2:
-            pairs = occurrences = cut(pair_occurrences(p, current))
+            pairs = occurrences = pair_occurrences(p, current)
         else:
-            occurrences = cut(occurrences.join(current.select(*items), items, "left_semi"))
+            occurrences = _cut(occurrences.join(current.select(*items), items, "left_semi"), p.tasks)
         n += 1
         occurrences = extend(occurrences, pairs, n)
-        current = cut(_support(occurrences, n, min_support))
+        current = _cut(_support(occurrences, n, min_support), p.tasks)
     return found
 
 

@@ -103,6 +103,19 @@ def test_tasks_of_fp_growth_grow_with_the_baskets(spark, monkeypatch):
     assert seen[0] == (1, 1) and seen[1][0] > seen[1][1] > 5
 
 
+def test_tasks_of_pairs_grow_with_the_baskets(spark, monkeypatch):
+    baskets = spark.range(4000).selectExpr("id div 4 AS basket", "(id * 7 + id div 4) % 13 AS item").distinct()
+    conf = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    few = itemsets.level_two(itemsets.prepare(baskets, 30))
+    monkeypatch.setattr(itemsets, "TASK_ROWS", 1000)
+    monkeypatch.setattr(itemsets, "TASK_PAIRS", 200)
+    p = itemsets.prepare(baskets, 30)
+    many = itemsets.level_two(p)
+    assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == p.tasks >= 20
+    assert rows(many) == rows(few) != [] and rows(itemsets.level(baskets, 2, 30)) == rows(few)
+    assert conf == {k: spark.conf.get(k) for k in conf}  # the session's settings are back
+
+
 def test_broken_pairs_do_not_move_all_their_rows(spark, monkeypatch):
     """``a`` and ``b`` give ``sum``; in the second look no pair and no target is left that the first one broke."""
     table = spark.range(3000).selectExpr("id % 30 AS a", "id div 100 AS b", "id % 30 + id div 100 AS sum", "xxhash64(id) % 5 AS noise")
