@@ -34,7 +34,7 @@ LAYOUT: dict[str, tuple[str, ...]] = {
 #: The same for the stored source views.
 VIEW_LAYOUT: dict[str, tuple[str, ...]] = {
     "comedy_movie": ("id",), "non_comedy_movie": ("id",), "comedy_actor": ("id",), "non_comedy_actor": ("id",),
-    "acted_in": ("titleid", "actorid"),
+    "acted_in": ("titleid", "actorid"), "actor": ("id",),
 }
 
 
@@ -59,11 +59,22 @@ class StoredCatalogue(Catalogue):
     actor_title = _kept("actor_title", lambda self: self.title_actor)
 
     def source_views(self, kind: str) -> integration.Sources:
-        """The source views for a genre, stored on first use and not refreshed."""
+        """The source views for a genre, stored on first use and not refreshed.
+
+        Links meet their movies once: they are stored with the movie's flag, the actors' flags come
+        from there and are stored before both views of actors are drawn from them.
+        """
         mark = hashlib.md5(kind.encode()).hexdigest()[:8]
-        lazy = integration.sources(self.member, self.title, self.title_genre, self.genre, self.title_actor, kind)
+
+        def kept(name: str, rows: DataFrame) -> DataFrame:
+            return self.keep(f"{name}_{mark}", lambda self: rows, VIEW_LAYOUT[name])
+
+        movies = integration.flagged_movies(self.title, integration.genre_flags(self.title_genre, self.genre, kind))
+        cast = kept("acted_in", integration.flagged_links(self.title_actor, movies))
+        actors = kept("actor", integration.actors_of(self.member, cast))
+        views = integration.views(movies, actors, cast.select("titleid", "actorid"))
         return integration.Sources(**{
-            name: self.keep(f"{name}_{mark}", lambda self, rows=rows: rows, VIEW_LAYOUT[name]) for name, rows in lazy.items()
+            name: rows if name == "acted_in" else kept(name, rows) for name, rows in views.items()
         })
 
     def keep(self, name: str, make: Callable[[StoredCatalogue], DataFrame], by: tuple[str, ...] | None = None) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from filmgrain import schemas
 from filmgrain.operators import keys, selection, updates
 from filmgrain.operators.store import Collection
-from filmgrain.plans import document_queries, etl, registry, relational
+from filmgrain.plans import document_queries, etl, integration, registry, relational
 from filmgrain.plans.inventory import integration as inventory
+from filmgrain.plans.stored import LAYOUT, StoredCatalogue
 from filmgrain.plans.views import Catalogue
 from filmgrain.sources import readers, writers
 
@@ -59,6 +60,29 @@ def test_source_views_are_stored_once(spark, v):
     assert other.comedy_movie.isEmpty() and other.non_comedy_movie.count() > stored.non_comedy_movie.count()
 
 
+def test_stored_source_views_meet_the_links_once(v, monkeypatch):
+    plans, keep = {}, StoredCatalogue.keep
+
+    def noted(self, name, make, by=None):
+        if name not in LAYOUT:
+            plans[name] = plan(make(self))
+        return keep(self, name, make, by)
+
+    monkeypatch.setattr(StoredCatalogue, "keep", noted)
+    views = v.stored.source_views("a third genre")
+    assert len(plans) == 6 and [n[:8] for n, p in plans.items() if "_title_actor" in p] == ["acted_in"]
+    assert views.acted_in.columns == ["titleid", "actorid"]
+
+
+def test_links_of_repeated_titles_are_stored_once(spark):
+    links = spark.createDataFrame([(1, 5), (1, 6), (2, 5), (3, 7), (None, 7)], "titleid long, actorid long")
+    movies = spark.createDataFrame([(1, True), (1, True), (2, False), (None, True)], "id long, tagged boolean")
+    assert sorted(map(tuple, integration.flagged_links(links, movies).collect())) == [(1, 5, True), (1, 6, True), (2, 5, False)]
+    people = spark.createDataFrame([(i, f"n{i}", 1950, None) for i in (5, 6, 7)], "id long, name string, birthYear int, deathYear int")
+    got = integration.actors_of(people, integration.flagged_links(links, movies))
+    assert sorted((r["id"], r["tagged"]) for r in got.collect()) == [(5, True), (6, True)]
+
+
 @pytest.mark.parametrize("name", ["q_gav_prolific_stored", "q_gav_prefix_stored"])
 def test_queries_over_stored_views_read_nothing_else(spark, folder, name):
     registry.load()
