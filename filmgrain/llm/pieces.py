@@ -277,19 +277,28 @@ class Codec:
         return text[1:] if text.startswith(" ") else text
 
 
-@functools.lru_cache(maxsize=2)
-def codec(vocabulary: Vocabulary) -> Codec:
-    """One automaton per process and vocabulary."""
-    return Codec(vocabulary)
+class Shared:
+    """A vocabulary as it is broadcast. Its codec is made once in each process and goes with it, so that a worker that
+    turns to other work does not keep it."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+
+    def __getstate__(self) -> dict:
+        return {"vocabulary": self.vocabulary}
+
+    @functools.cached_property
+    def codec(self) -> Codec:
+        return Codec(self.vocabulary)
 
 
 def encode(spark: SparkSession, vocabulary: Vocabulary, text: Column) -> Column:
     """A column of piece ids, array<int>."""
-    shared = ship(spark).sparkContext.broadcast(vocabulary)
+    shared = ship(spark).sparkContext.broadcast(Shared(vocabulary))
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        own = codec(shared.value)
+        own = shared.value.codec
         plain = texts.to_pylist()
         rows = [None if t is None else ids for t, ids in zip(plain, own.encode_all([t or "" for t in plain]))]
         ends = np.cumsum([0] + [0 if r is None else len(r) for r in rows]).astype(np.int32)
@@ -302,11 +311,11 @@ def encode(spark: SparkSession, vocabulary: Vocabulary, text: Column) -> Column:
 
 def decode(spark: SparkSession, vocabulary: Vocabulary, ids: Column) -> Column:
     """The text of a column of piece ids."""
-    shared = ship(spark).sparkContext.broadcast(vocabulary)
+    shared = ship(spark).sparkContext.broadcast(Shared(vocabulary))
 
     @F.arrow_udf("string")
     def texts(rows: pa.Array) -> pa.Array:
-        own = codec(shared.value)
+        own = shared.value.codec
         return pa.array([None if not r.is_valid else own.decode(r.values.to_numpy().tolist()) for r in rows], pa.string())
 
     return texts(ids)

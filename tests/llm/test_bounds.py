@@ -1,6 +1,11 @@
 """What a worker holds and does again."""
 
+import pickle
+
 import cases
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from filmgrain.llm import pieces, pii
 
 
@@ -35,3 +40,21 @@ def test_personal_data_does_not_depend_on_what_is_decoded_together(monkeypatch):
     together = pii.find_all(texts, field)
     monkeypatch.setattr(pii, "PIECE", 1)
     assert pii.find_all(texts, field) == together
+
+
+def test_workers_drop_the_codec_with_its_broadcast(spark):
+    shared = pieces.Shared(pieces.Vocabulary(((0, "a", -1.0), (1, " ", -1.0)), None, 2, 3))
+    assert shared.codec is shared.codec
+    assert "codec" not in vars(pickle.loads(pickle.dumps(shared)))  # what is sent is the vocabulary
+    docs = spark.range(0, 64, 1, 32).selectExpr("repeat('a ', int(id)) AS text")
+    docs.select(pieces.encode(spark, shared.vocabulary, F.col("text"))).collect()
+    other = spark.sparkContext.broadcast("other work")
+
+    @F.arrow_udf("int")
+    def left(ids):
+        import gc
+
+        assert other.value
+        return pa.array([sum(type(x).__name__ == "Codec" for x in gc.get_objects())] * len(ids), pa.int32())
+
+    assert {r[0] for r in spark.range(0, 64, 1, 32).select(left("id")).collect()} == {0}
