@@ -16,6 +16,8 @@ whose counter can reach it are shuffled.
 
 Tasks grow with the pairs that the baskets can form, whatever the session's number of shuffle
 partitions and however adaptive execution would merge them by bytes: few bytes of baskets make many pairs.
+
+``joint_support`` has none of this: it joins all baskets with themselves and counts every pair.
 """
 
 from __future__ import annotations
@@ -28,12 +30,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filmgrain.operators import joins
 from filmgrain.workspace import cut
 
 #: Counters over hashed pairs; also the bound of what is broadcast.
 COUNTERS = 1 << 18
 #: Basket cells for each task of a join by basket, and pairs that they form there.
 TASK_ROWS, TASK_PAIRS = 500_000, 1_000_000
+#: Cells of a basket that are paired in one place, where all its pairs are formed.
+BLOCK_ROWS = 500
 #: Basket cells for each task of FP-growth that builds trees, and for each group of items that has one tree a task.
 TASK_CELLS, GROUP_CELLS = 100_000, 10_000
 
@@ -140,6 +145,22 @@ def level_two(p: Prepared) -> DataFrame:
     return _cut(_support(hopeful_pairs(p), 2, p.min_support), p.tasks)
 
 
+def joint_support(baskets: DataFrame, min_support: int = 5) -> DataFrame:
+    """Pairs with their joint support from the self-join of all baskets, written once.
+
+    No item is pruned, no basket set aside and no pair ruled out before it is counted, so rows that come twice count
+    as they do in SQL; rows without basket or item meet nothing.
+    """
+    rows = cut(baskets.select("basket", "item").where("basket IS NOT NULL AND item IS NOT NULL"))
+    sizes = cut(rows.groupBy("basket").agg(F.count("*").alias("n")))
+    # both orders of a pair are compared, one is kept
+    total = sizes.agg(F.sum("n").alias("cells"), F.sum(F.expr("n * n")).alias("compared")).first()
+    tasks = max((total["cells"] or 0) // TASK_ROWS, (total["compared"] or 0) // TASK_PAIRS) + 1
+    pairs = joins.theta_self(rows, "basket", "item", sizes, BLOCK_ROWS)
+    support = pairs.groupBy("item1", "item2").agg(F.count("*").alias("support"))
+    return _cut(support.where(F.col("support") > min_support), tasks)
+
+
 def pair_occurrences(p: Prepared, l2: DataFrame) -> DataFrame:
     """Baskets of the frequent pairs only, written once."""
     return _cut(hopeful_pairs(p).join(l2.select("item1", "item2"), ["item1", "item2"], "left_semi"), p.tasks)

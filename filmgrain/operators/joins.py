@@ -33,6 +33,30 @@ def join_salted(many: DataFrame, one: DataFrame, key: Sequence[str], how: str =
     return dealt.join(parts, [*key, "_salt"], how).drop("_salt")
 
 
+def theta_self(df: DataFrame, key: str, value: str, sizes: DataFrame, block: int) -> DataFrame:
+    """Each unordered pair of rows with equal ``key`` once, as (key, value1 < value2).
+
+    ``sizes`` holds the rows ``n`` of each key. Keys of more than ``block`` rows are dealt into parts by hash of the
+    value, and their rows repeated for each two parts they belong to, so a key's pairs are formed in many places, about
+    ``block`` rows of a part with as many of another. Rows of different parts meet where those two parts do and nowhere
+    else. A key that is dealt has more than ``block`` rows, so there are at most as many as rows divided by ``block``,
+    and they are broadcast.
+    """
+    hot = sizes.where(F.col("n") > block).select(key, F.ceil(F.col("n") / block).cast("int").alias("_parts"))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = df.join(F.broadcast(hot), key, "left").select(
+        key, value, F.pmod(F.xxhash64(value), parts).cast("int").alias("_part"),
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("_other"),
+    )
+    cells = dealt.select(key, F.least("_part", "_other").alias("_low"), F.greatest("_part", "_other").alias("_high"),
+                         value, "_part")
+    sides = [cells.withColumnsRenamed({value: f"{value}{i}", "_part": f"_part{i}"}) for i in (1, 2)]
+    # merged, as a side small enough to be broadcast would leave pairs where their first row lies
+    return sides[0].join(sides[1].hint("merge"), [key, "_low", "_high"]).where(
+        (F.col(f"{value}1") < F.col(f"{value}2")) & ((F.col("_low") == F.col("_high")) | (F.col("_part1") != F.col("_part2")))
+    ).select(key, f"{value}1", f"{value}2")
+
+
 def with_label(links: DataFrame, dictionary: DataFrame, key: str, label: str) -> DataFrame:
     """Links plus the label their dictionary id stands for (inner)."""
     return links.join(dictionary.select(F.col("id").alias(key), label), key)

@@ -91,7 +91,7 @@ def join_anti_isin(v):
 @query("join_theta_self", """SELECT a.item AS item1, b.item AS item2, count(*) AS support FROM baskets a JOIN baskets b
     ON a.basket = b.basket AND a.item < b.item GROUP BY 1, 2 HAVING count(*) > 5""")
 def join_theta_self(v):
-    return itemsets.level_two(itemsets.prepare(v.baskets, 5)).select("item1", "item2", "support")
+    return itemsets.joint_support(v.baskets, 5)
 
 
 @query("join_names_n", """SELECT d.titleid, w.writerid, d.directorid, m1.name AS writerid_name, m2.name AS directorid_name

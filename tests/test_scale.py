@@ -116,6 +116,20 @@ def test_tasks_of_pairs_grow_with_the_baskets(spark, monkeypatch):
     assert conf == {k: spark.conf.get(k) for k in conf}  # the session's settings are back
 
 
+def test_pairs_of_a_large_basket_lie_in_many_tasks(spark, monkeypatch):
+    baskets = spark.range(1500).selectExpr("0 AS basket", "id AS item").union(spark.range(1500).selectExpr("id div 5 + 1", "id"))
+    sizes = baskets.groupBy("basket").agg(F.count("*").alias("n"))
+    with itemsets._in_tasks(spark, 40):
+        pairs = joins.theta_self(baskets, "basket", "item", sizes, 100)
+        of = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(of) == 1500 * 1499 // 2 + 300 * 10 and max(of) < sum(of) / 8
+    few = itemsets.joint_support(baskets, 1)
+    monkeypatch.setattr(itemsets, "TASK_PAIRS", 100_000)
+    many = itemsets.joint_support(baskets, 1)
+    assert few.rdd.getNumPartitions() < 5 and many.rdd.getNumPartitions() > 20
+    assert rows(many) == rows(few) and few.count() == 300 * 10
+
+
 def test_broken_pairs_do_not_move_all_their_rows(spark, monkeypatch):
     """``a`` and ``b`` give ``sum``; in the second look no pair and no target is left that the first one broke."""
     table = spark.range(3000).selectExpr("id % 30 AS a", "id div 100 AS b", "id % 30 + id div 100 AS sum", "xxhash64(id) % 5 AS noise")

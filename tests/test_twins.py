@@ -3,13 +3,15 @@
 import itertools
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 
-from filmgrain.operators import clusters, documents, itemsets
+from filmgrain.operators import clusters, documents, itemsets, joins
 from filmgrain.plans import integration as gav
 from filmgrain.plans import relational as rel
+from filmgrain.plans.inventory import joins as join_queries
 from filmgrain.plans.views import Catalogue
 
 
@@ -52,6 +54,39 @@ def test_itemsets_with_huge_baskets(spark, huge):
     assert {(r["item1"], r["item2"]): r["support"] for r in few.collect()} == {s: n for s, n in want.items() if len(s) == 2}
 
 
+def nested_loop(rows):
+    """Pairs of rows with the same basket, the smaller item first."""
+    baskets = {}
+    for b, i in rows:
+        if b is not None and i is not None:
+            baskets.setdefault(b, []).append(i)
+    return sorted((b, x, y) for b, items in baskets.items() for x in items for y in items if x < y)
+
+
+@pytest.mark.parametrize("block", [1, 4, 500])
+def test_theta_self_forms_each_pair_once(spark, block):
+    rows = random_baskets(3) + random_baskets(3)[::7]
+    df = spark.createDataFrame(rows, "basket int, item int")
+    pairs = joins.theta_self(df, "basket", "item", df.groupBy("basket").agg({"item": "count"}).toDF("basket", "n"), block)
+    assert sorted(map(tuple, pairs.collect())) == nested_loop(rows)
+
+
+def test_theta_self_join_pairs_all_baskets(spark, monkeypatch):
+    """The largest baskets, items that are rare, rows that come twice and rows without a key are joined as in SQL."""
+    rows = random_baskets(7) + [(1000, i) for i in range(0, 18, 2)] + [(2, 100), (2, 101)]
+    rows += [(None, i) for i in range(18)] + [(1001, None), (3, None)]
+    formed = []
+    join = joins.theta_self
+    monkeypatch.setattr(joins, "theta_self", lambda *given: formed.append(join(*given)) or formed[-1])
+    monkeypatch.setattr(itemsets, "BLOCK_ROWS", 5)
+    found = join_queries.join_theta_self(SimpleNamespace(baskets=spark.createDataFrame(rows, "basket int, item int")))
+    want = nested_loop(rows)
+    counts = Counter((x, y) for _, x, y in want)
+    assert found.columns == ["item1", "item2", "support"]
+    assert sorted(map(tuple, found.collect())) == sorted((*p, n) for p, n in counts.items() if n > 5) != []
+    assert [sorted(map(tuple, pairs.collect())) for pairs in formed] == [want]
+
+
 @pytest.mark.parametrize("huge", [0, 1, 2])
 def test_fp_growth_agrees(spark, huge):
     rows = random_baskets(huge)
